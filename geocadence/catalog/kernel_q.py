@@ -1,0 +1,139 @@
+"""Kernel queries: A12-A14, M1-M7."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from geocadence.catalog.registry import SQL_AREA_DAYS, Tables, area_days, big, query, r6, text
+from geocadence.operators import kernel as K
+
+FEATURES = ["x0", "x1", "x2", "x3"]
+
+
+def vectors(t: Tables):
+    """Embeddings as four features and a target: (i, x0..x3, y)."""
+    return t.embeddings.select(
+        F.col("vec_id").alias("i"), *[F.get("embedding", F.lit(k)).cast("double").alias(f"x{k}") for k in range(4)], F.col("label").cast("double").alias("y"))
+
+
+def training(t: Tables):
+    """Training points on scaled features with coefficients made from the label: (i, x, c)."""
+    v = vectors(t)
+    return v.select(F.col("i").cast("int").alias("i"), F.array(*FEATURES).alias("x"), ((F.col("y") - 4.5) / 10.0).alias("c"))
+
+
+SQL_VECTORS = "vectors AS (SELECT vec_id AS i, " + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS x{k}" for k in range(4)) + ", CAST(label AS DOUBLE) AS y FROM embeddings)"
+
+
+@query("a12_feature_stats", f"""
+WITH {SQL_VECTORS} """ + " UNION ALL ".join(
+    f"SELECT CAST({k} AS BIGINT) AS k, MAX(x{k}) AS max, round(AVG(x{k}) / MAX(x{k}) + 1e-9, 6) AS mean FROM vectors" for k in range(4)))
+def a12(t: Tables):
+    return K.feature_stats(vectors(t), FEATURES).select(big("k").alias("k"), "max", r6("mean").alias("mean"))
+
+
+@query("a12_scaled_features", f"""
+WITH {SQL_VECTORS}, s AS (SELECT """ + ", ".join(f"MAX(x{k}) AS m{k}, AVG(x{k}) / MAX(x{k}) AS a{k}" for k in range(4)) + " FROM vectors) SELECT i, "
+    + ", ".join(f"round(x{k} / m{k} - a{k} + 1e-9, 6) AS z{k}" for k in range(4)) + " FROM vectors, s")
+def a12_scaled(t: Tables):
+    v = vectors(t)
+    mx, mean = K.stats_arrays(K.feature_stats(v, FEATURES))
+    z = K.scale_features([F.col(c) for c in FEATURES], mx, mean)
+    return v.select("i", *[r6(c).alias(f"z{k}") for k, c in enumerate(z)])
+
+
+@query("a13_mean_squared_error", f"WITH {SQL_VECTORS} SELECT CAST(y AS BIGINT) AS label, round(AVG((x0 - x1) * (x0 - x1)) + 1e-9, 6) AS mse FROM vectors GROUP BY y")
+def a13(t: Tables):
+    return K.mean_squared_error(vectors(t), "x0", "x1", ["y"]).select(big("y").alias("label"), r6("mse").alias("mse"))
+
+
+@query("a14_fold_statistics", f"""
+WITH {SQL_VECTORS}, e AS (SELECT CAST(y AS BIGINT) AS cand, i % 5 AS fold, AVG(x0 * x0) AS tr, AVG(x1 * x1) AS va FROM vectors GROUP BY 1, 2),
+s AS (SELECT cand, median(tr) AS a, stddev_pop(tr) AS b, median(va) AS c, stddev_pop(va) AS d FROM e GROUP BY cand)
+SELECT cand, round(a + 1e-9, 6) AS train_median, round(b + 1e-9, 6) AS train_std, round(c + 1e-9, 6) AS valid_median, round(d + 1e-9, 6) AS valid_std, c = (SELECT MIN(c) FROM s) AS is_best FROM s""")
+def a14(t: Tables):
+    e = vectors(t).groupBy(big("y").alias("cand"), F.pmod("i", F.lit(5)).alias("fold")).agg(
+        F.avg(F.col("x0") * F.col("x0")).alias("train_err"), F.avg(F.col("x1") * F.col("x1")).alias("valid_err"))
+    out = K.fold_statistics(e, ["cand"])
+    return out.select("cand", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
+
+
+@query("m1_feature_array", f"""
+WITH {SQL_AREA_DAYS} SELECT area, CAST(time AS VARCHAR) AS time, CAST(n AS DOUBLE) AS f0, value AS f1, value / 2 AS f2, CAST(dayofyear(time) AS DOUBLE) AS f3 FROM area_days""")
+def m1(t: Tables):
+    d = area_days(t).select("area", "time", F.col("n").alias("sm_value_first"), F.col("value").alias("rain_accumulated_12H"),
+                            (F.col("value") / 2).alias("rain_peak_3H"), F.dayofyear("time").alias("day_of_the_year"))
+    x = K.feature_array(d)
+    return x.select("area", text("time").alias("time"), *[F.col("x")[k].alias(f"f{k}") for k in range(4)])
+
+
+_DOT = "+".join(f"a.x{k} * b.x{k}" for k in range(4))
+_SCORE = f"WITH {SQL_VECTORS}, s AS (SELECT a.i, SUM((b.y - 4.5) / 10.0 * pow(1 + {_DOT}, 3)) AS raw FROM vectors a, vectors b GROUP BY a.i)"
+_SCORE_SQL = _SCORE + " SELECT i, round(raw + 1e-9, 6) AS raw_score, CAST(greatest(round_even(raw, 0), 0) AS BIGINT) AS slips FROM s"
+
+
+@query("m2_kernel_score", _SCORE_SQL)
+def m2(t: Tables):
+    rows = vectors(t).select("i", F.array(*FEATURES).alias("x"))
+    out = K.score_direct(rows, training(t), ["i"], block=200)
+    return out.select("i", r6("raw_score").alias("raw_score"), big(K.predicted_count(F.col("raw_score"))).alias("slips"))
+
+
+@query("m2_kernel_score_collapsed", _SCORE_SQL)
+def m2_collapsed(t: Tables):
+    model = K.collapse_model(training(t), 4, 3)
+    out = K.score_collapsed(vectors(t), model, FEATURES)
+    return out.select("i", r6("raw_score").alias("raw_score"), big(K.predicted_count(F.col("raw_score"))).alias("slips"))
+
+
+@query("m3_kernel_values", f"""
+WITH {SQL_VECTORS}, c AS (SELECT y, """ + ", ".join(f"MIN(x{k}) AS c{k}" for k in range(4)) + """ FROM vectors GROUP BY y),
+d AS (SELECT i, """ + "+".join(f"x{k} * c{k}" for k in range(4)) + " AS dt, " + "+".join(f"(x{k} - c{k}) * (x{k} - c{k})" for k in range(4)) + """ AS d2 FROM vectors JOIN c USING (y))
+SELECT i, round(dt + 1e-9, 6) AS linear, round(pow(1 + dt, 3) + 1e-9, 6) AS polynomial, round(exp(-d2 * d2 / 0.5) + 1e-9, 6) AS gaussian, round(exp(-d2 / 0.5) + 1e-9, 6) AS rbf FROM d""")
+def m3(t: Tables):
+    v = vectors(t)
+    centre = v.groupBy("y").agg(F.array(*[F.min(c) for c in FEATURES]).alias("m"))
+    j = v.join(centre, "y").withColumn("x", F.array(*FEATURES))
+    kinds = {"linear": 0, "polynomial": 3, "gaussian": 0.5, "rbf": 0.5}
+    return j.select("i", *[r6(K.kernel_value(F.col("x"), F.col("m"), kind, p)).alias(kind) for kind, p in kinds.items()])
+
+
+@query("m2_gaussian_score", f"""
+WITH {SQL_VECTORS}, s AS (SELECT a.i, SUM((b.y - 4.5) / 10.0 * exp(-pow(""" + "+".join(f"(a.x{k} - b.x{k}) * (a.x{k} - b.x{k})" for k in range(4)) + """, 2) / 0.5)) AS raw FROM vectors a, vectors b GROUP BY a.i)
+SELECT i, round(raw + 1e-9, 6) AS raw_score FROM s""")
+def m2_gaussian(t: Tables):
+    rows = vectors(t).select("i", F.array(*FEATURES).alias("x"))
+    return K.score_direct(rows, training(t), ["i"], kind="gaussian", param=0.5, block=200).select("i", r6("raw_score").alias("raw_score"))
+
+
+@query("m4_kernel_fit")
+def m4(t: Tables):
+    d = vectors(t).withColumn("x", F.array(*FEATURES))
+    model = K.fit_kernel(d, 4, 0.01)
+    out = K.dual_coefficients(d, model, 0.01, d.count())
+    return out.select("i", r6("c").alias("c"))
+
+
+@query("m5_cross_validation")
+def m5(t: Tables):
+    d = K.with_fold(vectors(t).withColumn("x", F.array(*FEATURES)), "i", 5)
+    out = K.fold_statistics(K.cross_validate(d, 4, 5, [0.001, 0.01, 0.1], [1, 2, 3]), ["lam", "power"])
+    return out.select("lam", "power", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
+
+
+@query("m6_principal_components")
+def m6(t: Tables):
+    d = vectors(t).withColumn("x", F.array(*FEATURES))
+    pc = K.principal_components(d, 4, 2)
+    return K.project_components(d, pc).select("i", r6("pc1").alias("pc1"), r6("pc2").alias("pc2"))
+
+
+@query("m7_active_method", _SCORE_SQL.replace("SELECT i, round(raw + 1e-9, 6) AS raw_score, CAST(greatest(round_even(raw, 0), 0) AS BIGINT) AS slips FROM s", "SELECT i, CAST(greatest(round_even(raw, 0), 0) AS BIGINT) AS slips FROM s"))
+def m7(t: Tables):
+    def fx_kernel(rows, train, kernel_type, kernel_exponent):
+        model = K.collapse_model(train, 4, kernel_exponent, kernel_type)
+        return K.score_collapsed(rows, model, FEATURES)
+
+    methods = {"fx_kernel": {"kernel_type": "polynomial", "kernel_exponent": 3, "active": True}, "fx_other": {"active": False}}
+    apply, settings = K.active_method(methods, {"fx_kernel": fx_kernel})
+    return apply(vectors(t), training(t), **settings).select("i", big(K.predicted_count(F.col("raw_score"))).alias("slips"))
