@@ -1,0 +1,232 @@
+"""Source and sink queries: S1-S15. Files go to the shared folder and are read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from geocadence.catalog.registry import (
+    SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, query, r6,
+    registry, slip_points, text,
+)
+from geocadence.functions.text import dated_folder, fill_template, time_from_path
+from geocadence.functions.times import hours, ntz_lit
+from geocadence.session import scratch
+from geocadence.sources import grids as GR
+from geocadence.sources import runs as RU
+from geocadence.sources import tables as TB
+
+
+@query("s1_csv_field_map", f"""
+WITH {SQL_SLIP_POINTS} SELECT CAST(id AS VARCHAR) AS id, strftime(time, '%d/%m/%Y') AS time, custkey / 4.0 AS longitude, 'Città ' || alert_area_code AS amm_level_2, alert_area_code FROM slip_points""")
+def s1(t: Tables):
+    path = scratch(t.spark, "s1")
+    dmy = F.concat(F.lpad(F.dayofmonth("time").cast("string"), 2, "0"), F.lit("/"), F.lpad(F.month("time").cast("string"), 2, "0"), F.lit("/"), F.year("time").cast("string"))
+    slip_points(t).select(
+        F.col("id").cast("string").alias("id_frana"), dmy.alias("data"), (F.col("custkey") / 4.0).alias("lon"), F.lit("x").alias("provincia"),
+        F.concat(F.lit("Città "), F.col("alert_area_code")).alias("comune"), F.col("alert_area_code").alias("ALLERTA"),
+    ).write.csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    schema = "id_frana string, data string, lon double, provincia string, comune string, ALLERTA string"
+    return TB.read_delimited(t.spark, path, schema, {
+        "id": "id_frana", "time": "data", "longitude": "lon", "latitude": "lat", "amm_level_1": None, "amm_level_2": "comune", "alert_area_code": "ALLERTA"})
+
+
+@query("s2_prefixed_rows", f"""
+WITH {SQL_AREA_DAYS} SELECT CAST(time AS VARCHAR) AS time, area AS domain, value AS rain_peak_3H, n AS "rain_accumulated_12H:max", 'obs' AS rain_mode FROM area_days""")
+def s2(t: Tables):
+    path = scratch(t.spark, "s2")
+    area_days(t).select(text("time").alias("time"), F.col("area").alias("domain"), F.col("value").alias("peak"), F.col("n").alias("acc"), F.lit("u").alias("junk")) \
+        .write.csv(path, sep=";", header=True)
+    out = TB.read_indicator_rows(
+        t.spark, path, "time string, domain string, peak double, acc bigint, junk string",
+        {"time": "time", "domain": "domain", "peak_3H": "peak", "{:}_accumulated_12H:max": "acc", "junk": None},
+        prefix="rain", allowed=("rain", "sm"), extra={"rain_mode": "obs", "rain_peak_3H": 0.0}, required=("time", "domain"))
+    return out
+
+
+@query("s3_keyed_lookup", f"""
+WITH {SQL_SLIP_POINTS}, {SQL_REGISTRY} SELECT id, name FROM slip_points JOIN registry ON alert_area = alert_area_code""")
+def s3(t: Tables):
+    path = scratch(t.spark, "s3")
+    registry(t).select("name", "alert_area").write.csv(path, header=True)
+    lookup = TB.read_lookup(t.spark, path, "name string, alert_area string", "alert_area")
+    p = slip_points(t)
+    return p.join(lookup, p["alert_area_code"] == lookup["alert_area"]).select("id", "name")
+
+
+@query("s4_csv_sink", f"""
+WITH {SQL_AREA_DAYS} SELECT area, CAST(time AS VARCHAR) AS time, format('{{:.2f}}', value) AS value, CAST(n AS VARCHAR) AS n FROM area_days""")
+def s4(t: Tables):
+    path = scratch(t.spark, "s4")
+    TB.write_csv(area_days(t), path, ["area"])
+    return t.spark.read.schema("time string, value string, n string, area string").csv(path, sep=";", header=True)
+
+
+@query("s4_csv_transposed", f"""
+WITH {SQL_AREA_DAYS} SELECT area, CAST(time AS VARCHAR) AS time, 'value' AS name, format('{{:.3f}}', value) AS value FROM area_days
+UNION ALL SELECT area, CAST(time AS VARCHAR), 'n', CAST(n AS VARCHAR) FROM area_days""")
+def s4_transposed(t: Tables):
+    return TB.transposed(area_days(t), ["area", "time"], decimals=3).withColumn("time", text("time"))
+
+
+def _cells(t: Tables):
+    return cell_hours(t).select("area", F.col("time"), F.lit(0).alias("row"), F.col("cell").alias("col"), "value")
+
+
+_MASK = [(0, 0, 1), (0, 1, 0), (0, 2, 1)]
+
+
+def _mask(t: Tables):
+    return t.spark.createDataFrame(_MASK, "row int, col int, mask int")
+
+
+@query("s5_grid_scan", f"""
+WITH {SQL_CELL_HOURS} SELECT area, CAST(time AS VARCHAR) AS time, cell AS col, value FROM cell_hours WHERE cell IN (0, 2) AND time BETWEEN TIMESTAMP '2024-01-04 05:00:00' AND TIMESTAMP '2024-01-09 17:00:00'""")
+def s5(t: Tables):
+    path = scratch(t.spark, "s5")
+    GR.write_cells(_cells(t), path)
+    out = GR.scan_cells(t.spark, path, ntz_lit("2024-01-04 05:00:00"), ntz_lit("2024-01-09 17:00:00"), _mask(t), ("area", "time", "row", "col", "value"))
+    return out.select("area", text("time").alias("time"), "col", "value")
+
+
+@query("s5b_missing_policy", f"""
+WITH {SQL_AREA_HOURS}, g AS (SELECT area, CAST(time AS DATE) AS day, COUNT(*) AS present FROM area_hours WHERE hour(time) < 3 GROUP BY 1, 2)
+SELECT area, CAST(day AS VARCHAR) AS day, CAST(3 AS BIGINT) AS expected, present, 3 - present AS missing FROM g WHERE present > 1""")
+def s5b(t: Tables):
+    h = area_hours(t).filter(F.hour("time") < 3).withColumn("day", F.col("time").cast("date"))
+    spine = h.select("area", "day").distinct().withColumn("_s", F.col("day").cast("timestamp_ntz")).select(
+        "area", "day", F.explode(F.sequence("_s", F.col("_s") + hours(2), hours(1))).alias("time"))
+    return GR.step_policy(spine, h, ["area", "day"], "skip").withColumn("day", text("day"))
+
+
+@query("s6_multi_path_scan", f"""
+WITH {SQL_CELL_HOURS} SELECT area, CAST(time AS VARCHAR) AS time, cell AS col, value FROM cell_hours WHERE area IN ('click', 'view') AND time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 23:00:00'""")
+def s6(t: Tables):
+    paths = []
+    for area in ("click", "view"):
+        paths.append(scratch(t.spark, f"s6-{area}"))
+        part = _cells(t).filter(F.col("area") == area)
+        GR.write_cells(part if area == "click" else part.withColumn("extra", F.lit(1)), paths[-1])
+    out = GR.scan_cells(t.spark, paths, ntz_lit("2024-01-10 00:00:00"), ntz_lit("2024-01-12 23:00:00"), None, ("area", "time", "row", "col", "value"))
+    return out.select("area", text("time").alias("time"), "col", "value")
+
+
+def _daily_grids(t: Tables):
+    """One 6 x 5 grid per event type and day: user_id % 30 names the cell, the value is the number of events."""
+    c = F.pmod("user_id", F.lit(30)).cast("int")
+    n = t.events.groupBy(F.col("event_type").alias("area"), F.col("ts").cast("date").alias("day"), c.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy("area", "day").agg(F.map_from_entries(F.collect_list(F.struct("c", "n"))).alias("m"))
+
+
+SQL_DAILY = """n AS (SELECT event_type AS area, CAST(ts AS DATE) AS day, CAST(user_id % 30 AS INTEGER) AS c, COUNT(*) AS n FROM events GROUP BY 1, 2, 3),
+k AS (SELECT area, day, c FROM (SELECT DISTINCT area, day FROM n), range(0, 30) g(c)),
+v AS (SELECT area, day, c, n FROM k LEFT JOIN n USING (area, day, c))"""
+
+
+@query("s7_ascii_grid", f"""
+WITH {SQL_DAILY} SELECT area, CAST(day AS VARCHAR) AS day, c // 5 AS row, c % 5 AS col, round(8 + 0.25 + (c % 5) * 0.5 + 1e-9, 6) AS lon, round(44 + 0.25 + (5 - c // 5) * 0.5 + 1e-9, 6) AS lat, CAST(n AS DOUBLE) AS value FROM v""")
+def s7(t: Tables):
+    path = scratch(t.spark, "s7")
+    row = lambda r: F.concat_ws(" ", *[F.coalesce(F.col("m")[r * 5 + c], F.lit(-9999)).cast("string") for c in range(5)])
+    header = "ncols        5\nnrows        6\nxllcorner    8.0\nyllcorner    44.0\ncellsize     0.5\nNODATA_value -9999\n"
+    grids = _daily_grids(t).select("area", "day", F.concat(F.lit(header), F.concat_ws("\n", *[row(r) for r in range(6)]), F.lit("\n")).alias("text"))
+    # one line per file: the grid text is stored as a single record and read back whole
+    grids.repartition("area", "day").write.partitionBy("area", "day").option("maxRecordsPerFile", 1).text(path)
+    out = GR.ascii_cells(GR.read_ascii_files(t.spark, f"{path}/*/*/*.txt"))
+    name = F.col("path")
+    return out.select(
+        F.regexp_extract(name, "area=([^/]+)", 1).alias("area"), F.regexp_extract(name, "day=([^/]+)", 1).alias("day"),
+        big("row").alias("row"), big("col").alias("col"), r6("lon").alias("lon"), r6("lat").alias("lat"), "value")
+
+
+@query("s8_binary_grid", f"""
+WITH {SQL_DAILY} SELECT area || '/' || day AS path, CAST(0 AS BIGINT) AS step, c % 6 AS row, c // 6 AS col, COALESCE(n, 0) / 10.0 AS value FROM v""")
+def s8(t: Tables):
+    # little-endian int32 in column order, written by hex digits
+    le = lambda x: F.concat(*[F.substring(F.lpad(F.hex(x), 8, "0"), 7 - 2 * b, 2) for b in range(4)])
+    packed = F.unhex(F.concat(*[le(F.coalesce(F.col("m")[c], F.lit(0))) for c in range(30)]))
+    files = _daily_grids(t).select(F.concat("area", F.lit("/"), text("day")).alias("path"), packed.alias("content"))
+    out = GR.binary_cells(files, 6, 5)
+    return out.select("path", *[big(c).alias(c) for c in ("step", "row", "col")], "value")
+
+
+@query("s9_station_points", """
+SELECT c_name AS name, round(c_custkey / 100.0 + 1e-9, 6) AS longitude, CAST(TIMESTAMP '2024-01-02 03:00:00' AS VARCHAR) AS time, c_acctbal AS data
+FROM customer WHERE c_custkey % 3 = 1 AND c_acctbal BETWEEN 0 AND 5000""")
+def s9(t: Tables):
+    comma = lambda c: F.regexp_replace(c.cast("string"), "[.]", ",")
+    k = F.col("c_custkey")
+    raw = t.customer.select(
+        k.cast("string").alias("code"), F.col("c_name").alias("name"), comma(k / 10).alias("longitude"), comma(k / 5).alias("latitude"),
+        F.concat(F.lit("20240102"), F.lpad((F.pmod(k, F.lit(3)) + 2).cast("string"), 2, "0"), F.lit("00")).alias("time"), comma(F.col("c_acctbal")).alias("data"))
+    out = TB.parse_stations(raw, at=ntz_lit("2024-01-02 03:00:00"), lo=0.0, hi=5000.0)
+    return out.select("name", r6("longitude").alias("longitude"), text("time").alias("time"), "data")
+
+
+@query("s10_polygon_text", """
+SELECT 'N' || n_nationkey AS alert_area_code, v AS vertex, CAST(CASE WHEN v IN (0, 3) THEN n_nationkey ELSE n_nationkey + 0.5 END AS DOUBLE) AS x, CAST(CASE WHEN v < 2 THEN n_regionkey ELSE n_regionkey + 0.75 END AS DOUBLE) AS y
+FROM nation, range(0, 4) g(v)""")
+def s10(t: Tables):
+    x0, y0 = F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double")
+    pt = lambda x, y: F.concat_ws(" ", x.cast("string"), y.cast("string"))
+    ring = F.concat_ws(", ", pt(x0, y0), pt(x0 + 0.5, y0), pt(x0 + 0.5, y0 + 0.75), pt(x0, y0 + 0.75), pt(x0, y0))
+    raw = t.nation.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("ALLERTA"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
+    return TB.parse_polygons(raw, "ALLERTA").select("alert_area_code", F.posexplode("ring").alias("vertex", "v")).select(
+        "alert_area_code", big("vertex").alias("vertex"), "v.x", "v.y")
+
+
+@query("s11_grid_sink", f"""
+WITH {SQL_CELL_HOURS} SELECT area, CAST(CAST(time AS DATE) AS VARCHAR) AS date, CAST(time AS VARCHAR) AS time, cell AS col, value, CASE cell WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 1 END AS region_mask FROM cell_hours""")
+def s11(t: Tables):
+    path = scratch(t.spark, "s11")
+    GR.write_cells(_cells(t), path, _mask(t))
+    return t.spark.read.parquet(path).select("area", text("date").alias("date"), text("time").alias("time"), "col", "value", "region_mask")
+
+
+@query("s12_dated_paths", f"""
+WITH {SQL_AREA_HOURS} SELECT DISTINCT '/dst/' || strftime(time, '%Y/%m/%d/') || 'indicators_rain_' || strftime(time, '%Y%m%d%H%M') || '_' || area || '.csv' AS path, CAST(CAST(time AS DATE) AS VARCHAR) AS day FROM area_hours""")
+def s12(t: Tables):
+    stamp = dated_folder(F.col("time"), "%Y%m%d%H%M")
+    path = fill_template("/dst/{run_sub_path_time}indicators_rain_{run_datetime}_{alert_area_name}.csv", {
+        "run_sub_path_time": dated_folder(F.col("time")), "run_datetime": stamp, "alert_area_name": F.col("area")})
+    out = area_hours(t).select(path.alias("path"))
+    return out.select("path", text(time_from_path(F.col("path"), "%Y/%m/%d/").cast("date")).alias("day"))
+
+
+@query("o7_dated_folders", f"""
+WITH {SQL_AREA_DAYS} SELECT area, CAST(CAST(time AS TIMESTAMP) AS VARCHAR) AS folder_time, value FROM area_days""")
+def o7(t: Tables):
+    path = scratch(t.spark, "o7")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    d = area_days(t).withColumns({"yyyy": F.year("time").cast("string"), "mm": two(F.month("time")), "dd": two(F.dayofmonth("time"))})
+    d.repartition("yyyy", "mm", "dd").write.partitionBy("yyyy", "mm", "dd").parquet(path)
+    back = t.spark.read.parquet(path)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "(yyyy|mm|dd)=", "")
+    return back.select("area", text(time_from_path(folder, "%Y/%m/%d/")).alias("folder_time"), "value")
+
+
+@query("s13_robust_json", """
+WITH d AS (SELECT event_id, event_id % 4 AS k, CAST(json_extract_string(props, '$.k') AS BIGINT) AS v FROM events)
+SELECT event_id, CASE WHEN k < 2 THEN v END AS value, k = 0 AS parsed_strict, CASE k WHEN 2 THEN 'no_json_braces_found' WHEN 3 THEN 'strict and sliced parse failed' END AS parse_error FROM d""")
+def s13(t: Tables):
+    k = F.pmod("event_id", F.lit(4))
+    doc = F.when(k == 0, F.col("props")).when(k == 1, F.concat(F.lit("log: "), F.col("props"), F.lit(" end"))) \
+        .when(k == 2, F.lit("nothing here")).otherwise(F.concat(F.lit("{bad "), F.col("props"), F.lit("}")))
+    out = RU.parse_documents(t.events.select("event_id", doc.alias("text")))
+    return out.select("event_id", F.try_variant_get("doc", "$.k", "bigint").alias("value"), "parsed_strict", "parse_error")
+
+
+@query("s14_file_inventory", "SELECT DISTINCT event_type AS \"group\", true AS has_files, true AS has_bytes FROM events")
+def s14(t: Tables):
+    path = scratch(t.spark, "s14")
+    t.events.select("event_type", "event_id").write.partitionBy("event_type").parquet(path)
+    files = RU.list_files(t.spark, path, "*.parquet")
+    return files.groupBy(F.regexp_extract("path", "event_type=([^/]+)", 1).alias("group")).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("length") > 0).alias("has_bytes"))
+
+
+@query("s15_training_matrix", """
+SELECT vec_id AS i, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[4] AS DOUBLE) AS x3, label / 10.0 AS c FROM embeddings""")
+def s15(t: Tables):
+    path = scratch(t.spark, "s15")
+    t.embeddings.select("vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(f"x{k}") for k in range(4)], (F.col("label") / 10.0).alias("c")).write.csv(path, header=False)
+    return TB.read_training(t.spark, path, 4).select(big("i").alias("i"), F.col("x")[0].alias("x0"), F.col("x")[3].alias("x3"), "c")

@@ -24,11 +24,6 @@ def latest_run(targets: DataFrame, runs: DataFrame, day: str = "day", at: str =
 
 
 # --- J17 -----------------------------------------------------------------------------------------
-def _hour_array(times: DataFrame, time: str, keys: list[str], alias: str) -> DataFrame:
-    h = times.select(*keys, F.floor(hour_index(F.col(time)) / 24).alias("_day"), hour_index(F.col(time)).alias("_h")).distinct()
-    return h.groupBy(*keys, "_day").agg(F.array_sort(F.collect_list("_h")).alias(alias))
-
-
 def data_hour_backward(targets: DataFrame, data: DataFrame, tolerance_hours: int, at: str = "run_time",
                        time: str = "time") -> DataFrame:
     """Newest hour with data in [target - tolerance, target], target floored to the hour.
@@ -45,7 +40,7 @@ def data_hour_backward(targets: DataFrame, data: DataFrame, tolerance_hours: int
 
 
 def nearest_run(targets: DataFrame, runs: DataFrame, tolerance_minutes: int, at: str = "run_time",
-                run: str = "run") -> DataFrame:
+                run: str = "run_time") -> DataFrame:
     """Run of the same day nearest to the target within the tolerance; exact first, a tie goes to the later.
 
     ``runs`` are reduced to distinct minutes per day (at most 1440) and searched inside the row.
@@ -56,14 +51,15 @@ def nearest_run(targets: DataFrame, runs: DataFrame, tolerance_minutes: int, at:
         .groupBy("_day").agg(F.collect_list("_m").alias("_ms"))
     )
     t = targets.withColumns({"_day": F.col(at).cast("date"), "_tm": minute(F.col(at))}).join(table, "_day", "left")
-    near = F.array_min(F.transform(
+    # distance and minute in one integer: the least value is the nearest run, on a tie the later one
+    code = F.array_min(F.transform(
         F.filter("_ms", lambda m: F.abs(m - F.col("_tm")) <= tolerance_minutes),
-        lambda m: F.struct(F.abs(m - F.col("_tm")).alias("d"), (-m).alias("neg"))))
-    return t.withColumn("run_minute", -near["neg"]).drop("_day", "_ms", "_tm")
+        lambda m: F.abs(m - F.col("_tm")) * 4096 + (2000 - m)))
+    return t.withColumn("run_minute", F.lit(2000) - F.pmod(code, F.lit(4096))).drop("_day", "_ms", "_tm")
 
 
 def select_data_time(targets: DataFrame, data: DataFrame, runs: DataFrame, tolerance_hours: int = 10,
-                     at: str = "run_time", time: str = "time", run: str = "run") -> DataFrame:
+                     at: str = "run_time", time: str = "time", run: str = "run_time") -> DataFrame:
     """J17. Data hour for a run: the same hour, else the newest within the tolerance, else the nearest
     run of the day provided its own hour has data."""
     back = data_hour_backward(targets, data, tolerance_hours, at, time)

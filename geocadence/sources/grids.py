@@ -18,7 +18,9 @@ def scan_cells(spark: SparkSession, paths, start: Column, end: Column, mask: Dat
     The date bounds prune folders, the time bounds reach the scan, and the region mask is a semi join.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.option("mergeSchema", "true").parquet(*paths) if len(paths) > 1 else spark.read.parquet(paths[0])
+    df = spark.read.parquet(paths[0])
+    for path in paths[1:]:  # each table has its own partition root
+        df = df.unionByName(spark.read.parquet(path), allowMissingColumns=True)
     df = df.filter(F.col("date").between(start.cast("date"), end.cast("date"))).filter(F.col("time").between(start, end))
     df = df.select(*columns)
     if mask is not None:
