@@ -20,6 +20,7 @@ from geocadence.plans import indicators as PI
 from geocadence.plans import predictors as PP
 from geocadence.plans.scenarios import build_scenarios
 from geocadence.plans.soil_moisture import regional_soil_moisture
+from geocadence.session import stored
 
 # Rain grid of the demonstration: two rows of two cells per area; fine mask grid of half the cell size.
 RAIN = Grid(nrows=10, ncols=2, xll=8.0, yll=44.0, cellsize=0.05)
@@ -169,7 +170,8 @@ SELECT gp.area, CAST(gp.time AS VARCHAR) AS time, COALESCE(value, -9999) AS valu
 FROM gp LEFT JOIN mg USING (area, time)""")
 def scenario_table(t: Tables):
     slips = area_days(t).filter("n % 2 = 0 AND area <> 'view'").select("area", "time", "n")
-    out = build_scenarios(_indicator_runs(t, 2, 0), _indicator_runs(t, 3, 1), slips, F.lit("2024-01-20 13:00:00").cast("timestamp_ntz"), F.lit("2023-12-25"))
+    rain, sm = (stored(_indicator_runs(t, m, k), name) for m, k, name in ((2, 0, "rain-rows"), (3, 1, "sm-rows")))
+    out = build_scenarios(rain, sm, slips, F.lit("2024-01-20 13:00:00").cast("timestamp_ntz"), F.lit("2023-12-25"))
     return out.drop("domain").withColumns({"rain_time_run": text("rain_time_run"), "sm_time_run": text("sm_time_run")})
 
 

@@ -83,19 +83,16 @@ def ring_edges(ring: Column) -> Column:
         p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")))
 
 
-def _crosses(e: Column, y: Column) -> Column:
+def crosses(e: Column, y: Column) -> Column:
+    """Whether the horizontal line at y passes between the ends of an edge."""
     return (e["y1"] > y) != (e["y2"] > y)
 
 
-def _cross_x(e: Column, y: Column) -> Column:
+def cross_x(e: Column, y: Column) -> Column:
+    """Where it does so."""
     return e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
 
 
-def crossings(edges: Column, y: Column) -> Column:
-    """Sorted longitudes where the horizontal line at y meets the edges."""
-    return F.array_sort(F.transform(F.filter(edges, lambda e: _crosses(e, y)), lambda e: _cross_x(e, y)))
-
-
 def on_edge(edges: Column, x: Column, y: Column) -> Column:
     """True when the point lies exactly on an edge (such points are not ``within``)."""
     def touches(e):
@@ -112,6 +109,6 @@ def inside(edges: Column, x: Column, y: Column) -> Column:
     """Ray casting, boundary excluded."""
     odd = F.aggregate(
         edges, F.lit(False),
-        lambda acc, e: acc != (_crosses(e, y) & F.when(_crosses(e, y), x < _cross_x(e, y)).otherwise(False)),
+        lambda acc, e: acc != (crosses(e, y) & F.when(crosses(e, y), x < cross_x(e, y)).otherwise(False)),
     )
     return odd & ~on_edge(edges, x, y)

@@ -13,15 +13,24 @@ from geocadence.model import ALERT_DEFAULTS, UNKNOWN_RGBA
 
 # --- J1 ------------------------------------------------------------------------------------------
 def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
-    """Each polygon once per bin its bounding box meets, with its edges prepared."""
-    p = polygons.withColumn("_edges", ring_edges(F.col("ring"))).withColumns({
+    """Each polygon once per bin its bounding box meets, with the edges that matter there.
+
+    A ray towards larger x from a point of the bin can only meet edges that reach the bin's latitudes and
+    do not end west of it; the others are left out, so detailed outlines are not copied whole.
+    """
+    p = polygons.withColumn("_all", ring_edges(F.col("ring"))).withColumns({
         "_x0": F.array_min(F.transform("ring", lambda v: v["x"])), "_x1": F.array_max(F.transform("ring", lambda v: v["x"])),
         "_y0": F.array_min(F.transform("ring", lambda v: v["y"])), "_y1": F.array_max(F.transform("ring", lambda v: v["y"])),
-    })
+    }).drop("ring")
     b = lambda c: F.floor(F.col(c) / bin_deg)
+    slack = bin_deg * 1e-6
+    south, north, west = F.col("_by") * bin_deg - slack, (F.col("_by") + 1) * bin_deg + slack, F.col("_bx") * bin_deg - slack
+    near = F.filter("_all", lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
+                    & (F.greatest(e["x1"], e["x2"]) >= west))
     return (
         p.withColumn("_bx", F.explode(F.sequence(b("_x0"), b("_x1"))))
         .withColumn("_by", F.explode(F.sequence(b("_y0"), b("_y1"))))
+        .withColumn("_edges", near).drop("_all")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geocadence.functions.geo import (
-    Grid, crossings, haversine_m, mercator_lat, mercator_lon, mercator_x, mercator_y, ring_edges,
+    Grid, cross_x, crosses, haversine_m, mercator_lat, mercator_lon, mercator_x, mercator_y, ring_edges,
 )
 from geocadence.model import EARTH_RADIUS_M
 
@@ -276,25 +276,33 @@ def nearest_cell(points: DataFrame, grid: Grid, lon: str = "lon", lat: str = "la
 
 
 # --- J15 -----------------------------------------------------------------------------------------
-def rasterize(polygons: DataFrame, res: float, code: str = "alert_area_code", fan_out: int | None = None) -> DataFrame:
+def rasterize(polygons: DataFrame, res: float, code: str = "alert_area_code") -> DataFrame:
     """Cells of resolution ``res`` whose centre lies inside each polygon, on the polygon's own bounding box.
 
-    Scan lines: the sorted crossings of a row's latitude bound the inner stretches, and only their
-    columns are generated. Rows are spread over the cluster before that step.
+    Scan lines: every edge yields its crossings with the row latitudes, the sorted crossings of a row bound
+    the inner stretches, and only their columns are generated. Edges and rows spread over the cluster; the
+    outline is never copied per row.
     """
     xs, ys = F.transform("ring", lambda v: v["x"]), F.transform("ring", lambda v: v["y"])
-    p = polygons.withColumns({
-        "_edges": ring_edges(F.col("ring")),
-        "_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)})
-    n_rows = F.ceil((F.col("_y1") - F.col("_y0")) / res).cast("int")
-    rows = p.withColumn("_n", n_rows).withColumn("row", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    rows = rows.repartition(fan_out, code, "row") if fan_out else rows.repartition(code, "row")
+    p = polygons.select(
+        code, F.array_min(xs).alias("_x0"), F.array_max(xs).alias("_x1"), F.array_min(ys).alias("_y0"), F.array_max(ys).alias("_y1"),
+        F.explode(ring_edges(F.col("ring"))).alias("_e"))
+    frame = [code, "_x0", "_x1", "_y0", "_n"]
+    p = p.withColumn("_n", F.ceil((F.col("_y1") - F.col("_y0")) / res).cast("int"))
+    row_of = lambda y: F.col("_n") - 1 - (y - F.col("_y0") - res / 2) / res
+    hi, lo = F.greatest("_e.y1", "_e.y2"), F.least("_e.y1", "_e.y2")
+    first, last = F.greatest(F.floor(row_of(hi)).cast("int"), F.lit(0)), F.least(F.ceil(row_of(lo)).cast("int"), F.col("_n") - 1)
     lat = F.col("_y0") + res / 2 + (F.col("_n") - 1 - F.col("row")) * res
-    rows = rows.withColumn("lat", lat).withColumn("_cut", crossings(F.col("_edges"), F.col("lat")))
+    cuts = (
+        p.withColumn("row", F.explode(F.when(first <= last, F.sequence(first, last))))
+        .withColumn("lat", lat)
+        .filter(crosses(F.col("_e"), F.col("lat")))
+        .groupBy(*frame, "row", "lat").agg(F.array_sort(F.collect_list(cross_x(F.col("_e"), F.col("lat")))).alias("_cut"))
+    )
     pairs = F.transform(
         F.sequence(F.lit(0), (F.size("_cut") / 2).cast("int") - 1),
         lambda i: F.struct(F.get("_cut", i * 2).alias("a"), F.get("_cut", i * 2 + 1).alias("b")))
-    spans = rows.filter(F.size("_cut") > 1).withColumn("_s", F.explode(pairs))
+    spans = cuts.withColumn("_s", F.explode(pairs))
     pos = lambda c: (F.col(c) - F.col("_x0") - res / 2) / res
     cols = F.sequence(F.greatest(F.floor(pos("_s.a")).cast("int"), F.lit(0)), F.ceil(pos("_s.b")).cast("int") + 1)
     return (

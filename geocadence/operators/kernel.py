@@ -188,13 +188,14 @@ def gram_sums(df: DataFrame, x: str, y: str | None, exps: list[tuple[int, ...]],
     Every task adds up its own rows with numpy and emits one small matrix per fold; Spark adds those.
     """
     m, powers = len(exps), np.array(exps, dtype=float)
+    names = [f"x{k}" for k in range(powers.shape[1])]
 
     def partial(batches):
         sums: dict[int, np.ndarray] = {}
         for pdf in batches:
             if not len(pdf):
                 continue
-            phi = _design(np.stack(pdf["x"].to_numpy()).astype(float), powers)
+            phi = _design(pdf[names].to_numpy(dtype=float), powers)
             wide = np.column_stack([phi, pdf["y"].to_numpy(dtype=float)])
             folds = pdf["fold"].to_numpy()
             for f in np.unique(folds):
@@ -209,7 +210,7 @@ def gram_sums(df: DataFrame, x: str, y: str | None, exps: list[tuple[int, ...]],
             yield pd.DataFrame({"fold": f, "i": ii.ravel(), "j": jj.ravel(), "v": g.ravel()})
 
     base = df.select(
-        F.col(x).alias("x"), (F.col(y).cast("double") if y else F.lit(0.0)).alias("y"),
+        *[F.get(x, F.lit(k)).cast("double").alias(n) for k, n in enumerate(names)], (F.col(y).cast("double") if y else F.lit(0.0)).alias("y"),
         (F.col(fold).cast("int") if fold else F.lit(0)).alias("fold"))
     return base.mapInPandas(partial, "fold int, i int, j int, v double").groupBy("fold", "i", "j").agg(F.sum("v").alias("v"))
 
@@ -289,6 +290,7 @@ def cross_validate(df: DataFrame, features: int, folds: int, lams: list[float],
     weights = np.array([w for *_, w in plan]).T
     own = np.array([f for _, _, f, _ in plan])
     power_table = np.array(exps, dtype=float)
+    names = [f"x{k}" for k in range(features)]
 
     def errors(batches):
         import pandas as pd
@@ -296,7 +298,7 @@ def cross_validate(df: DataFrame, features: int, folds: int, lams: list[float],
         for pdf in batches:
             if not len(pdf):
                 continue
-            phi = _design(np.stack(pdf["x"].to_numpy()).astype(float), power_table)
+            phi = _design(pdf[names].to_numpy(dtype=float), power_table)
             sq = (np.rint(phi @ weights) - pdf["y"].to_numpy(dtype=float)[:, None]) ** 2
             valid = pdf["fold"].to_numpy()[:, None] == own[None, :]
             acc += np.column_stack([
@@ -305,7 +307,8 @@ def cross_validate(df: DataFrame, features: int, folds: int, lams: list[float],
             [(lam, p, f, *acc[k]) for k, (lam, p, f, _) in enumerate(plan)],
             columns=["lam", "power", "fold", "ts", "tn", "vs", "vn"])
 
-    base = df.select(F.col(x).alias("x"), F.col(y).cast("double").alias("y"), F.col(fold).alias("fold"))
+    base = df.select(*[F.get(x, F.lit(k)).cast("double").alias(n) for k, n in enumerate(names)],
+                     F.col(y).cast("double").alias("y"), F.col(fold).alias("fold"))
     parts = base.mapInPandas(errors, "lam double, power int, fold int, ts double, tn double, vs double, vn double")
     return parts.groupBy("lam", "power", "fold").agg(
         F.try_divide(F.sum("ts"), F.sum("tn")).alias("train_err"),

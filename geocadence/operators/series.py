@@ -29,6 +29,7 @@ def rolling_exact(df: DataFrame, keys: list[str], widths, value: str = "value",
     A width is missing where any of its N hours is absent or NULL. Rows are one per key and hour. The
     history of a key is cut into chunks of ``chunk`` hours with a halo of N-1 hours, so a window sort
     never holds more than ``chunk + N`` rows however long or hot the key is; all widths share the sort.
+    The rows are spread by key and chunk, so an earlier partitioning by the key alone is not kept.
     """
     if how not in ("sum", "mean"):
         raise ValueError('how must be "sum" or "mean"')
@@ -38,7 +39,7 @@ def rolling_exact(df: DataFrame, keys: list[str], widths, value: str = "value",
     if widths[-1] > chunk:
         chunk = widths[-1]
     up = direction == "right"
-    rows = _halo(df.withColumn("_h", hour_index(F.col(time))), widths[-1], chunk, up)
+    rows = _halo(df.withColumn("_h", hour_index(F.col(time))), widths[-1], chunk, up).repartition(*keys, "_chunk")
     order = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_h") if up else -F.col("_h"))
     out = {}
     for n in widths:
@@ -51,14 +52,19 @@ def rolling_exact(df: DataFrame, keys: list[str], widths, value: str = "value",
 
 
 def rolling_within(df: DataFrame, keys: list[str], widths, value: str, time: str = "time",
-                   prefix: str = "roll") -> DataFrame:
-    """Rolling sums inside a bounded group (one analysis period), one sort for all widths."""
+                   prefix: str = "roll", spread: list[str] | None = None) -> DataFrame:
+    """Rolling sums inside a bounded group (one analysis period), one sort for all widths.
+
+    ``spread`` names the part of the keys that rows are distributed by (default: all). Fewer columns keep
+    neighbouring groups in one task, so that a following aggregate combines them before its shuffle.
+    """
     order = Window.partitionBy(*keys).orderBy("_h")
     out = {}
     for n in widths:
         w = order.rangeBetween(-(n - 1), 0)
         out[f"{prefix}_{n}"] = F.when(F.count(value).over(w) == n, F.sum(value).over(w))
-    return df.withColumn("_h", hour_index(F.col(time))).withColumns(out).drop("_h")
+    rows = df.withColumn("_h", hour_index(F.col(time))).repartition(*(spread or keys))
+    return rows.withColumns(out).drop("_h")
 
 
 # --- A2 ------------------------------------------------------------------------------------------

@@ -153,10 +153,14 @@ def period_hours(periods: DataFrame, keep: list[str]) -> DataFrame:
 
 # --- T3 ------------------------------------------------------------------------------------------
 def day_spine(df: DataFrame, keys: list[str], time: str = "time", start: Column | None = None,
-              end: Column | None = None) -> DataFrame:
-    """All days per key from start to end; a missing bound is the data's own first or last day."""
+              end: Column | None = None, bounds: DataFrame | None = None) -> DataFrame:
+    """All days per key from start to end; a missing bound is the data's own first or last day.
+
+    ``bounds`` (keys, _lo, _hi) gives these days where they are already known.
+    """
     day = F.col(time).cast("date")
-    bounds = df.groupBy(*keys).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
+    if bounds is None:
+        bounds = df.groupBy(*keys).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
     lo = F.coalesce(start.cast("date"), F.col("_lo")) if start is not None else F.col("_lo")
     hi = F.coalesce(end.cast("date"), F.col("_hi")) if end is not None else F.col("_hi")
     return (
@@ -167,7 +171,7 @@ def day_spine(df: DataFrame, keys: list[str], time: str = "time", start: Column
 
 def fill_missing_days(df: DataFrame, keys: list[str], time: str = "time", start: Column | None = None,
                       end: Column | None = None, no_number: float = NO_DATA_NUMBER,
-                      no_text: str = NO_DATA_ROW_TEXT) -> DataFrame:
+                      no_text: str = NO_DATA_ROW_TEXT, bounds: DataFrame | None = None) -> DataFrame:
     """Adds the missing days as marker rows. With neither bound the input is returned unchanged.
 
     Columns named ``…time_run``, ``…time_start``, ``…time_end`` of a gap row get the day, the day at
@@ -175,7 +179,7 @@ def fill_missing_days(df: DataFrame, keys: list[str], time: str = "time", start:
     """
     if start is None and end is None:
         return df
-    spine = day_spine(df, keys, time, start, end)
+    spine = day_spine(df, keys, time, start, end, bounds)
     data = df.withColumn(time, F.col(time).cast("date")).withColumn("_present", F.lit(True))
     joined = spine.join(data, [*keys, time], "full_outer")  # days of the data outside the bounds stay
     gap = F.col("_present").isNull()

@@ -19,6 +19,7 @@ from geocadence.operators.series import (
 )
 from geocadence.operators.timespine import period_hours
 
+TILE = 16  # cells per side of a tile
 PERIOD_FIELDS = ["period_type", "period_tag", "period_id", "time_start", "time_end", "time_key", "time_pivot"]
 
 
@@ -56,11 +57,17 @@ def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, ci
     keys = [*run_keys, "period_tag"]
     base = assign_periods(cells, periods, keys)
 
-    # cells -> rolling sums -> circle maxima -> peaks; only cells that feed a circle are kept
-    fed = base.join(circles.select("row", "col").distinct(), ["row", "col"], "left_semi")
-    sums = rolling_within(fed, [*keys, "row", "col"], widths, "value", prefix="s")
+    # cells -> rolling sums -> circle maxima -> peaks. Each cell carries its (few) circles through the
+    # window, so there is one join; cells without a circle drop there. Rows are spread by period and tile,
+    # which lets the maxima of a circle be combined before the shuffle.
+    lists = circles.groupBy("row", "col").agg(F.collect_set(F.struct("area", "point_id")).alias("_in"))
+    fed = base.join(lists, ["row", "col"], "inner").withColumns({
+        "_tr": F.floor(F.col("row") / TILE), "_tc": F.floor(F.col("col") / TILE)})
+    tile = [*keys, "_tr", "_tc"]
+    sums = rolling_within(fed, [*tile, "row", "col"], widths, "value", prefix="s", spread=tile)
     names = [f"s_{w}" for w in widths]
-    points = circle_maxima(sums.join(circles, ["row", "col"], "inner"), ["area", *keys, "time"], names)
+    members = sums.select(*keys, "time", *names, F.inline("_in"))
+    points = circle_maxima(members, ["area", *keys, "time"], names)
     peaks = peak_metrics(points, ["area", *keys], names, [f"rain_peak_{w}H" for w in widths], strict=strict)
 
     # cells -> weighted area mean -> rolling sum and mean -> metrics

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geocadence.operators.scenario import (
-    best_run_per_day, fill_typed, keep_common_times, merge_on_spine, newest_run_wins,
+    best_run_per_day, collision_names, fill_typed, merge_on_spine, newest_run_wins,
 )
 from geocadence.operators.timespine import fill_missing_days
+from geocadence.session import stored
 
 
 def select_run_rows(rows: DataFrame, chosen: DataFrame, area: str = "area", run: str = "run_time") -> DataFrame:
@@ -23,11 +24,17 @@ def build_scenarios(rain: DataFrame, sm: DataFrame, slips: DataFrame, reference:
     """
     chosen = best_run_per_day(rain, sm, slips, reference, area, run)
     keys = [area, "time"]
-    rain = newest_run_wins(select_run_rows(rain, chosen, area, run), keys, run, tag="rain_latest_from").withColumnRenamed(run, "rain_time_run")
-    sm = newest_run_wins(select_run_rows(sm, chosen, area, run), keys, run, tag="sm_latest_from").withColumnRenamed(run, "sm_time_run")
-    rain, sm = keep_common_times(rain, sm, keys)
-    bounds = rain.groupBy(area).agg(F.min("time").alias("_lo"), F.max("time").alias("_hi"))
+    rain = newest_run_wins(select_run_rows(rain, chosen, area, run), keys, run, tag="rain_latest_from", tag_keys=(area,))
+    sm = newest_run_wins(select_run_rows(sm, chosen, area, run), keys, run, tag="sm_latest_from", tag_keys=(area,))
+    rain, sm = rain.withColumnRenamed(run, "rain_time_run"), sm.withColumnRenamed(run, "sm_time_run")
+    # one row per area and day with both sources (times present in only one of them drop here); a small
+    # table that the spine, the merge and the gap filling all start from
+    names = collision_names([("rain", rain.columns), ("sm", sm.columns)], keys)
+    both = stored(rain.join(sm.withColumnsRenamed(names["sm"]), keys, "inner"), "scenario-days")
+    bounds = both.groupBy(area).agg(F.min("time").alias("_lo"), F.max("time").alias("_hi"))
     spine = bounds.select(area, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias("time"))
-    merged = merge_on_spine(spine, [("rain", rain), ("sm", sm), ("slips", slips)], keys, area=area)
+    merged = merge_on_spine(spine, [("indicators", both), ("slips", slips)], keys, area=area)
     filled = fill_typed(merged, skip=(area, "domain", "time"))
-    return fill_missing_days(filled, [area], start=look_back_start) if look_back_start is not None else filled
+    if look_back_start is None:
+        return filled
+    return fill_missing_days(filled, [area], start=look_back_start, bounds=bounds)

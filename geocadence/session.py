@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", name: str = "geocadence", shuffle_partitions: int = 8) -> SparkSession:
@@ -20,6 +20,7 @@ def build_session(master: str = "local[*]", name: str = "geocadence", shuffle_pa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("GEOCADENCE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
 
@@ -42,3 +43,14 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder name below the shared folder; nothing is created here."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes a stage result to the shared folder and reads it back.
+
+    For small tables that several later steps use: the plan is cut there, and a lost executor costs a
+    re-read instead of a recomputation.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
