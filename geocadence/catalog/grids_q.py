@@ -89,7 +89,8 @@ SELECT half, vec_id, round(SUM(w * value) + 1e-9, 6) AS value FROM k JOIN vals U
 def j10_linear(t: Tables):
     m = G.resample_map(_points(t), SOURCE, "linear")
     values = _values(t)
-    full = values.select("half").distinct().join(G.grid_cells(t.spark, SOURCE).select("row", "col"), how="cross")
+    full = values.select("half").distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(7)))) \
+        .withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(7))))
     dense = full.join(values, ["half", "row", "col"], "left")
     return G.apply_weighted(dense, m, ["half"], ["vec_id"]).filter("value IS NOT NULL").withColumn("value", r6("value"))
 

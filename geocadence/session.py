@@ -21,6 +21,7 @@ def build_session(master: str = "local[*]", name: str = "geocadence", shuffle_pa
         .config("spark.driver.memory", os.environ.get("GEOCADENCE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
