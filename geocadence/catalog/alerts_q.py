@@ -154,12 +154,14 @@ def j3(t: Tables):
 
 
 @query("p16_range_text", f"""
-WITH {SQL_REGISTRY} SELECT name, level, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, 'basin_' || k || '|basin_' || (k + 5) || '|basin_' || (k + 10) AS basins
-FROM levels JOIN registry USING (name)""")
+WITH {SQL_SLIP_POINTS}, {SQL_REGISTRY}, u AS (SELECT alert_area_code AS alert_area, COUNT(*) AS slips FROM slip_points GROUP BY 1)
+SELECT name, level, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi, 'basin_' || k || '|basin_' || (k + 5) || '|basin_' || (k + 10) AS basins, slips
+FROM levels JOIN registry USING (name) JOIN u USING (alert_area)""")
 def p16(t: Tables):
     r = registry(t)
-    basins = r.select("name", F.concat_ws("|", split_list(F.col("catchment"))).alias("basins"))
-    return A.level_table(r).join(basins, "name").select("name", "level", big("lo").alias("lo"), big("hi").alias("hi"), "basins")
+    used = slip_points(t).groupBy(F.col("alert_area_code").alias("alert_area")).agg(F.count(F.lit(1)).alias("slips"))
+    basins = r.join(used, "alert_area").select("name", F.concat_ws("|", split_list(F.col("catchment"))).alias("basins"), "slips")
+    return A.level_table(r).join(basins, "name").select("name", "level", big("lo").alias("lo"), big("hi").alias("hi"), "basins", "slips")
 
 
 @query("p16_range_text_catalogue", """

@@ -214,14 +214,14 @@ def j15(t: Tables):
 
 
 @query("s16_reference_grids", """
-WITH d AS (SELECT CAST(n_nationkey AS VARCHAR) AS grid, n_nationkey % 4 + 2 AS nr, n_nationkey % 3 + 2 AS nc, 7.0::DOUBLE + n_nationkey AS x, 40.0::DOUBLE + n_regionkey AS y, 0.5::DOUBLE AS cs FROM nation),
+WITH d AS (SELECT CAST(c_custkey AS VARCHAR) AS grid, c_custkey % 4 + 2 AS nr, c_custkey % 3 + 2 AS nc, 7.0::DOUBLE + c_custkey AS x, 40.0::DOUBLE + c_nationkey AS y, 0.5::DOUBLE AS cs FROM customer),
 r AS (SELECT *, unnest(range(0, nr)) AS r FROM d), c AS (SELECT *, unnest(range(0, nc)) AS c FROM r)
 SELECT grid, r AS row, c AS col, x + cs / 2 + c * cs AS lon, y + cs / 2 + (nr - 1 - r) * cs AS lat, CAST(1 AS BIGINT) AS value FROM c""")
 def s16(t: Tables):
-    k = F.col("n_nationkey")
-    defs = t.nation.select(
+    k = F.col("c_custkey")
+    defs = t.customer.select(
         k.cast("string").alias("grid"), (F.pmod(k, F.lit(4)) + 2).alias("nrows"), (F.pmod(k, F.lit(3)) + 2).alias("ncols"),
-        (k + F.lit(7.0)).alias("xllcorner"), (F.col("n_regionkey") + F.lit(40.0)).alias("yllcorner"), F.lit(0.5).alias("cellsize"))
+        (k + F.lit(7.0)).alias("xllcorner"), (F.col("c_nationkey") + F.lit(40.0)).alias("yllcorner"), F.lit(0.5).alias("cellsize"))
     return G.cells_of_definitions(defs).select("grid", big("row").alias("row"), big("col").alias("col"), "lon", "lat", big("value").alias("value"))
 
 

@@ -38,8 +38,8 @@ def j16(t: Tables):
     return I.latest_run(targets, _runs(t)).withColumn("day", text("day"))
 
 
-_ASOF = f"""{SQL_RUNS}, q AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase'),
-d AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events WHERE event_type = 'error' AND event_id % 3 = 0),
+_ASOF = f"""{SQL_RUNS}, q AS (SELECT event_id, ts FROM events),
+d AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events WHERE event_type = 'error' AND value > 30),
 b AS (SELECT event_id, ts, MAX(h) AS h FROM q LEFT JOIN d ON h <= date_trunc('hour', ts) AND h >= date_trunc('hour', ts) - INTERVAL 2 HOUR GROUP BY ALL),
 c AS (SELECT b.event_id, b.ts, b.h, run_time, abs(date_diff('minute', run_time, date_trunc('minute', ts))) AS delta FROM b LEFT JOIN runs ON day = CAST(ts AS DATE)
   AND abs(date_diff('minute', run_time, date_trunc('minute', ts))) <= 120),
@@ -53,18 +53,18 @@ SELECT event_id, CAST(COALESCE(n.h, d.h) AS VARCHAR) AS picked, CASE WHEN n.h =
 FROM n LEFT JOIN d ON d.h = date_trunc('hour', run_time)""")
 def j17(t: Tables):
     from geocadence.functions.times import from_hour_index
-    targets = t.events.filter("event_type = 'purchase'").select("event_id", F.col("ts").alias("run_time"))
-    data = t.events.filter("event_type = 'error' AND event_id % 3 = 0").select(F.col("ts").alias("time"))
+    targets = t.events.select("event_id", F.col("ts").alias("run_time"))
+    data = t.events.filter("event_type = 'error' AND value > 30").select(F.col("ts").alias("time"))
     out = I.select_data_time(targets, data, _runs(t), tolerance_hours=2)
     return out.select("event_id", text(from_hour_index(F.col("picked_hour"))).alias("picked"), "pick")
 
 
 @query("j17_nearest_run", f"""
-WITH {SQL_RUNS}, q AS (SELECT event_id, date_trunc('minute', ts) AS m FROM events WHERE event_type = 'click')
+WITH {SQL_RUNS}, q AS (SELECT event_id, date_trunc('minute', ts) AS m FROM events)
 SELECT event_id, (SELECT CAST(hour(run_time) * 60 + minute(run_time) AS BIGINT) FROM runs WHERE day = CAST(m AS DATE) AND abs(date_diff('minute', run_time, m)) <= 90
   ORDER BY abs(date_diff('minute', run_time, m)), run_time DESC LIMIT 1) AS run_minute FROM q""")
 def j17_nearest(t: Tables):
-    targets = t.events.filter("event_type = 'click'").select("event_id", F.col("ts").alias("run_time"))
+    targets = t.events.select("event_id", F.col("ts").alias("run_time"))
     return I.nearest_run(targets, _runs(t), 90).select("event_id", big("run_minute").alias("run_minute"))
 
 

@@ -139,22 +139,25 @@ def u2(t: Tables):
 
 
 # --- scenarios -------------------------------------------------------------------------------------
-def _indicator_runs(t: Tables, modulus: int, skip: int):
+_RAIN_OK, _SM_OK = "value > 20", "value < 15"
+
+
+def _indicator_runs(t: Tables, usable: str):
     """Indicator rows of every run: an hour with suitable events is a run that covers its day and the day before."""
-    e = t.events.filter(F.pmod("event_id", F.lit(modulus)) != skip).groupBy(
+    e = t.events.filter(usable).groupBy(
         F.col("event_type").alias("area"), hour_floor(F.col("ts")).alias("run_time")).agg((F.sum(F.round(F.col("value") * 100).cast("bigint")) / 100.0).alias("v"))
     day = F.col("run_time").cast("date")
     rows = F.explode(F.array(F.struct(day.alias("time"), F.col("v").alias("value")), F.struct(F.date_sub(day, 1).alias("time"), (F.col("v") * 2).alias("value"))))
     return e.select("area", "run_time", rows.alias("r")).select("area", "run_time", "r.time", "r.value")
 
 
-def _ind_sql(name: str, modulus: int, skip: int) -> str:
-    return f"""{name}_r AS (SELECT event_type AS area, date_trunc('hour', ts) AS run, SUM(CAST(round(value * 100) AS BIGINT)) / 100.0 AS v FROM events WHERE event_id % {modulus} <> {skip} GROUP BY 1, 2),
+def _ind_sql(name: str, usable: str) -> str:
+    return f"""{name}_r AS (SELECT event_type AS area, date_trunc('hour', ts) AS run, SUM(CAST(round(value * 100) AS BIGINT)) / 100.0 AS v FROM events WHERE {usable} GROUP BY 1, 2),
 {name}_rows AS (SELECT area, run, CAST(run AS DATE) AS time, v AS value FROM {name}_r UNION ALL SELECT area, run, CAST(CAST(run AS DATE) - INTERVAL 1 DAY AS DATE), v * 2 FROM {name}_r)"""
 
 
 @query("scenario_table", f"""
-WITH {SQL_AREA_DAYS}, {_ind_sql('rain', 2, 0)}, {_ind_sql('sm', 3, 1)}, slips AS (SELECT area, time, n FROM area_days WHERE n % 2 = 0 AND area <> 'view'),
+WITH {SQL_AREA_DAYS}, {_ind_sql('rain', _RAIN_OK)}, {_ind_sql('sm', _SM_OK)}, slips AS (SELECT area, time, n FROM area_days WHERE isodow(time) < 4 AND area <> 'view'),
 chosen AS (SELECT area, MAX(run) AS run FROM rain_r JOIN sm_r USING (area, run) WHERE area IN (SELECT area FROM slips) AND run <= TIMESTAMP '2024-01-20 13:00:00' GROUP BY area, CAST(run AS DATE)),
 rn AS (SELECT area, time, arg_max(value, run) AS value, MAX(run) AS run FROM rain_rows JOIN chosen USING (area, run) GROUP BY area, time),
 sn AS (SELECT area, time, arg_max(value, run) AS value, MAX(run) AS run FROM sm_rows JOIN chosen USING (area, run) GROUP BY area, time),
@@ -169,8 +172,8 @@ SELECT gp.area, CAST(gp.time AS VARCHAR) AS time, COALESCE(value, -9999) AS valu
   COALESCE(sv, -9999) AS sm_value, CAST(CASE WHEN mg.area IS NULL THEN CAST(gp.time AS TIMESTAMP) ELSE sr END AS VARCHAR) AS sm_time_run, COALESCE(st, 'NoData') AS sm_latest_from, COALESCE(n, -9999) AS n
 FROM gp LEFT JOIN mg USING (area, time)""")
 def scenario_table(t: Tables):
-    slips = area_days(t).filter("n % 2 = 0 AND area <> 'view'").select("area", "time", "n")
-    rain, sm = (stored(_indicator_runs(t, m, k), name) for m, k, name in ((2, 0, "rain-rows"), (3, 1, "sm-rows")))
+    slips = area_days(t).filter("weekday(time) < 3 AND area <> 'view'").select("area", "time", "n")
+    rain, sm = (stored(_indicator_runs(t, usable), name) for usable, name in ((_RAIN_OK, "rain-rows"), (_SM_OK, "sm-rows")))
     out = build_scenarios(rain, sm, slips, F.lit("2024-01-20 13:00:00").cast("timestamp_ntz"), F.lit("2023-12-25"))
     return out.drop("domain").withColumns({"rain_time_run": text("rain_time_run"), "sm_time_run": text("sm_time_run")})
 

@@ -163,13 +163,13 @@ def s9(t: Tables):
 
 
 @query("s10_polygon_text", """
-SELECT 'N' || n_nationkey AS alert_area_code, v AS vertex, CAST(CASE WHEN v IN (0, 3) THEN n_nationkey ELSE n_nationkey + 0.5 END AS DOUBLE) AS x, CAST(CASE WHEN v < 2 THEN n_regionkey ELSE n_regionkey + 0.75 END AS DOUBLE) AS y
-FROM nation, range(0, 4) g(v)""")
+SELECT 'C' || c_custkey AS alert_area_code, v AS vertex, CAST(CASE WHEN v IN (0, 3) THEN c_custkey ELSE c_custkey + 0.5 END AS DOUBLE) AS x, CAST(CASE WHEN v < 2 THEN c_nationkey ELSE c_nationkey + 0.75 END AS DOUBLE) AS y
+FROM customer, range(0, 4) g(v)""")
 def s10(t: Tables):
-    x0, y0 = F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double")
+    x0, y0 = F.col("c_custkey").cast("double"), F.col("c_nationkey").cast("double")
     pt = lambda x, y: F.concat_ws(" ", x.cast("string"), y.cast("string"))
     ring = F.concat_ws(", ", pt(x0, y0), pt(x0 + 0.5, y0), pt(x0 + 0.5, y0 + 0.75), pt(x0, y0 + 0.75), pt(x0, y0))
-    raw = t.nation.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("ALLERTA"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
+    raw = t.customer.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ALLERTA"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
     return TB.parse_polygons(raw, "ALLERTA").select("alert_area_code", F.posexplode("ring").alias("vertex", "v")).select(
         "alert_area_code", big("vertex").alias("vertex"), "v.x", "v.y")
 

@@ -117,7 +117,7 @@ def w4(t: Tables):
 
 
 @query("w10_window_set", """
-WITH c AS (SELECT r_regionkey AS k FROM region),
+WITH c AS (SELECT p_size % 5 AS k FROM part),
 s AS (SELECT 'left' AS side, (3 * (k + 1)) AS h FROM c UNION SELECT 'left', 24 FROM c UNION SELECT 'right', 6 FROM c UNION SELECT 'right', 24 FROM c
   UNION SELECT 'right', 3 * (k + 1) FROM c UNION SELECT 'left', 6 FROM c)
 SELECT side, string_agg(CAST(h AS VARCHAR) || 'H', ',' ORDER BY h) AS windows FROM s GROUP BY side""")
@@ -127,15 +127,15 @@ def w10(t: Tables):
 
 
 def _config(t: Tables):
-    """Per region: left 3(k+1)H and 24H, right 6H and 24H."""
-    own = F.concat((3 * (F.col("r_regionkey") + 1)).cast("string"), F.lit("H"))
-    return t.region.select(
-        F.col("r_name").alias("area"), F.array(F.lit("Left"), F.lit("right")).alias("types"),
+    """Per part: left 3(k+1)H and 24H, right 6H and 24H, with k = p_size % 5."""
+    own = F.concat((3 * (F.pmod("p_size", F.lit(5)) + 1)).cast("string"), F.lit("H"))
+    return t.part.select(
+        F.col("p_name").alias("area"), F.array(F.lit("Left"), F.lit("right")).alias("types"),
         F.array(F.array(own, F.lit("24H")), F.array(F.lit("6H"), F.lit("24H"))).alias("periods"))
 
 
 @query("w11_search_period", """
-SELECT 'left' AS side, '24H' AS longest, (SELECT CAST(3 * (MIN(r_regionkey) + 1) AS VARCHAR) || 'H' FROM region) AS shortest
+SELECT 'left' AS side, '24H' AS longest, (SELECT CAST(3 * (MIN(p_size % 5) + 1) AS VARCHAR) || 'H' FROM part) AS shortest
 UNION ALL SELECT 'right', '24H', '6H'""")
 def w11(t: Tables):
     c = _config(t)
@@ -144,10 +144,10 @@ def w11(t: Tables):
 
 
 @query("w11_search_partition", """
-SELECT side, mode AS search_partition FROM (SELECT DISTINCT CASE WHEN r_regionkey >= 0 THEN 'left' END AS side, 'unique' AS mode FROM region
-UNION SELECT 'right', 'multiple' FROM region)""")
+SELECT side, mode AS search_partition FROM (SELECT DISTINCT CASE WHEN p_size > 0 THEN 'left' END AS side, 'unique' AS mode FROM part
+UNION SELECT 'right', 'multiple' FROM part)""")
 def w11_partition(t: Tables):
-    c = t.region.select(F.array(F.lit("left"), F.lit("right")).alias("types"),
+    c = t.part.filter("p_size > 0").select(F.array(F.lit("left"), F.lit("right")).alias("types"),
                         F.array(F.array(F.lit("unique")), F.array(F.lit("multiple"))).alias("periods"))
     return Z.search_partition(c)
 
@@ -162,7 +162,7 @@ def w12(t: Tables):
 
 @query("t3_fill_missing_days", f"""
 WITH {SQL_AREA_DAYS}, d AS (SELECT area, time, value, CAST(n AS BIGINT) AS n, 'x' AS label, CAST(time AS VARCHAR) AS rain_time_run,
-  CAST(time AS VARCHAR) || ' 01:00' AS rain_time_start, CAST(time AS VARCHAR) || ' 23:00' AS rain_time_end FROM area_days WHERE n % 4 <> 0),
+  CAST(time AS VARCHAR) || ' 01:00' AS rain_time_start, CAST(time AS VARCHAR) || ' 23:00' AS rain_time_end FROM area_days WHERE isodow(time) < 6),
 b AS (SELECT area, MAX(time) AS hi FROM d GROUP BY area),
 s AS (SELECT area, CAST(unnest(generate_series(TIMESTAMP '2023-12-28', CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS time FROM b)
 SELECT s.area, CAST(s.time AS VARCHAR) AS time, COALESCE(value, -9999) AS value, COALESCE(n, -9999) AS n, COALESCE(label, 'NoData') AS label,
@@ -171,7 +171,7 @@ SELECT s.area, CAST(s.time AS VARCHAR) AS time, COALESCE(value, -9999) AS value,
 FROM s LEFT JOIN d USING (area, time)""")
 def t3(t: Tables):
     iso = F.col("time").cast("string")
-    d = area_days(t).filter(F.pmod("n", F.lit(4)) != 0).select(
+    d = area_days(t).filter(F.weekday("time") < 5).select(
         "area", "time", "value", "n", F.lit("x").alias("label"), iso.alias("rain_time_run"),
         F.concat(iso, F.lit(" 01:00")).alias("rain_time_start"), F.concat(iso, F.lit(" 23:00")).alias("rain_time_end"))
     return Z.fill_missing_days(d, ["area"], start=F.lit("2023-12-28"))

@@ -50,10 +50,8 @@ def stem(path: Column) -> Column:
 # --- P17: times carried by file names ------------------------------------------------------------
 def stamp12(text: Column) -> Column:
     """A 12-digit yyyyMMddHHmm text to a naive time, NULL when it is not a valid time."""
-    ok = F.when(text.rlike(r"^\d{12}$"), text)
-    iso = F.concat(F.substring(ok, 1, 4), F.lit("-"), F.substring(ok, 5, 2), F.lit("-"), F.substring(ok, 7, 2),
-                   F.lit(" "), F.substring(ok, 9, 2), F.lit(":"), F.substring(ok, 11, 2), F.lit(":00"))
-    return iso.try_cast("timestamp_ntz")
+    iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:00")
+    return F.regexp_extract(iso, r"^\d{4}-\d\d-\d\d \d\d:\d\d:00$", 0).try_cast("timestamp_ntz")
 
 
 def time_from_token(path: Column, position: int = 2) -> Column:
@@ -146,18 +144,16 @@ def dated_folder(c: Column, pattern: str = "%Y/%m/%d/") -> Column:
 # --- P26 -----------------------------------------------------------------------------------------
 def run_label(text: Column) -> Column:
     """``HHMM``, ``HH:MM`` or ``HH:MM:SS`` to ``HH:MM``; anything else or out of range is NULL."""
-    t = F.trim(text)
-    colon = r"^(\d{1,2}):(\d{2})(?::\d{2})?$"
-    digits = F.regexp_replace(t, "[^0-9]", "")
-    hh = F.when(t.rlike(colon), F.regexp_extract(t, colon, 1)).when(F.length(digits) == 4, F.substring(digits, 1, 2))
-    mm = F.when(t.rlike(colon), F.regexp_extract(t, colon, 2)).when(F.length(digits) == 4, F.substring(digits, 3, 2))
-    ok = hh.try_cast("int").between(0, 23) & mm.try_cast("int").between(0, 59)
-    return F.when(ok, F.concat(F.lpad(hh, 2, "0"), F.lit(":"), mm))
+    # one chain, so that the text is evaluated once: pad the hour, drop seconds, keep digits, check the range
+    padded = F.regexp_replace(F.trim(text), r"^(\d):(\d{2})(:\d{2})?$", "0$1:$2$3")
+    digits = F.regexp_replace(F.regexp_replace(padded, r"^(\d{2}:\d{2}):\d{2}$", "$1"), "[^0-9]", "")
+    label = F.regexp_replace(digits, r"^([01]\d|2[0-3])([0-5]\d)$", "$1:$2")
+    return F.nullif(F.regexp_extract(label, r"^\d\d:\d\d$", 0), F.lit(""))
 
 
 def run_label_from_json(doc: Column, paths: tuple[str, ...] = ("$.run_time", "$.timing.run_time", "$.run.run_time")) -> Column:
-    """Run label at the first known path that holds one."""
-    return F.coalesce(*[run_label(F.get_json_object(doc, p)) for p in paths])
+    """Run label at the first known path that holds a value; a value that is no label gives NULL."""
+    return run_label(F.coalesce(*[F.get_json_object(doc, p) for p in paths]))
 
 
 def run_label_from_name(path: Column) -> Column:

@@ -59,9 +59,10 @@ def read_indicator_rows(spark: SparkSession, path, schema, fields: dict[str, str
 
 # --- S3 ------------------------------------------------------------------------------------------
 def read_lookup(spark: SparkSession, path, schema, key: str, delimiter: str = ",") -> DataFrame:
-    """Look-up table with one row per key; a repeated key keeps its last row in key order of the file."""
+    """Look-up table with one row per key; of a repeated key the row with the largest values stays."""
     df = spark.read.schema(schema).csv(path, sep=delimiter, header=True)
-    return df.dropDuplicates([key])
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_r")).select(key, "_r.*")
 
 
 # --- S4 ------------------------------------------------------------------------------------------

@@ -63,11 +63,20 @@ def run_sliding_sums(stream: DataFrame, late: str, hours: int, path: str, checkp
 
 
 # --- R3 ------------------------------------------------------------------------------------------
-def run_newest_rows(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str) -> None:
+def run_newest_rows(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str,
+                    time: str | None = None, late: str | None = None, zone: str = "UTC") -> None:
     """Newest row per key. Each batch stores its changed keys under its own number, so a batch that is
-    run again replaces its own folder; ``read_newest_rows`` takes the newest version of each key."""
+    run again replaces its own folder; ``read_newest_rows`` takes the newest version of each key.
+
+    With ``time`` (one of the keys) and ``late`` the state of keys older than the limit is let go; rows
+    that come later still than that are dropped. Without them every key stays in the state.
+    """
     rest = [c for c in stream.columns if c not in keys]
-    newest = stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
+    by = list(keys)
+    if late is not None:
+        stream = _zoned(stream, time, zone).withWatermark("_ts", late)
+        by.append("_ts")
+    newest = stream.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
 
     def store(batch: DataFrame, number: int) -> None:
         batch.select(*keys, "r.*").write.mode("overwrite").parquet(f"{path}/batch={number}")

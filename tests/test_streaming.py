@@ -46,6 +46,19 @@ def test_newest_rows_over_deliveries(spark, feed):
     assert rows(J.read_newest_rows(spark, out, keys, order), "ts", "value") == [(T0, 8.0), (T0 + timedelta(hours=1), 2.0)]
 
 
+def test_newest_rows_let_old_keys_go(spark, feed):
+    deliver, stream, out, cp = feed
+    keys, order = ["area", "ts"], ["run", "event_id"]
+    cols = ["area", "ts", "run", "event_id", "value"]
+    run = lambda: J.run_newest_rows(stream().select(*cols), keys, order, out, cp, time="ts", late="2 hours")
+    deliver([(1, 0, "a", 1, 1.0), (2, 600, "a", 1, 2.0)], 1)
+    run()
+    deliver([(3, 0, "a", 2, 8.0), (4, 540, "a", 2, 9.0)], 2)  # the first is beyond the limit
+    run()
+    assert rows(J.read_newest_rows(spark, out, keys, order), "ts", "value") == [
+        (T0, 1.0), (T0 + timedelta(hours=9), 9.0), (T0 + timedelta(hours=10), 2.0)]
+
+
 def test_level_state_survives_a_restart(spark, feed):
     deliver, stream, out, cp = feed
     hour = lambda h, n, i: [(i + k, 60 * h + k, "a", 0, 1.0) for k in range(n)]
