@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import Tables, big, query, r6, text
+from geocadence.functions.text import run_label_of
 from geocadence.functions.times import hour_floor, hours, minute_floor, minutes
 from geocadence.operators import inventory as I
 from geocadence.operators.scenario import missing_steps
@@ -75,7 +76,7 @@ def _files(t: Tables):
     return t.events.select(
         F.col("event_type").alias("group"), _days("ts").alias("day"), F.concat(F.lit("/data/"), F.col("event_type"), F.lit("/"), name).alias("path"),
         (F.col("ts") + minutes(F.pmod("event_id", F.lit(50)))).alias("mtime"), minute_floor(F.col("ts")).alias("name_time"), "event_id",
-        F.concat(F.substring(_hhmm(F.col("ts")), 1, 2), F.lit(":"), F.substring(_hhmm(F.col("ts")), 3, 2)).alias("label"))
+        run_label_of(F.concat(F.lit("info_run_"), F.substring(stamp, 1, 8), F.lit("_"), F.substring(stamp, 9, 4), F.lit(".json"))).alias("label"))
 
 
 SQL_FILES = """files AS (SELECT event_type AS "group", CAST(ts AS DATE) AS day, '/data/' || event_type || '/f_' || strftime(ts, '%Y%m%d%H%M') || '_' || event_id || CASE WHEN event_id % 9 = 0 THEN '.tmp' ELSE '.csv' END AS path,

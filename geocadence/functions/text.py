@@ -164,6 +164,17 @@ def run_label_from_name(path: Column) -> Column:
     return run_label(F.coalesce(dated, loose))
 
 
+def run_label_of(path: Column, doc: Column | None = None) -> Column:
+    """Run label of a file: from its JSON text when it holds one, else from its name."""
+    by_name = run_label_from_name(path)
+    return by_name if doc is None else F.coalesce(run_label_from_json(doc), by_name)
+
+
+def time_reference(day: Column, label: Column) -> Column:
+    """``yyyy-MM-dd HH:mm`` of a reference day and a run label."""
+    return F.concat(day.cast("date").cast("string"), F.lit(" "), label)
+
+
 def label_minutes(label: Column) -> Column:
     return F.substring(label, 1, 2).cast("int") * 60 + F.substring(label, 4, 2).cast("int")
 

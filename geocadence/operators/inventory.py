@@ -101,14 +101,17 @@ def files_with_tags(files: DataFrame, tags: list[str], path: str = "path") -> Da
     return files.filter(has_all_tags(F.col(path), tags))
 
 
-def side_files(files: DataFrame, keys: list[str], stamp: Column, path: str = "path", mtime: str = "mtime") -> DataFrame:
-    """P27b. Chosen ``me`` and ``mc`` side file per run: one carrying the run stamp before the newest one."""
+def side_file_picks(stamp: Column, path: str = "path", mtime: str = "mtime") -> list[Column]:
+    """Aggregates choosing the ``me`` and ``mc`` side file: one carrying the run stamp before the newest one."""
     name = base_name(F.col(path))
     order = F.struct(F.contains(name, stamp).cast("int"), F.col(mtime), name, F.col(path))
-    me, mc = is_me_file(F.col(path)), is_mc_file(F.col(path))
-    return files.groupBy(*keys).agg(
-        F.max_by(F.when(me, F.col(path)), F.when(me, order)).alias("me_path"),
-        F.max_by(F.when(mc, F.col(path)), F.when(mc, order)).alias("mc_path"))
+    return [F.max_by(F.when(is_it, F.col(path)), F.when(is_it, order)).alias(alias)
+            for is_it, alias in ((is_me_file(F.col(path)), "me_path"), (is_mc_file(F.col(path)), "mc_path"))]
+
+
+def side_files(files: DataFrame, keys: list[str], stamp: Column, path: str = "path", mtime: str = "mtime") -> DataFrame:
+    """P27b. Chosen ``me`` and ``mc`` side file per run."""
+    return files.groupBy(*keys).agg(*side_file_picks(stamp, path, mtime))
 
 
 # --- A10 / O1 ------------------------------------------------------------------------------------
@@ -122,41 +125,45 @@ def group_summary(files: DataFrame, keys: list[str], group: str = "group", mtime
         F.min(name_time).alias("oldest_name_time"), F.max(name_time).alias("newest_name_time"))
 
 
+def _timing(df: DataFrame, run_time: str, history: bool) -> DataFrame:
+    by_name, by_fs = F.col("overall_newest_name_time"), F.col("overall_newest_fs_time")
+    first, second, a, b = (by_name, by_fs, "filename", "filesystem") if history else (by_fs, by_name, "filesystem", "filename")
+    return df.withColumns({
+        "diff_hours_run_minus_latest": seconds_between(F.coalesce(first, second), F.col(run_time)) / 3600.0,
+        "diff_basis": F.when(first.isNotNull(), a).when(second.isNotNull(), b),
+    })
+
+
 def run_timing(summary: DataFrame, keys: list[str], run_time: str = "run_time", history: bool = True,
                group: str = "group") -> DataFrame:
     """Overall times over the groups starting with ``data`` and hours from the newest to the run.
 
     History mode trusts the time in the name first, now mode the file time.
     """
-    data = summary.filter(F.lower(group).startswith("data"))
-    t = data.groupBy(*keys, run_time).agg(
+    t = summary.filter(F.lower(group).startswith("data")).groupBy(*keys, run_time).agg(
         F.min("oldest_fs_time").alias("overall_oldest_fs_time"), F.max("newest_fs_time").alias("overall_newest_fs_time"),
         F.min("oldest_name_time").alias("overall_oldest_name_time"), F.max("newest_name_time").alias("overall_newest_name_time"))
-    by_name, by_fs = F.col("overall_newest_name_time"), F.col("overall_newest_fs_time")
-    first, second, a, b = (by_name, by_fs, "filename", "filesystem") if history else (by_fs, by_name, "filesystem", "filename")
-    newest = F.coalesce(first, second)
-    return t.withColumns({
-        "diff_hours_run_minus_latest": seconds_between(newest, F.col(run_time)) / 3600.0,
-        "diff_basis": F.when(first.isNotNull(), a).when(second.isNotNull(), b),
-    })
+    return _timing(t, run_time, history)
 
 
 def run_catalogue(files: DataFrame, targets: DataFrame, history: bool = True) -> DataFrame:
-    """O1. Selected run per day with its timing summary and side files.
+    """O1. Selected run per day with its timing summary and side files, in one aggregate over its files.
 
     ``files`` has (day, run, group, path, mtime, name_time), ``targets`` has (day, hhmm).
     """
     chosen = latest_run(targets, files).filter(F.col("run").isNotNull()).select("day", "run").distinct()
-    of_run = files.join(chosen, ["day", "run"], "left_semi").withColumn(
-        "run_time", (F.concat(F.col("day").cast("string"), F.lit(" "), F.substring("run", 1, 2), F.lit(":"),
-                              F.substring("run", 3, 2), F.lit(":00"))).cast("timestamp_ntz"))
-    keys = ["day", "run"]
-    timing = run_timing(group_summary(of_run, [*keys, "run_time"]), keys, history=history)
+    of_run = files.join(chosen, ["day", "run"], "left_semi")
     stamp = F.concat(F.regexp_replace(F.col("day").cast("string"), "-", ""), F.col("run"))
-    sides = side_files(of_run, keys, stamp)
-    out = chosen.join(timing, keys, "left").join(sides, keys, "left")
-    times = ["run_time", "overall_oldest_fs_time", "overall_newest_fs_time", "overall_oldest_name_time", "overall_newest_name_time"]
-    return out.withColumns({c: compact_minute(F.col(c)) for c in times}).withColumnRenamed("run_time", "algo_run_time")
+    data = F.lower("group").startswith("data")
+    fs, named = F.when(data, F.col("mtime")), F.when(data, F.col("name_time"))
+    out = of_run.groupBy("day", "run").agg(
+        F.min(fs).alias("overall_oldest_fs_time"), F.max(fs).alias("overall_newest_fs_time"),
+        F.min(named).alias("overall_oldest_name_time"), F.max(named).alias("overall_newest_name_time"),
+        *side_file_picks(stamp))
+    out = out.withColumn("algo_run_time", F.concat(
+        F.col("day").cast("string"), F.lit(" "), F.substring("run", 1, 2), F.lit(":"), F.substring("run", 3, 2), F.lit(":00")).cast("timestamp_ntz"))
+    times = [c for c in out.columns if c.endswith("_time")]
+    return _timing(out, "algo_run_time", history).withColumns({c: compact_minute(F.col(c)) for c in times})
 
 
 # --- A15 / O2 ------------------------------------------------------------------------------------

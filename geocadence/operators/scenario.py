@@ -84,7 +84,7 @@ def newest_run_wins(df: DataFrame, keys: list[str], run: str = "run_time", tie:
     out = best.select(*keys, "_r.*")
     if tag is None:
         return out
-    newest = out.groupBy(*tag_keys).agg(F.max(run).alias("_newest"))
+    newest = df.groupBy(*tag_keys).agg(F.max(run).alias("_newest"))  # the newest run always wins its keys
     return out.join(newest, list(tag_keys), "inner").withColumn(
         tag, F.when(F.col(run) == F.col("_newest"), F.lit("latest")).otherwise(F.lit("db"))).drop("_newest")
 
@@ -116,12 +116,11 @@ def coverage(sources: list[tuple[str, DataFrame]], keys: list[str], freq: str =
     no overlap is an error. ``percent`` is found / expected * 100 at two decimals.
     """
     step = 24 if freq == "d" else 1
-    use = use or tuple(n for n, _ in sources)
     tagged = reduce(DataFrame.unionByName, [
         d.select(*keys, F.col(time).alias("_t")).withColumn("source", F.lit(n)) for n, d in sources])
-    distinct = tagged.distinct()
-    spans = tagged.filter(F.col("source").isin(*use)).groupBy(*keys, "source").agg(
-        F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    distinct = tagged.distinct()  # read twice below; both uses share its shuffle
+    chosen = distinct.filter(F.col("source").isin(*use)) if use else distinct
+    spans = chosen.groupBy(*keys, "source").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
     window = spans.groupBy(*keys).agg(F.max("_lo").alias("window_start"), F.min("_hi").alias("window_end"))
     window = window.withColumn("window_end", F.when(
         F.col("window_start") > F.col("window_end"),
@@ -206,10 +205,12 @@ def fill_by_kinds(df: DataFrame, kinds: dict[str, str | None], keep: tuple[str,
 
 # --- U1 ------------------------------------------------------------------------------------------
 def stack_tables(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
-    """One table above the other; a missing side gives the other; different columns are refused."""
+    """One table above the other; a missing or empty side gives the other; different columns are refused."""
     if a is None or b is None:
         return a if b is None else b
     if set(a.columns) != set(b.columns):
+        if a.isEmpty() or b.isEmpty():
+            return b if a.isEmpty() else a
         raise ValueError(f"columns differ: {sorted(set(a.columns) ^ set(b.columns))}")
     return a.unionByName(b)
 

@@ -80,6 +80,13 @@ def csv_layout(df: DataFrame, time: str = "time", decimals: int = 2) -> DataFram
     return df.select(*cols)
 
 
+def quantised(df: DataFrame, decimals: int = 2) -> DataFrame:
+    """Fractional numbers as a CSV with fixed decimals would hand them to the next stage."""
+    return df.withColumns({
+        f.name: F.format_string(f"%.{decimals}f", F.col(f"`{f.name}`").cast("double")).try_cast("double")
+        for f in df.schema.fields if f.dataType.typeName() in ("double", "float")})
+
+
 def write_csv(df: DataFrame, path: str, partition: list[str], time: str = "time", decimals: int = 2) -> None:
     """Partitioned ``;`` CSV; a rerun replaces only the partitions it holds."""
     csv_layout(df, time, decimals).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \

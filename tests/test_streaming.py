@@ -55,8 +55,8 @@ def test_newest_rows_let_old_keys_go(spark, feed):
     run()
     deliver([(3, 0, "a", 2, 8.0), (4, 540, "a", 2, 9.0)], 2)  # the first is beyond the limit
     run()
-    assert rows(J.read_newest_rows(spark, out, keys, order), "ts", "value") == [
-        (T0, 1.0), (T0 + timedelta(hours=9), 9.0), (T0 + timedelta(hours=10), 2.0)]
+    assert set(rows(J.read_newest_rows(spark, out, keys, order), "ts", "value")) == {
+        (T0, 1.0), (T0 + timedelta(hours=9), 9.0), (T0 + timedelta(hours=10), 2.0)}
 
 
 def test_level_state_survives_a_restart(spark, feed):
