@@ -51,6 +51,10 @@ def minute_floor(c: Column) -> Column:
     return hour_floor(c) + minutes(F.minute(c))
 
 
+def second_floor(c: Column) -> Column:
+    return minute_floor(c) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.second(c).cast("decimal(18,6)"))
+
+
 def hour_index(c: Column) -> Column:
     """Whole hours since 1970-01-01 00:00, independent of the session time zone."""
     days = F.datediff(c.cast("date"), F.lit(_EPOCH).cast("date")).cast("bigint")

@@ -82,8 +82,20 @@ def regrid_map(targets: DataFrame, source: Grid, k: int = 1, radius_m: float = 2
     """For each target the k nearest source cells within the radius: src_row, src_col, dist_m, rank.
 
     The candidates are the cells of a block around the target's own index. Its half-widths are
-    chosen so that k cells surely lie closer than anything outside the block; the result is exact.
+    chosen so that k cells surely lie closer than anything outside the block; the result is exact. For
+    k = 1 the best column of any row is one of the two beside the target, and the best row is the nearest
+    up to the small poleward shift of the great circle.
     """
+    if k == 1:
+        poleward = math.degrees((radius_m / EARTH_RADIUS_M * source.metres_per_row / source.least_metres_per_col()) ** 2 / 4)
+        half = 1 + math.ceil(poleward / source.cellsize)
+        clamp = lambda c, n: F.least(F.greatest(c, F.lit(0)), F.lit(n - 1))
+        centre = F.rint(source.row_pos(F.col(lat))).cast("int")
+        left = F.floor(source.col_pos(F.col(lon))).cast("int")
+        t = targets.withColumns({
+            "_rows": F.sequence(clamp(centre - half, source.nrows), clamp(centre + half, source.nrows)),
+            "_cols": F.array_distinct(F.array(clamp(left, source.ncols), clamp(left + 1, source.ncols)))})
+        return _pick_nearest(t, targets.columns, source, k, radius_m, lon, lat)
     side = math.ceil(math.sqrt(k))
     dx, dy = source.least_metres_per_col(), source.metres_per_row
     widest = source.metres_per_row  # a column is never wider than a row is high
@@ -99,12 +111,16 @@ def regrid_map(targets: DataFrame, source: Grid, k: int = 1, radius_m: float = 2
         "_rows": span(source.row_pos(F.col(lat)), half_r, source.nrows),
         "_cols": span(source.col_pos(F.col(lon)), half_c, source.ncols),
     })
+    return _pick_nearest(t, targets.columns, source, k, radius_m, lon, lat)
+
+
+def _pick_nearest(t: DataFrame, columns: list[str], source: Grid, k: int, radius_m: float, lon: str, lat: str) -> DataFrame:
     candidates = F.flatten(F.transform("_rows", lambda r: F.transform("_cols", lambda c: F.struct(
         haversine_m(F.col(lon), F.col(lat), source.lon(c), source.lat(r)).alias("dist_m"),
         r.alias("src_row"), c.alias("src_col")))))
     near = F.slice(F.array_sort(F.filter(candidates, lambda s: s["dist_m"] <= radius_m)), 1, k)
     return t.select("*", F.posexplode(near).alias("rank", "_n")).select(
-        *targets.columns, "rank", "_n.src_row", "_n.src_col", "_n.dist_m")
+        *columns, "rank", "_n.src_row", "_n.src_col", "_n.dist_m")
 
 
 def apply_nearest(cells: DataFrame, mapping: DataFrame, keys: list[str], target: list[str], value: str = "value") -> DataFrame:

@@ -173,7 +173,7 @@ def selection_set(files: DataFrame, keys: list[str], start: Column, end: Column,
     inside = files.filter(F.col(time).between(start, end))
     if freq_minutes:
         kept = thin_by_minutes(inside, keys, freq_minutes, time, path)
-        inside = inside.join(kept, [*keys, time, path], "left_semi")
+        inside = inside.join(kept, [*keys, path], "left_semi")
     return freshness_gate(inside, max_hours)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geocadence.functions.times import from_hour_index, hour_index
+from geocadence.functions.times import from_hour_index, hour_index, second_floor
 from geocadence.model import MIXED, NO_DATA_NUMBER, NO_DATA_ROW_TEXT
 
 CHUNK_HOURS = 720
@@ -175,22 +175,22 @@ def duplicate_times(df: DataFrame, keys: list[str], time: str = "time") -> DataF
 def thin_by_minutes(df: DataFrame, keys: list[str], minutes: int, time: str = "time", path: str = "path") -> DataFrame:
     """Greedy thinning: keep the first, then the next at least ``minutes`` after the last kept.
 
-    ``keys`` name one selection window (group and day). Equal times can only yield one kept file, so
-    the rows are first reduced to one per distinct minute; the walk then runs over an array that the
-    calendar bounds (1440 minutes a day), not the number of files.
+    ``keys`` name one selection window (group and day), times count in whole seconds. Equal times can
+    only yield one kept file, so the rows are first reduced to one per second; the walk then runs over an
+    array that the calendar bounds (86400 a day, 1440 for minute stamps), not the number of files.
     """
     slots = (
-        df.groupBy(*keys, time).agg(F.min(path).alias(path))
-        .withColumn("_m", (hour_index(F.col(time)) * 60 + F.minute(time)).cast("bigint"))
+        df.withColumn(time, second_floor(F.col(time))).groupBy(*keys, time).agg(F.min(path).alias(path))
+        .withColumn("_s", (hour_index(F.col(time)) * 3600 + F.minute(time) * 60 + F.second(time)).cast("bigint"))
     )
     walk = slots.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("_m"), F.col(time).alias("t"), F.col(path).alias("p")))).alias("_all"))
+        F.col("_s"), F.col(time).alias("t"), F.col(path).alias("p")))).alias("_all"))
     kept = F.aggregate(
         "_all",
         F.struct(F.lit(None).cast("bigint").alias("last"), F.slice("_all", 1, 0).alias("kept")),
         lambda acc, x: F.when(
-            acc["last"].isNull() | (x["_m"] - acc["last"] >= minutes),
-            F.struct(x["_m"].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept")),
+            acc["last"].isNull() | (x["_s"] - acc["last"] >= minutes * 60),
+            F.struct(x["_s"].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept")),
         ).otherwise(acc),
         lambda acc: acc["kept"],
     )
