@@ -21,6 +21,30 @@ def _halo(df: DataFrame, widest: int, chunk: int, ascending: bool) -> DataFrame:
         "_chunk", F.explode(F.when(near, F.array(own, other)).otherwise(F.array(own))))
 
 
+def _compose_sums(df: DataFrame, window, widths: list[int], value: str, prefix: str) -> DataFrame:
+    """Exact N-step sums for every width, each built from the sums already there.
+
+    A width is a chain of shorter sums that end where the next begins (24 = 12 + 12, 6 = 3 + 3), fetched with
+    ``lag``: a few terms per row and no cancellation, instead of N additions per row and width. Rows are
+    unique per step, so the steps are gapless when the row furthest back lies exactly that many steps back.
+    """
+    built = {1: value}
+    for n in widths:
+        terms, offset = [], 0
+        for m in sorted(built, reverse=True):
+            while n - offset >= m:
+                terms.append(F.lag(built[m], offset).over(window) if offset else F.col(built[m]))
+                last = offset
+                offset += m
+        total = terms[0].cast("double")
+        for term in terms[1:]:
+            total = total + term
+        gapless = F.lag("_o", last).over(window) == F.col("_o") - last if last else F.lit(True)
+        df = df.withColumn(f"{prefix}_{n}", F.when(gapless, total))
+        built[n] = f"{prefix}_{n}"
+    return df
+
+
 def rolling_exact(df: DataFrame, keys: list[str], widths, value: str = "value", time: str = "time",
                   how: str = "sum", direction: str = "right", prefix: str = "roll",
                   chunk: int = CHUNK_HOURS) -> DataFrame:
@@ -36,35 +60,28 @@ def rolling_exact(df: DataFrame, keys: list[str], widths, value: str = "value",
     if direction not in ("right", "left"):
         raise ValueError('direction must be "right" or "left"')
     widths = sorted({int(w) for w in widths})
-    if widths[-1] > chunk:
-        chunk = widths[-1]
+    chunk = max(chunk, widths[-1])
     up = direction == "right"
-    rows = _halo(df.withColumn("_h", hour_index(F.col(time))), widths[-1], chunk, up).repartition(*keys, "_chunk")
-    order = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_h") if up else -F.col("_h"))
-    out = {}
-    for n in widths:
-        w = order.rangeBetween(-(n - 1), 0)
-        total = F.sum(value).over(w)
-        if how == "mean":
-            total = total / n
-        out[f"{prefix}_{n}"] = F.when(F.count(value).over(w) == n, total)
-    return rows.withColumns(out).filter(F.col("_chunk") == F.col("_own")).drop("_h", "_own", "_chunk")
+    rows = _halo(df.withColumn("_h", hour_index(F.col(time))), widths[-1], chunk, up)
+    rows = rows.withColumn("_o", F.col("_h") if up else -F.col("_h")).repartition(*keys, "_chunk")
+    order = Window.partitionBy(*keys, "_chunk").orderBy("_o")
+    rows = _compose_sums(rows, order, widths, value, prefix)
+    if how == "mean":
+        rows = rows.withColumns({f"{prefix}_{n}": F.col(f"{prefix}_{n}") / n for n in widths})
+    return rows.filter(F.col("_chunk") == F.col("_own")).drop("_h", "_o", "_own", "_chunk")
 
 
-def rolling_within(df: DataFrame, keys: list[str], widths, value: str, time: str = "time",
+def rolling_within(df: DataFrame, keys: list[str], widths, value: str, hour: str,
                    prefix: str = "roll", spread: list[str] | None = None) -> DataFrame:
     """Rolling sums inside a bounded group (one analysis period), one sort for all widths.
 
-    ``spread`` names the part of the keys that rows are distributed by (default: all). Fewer columns keep
-    neighbouring groups in one task, so that a following aggregate combines them before its shuffle.
+    ``hour`` is the hour index of the row. ``spread`` names the part of the keys that rows are distributed
+    by (default: all). Fewer columns keep neighbouring groups in one task, so that a following aggregate
+    combines them before its shuffle.
     """
-    order = Window.partitionBy(*keys).orderBy("_h")
-    out = {}
-    for n in widths:
-        w = order.rangeBetween(-(n - 1), 0)
-        out[f"{prefix}_{n}"] = F.when(F.count(value).over(w) == n, F.sum(value).over(w))
-    rows = df.withColumn("_h", hour_index(F.col(time))).repartition(*(spread or keys))
-    return rows.withColumns(out).drop("_h")
+    order = Window.partitionBy(*keys).orderBy("_o")
+    rows = df.withColumn("_o", F.col(hour)).repartition(*(spread or keys))
+    return _compose_sums(rows, order, sorted(set(widths)), value, prefix).drop("_o")
 
 
 # --- A2 ------------------------------------------------------------------------------------------

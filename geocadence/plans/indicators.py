@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geocadence.functions.times import hour_index
 from geocadence.model import OBSERVED, RAIN_WINDOWS
 from geocadence.operators.grid import cell_weights, regrid_map
 from geocadence.operators.series import (
@@ -38,9 +39,23 @@ def source_circles(members: DataFrame, mapping: DataFrame, target=("trow", "tcol
     )
 
 
+def numbered(df: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """Small table (number, keys): a 64-bit number per key, checked to be unique when it is used.
+
+    Hourly rows carry the number through their shuffles instead of the names behind it.
+    """
+    names = F.struct(*keys)
+    return df.select(*keys).distinct().groupBy(F.xxhash64(*keys).alias(number)).agg(
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"two keys share one {number}")).cast("boolean")).alias("_clash"),
+        F.any_value(names).alias("_k"),
+    ).filter("_clash IS NULL").select(number, "_k.*")
+
+
 def assign_periods(cells: DataFrame, periods: DataFrame, keys: list[str]) -> DataFrame:
-    """Each reading once per period it falls in; an equi-join on the hour."""
-    return cells.join(period_hours(periods, keys), "time", "inner")
+    """Each reading once per period it falls in, as (_p, _h, row, col, value); an equi-join on the hour."""
+    steps = period_hours(periods, keys).select(
+        F.xxhash64(*keys).alias("_p"), "time", hour_index(F.col("time")).cast("int").alias("_h"))
+    return cells.join(steps, "time", "inner").select("_p", "_h", "row", "col", "value")
 
 
 def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, circles: DataFrame,
@@ -48,31 +63,32 @@ def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, ci
                     run_keys: tuple[str, ...] = ("time_run",)) -> DataFrame:
     """One wide row per area and period.
 
-    cells (time, row, col, value); periods from ``period_blocks``; weights (area, row, col, n);
-    circles (area, point_id, row, col). Columns ``rain_peak_{w}H:max|avg``, ``rain_average_{w}H:avg|max|min``
-    and ``rain_accumulated_{w}H:max|min``.
+    cells (time, row, col, value), one row per cell and hour; periods from ``period_blocks``; weights (area,
+    row, col, n); circles (area, point_id, row, col). Columns ``rain_peak_{w}H:max|avg``,
+    ``rain_average_{w}H:avg|max|min`` and ``rain_accumulated_{w}H:max|min``.
     """
     windows = windows or {"left": RAIN_WINDOWS, "right": RAIN_WINDOWS}
     widths = sorted({w for side in windows.values() for w in side})
     keys = [*run_keys, "period_tag"]
     base = assign_periods(cells, periods, keys)
 
-    # cells -> rolling sums -> circle maxima -> peaks. Each cell carries its (few) circles through the
-    # window, so there is one join; cells without a circle drop there. Rows are spread by period and tile,
-    # which lets the maxima of a circle be combined before the shuffle.
-    lists = circles.groupBy("row", "col").agg(F.collect_set(F.struct("area", "point_id")).alias("_in"))
+    # cells -> rolling sums -> circle maxima -> peaks. Each cell carries the numbers of its (few) circles
+    # through the window, so there is one join; cells without a circle drop there. Rows are spread by period
+    # and tile, which lets the maxima of a circle be combined before the shuffle.
+    circle_numbers = numbered(circles, ["area", "point_id"], "_c")
+    lists = circles.groupBy("row", "col").agg(F.collect_set(F.xxhash64("area", "point_id")).alias("_in"))
     fed = base.join(lists, ["row", "col"], "inner").withColumns({
-        "_tr": F.floor(F.col("row") / TILE), "_tc": F.floor(F.col("col") / TILE)})
-    tile = [*keys, "_tr", "_tc"]
-    sums = rolling_within(fed, [*tile, "row", "col"], widths, "value", prefix="s", spread=tile)
+        "_tr": F.floor(F.col("row") / TILE).cast("int"), "_tc": F.floor(F.col("col") / TILE).cast("int")})
+    tile = ["_p", "_tr", "_tc"]
+    sums = rolling_within(fed, [*tile, "row", "col"], widths, "value", "_h", prefix="s", spread=tile)
     names = [f"s_{w}" for w in widths]
-    members = sums.select(*keys, "time", *names, F.inline("_in"))
-    points = circle_maxima(members, ["area", *keys, "time"], names)
-    peaks = peak_metrics(points, ["area", *keys], names, [f"rain_peak_{w}H" for w in widths], strict=strict)
+    members = sums.select("_p", "_h", *names, F.explode("_in").alias("_c"))
+    points = circle_maxima(members, ["_p", "_h"], names, "_c").join(circle_numbers.select("_c", "area"), "_c", "inner")
+    peaks = peak_metrics(points, ["area", "_p"], names, [f"rain_peak_{w}H" for w in widths], time="_h", strict=strict)
 
     # cells -> weighted area mean -> rolling sum and mean -> metrics
-    series = area_mean(base.join(weights, ["row", "col"], "inner"), ["area", *keys, "time"], weight="n")
-    rolled = rolling_within(series, ["area", *keys], widths, "value", prefix="acc")
+    series = area_mean(base.join(weights, ["row", "col"], "inner"), ["area", "_p", "_h"], weight="n")
+    rolled = rolling_within(series, ["area", "_p"], widths, "value", "_h", prefix="acc")
     aggs = []
     for w in widths:
         mean = F.col(f"acc_{w}") / w
@@ -81,10 +97,13 @@ def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, ci
             F.min(mean).alias(f"rain_average_{w}H:min"),
             F.max(f"acc_{w}").alias(f"rain_accumulated_{w}H:max"), F.min(f"acc_{w}").alias(f"rain_accumulated_{w}H:min"),
         ]
-    sides = rolled.groupBy("area", *keys).agg(*aggs)
-    out = sides.join(peaks, ["area", *keys], "left").join(
-        periods.select(*run_keys, *[c for c in PERIOD_FIELDS if c not in run_keys]), keys, "inner")
-    return _side_windows(out, windows, widths)
+    rows = rolled.groupBy("area", "_p").agg(*aggs).join(peaks, ["area", "_p"], "left")
+    return _side_windows(_with_period_fields(rows, periods, keys), windows, widths)
+
+
+def _with_period_fields(rows: DataFrame, periods: DataFrame, keys: list[str]) -> DataFrame:
+    fields = [*keys, *[c for c in PERIOD_FIELDS if c not in keys]]
+    return rows.join(numbered(periods, keys, "_p"), "_p", "inner").drop("_p").join(periods.select(*fields), keys, "inner")
 
 
 def _side_windows(df: DataFrame, windows: dict[str, tuple[int, ...]], widths: list[int]) -> DataFrame:
@@ -104,14 +123,12 @@ def sm_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame,
                   run_keys: tuple[str, ...] = ("time_run",)) -> DataFrame:
     """Area and period rows with ``sm_value_avg``, ``_max``, ``_first``, ``_last``; one step alone gives none."""
     keys = [*run_keys, "period_tag"]
-    series = area_mean(assign_periods(cells, periods, keys).join(weights, ["row", "col"], "inner"),
-                       ["area", *keys, "time"], weight="n")
-    rows = series.groupBy("area", *keys).agg(
+    series = area_mean(assign_periods(cells, periods, keys).join(weights, ["row", "col"], "inner"), ["area", "_p", "_h"], weight="n")
+    rows = series.groupBy("area", "_p").agg(
         F.avg("value").alias("sm_value_avg"), F.max("value").alias("sm_value_max"),
-        F.min_by("value", "time").alias("sm_value_first"), F.max_by("value", "time").alias("sm_value_last"),
+        F.min_by("value", "_h").alias("sm_value_first"), F.max_by("value", "_h").alias("sm_value_last"),
         F.count(F.lit(1)).alias("_steps"))
-    return rows.filter("_steps > 1").drop("_steps").join(
-        periods.select(*run_keys, *[c for c in PERIOD_FIELDS if c not in run_keys]), keys, "inner")
+    return _with_period_fields(rows.filter("_steps > 1").drop("_steps"), periods, keys)
 
 
 def append_periods(tables: list[DataFrame]) -> DataFrame:

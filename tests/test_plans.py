@@ -25,7 +25,7 @@ def test_no_pairwise_join(spark, name):
 
 def test_rolling_windows_share_one_sort(spark):
     plan = plan_of(rolling_exact(cell_hours(Tables(spark, SF)), ["area", "cell"], (3, 6, 12, 24)))
-    assert len(re.findall(r"[+:]- Window ", plan)) == 1
+    assert len(re.findall(r"[+:]- Sort ", plan)) == 1
     assert plan.count("Exchange hashpartitioning(area") == 2  # hourly sums, then chunks
 
 
