@@ -203,11 +203,11 @@ def _expected_hours(t: Tables):
 
 
 @query("o6_missing_files", f"""{_BACKFILL}
-SELECT area, 'hmc.output-grid.' || strftime(time, '%Y%m%d%H%M') || '.nc.gz' AS name FROM s WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = area AND date_trunc('hour', ts) = time)""")
+SELECT area, 'grid_sm_' || strftime(time, '%Y%m%d%H%M') || '.nc' AS name FROM s WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = area AND date_trunc('hour', ts) = time)""")
 def o6(t: Tables):
     spine, have = _expected_hours(t)
     stamp = F.regexp_replace(F.substring(F.col("time").cast("string"), 1, 16), "[-: ]", "")
-    return missing_steps(spine, have, ["area", "time"]).select("area", F.concat(F.lit("hmc.output-grid."), stamp, F.lit(".nc.gz")).alias("name"))
+    return missing_steps(spine, have, ["area", "time"]).select("area", F.concat(F.lit("grid_sm_"), stamp, F.lit(".nc")).alias("name"))
 
 
 @query("a16_expected_present", f"""{_BACKFILL}, h AS (SELECT DISTINCT event_type AS area, date_trunc('hour', ts) AS time FROM events)

@@ -45,20 +45,24 @@ def _fine(t: Tables):
         F.when(F.pmod(F.col("row") * 4 + F.col("col"), F.lit(5)) != 0, 1).otherwise(0).alias("mask"))
 
 
-def _geometry(t: Tables):
+def _geometry(t: Tables, with_circles: bool = True):
+    """Cell weights of the areas and circle membership, stored as the geometry stage does."""
     fine = _fine(t)
-    mapping, weights = PI.area_geometry(fine, RAIN)
+    mapping = stored(G.regrid_map(fine.select("trow", "tcol", "lon", "lat"), RAIN), "regrid-map")
+    weights = G.cell_weights(mapping, fine, ["trow", "tcol"])
+    if not with_circles:
+        return weights, None
     pts = t.spark.createDataFrame([(a, i, p) for i, a in enumerate(AREAS) for p in (0, 1)], "area string, i int, point_id int").select(
         "area", "point_id", RAIN.lon(F.col("point_id")).alias("lon"), RAIN.lat(F.col("i") * 2 + F.col("point_id")).alias("lat"))
     mask = fine.select("area", F.col("trow").alias("row"), F.col("tcol").alias("col"), "mask")
     members = G.circle_members(pts, MASK, CIRCLE_KM, mask=mask, mask_keys=("area",)).withColumnsRenamed({"row": "trow", "col": "tcol"})
-    return weights, PI.source_circles(members.drop("lon", "lat"), mapping)
+    return weights, stored(PI.source_circles(members.drop("lon", "lat"), mapping), "circles")
 
 
 def _periods(t: Tables, obs: int, obs_partition: str):
     days = t.events.select(F.col("ts").cast("date").cast("timestamp_ntz").alias("d")).distinct()
     w = run_window(days.select((F.col("d") + hours(14)).alias("run")), 24, 24, snap_end="none").select("time_run", "window_start", "window_end")
-    return period_blocks(w, obs, 24, obs_partition=obs_partition)
+    return stored(period_blocks(w, obs, 24, obs_partition=obs_partition), "periods")
 
 
 def _quoted(a):
@@ -124,7 +128,7 @@ sm AS (SELECT area, run, tag, AVG(value) AS a, MAX(value) AS x, arg_min(value, t
 WITH {_SM_ROWS}
 SELECT area, CAST(run AS VARCHAR) AS time_run, tag AS period_tag, ty AS period_type, round(a + 1e-9, 6) AS sm_value_avg, round(x + 1e-9, 6) AS sm_value_max, round(f + 1e-9, 6) AS sm_value_first, round(l + 1e-9, 6) AS sm_value_last FROM sm JOIN per USING (run, tag)""")
 def a6(t: Tables):
-    weights, _ = _geometry(t)
+    weights, _ = _geometry(t, with_circles=False)
     out = PI.sm_indicators(_grid_cells(t), _periods(t, 2, "unique"), weights)
     return out.select("area", text("time_run").alias("time_run"), "period_tag", "period_type", *[r6(f"sm_value_{m}").alias(f"sm_value_{m}") for m in ("avg", "max", "first", "last")])
 
@@ -132,7 +136,7 @@ def a6(t: Tables):
 @query("u2_period_rows", f"""
 WITH {_SM_ROWS} SELECT area, tag AS period_tag, COUNT(*) AS n FROM sm GROUP BY 1, 2""")
 def u2(t: Tables):
-    weights, _ = _geometry(t)
+    weights, _ = _geometry(t, with_circles=False)
     p = _periods(t, 2, "unique")
     parts = [PI.sm_indicators(_grid_cells(t), p.filter(F.col("period_type") == ty), weights) for ty in ("Observed", "Observed_Forecast")]
     return PI.append_periods(parts).groupBy("area", "period_tag").agg(F.count(F.lit(1)).alias("n"))

@@ -76,7 +76,7 @@ def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, ci
     # through the window, so there is one join; cells without a circle drop there. Rows are spread by period
     # and tile, which lets the maxima of a circle be combined before the shuffle.
     circle_numbers = numbered(circles, ["area", "point_id"], "_c")
-    lists = circles.groupBy("row", "col").agg(F.collect_set(F.xxhash64("area", "point_id")).alias("_in"))
+    lists = circles.groupBy("row", "col").agg(F.collect_list(F.xxhash64("area", "point_id")).alias("_in"))
     fed = base.join(lists, ["row", "col"], "inner").withColumns({
         "_tr": F.floor(F.col("row") / TILE).cast("int"), "_tc": F.floor(F.col("col") / TILE).cast("int")})
     tile = ["_p", "_tr", "_tc"]
