@@ -75,7 +75,7 @@ _SCORE_SQL = _SCORE + " SELECT i, round(raw + 1e-9, 6) AS raw_score, CAST(greate
 @query("m2_kernel_score", _SCORE_SQL)
 def m2(t: Tables):
     rows = vectors(t).select("i", F.array(*FEATURES).alias("x"))
-    out = K.score_direct(rows, training(t), ["i"], block=200)
+    out = K.score_direct(rows, training(t), ["i"], block=200, features=4)
     return out.select("i", r6("raw_score").alias("raw_score"), big(K.predicted_count(F.col("raw_score"))).alias("slips"))
 
 
@@ -103,7 +103,7 @@ WITH {SQL_VECTORS}, s AS (SELECT a.i, SUM((b.y - 4.5) / 10.0 * exp(-pow(""" + "+
 SELECT i, round(raw + 1e-9, 6) AS raw_score FROM s""")
 def m2_gaussian(t: Tables):
     rows = vectors(t).select("i", F.array(*FEATURES).alias("x"))
-    return K.score_direct(rows, training(t), ["i"], kind="gaussian", param=0.5, block=200).select("i", r6("raw_score").alias("raw_score"))
+    return K.score_direct(rows, training(t), ["i"], kind="gaussian", param=0.5, block=200, features=4).select("i", r6("raw_score").alias("raw_score"))
 
 
 @query("m4_kernel_fit")

@@ -66,27 +66,39 @@ def feature_array(df: DataFrame, features=KERNEL_FEATURES, alias: str = "x") ->
 
 
 # --- M3 ------------------------------------------------------------------------------------------
-def dot(x: Column, y: Column) -> Column:
+def dot(x: Column, y: Column, features: int | None = None) -> Column:
+    """Dot product of two arrays; with a known length it is plain arithmetic on their entries."""
+    if features:
+        return _sum([F.get(x, F.lit(k)) * F.get(y, F.lit(k)) for k in range(features)])
     return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
-def square_distance(x: Column, y: Column) -> Column:
+def _sum(terms: list[Column]) -> Column:
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total
+
+
+def square_distance(x: Column, y: Column, features: int | None = None) -> Column:
+    if features:
+        gaps = [F.get(x, F.lit(k)) - F.get(y, F.lit(k)) for k in range(features)]
+        return _sum([g * g for g in gaps])
     return F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
 
 
-def kernel_value(x: Column, y: Column, kind: str = "polynomial", param: float = 3) -> Column:
+def kernel_value(x: Column, y: Column, kind: str = "polynomial", param: float = 3, features: int | None = None) -> Column:
     """Kernel of two arrays. ``gaussian`` squares the squared distance, as the model it must agree with
     does; ``rbf`` is the usual radial function."""
     if kind == "linear":
-        return dot(x, y)
+        return dot(x, y, features)
     if kind == "polynomial":
-        return F.pow(dot(x, y) + 1.0, F.lit(float(param)))
+        return F.pow(dot(x, y, features) + 1.0, F.lit(float(param)))
     spread = 2.0 * float(param) ** 2
     if kind == "gaussian":
-        d2 = square_distance(x, y)
-        return F.exp(-(d2 * d2) / spread)
+        return F.exp(-F.pow(square_distance(x, y, features), F.lit(2.0)) / spread)
     if kind == "rbf":
-        return F.exp(-square_distance(x, y) / spread)
+        return F.exp(-square_distance(x, y, features) / spread)
     raise ValueError(f"unknown kernel {kind!r}")
 
 
@@ -158,7 +170,7 @@ def score_collapsed(df: DataFrame, model: KernelModel, features: list[str], out:
 
 
 def score_direct(df: DataFrame, train: DataFrame, keys: list[str], x: str = "x", kind: str = "polynomial",
-                 param: float = 3, out: str = "raw_score", block: int = 2048) -> DataFrame:
+                 param: float = 3, out: str = "raw_score", block: int = 2048, features: int | None = None) -> DataFrame:
     """M2, direct, for kernels without a small feature map (and as a check of the collapsed form).
 
     Training points are packed into blocks of ``block`` points (by the stored ``i``); a row meets whole
@@ -167,7 +179,7 @@ def score_direct(df: DataFrame, train: DataFrame, keys: list[str], x: str = "x",
     packed = train.select(F.floor(F.col("i") / block).cast("int").alias("_b"), F.struct("x", "c").alias("_p")) \
         .groupBy("_b").agg(F.collect_list("_p").alias("_pts"))
     n = train.agg(F.floor(F.max("i") / block).cast("int")).first()[0]
-    part = F.aggregate("_pts", F.lit(0.0), lambda s, p: s + p["c"] * kernel_value(F.col(x), p["x"], kind, param))
+    part = F.aggregate("_pts", F.lit(0.0), lambda s, p: s + p["c"] * kernel_value(F.col(x), p["x"], kind, param, features))
     met = df.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(int(n or 0)))))
     scored = met.join(packed, "_b", "inner").withColumn("_s", part)
     if not n:

@@ -28,11 +28,16 @@ def scan_cells(spark: SparkSession, paths, start: Column, end: Column, mask: Dat
     return df.withColumn("value", missing_to_null(F.col("value")))
 
 
-def write_cells(df: DataFrame, path: str, mask: DataFrame | None = None, time: str = "time") -> None:
-    """S11. Cells by date; with a mask the region layer is stored beside the value."""
+def write_cells(df: DataFrame, path: str, mask: DataFrame | None = None, time: str = "time", files_per_date: int = 16) -> None:
+    """S11. Cells by date; with a mask the region layer is stored beside the value.
+
+    A date is spread over at most ``files_per_date`` files by row, each sorted by cell, so that hot dates are
+    written by several tasks without leaving a file per task and date.
+    """
     if mask is not None:
         df = df.join(mask.select("row", "col", F.col("mask").alias("region_mask")), ["row", "col"], "left")
-    (df.withColumn("date", F.col(time).cast("date")).repartition("date", "row").write.mode("overwrite")
+    spread = df.withColumns({"date": F.col(time).cast("date"), "_f": F.pmod("row", F.lit(files_per_date))}).repartition("date", "_f")
+    (spread.drop("_f").sortWithinPartitions("date", "row", "col", time).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 
 
