@@ -230,8 +230,8 @@ def p20(t: Tables):
 
 
 @query("p21_period_text", """
-SELECT p_partkey, p_size * CASE p_partkey % 4 WHEN 0 THEN 60 WHEN 1 THEN 3600 WHEN 2 THEN 86400 ELSE 0 END AS seconds,
-  CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE p_size * 24 END AS hours FROM part""")
+SELECT p_partkey, CAST(p_size * CASE p_partkey % 4 WHEN 0 THEN 60 WHEN 1 THEN 3600 WHEN 2 THEN 86400 ELSE 0 END AS BIGINT) AS seconds,
+  CAST(CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE p_size * 24 END AS BIGINT) AS hours FROM part""")
 def p21(t: Tables):
     unit = F.element_at(F.array(F.lit("M"), F.lit("h"), F.lit("D"), F.lit("W")), F.pmod("p_partkey", F.lit(4)).cast("int") + 1)
     size = F.col("p_size").cast("string")
