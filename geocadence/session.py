@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,19 +27,22 @@ def build_session(master: str = "local[*]", name: str = "geocadence", shuffle_pa
     )
 
 
+_own: dict[str, str] = {}  # the folder of this process that stands in for a shared one
+
+
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach.
+    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset (tests, a laptop) a
-    temporary folder is made and recorded in the session.
+    Only on a one-process master (tests, a laptop) may the setting be missing; a folder of this process stands in for it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="geocadence-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if "root" not in _own:
+        _own["root"] = tempfile.mkdtemp(prefix="geocadence-")
+    return _own["root"]
 
 
 def scratch(spark: SparkSession, label: str) -> str:
