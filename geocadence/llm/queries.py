@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from geocadence.llm.cuckoo import duplicates
 from geocadence.llm.jaccard import similar_classes
+from geocadence.llm.mixing import mix_counts
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -22,6 +25,21 @@ def query(name: str, table: str = "documents", sql: str | None = None):
     return wrap
 
 
+@query("op3_source_mixing")
+def op3(spark, sf_dir, docs):
+    return mix_counts(docs)
+
+
+@query("op4_exact_dedup", sql=r"""
+WITH n AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
+FROM n JOIN g USING (t)""")
+def op4(spark, sf_dir, docs):
+    return duplicates(docs).withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
 @query("op7_ngram_jaccard")
 def op7(spark, sf_dir, docs):
     return similar_classes(docs)
