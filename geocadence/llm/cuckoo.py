@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geocadence.llm.tables import Batches, batch, shards_of
-from geocadence.llm.words import SPACES, as_bytes
+from geocadence.llm.words import SPACES, as_bytes, portions
 from geocadence.session import stored
 
 SLOTS, KICKS, START = 4, 200, 64
@@ -156,7 +156,7 @@ _CHANGES_DDL = "shard int, digest binary, doc_id long, rows long"
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest) per row: SHA-256 of the normalised text, null as empty."""
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in portions(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([hashlib.sha256(normalise(t)).digest() for t in as_bytes(b.column("text"))], pa.binary())], schema=_DIGESTS)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from geocadence.llm.cuckoo import duplicates
 from geocadence.llm.jaccard import similar_classes
 from geocadence.llm.mixing import mix_counts
+from geocadence.llm.packing import packed
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -40,6 +41,11 @@ def op4(spark, sf_dir, docs):
     return duplicates(docs).withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+@query("op6_best_fit_packing")
+def op6(spark, sf_dir, docs):
+    return packed(docs)
+
+
 @query("op7_ngram_jaccard")
 def op7(spark, sf_dir, docs):
     return similar_classes(docs)
