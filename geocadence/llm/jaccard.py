@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geocadence.llm.tables import Batches, batch, bitmap, components, in_bitmap, ragged
-from geocadence.llm.words import as_bytes, mix, shingle_sets
+from geocadence.llm.words import as_bytes, mix, portions, shingle_sets
 from geocadence.session import stored
 
 PERCENT, WIDTH, COMMON, SCAN_COST = 90, 3, 30, 0.2
@@ -56,13 +56,13 @@ def signature(s: np.ndarray) -> tuple[int, int]:
 
 def _describe(percent: int, width: int):
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in portions(batches):
             n, sig_a, sig_b, lows = [], [], [], []
             for s in shingle_sets(as_bytes(b.column("text"), lower=True), width):
                 x, y = signature(s)
                 n.append(len(s)), sig_a.append(x), sig_b.append(y)
                 window = len(s) if len(s) <= SMALL else 2 * int(prefix_length(len(s), 1, percent)) + 6
-                lows.append(s[:window] if len(s) >= least_linking(percent) else s[:0])
+                lows.append(s[:window].copy() if len(s) >= least_linking(percent) else s[:0])
             low = np.concatenate(lows).view(np.int64) if lows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig_a, pa.int64()), pa.array(sig_b, pa.int64()),
                                               ragged(low, [len(x) for x in lows])], schema=_META)
@@ -72,7 +72,7 @@ def _describe(percent: int, width: int):
 def _entries(percent: int, width: int, boundary: int, common: np.ndarray):
     """Keys and positions of every set: single shingles of a heavy set, 2-subsets of a light one, both near the boundary."""
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in portions(batches):
             docs, sizes, keys, ats = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             counts = []
             for doc, s in zip(b.column("doc_id").to_pylist(), shingle_sets(as_bytes(b.column("text"), lower=True), width)):
@@ -97,7 +97,7 @@ def _sets(width: int, wanted: np.ndarray):
     schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Batches) -> Batches:
-        for b in batches:
+        for b in portions(batches):
             b = b.filter(pa.array(in_bitmap(wanted, b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))))
             if b.num_rows:
                 sets = [s.tobytes() for s in shingle_sets(as_bytes(b.column("text"), lower=True), width)]
@@ -109,7 +109,7 @@ def _verify(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Batches) -> Batches:
-        for t in batches:
+        for t in portions(batches, "set_a"):
             a, b = [], []
             for x, y, s, u in zip(*(t.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b"))):
                 s, u = np.frombuffer(s, np.uint64), np.frombuffer(u, np.uint64)

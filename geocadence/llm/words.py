@@ -133,3 +133,16 @@ def as_bytes(column, lower: bool = False) -> list[bytes]:
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     out = pc.fill_null(column.cast(kind), b"").to_pylist()
     return [t.lower() for t in out] if lower else out
+
+
+def portions(batches, column: str = "text", limit: int = 4 << 20):
+    """The rows of Arrow batches in order, in parts whose ``column`` holds about ``limit`` bytes or is one row: bounds a worker's memory."""
+    import pyarrow.compute as pc
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            past = size[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(size, past + limit, "right")))
+            yield b.slice(at, end - at)
+            at = end
