@@ -31,7 +31,7 @@ from geocadence.llm.tokens import token_pieces
 from geocadence.session import stored
 
 CAPACITY, END = 2048, 0
-SCHEMES = tuple((groups, small) for groups in (64, 200) for small in (1 / 8, 1 / 4, 1 / 3, 1 / 2))  # groups of large lengths, largest small share
+SCHEMES = ((64, 1 / 4), (64, 1 / 3), (64, 1 / 2))  # groups of the large lengths, largest share of the capacity that is small
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 _PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

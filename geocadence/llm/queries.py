@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from geocadence.llm.cuckoo import duplicates
 from geocadence.llm.jaccard import similar_classes
+from geocadence.llm.kneser_ney import scored, trained
 from geocadence.llm.mixing import mix_counts
 from geocadence.llm.packing import packed
+from geocadence.llm.tables import text_hash_key
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -41,6 +43,14 @@ def op4(spark, sf_dir, docs):
     return duplicates(docs).withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+@query("op5_kneser_ney")
+def op5(spark, sf_dir, docs):
+    # without a doc_id a text is not held out
+    held_out = F.coalesce(F.pmod(text_hash_key(), F.lit(5)) == 1, F.lit(False))
+    rows = scored(docs, trained(docs.where(~held_out)))
+    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op6_best_fit_packing")
 def op6(spark, sf_dir, docs):
     return packed(docs)
