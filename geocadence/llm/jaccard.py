@@ -14,7 +14,8 @@ copies; the class id is the smallest doc_id that has the set):
 3. Of every list its smallest class is compared with each other member whose size and position allow a link: a
    star, not all pairs. Verified links give components. Members of one list that are still in different components are
    then compared pair by pair, so no link between components is lost; the inside of a component needs no more links.
-4. Pairs are verified on whole shingle sets, which are recomputed for the documents concerned.
+4. A pair first meets in sketches, the counts of a set in 128 parts of the hash range: the sum of the smaller counts is an upper bound
+   of the intersection. What passes is verified on whole shingle sets, which are recomputed for the documents concerned.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from geocadence.llm.tables import Batches, batch, bitmap, components, in_bitmap,
 from geocadence.llm.words import as_bytes, mix, portions, shingle_sets
 from geocadence.session import stored
 
-PERCENT, WIDTH, COMMON, SCAN_COST = 90, 3, 30, 0.2
+PERCENT, WIDTH, COMMON, SCAN_COST, PARTS = 90, 3, 30, 0.2, 128
 SMALL = 100  # sets up to this size are described by all their shingles
-_META = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("low", pa.list_(pa.int64()))])
+_META = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("low", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_META_DDL = "doc_id long, n long, sig_a long, sig_b long, low array<long>, sketch binary"
 _ENTRY = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))])
 
 
@@ -54,18 +56,24 @@ def signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles fall in each part of the hash range, as 16-bit counts; a full one stands for any number."""
+    edges = np.searchsorted(s, np.arange(1, PARTS, dtype=np.uint64) << np.uint64(64 - (PARTS - 1).bit_length()))
+    return np.minimum(np.diff(edges, prepend=0, append=len(s)), 0xFFFF).astype("<u2").tobytes()
+
+
 def _describe(percent: int, width: int):
     def run(batches: Batches) -> Batches:
         for b in portions(batches):
-            n, sig_a, sig_b, lows = [], [], [], []
+            n, sig_a, sig_b, lows, sketches = [], [], [], [], []
             for s in shingle_sets(as_bytes(b.column("text"), lower=True), width):
                 x, y = signature(s)
-                n.append(len(s)), sig_a.append(x), sig_b.append(y)
+                n.append(len(s)), sig_a.append(x), sig_b.append(y), sketches.append(sketch(s))
                 window = len(s) if len(s) <= SMALL else 2 * int(prefix_length(len(s), 1, percent)) + 6
                 lows.append(s[:window].copy() if len(s) >= least_linking(percent) else s[:0])
             low = np.concatenate(lows).view(np.int64) if lows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig_a, pa.int64()), pa.array(sig_b, pa.int64()),
-                                              ragged(low, [len(x) for x in lows])], schema=_META)
+                                              ragged(low, [len(x) for x in lows]), pa.array(sketches, pa.binary())], schema=_META)
     return run
 
 
@@ -105,8 +113,22 @@ def _sets(width: int, wanted: np.ndarray):
     return run
 
 
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _promising(percent: int):
+    """Pairs whose sketches allow a link."""
+    def run(batches: Batches) -> Batches:
+        for t in batches:
+            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(t.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+            most, full = np.minimum(x, y).sum(axis=1, dtype=np.int64), ((x == 0xFFFF) & (y == 0xFFFF)).any(axis=1)
+            n = t.column("n_a").to_numpy() + t.column("n_b").to_numpy()
+            keep = pa.array(full | ((100 + percent) * most >= percent * n))
+            yield pa.RecordBatch.from_arrays([t.column("a").filter(keep), t.column("b").filter(keep)], schema=_PAIR)
+    return run
+
+
 def _verify(percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Batches) -> Batches:
         for t in portions(batches, "set_a"):
@@ -116,7 +138,7 @@ def _verify(percent: int):
                 both = len(np.intersect1d(s, u, assume_unique=True))
                 if 100 * both >= percent * (len(s) + len(u) - both):
                     a.append(x), b.append(y)
-            yield batch(schema, a=a, b=b)
+            yield batch(_PAIR, a=a, b=b)
     return run
 
 
@@ -148,12 +170,15 @@ def could_link(n: Column, i: Column, m: Column, j: Column, percent: int = PERCEN
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
-    wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+def verified(pairs: DataFrame, meta: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs (a, b) that link: by their sketches, then by their whole sets."""
+    own = meta.where("doc_id IS NOT NULL").select("doc_id", "n", "sketch")
+    near = pairs.join(own.toDF("a", "n_a", "sketch_a"), "a").join(own.toDF("b", "n_b", "sketch_b"), "b")
+    near = stored(near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_promising(percent), "a long, b long").distinct(), "jaccard-near")
+    wanted = bitmap(near.select(F.explode(F.array("a", "b")).alias("id")))
     sets = stored(texts.mapInArrow(_sets(width, wanted), "doc_id long, shingles binary"), "jaccard-sets")
     left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long").distinct()
+    return near.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long").distinct()
 
 
 def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON, boundary: int | None = None) -> DataFrame:
@@ -165,7 +190,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     one chosen by cost.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    meta = stored(texts.mapInArrow(_describe(percent, width), "doc_id long, n long, sig_a long, sig_b long, low array<long>"), "jaccard-meta")
+    meta = stored(texts.mapInArrow(_describe(percent, width), _META_DDL), "jaccard-meta")
     own = meta.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(own.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class")), "jaccard-classes")
 
@@ -184,7 +209,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     shared = stored(lists.join(heads, "key"), "jaccard-shared")
     star = shared.where("class <> head").where(could_link(F.col("n"), F.col("at"), F.col("head_n"), F.col("head_at"), percent))
     star = stored(star.select(F.col("head").alias("a"), F.col("class").alias("b")).distinct(), "jaccard-star")
-    links = stored(verified(star, texts, percent, width), "jaccard-links")
+    links = stored(verified(star, meta, texts, percent, width), "jaccard-links")
 
     part = stored(components(links, "jaccard-parts"), "jaccard-part")
     placed = shared.select("key", "class", "n", "at").join(part.withColumnRenamed("id", "class"), "class", "left")
@@ -197,7 +222,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     cross = cross.select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
     cross = stored(cross.join(star, ["a", "b"], "left_anti"), "jaccard-cross")
     if not cross.isEmpty():
-        links = stored(links.unionByName(verified(cross, texts, percent, width)), "jaccard-links")
+        links = stored(links.unionByName(verified(cross, meta, texts, percent, width)), "jaccard-links")
         part = stored(components(links, "jaccard-parts"), "jaccard-part")
 
     rows = meta.select("doc_id", "n", "sig_a", "sig_b").join(classes, ["n", "sig_a", "sig_b"], "left").join(part.withColumnRenamed("id", "class"), "class", "left")
