@@ -69,41 +69,45 @@ def spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def _hash_buffer(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
-    buf = np.frombuffer(joined, np.uint8)
-    start, end = spans(buf)
+def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the spans of a byte array."""
     power, inverse = _power_tables(len(buf))
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTE[buf] * power[:len(buf)], out=total[1:])
     value = (total[end] - total[start]) * inverse[start]
-    return mix(value + (end - start).astype(np.uint64)), start
+    return mix(value + (end - start).astype(np.uint64))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, first) with the words of text i at first[i]:first[i + 1]."""
-    counts = np.zeros(len(texts) + 1, np.int64)
-    parts, held, owner, size = [], [], [], 0
-
-    def flush():
-        nonlocal size
-        if held:
-            hashes, start = _hash_buffer(b" ".join(held))
-            begins = np.cumsum([0] + [len(p) + 1 for p in held[:-1]])
-            words = np.bincount(np.searchsorted(begins, start, "right") - 1, minlength=len(owner))
-            np.add.at(counts, np.asarray(owner) + 1, words)
-            parts.append(hashes)
-            held.clear(), owner.clear()
-            size = 0
+def word_buffers(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, word starts, word ends, text of each word) for about a megabyte of texts at a time; a long text spans several."""
+    held, owner, size = [], [], 0
+
+    def joined():
+        buf = np.frombuffer(b" ".join(held), np.uint8)
+        start, end = spans(buf)
+        begins = np.cumsum([0] + [len(p) + 1 for p in held[:-1]])
+        return buf, start, end, np.asarray(owner)[np.searchsorted(begins, start, "right") - 1]
 
     for i, text in enumerate(texts):
         for part in slices(text):
-            if size + len(part) > SLICE:
-                flush()
+            if held and size + len(part) > SLICE:
+                yield joined()
+                held, owner, size = [], [], 0
             held.append(part)
             owner.append(i)
             size += len(part) + 1
-    flush()
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.cumsum(counts)
+    if held:
+        yield joined()
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, first) with the words of text i at first[i]:first[i + 1]."""
+    counts = np.zeros(len(texts) + 1, np.int64)
+    parts = [np.zeros(0, np.uint64)]
+    for buf, start, end, text in word_buffers(texts):
+        parts.append(hash_spans(buf, start, end))
+        counts[1:] += np.bincount(text, minlength=len(texts))
+    return np.concatenate(parts), np.cumsum(counts)
 
 
 def shingle_sets(texts: list[bytes], width: int = 3) -> Iterator[np.ndarray]:
