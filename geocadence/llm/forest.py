@@ -103,7 +103,11 @@ def matrix(column) -> np.ndarray:
 
 
 def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best rows of every query, ties to the smaller vec."""
+    """The k best different vectors of every query, ties to the smaller vec."""
+    order = np.lexsort((vec, query))
+    query, vec, score = query[order], vec[order], score[order]
+    new = np.concatenate([[True], (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])])[:len(query)]
+    query, vec, score = query[new], vec[new], score[new]
     order = np.lexsort((vec, -score, query))
     query, vec, score = query[order], vec[order], score[order]
     place = np.arange(len(query)) - np.searchsorted(query, query)
@@ -219,7 +223,7 @@ def leaves_for(vectors: DataFrame, forest: Forest, k: int, recall: float, total:
             vec, v = b.column("vec").to_numpy(), matrix(b.column("v"))
             score = x @ v.T
             query, row = np.repeat(np.arange(len(ids)), len(vec)), np.tile(np.arange(len(vec)), len(ids))
-            other = ids[query] != vec[row]
+            other = ids[query] != vec[row]  # vectors are distinct, so a row stands for its vector
             query, row, score = best(query[other], row[other], score.ravel()[other], k)
             yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec[row]), pa.array(score), b.column("v").take(pa.array(row))], schema=schema)
 

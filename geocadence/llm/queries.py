@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geocadence.llm import quality, toxicity
 from geocadence.llm.cuckoo import duplicates
+from geocadence.llm.forest import nearest
 from geocadence.llm.jaccard import similar_classes
 from geocadence.llm.kneser_ney import scored, trained
 from geocadence.llm.mixing import mix_counts
@@ -28,6 +30,21 @@ def query(name: str, table: str = "documents", sql: str | None = None):
     return wrap
 
 
+def held_out(parts: int, which: int):
+    """Whether a doc_id is held out; a null one is not."""
+    return F.coalesce(F.pmod(text_hash_key(), F.lit(parts)) == which, F.lit(False))
+
+
+def classified(spark, sf_dir, docs, module, parts: int, which: int):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(parts, which))
+    return module.scored(docs, module.trained(docs, labels)).select("doc_id", held_out(parts, which).alias("held_out"), "score", "predicted")
+
+
+@query("op1_quality_rules")
+def op1(spark, sf_dir, docs):
+    return classified(spark, sf_dir, docs, quality, 5, 0)
+
+
 @query("op3_source_mixing")
 def op3(spark, sf_dir, docs):
     return mix_counts(docs)
@@ -45,10 +62,8 @@ def op4(spark, sf_dir, docs):
 
 @query("op5_kneser_ney")
 def op5(spark, sf_dir, docs):
-    # without a doc_id a text is not held out
-    held_out = F.coalesce(F.pmod(text_hash_key(), F.lit(5)) == 1, F.lit(False))
-    rows = scored(docs, trained(docs.where(~held_out)))
-    return rows.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    rows = scored(docs, trained(docs.where(~held_out(5, 1))))
+    return rows.select("doc_id", held_out(5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @query("op6_best_fit_packing")
@@ -59,3 +74,13 @@ def op6(spark, sf_dir, docs):
 @query("op7_ngram_jaccard")
 def op7(spark, sf_dir, docs):
     return similar_classes(docs)
+
+
+@query("op8_projection_forest", "embeddings")
+def op8(spark, sf_dir, vectors):
+    return nearest(vectors, vectors.where("vec_id % 20 = 0").select("vec_id"))
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir, docs):
+    return classified(spark, sf_dir, docs, toxicity, 3, 1)

@@ -227,3 +227,11 @@ def scored(docs: DataFrame, classifier: Classifier, threshold: float = 0.7) -> D
             score = classifier.score(as_bytes(b.column("text"), lower=True))
             yield batch(schema, doc_id=b.column("doc_id"), score=score, predicted=(score >= threshold).astype(np.int32))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, classifier: Classifier, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    def run(batches: Batches) -> Batches:
+        for b in portions(batches):
+            yield b.filter(pa.array(classifier.score(as_bytes(b.column("text"), lower=True)) < threshold))
+    return docs.mapInArrow(run, docs.schema)
