@@ -3,14 +3,16 @@
 Two sets link when ``100 * intersection >= percent * union``. Steps, all on classes of equal sets (a copy never meets its
 copies; the class id is the smallest doc_id that has the set):
 
-1. One pass over the texts gives set size, a 128-bit signature of the set, and the ``2p + 6`` smallest shingle hashes of
-   the set (p: length of the set's prefix, see below). Shingles that occur in more than ``common`` such windows set bits of
-   a bitmap. The order of all shingles is: bit not set before bit set, then by hash. Any order gives exact results; this
+1. One pass over the texts gives set size, a 128-bit signature of the set, and the smallest shingle hashes of the set, a
+   quarter more than its prefix (see below) is long. Shingles that occur in more than ``common`` such windows set bits of
+   a bitmap. Sets that have too few others in their window to fill the prefix (large groups of near copies, texts made of
+   common passages) are then counted whole, and their common shingles set bits too. The order of all shingles is: bit not set before bit set, then by hash. Any order gives exact results; this
    one keeps lines and passages that many documents share out of the prefixes.
 2. Linked sets share at least k shingles among the first ``n - need(n) + k`` of each. A *light* set (n at most ``boundary``)
    enumerates the 2-subsets of its prefix for k = 2, a *heavy* one lists the shingles of its prefix for k = 1 in inverted
    lists; light sets near the boundary do both. The boundary minimises the rows emitted plus the list entries scanned,
-   computed from the histogram of set sizes and the measured list lengths.
+   computed from the histogram of set sizes and the measured list lengths. Keys are first counted in sorted blocks; only entries of
+   keys that more than one set may have become rows.
 3. Of every list its smallest class is compared with each other member whose size and position allow a link: a
    star, not all pairs. Verified links give components. Members of one list that are still in different components are
    then compared pair by pair, so no link between components is lost; the inside of a component needs no more links.
@@ -25,15 +27,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geocadence.llm.tables import Batches, batch, bitmap, components, in_bitmap, ragged
+from geocadence.llm.counts import counted, united
+from geocadence.llm.tables import Batches, batch, bitmap, components, in_bitmap, shard_bits
 from geocadence.llm.words import as_bytes, mix, portions, shingle_sets
 from geocadence.session import stored
 
-PERCENT, WIDTH, COMMON, SCAN_COST, PARTS = 90, 3, 30, 0.2, 128
+PERCENT, WIDTH, COMMON, SCAN_COST, PARTS, BITS = 90, 3, 30, 0.2, 128, 26
 SMALL = 100  # sets up to this size are described by all their shingles
-_META = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("low", pa.list_(pa.int64())), ("sketch", pa.binary())])
-_META_DDL = "doc_id long, n long, sig_a long, sig_b long, low array<long>, sketch binary"
-_ENTRY = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))])
+_META = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("low", pa.binary()), ("sketch", pa.binary())])
+_META_DDL = "doc_id long, n long, sig_a long, sig_b long, low binary, sketch binary"
+_ENTRY = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("single", pa.int32()), ("keys", pa.binary())])
+_ENTRY_DDL = "doc_id long, n int, single int, keys binary"
+_LIST = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("at", pa.int32())])
+_LIST_DDL = "class long, n int, key long, at int"
 
 
 def need(n, percent: int = PERCENT):
@@ -69,38 +75,98 @@ def _describe(percent: int, width: int):
             for s in shingle_sets(as_bytes(b.column("text"), lower=True), width):
                 x, y = signature(s)
                 n.append(len(s)), sig_a.append(x), sig_b.append(y), sketches.append(sketch(s))
-                window = len(s) if len(s) <= SMALL else 2 * int(prefix_length(len(s), 1, percent)) + 6
-                lows.append(s[:window].copy() if len(s) >= least_linking(percent) else s[:0])
-            low = np.concatenate(lows).view(np.int64) if lows else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig_a, pa.int64()), pa.array(sig_b, pa.int64()),
-                                              ragged(low, [len(x) for x in lows]), pa.array(sketches, pa.binary())], schema=_META)
+                lows.append(s[:_window(len(s), percent)].tobytes() if len(s) >= least_linking(percent) else b"")
+            yield batch(_META, doc_id=b.column("doc_id"), n=n, sig_a=sig_a, sig_b=sig_b, low=lows, sketch=sketches)
     return run
 
 
+def _window(n: int, percent: int) -> int:
+    p = int(prefix_length(n, 1, percent))
+    return n if n <= SMALL else p + p // 4 + 8
+
+
+def _crowded(percent: int, width: int, common: np.ndarray):
+    """Whole sets, once in a task, whose window has too few shingles that are not common to fill the prefix."""
+    schema = pa.schema([("keys", pa.binary())])
+
+    def run(batches: Batches) -> Batches:
+        seen: set[tuple[int, int]] = set()
+        for b in portions(batches):
+            rows = []
+            for s in shingle_sets(as_bytes(b.column("text"), lower=True), width):
+                n = len(s)
+                if n > SMALL and (~in_bitmap(common, s[:_window(n, percent)].view(np.int64))).sum() < prefix_length(n, 1, percent):
+                    sig = signature(s)
+                    if sig not in seen:
+                        seen.add(sig)
+                        rows.append(s.tobytes())
+            yield batch(schema, keys=rows)
+    return run
+
+
+def _keys_of(b: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(x or b"" for x in b.column(0).to_pylist()), np.uint64)
+
+
 def _entries(percent: int, width: int, boundary: int, common: np.ndarray):
-    """Keys and positions of every set: single shingles of a heavy set, 2-subsets of a light one, both near the boundary."""
+    """Keys of every set in order: the ``single`` shingles of its prefix if it is heavy, the 2-subsets if it is light, both near the boundary."""
     def run(batches: Batches) -> Batches:
         for b in portions(batches):
-            docs, sizes, keys, ats = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            counts = []
+            rows = []
             for doc, s in zip(b.column("doc_id").to_pylist(), shingle_sets(as_bytes(b.column("text"), lower=True), width)):
-                n, own = len(s), len(keys)
+                n, single, keys = len(s), 0, b""
                 if n < least_linking(percent) or doc is None:
                     continue
                 late = in_bitmap(common, s.view(np.int64))
                 s = np.concatenate([s[~late], s[late]])
                 if n > boundary or 100 * n >= percent * boundary:
-                    p = int(prefix_length(n, 1, percent))
-                    keys.append(s[:p]), ats.append(np.arange(p))
+                    single = int(prefix_length(n, 1, percent))
+                    keys = s[:single].tobytes()
                 if n <= boundary:
                     i, j = np.triu_indices(int(prefix_length(n, 2, percent)), 1)
-                    keys.append(mix(s[i] * np.uint64(3) + mix(s[j]))), ats.append(i)
-                docs.append(doc), sizes.append(n), counts.append(sum(map(len, keys[own:])))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(sizes, pa.int32()), ragged(np.concatenate(keys).view(np.int64), counts),
-                                              ragged(np.concatenate(ats).astype(np.int32), counts)], schema=_ENTRY)
+                    keys += mix(s[i] * np.uint64(3) + mix(s[j])).tobytes()
+                rows.append((doc, n, single, keys))
+            yield batch(_ENTRY, **dict(zip(_ENTRY.names, zip(*rows) if rows else [[]] * 4)))
+    return run
+
+
+def _listed(percent: int, several: np.ndarray):
+    """Entries whose key several sets may have, a row each."""
+    def run(batches: Batches) -> Batches:
+        for b in portions(batches, "keys"):
+            out = [[np.zeros(0, np.int64)] for _ in _LIST]
+            for doc, n, single, keys in zip(*(c.to_pylist() for c in b.columns)):
+                keys = np.frombuffer(keys, np.int64)
+                at = np.arange(len(keys))
+                if len(keys) > single:
+                    at[single:] = np.triu_indices(int(prefix_length(n, 2, percent)), 1)[0]
+                keep = in_bitmap(several, keys)
+                for o, x in zip(out, (np.full(keep.sum(), doc), np.full(keep.sum(), n), keys[keep], at[keep])):
+                    o.append(x)
+            yield batch(_LIST, **{f.name: np.concatenate(o).astype(f.type.to_pandas_dtype()) for f, o in zip(_LIST, out)})
     return run
 
 
+def counted_keys(rows: DataFrame, more_than: int, label: str) -> tuple[np.ndarray, int, int]:
+    """(bitmap of the keys that occur more than so often, and over the other keys that occur more than once the sum of counts and of their squares)."""
+    bits = shard_bits(rows.sparkSession)
+    schema = pa.schema([("keys", pa.binary()), ("n", pa.int64()), ("nn", pa.int64())])
+
+    def merge(group: pa.Table) -> pa.Table:
+        keys, counts = united(group)
+        some = counts[(counts > 1) & (counts <= more_than)]
+        return pa.table({"keys": pa.array([keys[counts > more_than].tobytes()], pa.binary()), "n": [int(some.sum())], "nn": [int((some**2).sum())]}, schema=schema)
+
+    def spread(batches: Batches) -> Batches:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_keys_of(b).view(np.int64))], ["key"])
+
+    blocks = counted(rows, _keys_of, lambda keys: (mix(keys) >> np.uint64(64 - bits)).astype(np.int32))
+    found = stored(blocks.groupBy("shard").applyInArrow(merge, "keys binary, n long, nn long"), label)
+    sums = found.agg(F.sum("n").alias("n"), F.sum("nn").alias("nn")).first()
+    return bitmap(found.select("keys").mapInArrow(spread, "key long"), BITS), sums.n or 0, sums.nn or 0
+
+
 def _sets(width: int, wanted: np.ndarray):
     schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 
@@ -194,15 +260,16 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     own = meta.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(own.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class")), "jaccard-classes")
 
-    seen = stored(meta.select(F.explode("low").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "jaccard-seen")
-    rare = seen.where(F.col("c") <= common).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("nn")).first()
-    late = bitmap(seen.where(F.col("c") > common).select("h"))
+    late, n, nn = counted_keys(meta.select("low"), common, "jaccard-windows")
+    crowded, _, _ = counted_keys(texts.mapInArrow(_crowded(percent, width, late), "keys binary"), common, "jaccard-crowded")
+    late = late | crowded
     if boundary is None:
-        boundary = boundary_by_cost(classes.groupBy("n").agg(F.count(F.lit(1)).alias("classes")), rare.nn / rare.n if rare.n else 1.0, percent)
+        boundary = boundary_by_cost(classes.groupBy("n").agg(F.count(F.lit(1)).alias("classes")), nn / n if n else 1.0, percent)
 
-    entries = texts.mapInArrow(_entries(percent, width, boundary, late), "doc_id long, n int, keys array<long>, at array<int>")
-    entries = entries.join(classes.select(F.col("class").alias("doc_id")).distinct(), "doc_id")
-    lists = stored(entries.select(F.col("doc_id").alias("class"), "n", F.inline(F.arrays_zip("keys", "at"))).toDF("class", "n", "key", "at"), "jaccard-lists")
+    entries = stored(texts.mapInArrow(_entries(percent, width, boundary, late), _ENTRY_DDL), "jaccard-entries")
+    several, _, _ = counted_keys(entries.select("keys"), 1, "jaccard-keys")
+    lists = entries.mapInArrow(_listed(percent, several), _LIST_DDL)
+    lists = stored(lists.join(classes.select("class").distinct(), "class"), "jaccard-lists")
 
     heads = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("head"), F.min_by("n", "class").alias("head_n"), F.min_by("at", "class").alias("head_at"))
     heads = stored(heads.where("c > 1").drop("c"), "jaccard-heads")
@@ -228,3 +295,17 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     rows = meta.select("doc_id", "n", "sig_a", "sig_b").join(classes, ["n", "sig_a", "sig_b"], "left").join(part.withColumnRenamed("id", "class"), "class", "left")
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), known.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, **settings) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of similar documents, with all their columns.
+
+    It is the row with the group's smallest doc_id. Rows without words or without a doc_id stay all.
+    """
+    groups = similar_classes(docs, percent, width, **settings)
+    keep = groups.where("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.withColumn("_words", F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull())
+    alone = rows.where("NOT _words").drop("_words")
+    first = F.row_number().over(Window.partitionBy("_id").orderBy("_id"))
+    kept = rows.where("_words").join(stored(keep, "jaccard-keep"), F.col("doc_id") == F.col("_id")).withColumn("_at", first).where("_at = 1")
+    return kept.select(*docs.columns).unionByName(alone)

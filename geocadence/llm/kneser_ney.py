@@ -26,63 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geocadence.llm.tables import Batches, batch, shards_of
+from geocadence.llm.counts import counted, united
+from geocadence.llm.tables import Batches, batch, shard_bits
 from geocadence.llm.words import as_bytes, mix, portions, word_hashes
 from geocadence.session import scratch, stored
 
 _END = np.uint64(0x7E5D1C3B9A48F607)  # stands for the end of a text among the word hashes
-_FLUSH = 4_000_000
-_BLOCK = pa.schema([("shard", pa.int32()), ("once", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
-_BLOCK_DDL = "shard int, once binary, keys binary, counts binary"
-
-
-# --- blocks of counts -------------------------------------------------------------------------------
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their summed counts."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], np.add.reduceat(counts, first)
-
-
-def blocks(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    """Sorted keys by shard; keys counted once carry no count."""
-    order = np.argsort(shard, kind="stable")
-    keys, counts, shard = keys[order], counts[order], shard[order]
-    numbers, start = np.unique(shard, return_index=True)
-    rows = []
-    for number, a, b in zip(numbers.tolist(), start, np.append(start[1:], len(shard))):
-        once = counts[a:b] == 1
-        rows.append((number, keys[a:b][once].tobytes(), keys[a:b][~once].tobytes(), counts[a:b][~once].tobytes()))
-    columns = zip(*rows) if rows else [[]] * 4
-    return batch(_BLOCK, **dict(zip(_BLOCK.names, columns)))
-
-
-def united(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    def joined(name, kind):
-        return np.concatenate([np.frombuffer(x, kind) for x in group.column(name).to_pylist()])
-    once, keys, counts = joined("once", np.uint64), joined("keys", np.uint64), joined("counts", np.int64)
-    return summed(np.concatenate([once, keys]), np.concatenate([np.ones(len(once), np.int64), counts]))
-
-
-def counted(texts: DataFrame, keys_of, shard_of) -> DataFrame:
-    """Blocks of counts of ``keys_of(texts)`` (an array of keys for a list of texts), summed per task and in parts of bounded size."""
-    def run(batches: Batches) -> Batches:
-        held, rows = [], 0
-        for b in portions(batches):
-            keys = keys_of(as_bytes(b.column("text"), lower=True))
-            held.append(summed(keys, np.ones(len(keys), np.int64)))
-            rows += len(held[-1][0])
-            if rows > _FLUSH:
-                keys, counts = summed(*map(np.concatenate, zip(*held)))
-                yield blocks(keys, counts, shard_of(keys))
-                held, rows = [], 0
-        if held:
-            keys, counts = summed(*map(np.concatenate, zip(*held)))
-            yield blocks(keys, counts, shard_of(keys))
-    return texts.select("text").mapInArrow(run, _BLOCK_DDL)
 
 
 # --- arrays in the shared folder --------------------------------------------------------------------
@@ -247,7 +196,7 @@ def trained(texts: DataFrame, folder: str | None = None, bits: int | None = None
     """A model of all rows of ``texts`` (text STRING, null as empty). ``folder``: where the arrays go, by default below the shared folder."""
     spark: SparkSession = texts.sparkSession
     folder = local_folder(folder or scratch(spark, "kneser-ney"))
-    bits = max(1, (shards_of(spark) - 1).bit_length()) if bits is None else bits
+    bits = shard_bits(spark) if bits is None else bits
     shift = np.uint64(64 - bits)
 
     def merge_words(group: pa.Table) -> pa.Table:
@@ -257,7 +206,7 @@ def trained(texts: DataFrame, folder: str | None = None, bits: int | None = None
         save(folder, f"counts-{shard}", counts)
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64())})
 
-    found = counted(texts, _with_end, lambda keys: (keys >> shift).astype(np.int32))
+    found = counted(texts.select("text"), lambda b: _with_end(as_bytes(b.column(0), lower=True)), lambda keys: (keys >> shift).astype(np.int32))
     words, tokens = [0] * (1 << bits), 0
     for r in stored(found.groupBy("shard").applyInArrow(merge_words, "shard int, n long, tokens long"), "kneser-ney-words").collect():  # a row per shard
         words[r.shard], tokens = r.n, tokens + r.tokens
@@ -319,7 +268,7 @@ def trained(texts: DataFrame, folder: str | None = None, bits: int | None = None
             return _summary(block, np.array([(stats["a"] == k).sum() for k in (1, 2, 3, 4)], np.int64).tobytes(), np.array([stats["a"].sum(dtype=np.int64)], np.int64).tobytes())
         return _summary(block, np.array([stats["f1"][0], stats["f2"][0], stats["f3"][0]], np.int64).tobytes(), b"")
 
-    found = counted(texts, pairs_of, lambda keys: (mix(keys) >> shift).astype(np.int32))
+    found = counted(texts.select("text"), lambda b: pairs_of(as_bytes(b.column(0), lower=True)), lambda keys: (mix(keys) >> shift).astype(np.int32))
     merged = found.groupBy("shard").applyInArrow(merge_pairs, "block int, number binary, a binary, f1 binary, f2 binary, f3 binary")
     ends = stored(merged.groupBy("block").applyInArrow(merge_stats, "block int, x binary, y binary"), "kneser-ney-stats").collect()  # a row per block
     model.pairs = [0] * (1 << bits)

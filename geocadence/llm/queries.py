@@ -14,7 +14,9 @@ from geocadence.llm.jaccard import similar_classes
 from geocadence.llm.kneser_ney import scored, trained
 from geocadence.llm.mixing import mix_counts
 from geocadence.llm.packing import packed
+from geocadence.llm.quotes import conversations
 from geocadence.llm.tables import text_hash_key
+from geocadence.llm.token_files import written
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -45,6 +47,36 @@ def op1(spark, sf_dir, docs):
     return classified(spark, sf_dir, docs, quality, 5, 0)
 
 
+def mailbox(turns: DataFrame) -> DataFrame:
+    """(message_id, text): the conversations as mail, every turn quoting the one before it, and that one the one before."""
+    own = turns.select("conv_id", "turn", "text")
+    before = lambda n: own.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(f"text_{n}"))
+    quoted = lambda c: F.regexp_replace(c, "(?m)^", "> ")
+    rows = own.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    whole = quoted(F.concat_ws("\n", "text_1", quoted(F.col("text_2"))))
+    text = F.when(F.col("text_1").isNull(), F.col("text")).otherwise(F.concat_ws("\n", "text", F.lit("\nOn that day they wrote:"), whole))
+    return rows.select((F.col("conv_id") * (1 << 20) + F.col("turn")).alias("message_id"), text.alias("text"))
+
+
+@query("op2_quotation_links", "conversations", sql=r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id * 1048576 + turn AS id, conv_id, turn, trim(text, chr(10)) AS text, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS body
+  FROM conversations),
+units AS (
+  SELECT id, body AS u FROM m UNION
+  SELECT id, lower(trim(regexp_replace(x, '\s+', ' ', 'g'))) FROM (SELECT id, unnest(string_split(text, chr(10))) AS x FROM m)),
+owners AS (SELECT u, min(id) AS owner FROM units GROUP BY u),
+r AS (
+  SELECT m.id, m.text, o.owner AS reply_to FROM m
+  LEFT JOIN m p ON p.conv_id = m.conv_id AND p.turn = m.turn - 1 LEFT JOIN owners o ON o.u = p.body),
+t(id, conversation, depth) AS (
+  SELECT id, id, 0 FROM r WHERE reply_to IS NULL UNION ALL
+  SELECT r.id, t.conversation, t.depth + 1 FROM r JOIN t ON r.reply_to = t.id)
+SELECT conversation, CAST(depth AS BIGINT) AS depth, id AS message_id, reply_to, text FROM t JOIN r USING (id)""")
+def op2(spark, sf_dir, turns):
+    return conversations(mailbox(turns))
+
+
 @query("op3_source_mixing")
 def op3(spark, sf_dir, docs):
     return mix_counts(docs)
@@ -81,6 +113,11 @@ def op8(spark, sf_dir, vectors):
     return nearest(vectors, vectors.where("vec_id % 20 = 0").select("vec_id"))
 
 
+@query("op9_token_files")
+def op9(spark, sf_dir, docs):
+    return written(docs)
+
+
 @query("op10_toxicity")
 def op10(spark, sf_dir, docs):
     return classified(spark, sf_dir, docs, toxicity, 3, 1)

@@ -24,6 +24,11 @@ def shards_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shard_bits(spark: SparkSession) -> int:
+    """Shards as the highest bits of a hash: at least as many as the shuffle partitions."""
+    return max(1, (shards_of(spark) - 1).bit_length())
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geocadence.llm.kneser_ney import modified_discounts, summed
+from geocadence.llm.counts import summed
+from geocadence.llm.kneser_ney import modified_discounts
 from geocadence.llm.tables import Batches, batch
 from geocadence.llm.words import as_bytes, hash_spans, portions, word_buffers
 

@@ -35,7 +35,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C13  # odd, 3 modulo 8
 _BYTE = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-_STEP = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+_STEP = mix(np.arange(101, 117, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)  # one odd factor per word of a shingle
 _tables = [_powers(_BASE, 2), _powers(pow(_BASE, -1, 1 << 64), 2)]
 
 
@@ -139,7 +139,7 @@ def as_bytes(column, lower: bool = False) -> list[bytes]:
     return [t.lower() for t in out] if lower else out
 
 
-def portions(batches, column: str = "text", limit: int = 4 << 20):
+def portions(batches, column: str | int = "text", limit: int = 4 << 20):
     """The rows of Arrow batches in order, in parts whose ``column`` holds about ``limit`` bytes or is one row: bounds a worker's memory."""
     import pyarrow.compute as pc
     for b in batches:
