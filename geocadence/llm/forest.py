@@ -37,6 +37,7 @@ class Forest:
     far: np.ndarray
     roots: np.ndarray
     first_leaf: np.ndarray  # per tree, and the number of leaves
+    sizes: np.ndarray | None = None  # vectors in each leaf
 
     def route(self, x: np.ndarray, tree: int) -> np.ndarray:
         """Leaf of every row of x in one tree."""
@@ -47,18 +48,19 @@ class Forest:
             at[moving] = np.where(side, self.near[nodes], self.far[nodes])
         return -at - 1
 
-    def leaves(self, q: np.ndarray, count: int) -> list[int]:
-        """The ``count`` leaves of smallest margin over all trees, in the order they are opened."""
-        queue = [(0.0, i, int(root)) for i, root in enumerate(self.roots)]
-        made, out = len(queue), []
-        while queue and len(out) < count:
-            margin, _, node = heapq.heappop(queue)
+    def leaves(self, q: np.ndarray, count: int, rows: int = 0) -> list[int]:
+        """The ``count`` leaves of smallest margin over all trees, in the order they are opened; more until those of one tree hold ``rows`` vectors."""
+        queue = [(0.0, i, int(root), i) for i, root in enumerate(self.roots)]
+        made, out, held = len(queue), [], [0] * len(queue)
+        while queue and (len(out) < count or max(held) < rows):
+            margin, _, node, tree = heapq.heappop(queue)
             while node >= 0:
                 side = float(self.normals[node] @ q) - float(self.cuts[node])
                 here, there = (self.near, self.far) if side <= 0 else (self.far, self.near)
-                heapq.heappush(queue, (max(margin, abs(side)), made, int(there[node])))
+                heapq.heappush(queue, (max(margin, abs(side)), made, int(there[node]), tree))
                 made, node = made + 1, int(here[node])
             out.append(-node - 1)
+            held[tree] += int(self.sizes[-node - 1]) if rows else 0
         return out
 
 
@@ -92,7 +94,7 @@ def grown(sample: np.ndarray, trees: int, leaf: int, seed: int = 8) -> Forest:
         roots.append(grow(np.arange(len(sample))))
         first.append(leaves)
     width = sample.shape[1] if sample.ndim == 2 else 0
-    return Forest(np.array(normals, np.float32).reshape(-1, width), np.array(cuts, np.float32), np.array(near, np.int64), np.array(far, np.int64), np.array(roots), np.array(first))
+    return Forest(np.array(normals, np.float32).reshape(len(normals), width), np.array(cuts, np.float32), np.array(near, np.int64), np.array(far, np.int64), np.array(roots), np.array(first))
 
 
 def matrix(column) -> np.ndarray:
@@ -137,7 +139,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
     rows = usable(vectors).withColumn("k1", F.xxhash64("v")).withColumn("k2", F.xxhash64("v", F.lit(2)))
     rows = stored(rows, "forest-rows")
     same = Window.partitionBy("k1", "k2").orderBy("vec_id")
-    few = rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).distinct()
+    few = rows.withColumn("n", F.dense_rank().over(same)).where(F.col("n") <= k + 1).distinct()
     few = stored(few, "forest-vectors")
     vectors = stored(few.where("n = 1").select(F.col("vec_id").alias("vec"), "v", "k1", "k2"), "forest-distinct")
     members = few.select("vec_id", "k1", "k2").join(vectors.select("vec", "k1", "k2"), ["k1", "k2"]).select("vec", "vec_id")
@@ -150,9 +152,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
     forest = grown(own.astype(np.float32), trees if total else 0, max(1, int(leaf * share)))
     count = leaves_for(vectors, forest, k, recall, total)
 
-    wide = int(forest.first_leaf[-1]) if total else 0
+    wide = int(forest.first_leaf[-1])
     blocks = np.arange(wide) // BLOCK
 
+    def count_rows(batches: Batches) -> Batches:
+        sizes = np.zeros(wide, np.int64)
+        for b in batches:
+            x = matrix(b.column("v")).astype(np.float32)
+            for tree in range(len(forest.roots)):
+                sizes += np.bincount(forest.route(x, tree), minlength=wide)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(sizes)), pa.array(sizes[sizes > 0])], ["leaf", "n"])
+
+    forest.sizes = np.zeros(wide, np.int64)
+    for r in vectors.select("v").mapInArrow(count_rows, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect():  # a row per leaf
+        forest.sizes[r.leaf] = r.n
+
     def place_rows(batches: Batches) -> Batches:
         for b in batches:
             x = matrix(b.column("v"))
@@ -164,7 +178,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
         for b in batches:
             x = matrix(b.column("v"))
             for i, (query, q) in enumerate(zip(b.column("vec").to_pylist(), x.astype(np.float32))):
-                opened = np.sort(forest.leaves(q, count))
+                opened = np.sort(forest.leaves(q, count, k + 1))
                 which, start = np.unique(blocks[opened], return_index=True)
                 lists = [part.tolist() for part in np.split(opened, start[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([query] * len(which), pa.int64()), pa.array(lists, pa.list_(pa.int32())), b.column("v").slice(i, 1).take(pa.array([0] * len(which)))],
