@@ -131,7 +131,7 @@ def written(docs: DataFrame, folder: str | None = None, tokenizer: str | None =
     path = tokenizer or default_tokenizer()
 
     def run(batches: Batches) -> Batches:
-        words = WordTokenizer(path)
+        words = WordTokenizer.of(path)
         kind = np.uint16 if words.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         task, shards, held, size = TaskContext.get().partitionId(), 0, [], 0
 
