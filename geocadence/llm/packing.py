@@ -38,15 +38,18 @@ _PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # --- the plan, from the number of pieces of each length ---------------------------------------------
 def grouped(counts: dict[int, int], groups: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Lengths from the longest down, cut into groups of equal cardinality: (largest length, [(length, count)])."""
+    """Lengths from the longest down, cut into groups of equal cardinality: (largest length, [(length, count)]); groups of one size are one."""
+    if len(counts) <= groups:  # nothing to round
+        return [(length, [(length, counts[length])]) for length in sorted(counts, reverse=True)]
     total = sum(counts.values())
     size, out, room = -(-total // max(1, groups)), [], 0
     for length in sorted(counts, reverse=True):
         left = counts[length]
         while left:
             if room == 0:
-                out.append((length, []))
                 room = size
+                if not out or out[-1][0] != length:
+                    out.append((length, []))
             n = min(left, room)
             out[-1][1].append((length, n))
             left, room = left - n, room - n

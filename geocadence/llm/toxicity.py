@@ -49,7 +49,7 @@ def grams(word_bytes: np.ndarray, begin: np.ndarray, order: int = ORDER) -> np.n
     """For every byte the n-gram that ends there, its bytes as one number (0 before the word)."""
     depth = np.arange(len(word_bytes)) - np.repeat(begin, np.diff(np.append(begin, len(word_bytes))))
     out = word_bytes.astype(np.int64)
-    for k in range(1, order):
+    for k in range(1, min(order, len(word_bytes))):
         out[k:] += np.where(depth[k:] >= k, word_bytes[:len(word_bytes) - k].astype(np.int64), 0) << (8 * k)
     return out
 
@@ -208,7 +208,7 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Clas
 
     rows = texts.where("half = 1").mapInArrow(describe, "label int, x array<double>").orderBy("label", "x").toArrow()  # bounded by the sample
     y = rows.column("label").to_numpy().astype(float)
-    x = np.array(rows.column("x").to_pylist()).reshape(len(y), -1)
+    x = np.array(rows.column("x").to_pylist()).reshape(len(y), 4)
     if len(np.unique(y)) < 2:  # nothing to tell apart: the score is the share of the class, or a half
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Classifier(model, np.ones(4), np.array([0, 0, 0, 0, np.log(share / (1 - share))]))
