@@ -8,8 +8,8 @@ both classes share:
 
 so an expression that neither class knows says nothing, and a rare one little. A word's evidence is its toxic minus its
 ordinary log-likelihood; a text is described by the evidence normalised by its length (mean per word) and by its strongest words, and a
-logistic function of these gives the score. It is fitted on one half of the labelled sample with models of the other
-half; the models that score use both.
+logistic function of these gives the score. It is fitted on each half of the labelled sample with models of the other half; the
+models that score use both halves.
 
 The labelled sample is bounded (``SAMPLE`` rows of a class, chosen by hash), so the models are: they travel with the tasks. What is
 scored is every word of every text.
@@ -29,7 +29,8 @@ from geocadence.llm.kneser_ney import modified_discounts
 from geocadence.llm.tables import Batches, batch
 from geocadence.llm.words import as_bytes, hash_spans, portions, word_buffers
 
-ORDER, SAMPLE, TOP = 6, 4000, 3
+ORDER, SAMPLE, THRESHOLD = 6, 4000, 0.7
+TOP = (1, 2, 4, 6)  # places of the strongest words that describe a text
 _END = 0x20
 
 
@@ -123,9 +124,9 @@ def evidence(keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Evide
 
 # --- texts ------------------------------------------------------------------------------------------
 def described(texts: list[bytes], model: Evidence) -> np.ndarray:
-    """Per text: mean evidence of its words, its strongest word, the mean of its TOP strongest, log of its length. Zeros without words."""
+    """Per text: mean evidence of its words, that of its strongest words (places TOP), log of its length. Zeros without words."""
     total, n = np.zeros(len(texts)), np.zeros(len(texts))
-    top = np.zeros((len(texts), TOP))
+    top = np.zeros((len(texts), TOP[-1]))
     for buf, start, end, text in word_buffers(texts):
         word_bytes, begin, which = distinct_words(buf, start, end)
         own = model.words(word_bytes, begin)[which] if len(which) else np.zeros(0)
@@ -133,12 +134,15 @@ def described(texts: list[bytes], model: Evidence) -> np.ndarray:
         n += np.bincount(text, minlength=len(texts))
         order = np.lexsort((-own, text))
         first = np.searchsorted(text[order], np.arange(len(texts) + 1))
-        for k in range(TOP):
+        new = np.zeros((len(texts), TOP[-1]))
+        for k in range(TOP[-1]):
             have = np.flatnonzero(first[:-1] + k < first[1:])
-            new = np.zeros(len(texts))
-            new[have] = np.maximum(own[order[first[have] + k]], 0)
-            top = -np.sort(-np.column_stack([top, new]), axis=1)[:, :TOP]
-    return np.column_stack([total / np.maximum(n, 1), top[:, 0], top.mean(1), np.log1p(n)])
+            new[have, k] = np.maximum(own[order[first[have] + k]], 0)
+        top = -np.sort(-np.concatenate([top, new], axis=1), axis=1)[:, :TOP[-1]]
+    return np.column_stack([total / np.maximum(n, 1), top[:, [k - 1 for k in TOP]], np.log1p(n)])
+
+
+FEATURES = len(TOP) + 2
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -175,8 +179,8 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     return rows.where(place < share * (1 << 20)).withColumn("half", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("half")), F.lit(2)).cast("int"))
 
 
-def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Classifier:
-    """From labelled documents: ``labels`` (doc_id, toxic) of the rows to learn from, null labels left out."""
+def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, even: float = THRESHOLD) -> Classifier:
+    """From labelled documents: ``labels`` (doc_id, toxic) of the rows to learn from, null labels left out. A text as likely toxic as not scores ``even``."""
     sample = labelled_sample(labels, "toxic", per_class)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("text", "label", "half")
     count_schema = pa.schema([("half", pa.int32()), ("label", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
@@ -198,25 +202,30 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> Clas
     counts = texts.mapInArrow(count, "half int, label int, key long, n long").groupBy("key").agg(*[n_of(h, y) for h in (0, 1) for y in (0, 1)])
     found = counts.toArrow().sort_by("key")  # bounded by the sample
     key, n00, n01, n10, n11 = (found.column(c).to_numpy() for c in ("key", "n00", "n01", "n10", "n11"))
-    part, model = evidence(key, n01, n00), evidence(key, n01 + n11, n00 + n10)
-
+    halves = evidence(key, n11, n10), evidence(key, n01, n00)  # for the first half the models of the second, and the other way round
+    model = evidence(key, n01 + n11, n00 + n10)
     feature_schema = pa.schema([("label", pa.int32()), ("x", pa.list_(pa.float64()))])
 
     def describe(batches: Batches) -> Batches:
         for b in portions(batches):
-            yield batch(feature_schema, label=b.column("label"), x=list(described(as_bytes(b.column("text"), lower=True), part)))
+            texts, half, label = as_bytes(b.column("text"), lower=True), b.column("half").to_numpy(), b.column("label").to_numpy()
+            for h in (0, 1):
+                mine = np.flatnonzero(half == h)
+                yield batch(feature_schema, label=label[mine], x=list(described([texts[i] for i in mine], halves[h])))
 
-    rows = texts.where("half = 1").mapInArrow(describe, "label int, x array<double>").orderBy("label", "x").toArrow()  # bounded by the sample
+    rows = texts.mapInArrow(describe, "label int, x array<double>").orderBy("label", "x").toArrow()  # bounded by the sample
     y = rows.column("label").to_numpy().astype(float)
-    x = np.array(rows.column("x").to_pylist()).reshape(len(y), 4)
+    x = np.array(rows.column("x").to_pylist()).reshape(len(y), FEATURES)
     if len(np.unique(y)) < 2:  # nothing to tell apart: the score is the share of the class, or a half
         share = (y.sum() + 0.5) / (len(y) + 1)
-        return Classifier(model, np.ones(4), np.array([0, 0, 0, 0, np.log(share / (1 - share))]))
+        return Classifier(model, np.ones(FEATURES), np.append(np.zeros(FEATURES), np.log(share / (1 - share))))
     scale = x.std(0) + 1e-9
-    return Classifier(model, scale, logistic_fit(x / scale, y))
+    weights = logistic_fit(x / scale, y)
+    weights[-1] += np.log(even / (1 - even))
+    return Classifier(model, scale, weights)
 
 
-def scored(docs: DataFrame, classifier: Classifier, threshold: float = 0.7) -> DataFrame:
+def scored(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, score, predicted) per row of ``docs`` (doc_id LONG, text STRING).
 
     Null and empty texts get the score of a text without words. doc_id may be null or repeat. Other columns are not read.
@@ -230,7 +239,7 @@ def scored(docs: DataFrame, classifier: Classifier, threshold: float = 0.7) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
 
-def without_toxic(docs: DataFrame, classifier: Classifier, threshold: float = 0.7) -> DataFrame:
+def without_toxic(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
     def run(batches: Batches) -> Batches:
         for b in portions(batches):
