@@ -70,6 +70,17 @@ def j9(t: Tables):
     return G.apply_weighted(_values(t), m, ["half"], ["vec_id"]).withColumn("value", r6("value"))
 
 
+@query("j9_many_neighbours", f"""
+WITH {SQL_POINTS}, {SQL_SOURCE}, {SQL_VALUES}, moved AS (SELECT vec_id, lon + (vec_id % 3 - 1) * 0.9::DOUBLE AS lon, lat + (vec_id % 5 - 2) * 0.3::DOUBLE AS lat FROM points),
+d AS (SELECT vec_id, row, col, {hav('p.lon', 'p.lat', 's.lon', 's.lat')} AS dist FROM moved p, src s),
+m AS (SELECT *, 1 / (1 + dist) AS w FROM d WHERE dist <= 150000 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, row, col) <= 20)
+SELECT half, vec_id, round(SUM(w * value) / SUM(w) + 1e-9, 6) AS value FROM m JOIN vals USING (row, col) GROUP BY half, vec_id""")
+def j9_many(t: Tables):
+    moved = _points(t).withColumns({"lon": F.col("lon") + (F.pmod("vec_id", F.lit(3)) - 1) * 0.9, "lat": F.col("lat") + (F.pmod("vec_id", F.lit(5)) - 2) * 0.3})
+    m = G.regrid_map(moved, SOURCE, k=20, radius_m=150000.0).withColumn("weight", 1 / (1 + F.col("dist_m")))
+    return G.apply_weighted(_values(t), m, ["half"], ["vec_id"]).withColumn("value", r6("value"))
+
+
 _FR, _FC = "(44.35::DOUBLE - lat) / 0.1::DOUBLE", "(lon - 7.65::DOUBLE) / 0.1::DOUBLE"
 
 

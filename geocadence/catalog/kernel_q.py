@@ -135,5 +135,5 @@ def m7(t: Tables):
         return K.score_collapsed(rows, model, FEATURES)
 
     methods = {"fx_kernel": {"kernel_type": "polynomial", "kernel_exponent": 3, "active": True}, "fx_other": {"active": False}}
-    apply, settings = K.active_method(methods, {"fx_kernel": fx_kernel})
+    apply, settings = K.Methods({"fx_kernel": fx_kernel}).active(methods)
     return apply(vectors(t), training(t), **settings).select("i", big(K.predicted_count(F.col("raw_score"))).alias("slips"))

@@ -201,16 +201,26 @@ k AS (SELECT area, MAX(time) AS k FROM d WHERE mixed GROUP BY area),
 v AS (SELECT d.*, n / 100.0::DOUBLE - 0.5 AS z0, acc / 5000.0::DOUBLE - 0.4 AS z1, value / 2 / 10000.0::DOUBLE - 0.2 AS z2, dayofyear(time) / 366.0::DOUBLE - 0.05 AS z3 FROM d LEFT JOIN k USING (area) WHERE NOT (mixed AND time <> k) AND n % 13 <> 0),
 s AS (SELECT area, time, n, SUM((y - 4.5) / 10.0 * pow(1 + z0 * x0 + z1 * x1 + z2 * x2 + z3 * x3, 3)) AS raw FROM v, vectors GROUP BY ALL),
 p AS (SELECT area, time, n, CAST(greatest(round_even(raw, 0), 0) AS BIGINT) AS c FROM s),
-q AS (SELECT *, CASE WHEN c = 0 THEN 0 WHEN c <= 2 THEN 1 WHEN c <= 5 THEN 2 WHEN c <= 13 THEN 3 ELSE 4 END AS lv FROM p)"""
+q AS (SELECT *, CASE WHEN area = 'view' THEN CASE WHEN c = 0 THEN 0 WHEN c <= 2 THEN 1 WHEN c <= 5 THEN 2 WHEN c <= 13 THEN 3 WHEN c >= 14 THEN 4 END
+  ELSE CASE WHEN c = 0 THEN 0 WHEN c <= 1 + length(area) % 3 THEN 1 WHEN c <= 4 + 2 * (length(area) % 3) THEN 2 WHEN c <= 9 + 3 * (length(area) % 3) THEN 3 WHEN c >= 10 THEN 4 END END AS lv FROM p)"""
+
+
+def _own_levels(t: Tables):
+    """Ranges that differ by area; the area ``view`` has none and takes the defaults."""
+    k = F.pmod(F.length("name"), F.lit(3))
+    none = F.lit(None).cast("int")
+    entries = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(level).alias("level"), lo.alias("lo"), hi.alias("hi")) for i, (level, lo, hi) in enumerate([
+        ("white", F.lit(0), F.lit(0)), ("green", F.lit(1), 1 + k), ("yellow", 2 + k, 4 + 2 * k), ("orange", 5 + 2 * k, 9 + 3 * k), ("red", 10 + 3 * k, none)])])
+    return t.events.select(F.col("event_type").alias("name")).distinct().where("name <> 'view'").select("name", F.inline(entries))
 
 
 def _predicted(t: Tables):
     model = collapse_model(training(t), 4, 3, maxima=_MAXIMA, means=_MEANS)
-    return PP.predict(_scenario_days(t), model)
+    return PP.predict(_scenario_days(t), model, levels=_own_levels(t))
 
 
 @query("m8_predicted_slips", f"""
-WITH {_PRED} SELECT area, CAST(time AS VARCHAR) AS time, c AS slips_pred_n, CAST(lv AS BIGINT) AS slips_pred_id, CASE lv WHEN 0 THEN 'white' WHEN 1 THEN 'green' WHEN 2 THEN 'yellow' WHEN 3 THEN 'orange' ELSE 'red' END AS slips_pred_alert_color FROM q""")
+WITH {_PRED} SELECT area, CAST(time AS VARCHAR) AS time, c AS slips_pred_n, CAST(lv AS BIGINT) AS slips_pred_id, CASE lv WHEN 0 THEN 'white' WHEN 1 THEN 'green' WHEN 2 THEN 'yellow' WHEN 3 THEN 'orange' WHEN 4 THEN 'red' END AS slips_pred_alert_color FROM q""")
 def m8(t: Tables):
     return _predicted(t).select("area", text("time").alias("time"), big("slips_pred_n").alias("slips_pred_n"), big("slips_pred_id").alias("slips_pred_id"), "slips_pred_alert_color")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from geocadence.operators.alerts import locate_points
+from geocadence.operators.grid import rasterize
 from geocadence.catalog.registry import (
     SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, query, r6,
     registry, slip_points, text,
@@ -163,15 +165,57 @@ def s9(t: Tables):
 
 
 @query("s10_polygon_text", """
-SELECT 'C' || c_custkey AS alert_area_code, v AS vertex, CAST(CASE WHEN v IN (0, 3) THEN c_custkey ELSE c_custkey + 0.5 END AS DOUBLE) AS x, CAST(CASE WHEN v < 2 THEN c_nationkey ELSE c_nationkey + 0.75 END AS DOUBLE) AS y
-FROM customer, range(0, 4) g(v)""")
+SELECT 'C' || c_custkey AS alert_area_code, r AS ring, v AS vertex,
+  CAST(CASE WHEN r = 1 THEN c_custkey + CASE WHEN v IN (0, 2) THEN 0.125 ELSE 0.25 END WHEN r = 2 THEN c_custkey - CASE WHEN v = 1 THEN 2 ELSE 1 END
+    WHEN v IN (0, 3) THEN c_custkey ELSE c_custkey + 0.5 END AS DOUBLE) AS x,
+  CAST(CASE WHEN r = 1 THEN c_nationkey + CASE WHEN v = 2 THEN 0.25 ELSE 0.125 END WHEN r = 2 THEN c_nationkey + CASE WHEN v = 2 THEN 0.875 ELSE 0 END
+    WHEN v < 2 THEN c_nationkey ELSE c_nationkey + 0.75 END AS DOUBLE) AS y
+FROM customer, range(0, 3) p(r), range(0, 4) g(v) WHERE (r = 0 OR v < 3) AND (r = 0 OR (r = 1 AND c_custkey % 2 = 0) OR (r = 2 AND c_custkey % 3 = 0))""")
 def s10(t: Tables):
+    rings = F.posexplode("rings").alias("ring", "_r")
+    rows = TB.parse_polygons(_area_texts(t), "ALLERTA").select("alert_area_code", rings).select("alert_area_code", "ring", F.posexplode("_r").alias("vertex", "v"), F.col("_r"))
+    kind = F.when((F.col("ring") == 0) | (F.size("_r") == 4), 0).when(F.col("v.x") < F.substring("alert_area_code", 2, 20).cast("double"), 2).otherwise(1)
+    return rows.select("alert_area_code", big(kind).alias("ring"), big("vertex").alias("vertex"), "v.x", "v.y")
+
+
+# position of a point in the areas of ``_area_texts``: dx, dy from the customer's corner
+SQL_IN_AREA = """((dx > 0 AND dx < 0.5 AND dy > 0 AND dy < 0.75 AND NOT (k % 2 = 0 AND dx > 0.125 AND dy > 0.125 AND dx + dy < 0.375))
+  OR (k % 3 = 0 AND dx < -1 AND dy > 0 AND dy < 0.875 * (dx + 2)))"""
+
+
+@query("j1_holes_parts", f"""
+WITH p AS (SELECT o_orderkey, o_custkey + (o_orderkey % 48 - 32) / 16.0::DOUBLE + 0.01::DOUBLE AS x, c_nationkey + (o_orderkey % 9) / 8.0::DOUBLE + 0.013::DOUBLE AS y
+  FROM orders JOIN customer ON c_custkey = o_custkey),
+m AS (SELECT o_orderkey, c_custkey AS k, x - c_custkey AS dx, y - c_nationkey AS dy FROM p JOIN customer ON c_custkey BETWEEN floor(x) AND floor(x) + 2),
+h AS (SELECT o_orderkey, 'C' || k AS code FROM m WHERE {SQL_IN_AREA})
+SELECT p.o_orderkey, code AS alert_area_code_polygon FROM p LEFT JOIN h USING (o_orderkey)""")
+def j1_holes_parts(t: Tables):
+    key = F.col("o_orderkey")
+    pts = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        key, (F.col("o_custkey") + (F.pmod(key, F.lit(48)) - 32) / 16.0 + 0.01).alias("lon"), (F.col("c_nationkey") + F.pmod(key, F.lit(9)) / 8.0 + 0.013).alias("lat"))
+    return locate_points(pts, TB.parse_polygons(_area_texts(t), "ALLERTA"), bin_deg=0.5).select("o_orderkey", "alert_area_code_polygon")
+
+
+@query("j15_holes_parts", f"""
+WITH f AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN -2 ELSE 0 END AS x0, CAST(ceil(CASE WHEN c_custkey % 3 = 0 THEN 0.875 ELSE 0.75 END / 0.07) AS INTEGER) AS n FROM customer),
+g AS (SELECT k, r, c, x0 + 0.035::DOUBLE + c * 0.07::DOUBLE AS dx, 0.035::DOUBLE + (n - 1 - r) * 0.07::DOUBLE AS dy FROM f, range(0, 13) a(r), range(0, 40) b(c) WHERE r < n)
+SELECT 'C' || k AS alert_area_code, CAST(r AS BIGINT) AS row, CAST(c AS BIGINT) AS col FROM g WHERE {SQL_IN_AREA}""")
+def j15_holes_parts(t: Tables):
+    out = rasterize(TB.parse_polygons(_area_texts(t), "ALLERTA"), 0.07)
+    return out.select("alert_area_code", big("row").alias("row"), big("col").alias("col"))
+
+
+def _area_texts(t: Tables):
+    """A rectangle per customer; every second one has a hole, every third one a second part (of several parts: MULTIPOLYGON)."""
     x0, y0 = F.col("c_custkey").cast("double"), F.col("c_nationkey").cast("double")
     pt = lambda x, y: F.concat_ws(" ", x.cast("string"), y.cast("string"))
-    ring = F.concat_ws(", ", pt(x0, y0), pt(x0 + 0.5, y0), pt(x0 + 0.5, y0 + 0.75), pt(x0, y0 + 0.75), pt(x0, y0))
-    raw = t.customer.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ALLERTA"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
-    return TB.parse_polygons(raw, "ALLERTA").select("alert_area_code", F.posexplode("ring").alias("vertex", "v")).select(
-        "alert_area_code", big("vertex").alias("vertex"), "v.x", "v.y")
+    ring = lambda *points: F.concat(F.lit("("), F.concat_ws(", ", *points, points[0]), F.lit(")"))
+    outline = ring(pt(x0, y0), pt(x0 + 0.5, y0), pt(x0 + 0.5, y0 + 0.75), pt(x0, y0 + 0.75))
+    hole = ring(pt(x0 + 0.125, y0 + 0.125), pt(x0 + 0.25, y0 + 0.125), pt(x0 + 0.125, y0 + 0.25))
+    second = ring(pt(x0 - 1, y0), pt(x0 - 2, y0), pt(x0 - 1, y0 + 0.875))
+    first = F.when(F.pmod("c_custkey", F.lit(2)) == 0, F.concat_ws(", ", outline, hole)).otherwise(outline)
+    text = F.when(F.pmod("c_custkey", F.lit(3)) == 0, F.concat(F.lit("MULTIPOLYGON (("), first, F.lit("), ("), second, F.lit("))")))
+    return t.customer.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ALLERTA"), F.coalesce(text, F.concat(F.lit("POLYGON ("), first, F.lit(")"))).alias("wkt"))
 
 
 @query("s11_grid_sink", f"""

@@ -83,6 +83,16 @@ def ring_edges(ring: Column) -> Column:
         p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")))
 
 
+def polygon_rings(columns: list[str]) -> Column:
+    """All rings of a polygon table: outlines and holes of every part in ``rings``, or the single ``ring``."""
+    return F.col("rings") if "rings" in columns else F.array("ring")
+
+
+def polygon_edges(rings: Column) -> Column:
+    """Edges of all rings. With the even-odd rule a hole is outside and a second part inside."""
+    return F.flatten(F.transform(rings, ring_edges))
+
+
 def crosses(e: Column, y: Column) -> Column:
     """Whether the horizontal line at y passes between the ends of an edge."""
     return (e["y1"] > y) != (e["y2"] > y)

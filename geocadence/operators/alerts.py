@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geocadence.functions.geo import inside, ring_edges
+from geocadence.functions.geo import inside, polygon_edges, polygon_rings
 from geocadence.functions.text import parse_range, rgba_text
 from geocadence.functions.times import calendar_parts, seconds_between
 from geocadence.model import ALERT_DEFAULTS, UNKNOWN_RGBA
@@ -18,10 +18,12 @@ def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
     A ray towards larger x from a point of the bin can only meet edges that reach the bin's latitudes and
     do not end west of it; the others are left out, so detailed outlines are not copied whole.
     """
-    p = polygons.withColumn("_all", ring_edges(F.col("ring"))).withColumns({
-        "_x0": F.array_min(F.transform("ring", lambda v: v["x"])), "_x1": F.array_max(F.transform("ring", lambda v: v["x"])),
-        "_y0": F.array_min(F.transform("ring", lambda v: v["y"])), "_y1": F.array_max(F.transform("ring", lambda v: v["y"])),
-    }).drop("ring")
+    rings = polygon_rings(polygons.columns)
+    vertices = F.flatten(rings)
+    xs, ys = F.transform(vertices, lambda v: v["x"]), F.transform(vertices, lambda v: v["y"])
+    p = polygons.withColumns({
+        "_all": polygon_edges(rings), "_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys),
+    }).drop("ring", "rings")
     b = lambda c: F.floor(F.col(c) / bin_deg)
     slack = bin_deg * 1e-6
     south, north, west = F.col("_by") * bin_deg - slack, (F.col("_by") + 1) * bin_deg + slack, F.col("_bx") * bin_deg - slack
@@ -111,16 +113,42 @@ def classify_by_area(df: DataFrame, levels: DataFrame, count: str, area: str = "
 # --- C2 / C3 -------------------------------------------------------------------------------------
 def classify_default(df: DataFrame, count: str, prefix: str = "slip_alert", ranges=None) -> DataFrame:
     """Id, colour and rgba text of a predicted count; outside every range id and colour are NULL."""
-    ranges = ranges or ALERT_DEFAULTS
+    return _described(df, count, _default_levels(ranges or ALERT_DEFAULTS), prefix)
+
+
+def classify_predicted(df: DataFrame, count: str, levels: DataFrame | None = None, prefix: str = "slip_alert", area: str = "area",
+                       name: str = "name", defaults=None) -> DataFrame:
+    """Id, colour and rgba text of a predicted count by the ranges of the row's own area.
+
+    ``levels``: (name, ord, level, lo, hi) rows, optionally with ``id`` and ``rgba``; what an area's ranges lack of these
+    is taken from the default of that level. Areas without ranges use the defaults. A missing count has no level.
+    """
+    default = _default_levels(defaults or ALERT_DEFAULTS)
+    if levels is None:
+        return _described(df, count, default, prefix)
+    usual = {level: (level_id, rgba) for level, _, _, level_id, rgba in defaults or ALERT_DEFAULTS}
+    by_level = lambda i: F.create_map(*[F.lit(x) for level, v in usual.items() for x in (level, v[i])])[F.col("level")]
+    known = levels.withColumns({
+        "id": F.coalesce(F.col("id").cast("int"), by_level(0)) if "id" in levels.columns else by_level(0),
+        "rgba": F.coalesce("rgba", by_level(1)) if "rgba" in levels.columns else by_level(1)})
+    entry = F.struct("ord", "level", F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), "id", "rgba")
+    own = known.groupBy(F.col(name).alias(area)).agg(F.array_sort(F.collect_list(entry)).alias("_own"))  # five rows per area
+    out = _described(df.join(own, area, "left"), count, F.coalesce("_own", default), prefix)
+    return out.drop("_own")
+
+
+def _default_levels(ranges) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(level).alias("level"), F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi"),
+                              F.lit(level_id).alias("id"), F.lit(rgba).alias("rgba")) for i, (level, lo, hi, level_id, rgba) in enumerate(ranges)])
+
+
+def _described(df: DataFrame, count: str, levels: Column, prefix: str) -> DataFrame:
     c = F.col(count)
-    idc = color = rgba = None
-    for level, lo, hi, level_id, text in ranges:
-        hit = c >= lo if hi is None else c.between(lo, hi)
-        idc = F.when(hit, level_id) if idc is None else idc.when(hit, level_id)
-        color = F.when(hit, level) if color is None else color.when(hit, level)
-        rgba = F.when(hit, text) if rgba is None else rgba.when(hit, text)
-    return df.withColumns({
-        f"{prefix}_id": idc, f"{prefix}_color": color, f"{prefix}_rgba": rgba.otherwise(UNKNOWN_RGBA)})
+    hit = F.get(F.filter(levels, lambda r: (r["lo"] <= c) & (r["hi"].isNull() | (c <= r["hi"]))), F.lit(0))
+    rows = df.withColumn("_hit", hit)
+    return rows.withColumns({
+        f"{prefix}_id": F.col("_hit.id"), f"{prefix}_color": F.col("_hit.level"),
+        f"{prefix}_rgba": F.coalesce(F.col("_hit.rgba"), F.lit(UNKNOWN_RGBA))}).drop("_hit")
 
 
 # --- A1 ------------------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geocadence.functions.geo import (
-    Grid, cross_x, crosses, haversine_m, mercator_lat, mercator_lon, mercator_x, mercator_y, ring_edges,
+    Grid, cross_x, crosses, haversine_m, mercator_lat, mercator_lon, mercator_x, mercator_y, polygon_edges, polygon_rings,
 )
 from geocadence.model import EARTH_RADIUS_M
 
@@ -82,7 +82,7 @@ def regrid_map(targets: DataFrame, source: Grid, k: int = 1, radius_m: float = 2
     """For each target the k nearest source cells within the radius: src_row, src_col, dist_m, rank.
 
     The candidates are the cells of a block around the target's own index. Its half-widths are
-    chosen so that k cells surely lie closer than anything outside the block; the result is exact. For
+    chosen so that the k nearest cells surely lie in it, at corners and for targets outside too; the result is exact. For
     k = 1 the best column of any row is one of the two beside the target, and the best row is the nearest
     up to the small poleward shift of the great circle.
     """
@@ -96,21 +96,20 @@ def regrid_map(targets: DataFrame, source: Grid, k: int = 1, radius_m: float = 2
             "_rows": F.sequence(clamp(centre - half, source.nrows), clamp(centre + half, source.nrows)),
             "_cols": F.array_distinct(F.array(clamp(left, source.ncols), clamp(left + 1, source.ncols)))})
         return _pick_nearest(t, targets.columns, source, k, radius_m, lon, lat)
-    side = math.ceil(math.sqrt(k))
-    dx, dy = source.least_metres_per_col(), source.metres_per_row
-    widest = source.metres_per_row  # a column is never wider than a row is high
-    reach = 0.5 * side * math.hypot(widest, dy)
-    half_c, half_r = math.ceil(reach / dx) + 1, math.ceil(reach / dy) + 1
-
-    def span(pos: Column, half: int, n: int) -> Column:
-        centre = F.least(F.greatest(F.rint(pos).cast("int"), F.lit(0)), F.lit(n - 1))
-        lo, hi = F.greatest(centre - half, F.lit(0)), F.least(centre + half, F.lit(n - 1))
-        return F.sequence(lo, hi)
-
-    t = targets.withColumns({
-        "_rows": span(source.row_pos(F.col(lat)), half_r, source.nrows),
-        "_cols": span(source.col_pos(F.col(lon)), half_c, source.ncols),
-    })
+    # around the nearest point of the grid the k nearest cells lie within ``reach``: a quarter of a disc holds them at a corner,
+    # a strip when the grid is narrower than that; a target outside the grid adds its distance from it
+    narrow, quarter = min(source.nrows, source.ncols), 2 * math.sqrt(k / math.pi) + 2
+    reach = max(quarter, k / narrow + narrow if narrow < quarter else 0) * source.metres_per_row  # a column is never wider than a row is high
+    row, col = source.row_pos(F.col(lat)), source.col_pos(F.col(lon))
+    off = lambda pos, n: F.greatest(-pos, pos - (n - 1), F.lit(0.0))
+    far = F.least(F.lit(float(radius_m)), reach + source.metres_per_row * (off(row, source.nrows) + off(col, source.ncols)))
+
+    def span(pos: Column, metres: float, n: int) -> Column:
+        lo = F.greatest(F.floor(pos - far / metres) - 1, F.lit(0)).cast("int")
+        hi = F.least(F.ceil(pos + far / metres) + 1, F.lit(n - 1)).cast("int")
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    t = targets.withColumns({"_rows": span(row, source.metres_per_row, source.nrows), "_cols": span(col, source.least_metres_per_col(), source.ncols)})
     return _pick_nearest(t, targets.columns, source, k, radius_m, lon, lat)
 
 
@@ -299,10 +298,12 @@ def rasterize(polygons: DataFrame, res: float, code: str = "alert_area_code") ->
     the inner stretches, and only their columns are generated. Edges and rows spread over the cluster; the
     outline is never copied per row.
     """
-    xs, ys = F.transform("ring", lambda v: v["x"]), F.transform("ring", lambda v: v["y"])
+    rings = polygon_rings(polygons.columns)
+    vertices = F.flatten(rings)
+    xs, ys = F.transform(vertices, lambda v: v["x"]), F.transform(vertices, lambda v: v["y"])
     p = polygons.select(
         code, F.array_min(xs).alias("_x0"), F.array_max(xs).alias("_x1"), F.array_min(ys).alias("_y0"), F.array_max(ys).alias("_y1"),
-        F.explode(ring_edges(F.col("ring"))).alias("_e"))
+        F.explode(polygon_edges(rings)).alias("_e"))
     frame = [code, "_x0", "_x1", "_y0", "_n"]
     p = p.withColumn("_n", F.ceil((F.col("_y1") - F.col("_y0")) / res).cast("int"))
     row_of = lambda y: F.col("_n") - 1 - (y - F.col("_y0") - res / 2) / res

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -160,7 +161,9 @@ def collapse_model(train: DataFrame, features: int, power: int = 3, kind: str =
     z = [F.get("x", F.lit(k)) for k in range(features)]
     exps = monomials(features, power, kind)
     row = train.agg(*[F.sum(F.col("c") * monomial_column(z, e)).alias(f"w{k}") for k, e in enumerate(exps)]).first()
-    weights = [float(row[k] or 0.0) * monomial_factor(e, power, kind) for k, e in enumerate(exps)]
+    if row[0] is None:
+        raise ValueError("the training table is empty")
+    weights = [float(row[k]) * monomial_factor(e, power, kind) for k, e in enumerate(exps)]
     return KernelModel(features, power, weights, kind, maxima or [], means or [])
 
 
@@ -170,27 +173,26 @@ def score_collapsed(df: DataFrame, model: KernelModel, features: list[str], out:
 
 
 def score_direct(df: DataFrame, train: DataFrame, keys: list[str], x: str = "x", kind: str = "polynomial",
-                 param: float = 3, out: str = "raw_score", block: int = 2048, features: int | None = None) -> DataFrame:
+                 param: float = 3, out: str = "raw_score", block: int = 2048, features: int | None = None, salt: int = 16) -> DataFrame:
     """M2, direct, for kernels without a small feature map (and as a check of the collapsed form).
 
     Training points are packed into blocks of ``block`` points (by the stored ``i``); a row meets whole
-    blocks and sums the kernel inside the row, so pairs are never emitted and no task holds the model.
+    blocks and sums the kernel inside the row, so pairs are never emitted and no task holds the model. The rows
+    that meet a block are spread over ``salt`` tasks by their key. Rows that repeat a key share its score.
     """
     packed = train.select(F.floor(F.col("i") / block).cast("int").alias("_b"), F.struct("x", "c").alias("_p")) \
         .groupBy("_b").agg(F.collect_list("_p").alias("_pts"))
-    n = train.agg(F.floor(F.max("i") / block).cast("int")).first()[0]
+    blocks = sorted(r[0] for r in packed.select("_b").collect())  # one number per ``block`` training points
+    salts = F.array(*[F.lit(i) for i in range(salt)])
+    met = df.withColumns({"_b": F.explode(F.array(*[F.lit(b) for b in blocks]).cast("array<int>")), "_s": F.pmod(F.xxhash64(*keys), F.lit(salt)).cast("int")})
     part = F.aggregate("_pts", F.lit(0.0), lambda s, p: s + p["c"] * kernel_value(F.col(x), p["x"], kind, param, features))
-    met = df.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(int(n or 0)))))
-    scored = met.join(packed, "_b", "inner").withColumn("_s", part)
-    if not n:
-        return scored.drop("_b", "_pts").withColumnRenamed("_s", out)
-    total = scored.groupBy(*keys).agg(F.sum("_s").alias(out))
-    return df.join(total, keys, "left")
+    scored = met.join(packed.withColumn("_s", F.explode(salts)), ["_b", "_s"]).select(*keys, part.alias(out))
+    return df.join(scored.groupBy(*keys).agg(F.sum(out).alias(out)), keys, "left")
 
 
 def predicted_count(raw: Column) -> Column:
-    """Half-even rounding, negatives to 0, integer."""
-    return F.greatest(F.rint(raw), F.lit(0.0)).cast("int")
+    """Half-even rounding, negatives to 0, integer; a missing score has no count."""
+    return F.when(raw < 0, F.lit(0.0)).otherwise(F.rint(raw)).cast("int")
 
 
 # --- M4 ------------------------------------------------------------------------------------------
@@ -363,13 +365,17 @@ def project_components(df: DataFrame, pc: Components, x: str = "x", prefix: str
 
 
 # --- M7 / F3 -------------------------------------------------------------------------------------
-def active_method(methods: dict[str, dict], registry: dict):
-    """The one method marked ``active`` with its remaining settings."""
-    chosen = [(k, dict(v)) for k, v in methods.items() if v.get("active")]
-    if len(chosen) != 1:
-        raise ValueError(f"exactly one method must be active, found {len(chosen)}")
-    name, settings = chosen[0]
-    settings.pop("active")
-    if name not in registry:
-        raise NotImplementedError(f"method {name!r} is not known")
-    return registry[name], settings
+@dataclass(frozen=True)
+class Methods:
+    """Prediction methods by name."""
+
+    functions: dict[str, Callable]
+
+    def active(self, settings: dict[str, dict]) -> tuple[Callable, dict]:
+        """The function of the one method whose settings are marked ``active``, and its other settings."""
+        on = [name for name, own in settings.items() if own.get("active")]
+        if len(on) != 1:
+            raise ValueError(f"exactly one method must be active, found {sorted(on)}")
+        if on[0] not in self.functions:
+            raise NotImplementedError(f"method {on[0]!r} is not among {sorted(self.functions)}")
+        return self.functions[on[0]], {k: v for k, v in settings[on[0]].items() if k != "active"}

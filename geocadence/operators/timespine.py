@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import re
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,24 +48,18 @@ def run_window(runs: DataFrame, obs: int = 1, frc: int = 0, freq: str = "h",
     """
     obs, frc = max(int(obs), 0), max(int(frc), 0)
     run = _floor(ntz("run"), freq)
-    if obs > 0:
-        start = run - _steps(F.lit(obs - 1), freq)
-    else:
-        start = run + _steps(F.lit(1 if frc > 0 else 0), freq)
-    end = run + _steps(F.lit(frc), freq)
-
-    fixed = {"fixed_start", "fixed_end"} <= set(runs.columns)
-    if fixed:
-        both = F.col("fixed_start").isNotNull() & F.col("fixed_end").isNotNull()
-        wrong = both & (ntz("fixed_end") < ntz("fixed_start"))
-        start = F.when(both, _ceil(ntz("fixed_start"), freq)).otherwise(start)
-        end = (
-            F.when(wrong, F.raise_error(F.lit("fixed_end must not precede fixed_start")).cast("timestamp_ntz"))
-            .when(both, _floor(ntz("fixed_end"), freq)).otherwise(end)
-        )
-    start, end = _SNAP[snap_start](start), _SNAP[snap_end](end)
+    first = 1 - obs if obs else min(frc, 1)  # steps from the run to the first and the last of the window
+    bounds = [run + _steps(F.lit(n), freq) for n in (first, frc)]
+    fixed = F.lit(False)
+    if {"fixed_start", "fixed_end"} <= set(runs.columns):
+        low, high = ntz("fixed_start"), ntz("fixed_end")
+        fixed = low.isNotNull() & high.isNotNull()
+        refused = F.raise_error(F.lit("fixed_end must not precede fixed_start")).cast("timestamp_ntz")
+        given = (_ceil(low, freq), F.when(high < low, refused).otherwise(_floor(high, freq)))
+        bounds = [F.when(fixed, g).otherwise(b) for g, b in zip(given, bounds)]
+    start, end = _SNAP[snap_start](bounds[0]), _SNAP[snap_end](bounds[1])
     end = F.greatest(end, start)
-    time_run = F.when(both, _floor(end, freq)).otherwise(run) if fixed else run
+    time_run = F.when(fixed, _floor(end, freq)).otherwise(run)
     return runs.withColumns({"time_run": time_run, "window_start": start, "window_end": end})
 
 
@@ -182,37 +177,17 @@ def fill_missing_days(df: DataFrame, keys: list[str], time: str = "time", start:
     spine = day_spine(df, keys, time, start, end, bounds)
     data = df.withColumn(time, F.col(time).cast("date")).withColumn("_present", F.lit(True))
     joined = spine.join(data, [*keys, time], "full_outer")  # days of the data outside the bounds stay
-    gap = F.col("_present").isNull()
-    iso = F.col(time).cast("string")
-    next_iso = F.date_add(F.col(time), 1).cast("string")
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if f.name in keys:
-            out.append(c)
-            continue
-        if f.name == time:
-            out.append(iso.alias(time))
-            continue
-        kind = f.dataType.typeName()
-
-        def ends(s, name=f.name):
-            return name == s or name.endswith("_" + s)
-
-        if ends("time_run"):
-            fill = iso
-        elif ends("time_start"):
-            fill = F.concat(iso, F.lit(" 01:00"))
-        elif ends("time_end"):
-            fill = F.concat(next_iso, F.lit(" 00:00"))
-        elif kind in ("byte", "short", "integer", "long", "float", "double", "decimal"):
-            fill = F.lit(no_number)
-        elif kind == "string":
-            fill = F.lit(no_text)
-        else:
-            fill = F.lit(None)
-        out.append(F.when(gap, fill.cast(f.dataType)).otherwise(c).alias(f.name))
-    return joined.select(*out)
+    day, next_day = F.col(time).cast("string"), F.date_add(F.col(time), 1).cast("string")
+    by_name = {"run": day, "start": F.concat(day, F.lit(" 01:00")), "end": F.concat(next_day, F.lit(" 00:00"))}
+    by_kind = {"string": F.lit(no_text)} | dict.fromkeys(("byte", "short", "integer", "long", "float", "double", "decimal"), F.lit(no_number))
+
+    def value(f) -> Column:
+        named = re.search(r"(?:^|_)time_(run|start|end)$", f.name)
+        marker = by_name[named[1]] if named else by_kind.get(f.dataType.typeName(), F.lit(None))
+        return F.when(F.col("_present").isNull(), marker.cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+
+    fields = [F.col(f"`{f.name}`") if f.name in keys else day.alias(time) if f.name == time else value(f) for f in df.schema.fields]
+    return joined.select(*fields)
 
 
 # --- T4 ------------------------------------------------------------------------------------------
@@ -235,20 +210,17 @@ def analysis_period(time_start=None, time_end=None, time_period: int | None = No
 
     ``"ref_data"`` for both bounds means the range of the data. The reference is rounded to the step.
     """
-    from datetime import timedelta
     step = timedelta(days=1) if freq == "d" else timedelta(hours=1)
-    if time_start == "ref_data" and time_end == "ref_data":
+    if time_start == time_end == "ref_data":
         return "ref_data"
-    if time_period is not None and time_reference is not None:
-        ref = _round_half_even(time_reference, step)
-        return ref - (time_period - 1) * step, ref
-    if time_start is not None and time_end is not None:
-        return time_start, time_end
-    if time_start is not None and time_period is not None:
-        return time_start, time_start + (time_period - 1) * step
-    if time_end is not None and time_period is not None:
-        return time_end - (time_period - 1) * step, time_end
-    return None
+    reach = None if time_period is None else (time_period - 1) * step
+    reference = None if time_reference is None or reach is None else _round_half_even(time_reference, step)
+    ahead = lambda t: None if t is None or reach is None else t + reach
+    back = lambda t: None if t is None or reach is None else t - reach
+    ranked = [(back(reference), reference)]
+    ranked.append((time_start, time_end) if None not in (time_start, time_end) else (time_start, ahead(time_start)))
+    ranked.append((back(time_end), time_end))
+    return next((bounds for bounds in ranked if None not in bounds), None)
 
 
 def _round_half_even(t: datetime, step) -> datetime:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geocadence.model import KERNEL_FEATURES, PREDICTOR_KINDS
-from geocadence.operators.alerts import classify_default
+from geocadence.operators.alerts import classify_predicted
 from geocadence.operators.kernel import KernelModel, feature_columns, predicted_count, score_collapsed
 from geocadence.operators.project import drop_invalid, rename_fields
 from geocadence.operators.scenario import fill_by_kinds
@@ -15,18 +15,18 @@ from geocadence.operators.timespine import within_period
 
 
 def predict(scenarios: DataFrame, model: KernelModel, area: str = "area", period=None, keep: str = "last",
-            features=KERNEL_FEATURES) -> DataFrame:
+            features=KERNEL_FEATURES, levels: DataFrame | None = None) -> DataFrame:
     """Scenario rows with ``slips_pred_n`` and its level, for all areas in one plan.
 
     Only the newest mixed row of an area is used, rows lacking a rain or soil-moisture value drop, each
-    row is scored on its own key.
+    row is scored on its own key and classified by the ranges of its area (``levels``, the defaults for areas without).
     """
     df = within_period(scenarios, period)
     df = keep_one_mixed(df, [area], ["rain_period_type", "sm_period_type"], keep=keep)
     df = drop_invalid(df).withColumn("day_of_the_year", F.dayofyear("time"))
     scored = score_collapsed(df, model, feature_columns(df, features))
     scored = scored.withColumn("slips_pred_n", predicted_count(F.col("raw_score"))).drop("raw_score")
-    out = classify_default(scored, "slips_pred_n", "slips_pred")
+    out = classify_predicted(scored, "slips_pred_n", levels, "slips_pred", area)
     return out.withColumnsRenamed({"slips_pred_color": "slips_pred_alert_color", "slips_pred_rgba": "slips_pred_alert_rgb"})
 
 

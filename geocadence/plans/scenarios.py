@@ -22,6 +22,9 @@ def build_scenarios(rain: DataFrame, sm: DataFrame, slips: DataFrame, reference:
 
     rain and sm hold one row per (area, time, run_time); slips one row per (area, time).
     """
+    for name, rows in (("rain", rain), ("soil moisture", sm)):
+        if rows.isEmpty():
+            raise ValueError(f"there are no {name} indicators")
     chosen = best_run_per_day(rain, sm, slips, reference, area, run)
     keys = [area, "time"]
     rain = newest_run_wins(select_run_rows(rain, chosen, area, run), keys, run, tag="rain_latest_from", tag_keys=(area,))

@@ -162,9 +162,9 @@ PREDICTOR_NAMES = {
 }
 
 
-def predictor_stage(spark: SparkSession, store: Store, model: KernelModel, period=None) -> None:
-    """``predictors``: predicted counts and levels per area and day, gaps written with markers."""
+def predictor_stage(spark: SparkSession, store: Store, model: KernelModel, period=None, levels: DataFrame | None = None) -> None:
+    """``predictors``: predicted counts and levels per area and day, by each area's ranges; gaps written with markers."""
     scenarios = rename_fields(store.read(spark, "scenarios"), SCENARIO_NAMES)
     scenarios = scenarios.withColumn("time", F.col("time").cast("date"))
-    table = predictor_table(predict(quantised(scenarios, 3), model, period=period), names=PREDICTOR_NAMES)
+    table = predictor_table(predict(quantised(scenarios, 3), model, period=period, levels=levels), names=PREDICTOR_NAMES)
     store.write(table, "predictors", "area")

@@ -115,14 +115,21 @@ def parse_stations(raw: DataFrame, scale: float = 10.0, at: Column | None = None
 
 # --- S10 -----------------------------------------------------------------------------------------
 def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str = "alert_area_code") -> DataFrame:
-    """Outer rings from POLYGON text (EPSG:4326) as array<struct<x,y>>, without the closing vertex."""
-    inner = F.regexp_extract(F.col(wkt), r"\(\(([^()]*)\)", 1)
-    ring = F.transform(F.split(inner, r"\s*,\s*"), lambda s: F.struct(
-        F.get(F.split(F.trim(s), r"\s+"), F.lit(0)).cast("double").alias("x"),
-        F.get(F.split(F.trim(s), r"\s+"), F.lit(1)).cast("double").alias("y")))
-    return raw.select(F.col(code).alias(out_code), ring.alias("_ring")).select(
-        out_code, F.when((F.size("_ring") > 1) & (F.element_at("_ring", 1) == F.element_at("_ring", -1)),
-                         F.slice(F.col("_ring"), F.lit(1), F.size("_ring") - 1)).otherwise(F.col("_ring")).alias("ring"))
+    """(code, rings) from POLYGON or MULTIPOLYGON text (EPSG:4326).
+
+    ``rings`` holds every outline and hole of every part as array<struct<x,y>>, without the closing vertex.
+    """
+    def vertex(s):
+        xy = F.split(F.trim(s), r"\s+")
+        return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
+
+    def opened(ring):
+        closed = (F.size(ring) > 1) & (F.element_at(ring, 1) == F.element_at(ring, -1))
+        return F.when(closed, F.slice(ring, F.lit(1), F.size(ring) - 1)).otherwise(ring)
+
+    texts = F.regexp_extract_all(F.col(wkt), F.lit(r"\(([^()]+)\)"), F.lit(1))
+    rings = F.transform(texts, lambda t: opened(F.transform(F.split(t, r"\s*,\s*"), vertex)))
+    return raw.select(F.col(code).alias(out_code), rings.alias("rings"))
 
 
 # --- S15 -----------------------------------------------------------------------------------------

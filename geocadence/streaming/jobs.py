@@ -47,11 +47,11 @@ def run_hourly_means(stream: DataFrame, late: str, path: str, checkpoint: str, *
 
 # --- R2 ------------------------------------------------------------------------------------------
 def sliding_sums(stream: DataFrame, late: str, hours: int, **kw) -> DataFrame:
-    """Sums of the hourly means over the last N hours, only where all N hours are present."""
+    """Sums of the hourly means over the last N hours, only where all N hours have one."""
     hourly = hourly_means(stream, late, **kw)
     return (
         hourly.groupBy(F.window(F.window_time("w"), f"{hours} hours", "1 hour").alias("s"), "area")
-        .agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("steps"))
+        .agg(F.sum("value").alias("value"), F.count("value").alias("steps"))
         .filter(F.col("steps") == hours)
     )
 

@@ -101,6 +101,6 @@ def test_features_and_methods(spark):
     with pytest.raises(ValueError):
         K.feature_columns(d)
     with pytest.raises(ValueError):
-        K.active_method({"a": {"active": True}, "b": {"active": True}}, {})
+        K.Methods({}).active({"a": {"active": True}, "b": {"active": True}})
     with pytest.raises(NotImplementedError):
-        K.active_method({"a": {"active": True}}, {})
+        K.Methods({}).active({"a": {"active": True}})
