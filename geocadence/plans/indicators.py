@@ -9,15 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geocadence.functions.times import hour_index
 from geocadence.model import OBSERVED, RAIN_WINDOWS
 from geocadence.operators.grid import cell_weights, regrid_map
-from geocadence.operators.series import (
-    area_mean, circle_maxima, peak_metrics, rolling_within, series_metrics,
-)
+from geocadence.operators.series import area_mean, peak_metrics, rolling_within
 from geocadence.operators.timespine import period_hours
 
 TILE = 16  # cells per side of a tile
@@ -39,22 +37,27 @@ def source_circles(members: DataFrame, mapping: DataFrame, target=("trow", "tcol
     )
 
 
-def numbered(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """Small table (number, keys): a 64-bit number per key, checked to be unique when it is used.
+def period_number(keys: list[str]) -> Column:
+    """A 64-bit number per period; hourly rows carry it through their shuffles instead of the names behind it."""
+    return F.xxhash64(*keys)
 
-    Hourly rows carry the number through their shuffles instead of the names behind it.
+
+def cell_use(weights: DataFrame, circles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each source cell feeds: (row, col, _use) with an entry (number, n) per circle (n NULL) and per area (n its weight).
+
+    Second, the small table of the numbers: (_u, area, circle).
     """
-    names = F.struct(*keys)
-    return df.select(*keys).distinct().groupBy(F.xxhash64(*keys).alias(number)).agg(
-        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"two keys share one {number}")).cast("boolean")).alias("_clash"),
-        F.any_value(names).alias("_k"),
-    ).filter("_clash IS NULL").select(number, "_k.*")
+    feeds = circles.select("row", "col", "area", "point_id", F.lit(None).cast("long").alias("n"), F.lit(True).alias("circle")).unionByName(
+        weights.select("row", "col", "area", F.lit(None).cast(circles.schema["point_id"].dataType).alias("point_id"), F.col("n").cast("long").alias("n"), F.lit(False).alias("circle")))
+    number = F.xxhash64("area", "point_id", "circle")
+    use = feeds.groupBy("row", "col").agg(F.collect_list(F.struct(number.alias("_u"), "n")).alias("_use"))
+    return use, feeds.select(number.alias("_u"), "area", "circle").distinct()
 
 
 def assign_periods(cells: DataFrame, periods: DataFrame, keys: list[str]) -> DataFrame:
     """Each reading once per period it falls in, as (_p, _h, row, col, value); an equi-join on the hour."""
     steps = period_hours(periods, keys).select(
-        F.xxhash64(*keys).alias("_p"), "time", hour_index(F.col("time")).cast("int").alias("_h"))
+        period_number(keys).alias("_p"), "time", hour_index(F.col("time")).cast("int").alias("_h"))
     return cells.join(steps, "time", "inner").select("_p", "_h", "row", "col", "value")
 
 
@@ -72,38 +75,42 @@ def rain_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame, ci
     keys = [*run_keys, "period_tag"]
     base = assign_periods(cells, periods, keys)
 
-    # cells -> rolling sums -> circle maxima -> peaks. Each cell carries the numbers of its (few) circles
-    # through the window, so there is one join; cells without a circle drop there. Rows are spread by period
-    # and tile, which lets the maxima of a circle be combined before the shuffle.
-    circle_numbers = numbered(circles, ["area", "point_id"], "_c")
-    lists = circles.groupBy("row", "col").agg(F.collect_list(F.xxhash64("area", "point_id")).alias("_in"))
-    fed = base.join(lists, ["row", "col"], "inner").withColumns({
+    # Cells are read, joined and shuffled once. Each carries the numbers of the (few) circles and areas it feeds through the
+    # window of its rolling sums. Rows are spread by period and tile, so that the maxima of a circle and the weighted
+    # sums of an area are combined before their shuffle.
+    use, numbers = cell_use(weights, circles)
+    fed = base.join(use, ["row", "col"], "inner").withColumns({
         "_tr": F.floor(F.col("row") / TILE).cast("int"), "_tc": F.floor(F.col("col") / TILE).cast("int")})
     tile = ["_p", "_tr", "_tc"]
     sums = rolling_within(fed, [*tile, "row", "col"], widths, "value", "_h", prefix="s", spread=tile)
     names = [f"s_{w}" for w in widths]
-    members = sums.select("_p", "_h", *names, F.explode("_in").alias("_c"))
-    points = circle_maxima(members, ["_p", "_h"], names, "_c").join(circle_numbers.select("_c", "area"), "_c", "inner")
-    peaks = peak_metrics(points, ["area", "_p"], names, [f"rain_peak_{w}H" for w in widths], time="_h", strict=strict)
-
-    # cells -> weighted area mean -> rolling sum and mean -> metrics
-    series = area_mean(base.join(weights, ["row", "col"], "inner"), ["area", "_p", "_h"], weight="n")
-    rolled = rolling_within(series, ["area", "_p"], widths, "value", "_h", prefix="acc")
-    aggs = []
+    fields = sums.select("_p", "_h", "value", *names, F.inline("_use"))
+    weight = F.when(F.col("value").isNotNull(), F.col("n"))
+    hourly = fields.groupBy("_p", "_h", "_u").agg(
+        *[F.max(F.when(F.col("n").isNull(), F.col(s))).alias(s) for s in names], (F.sum(F.col("value") * weight) / F.sum(weight)).alias("value"))
+    hourly = hourly.join(numbers, "_u", "inner")
+
+    # One more window: rolling sums of the area means. A circle is a series of its own there, whose sums nobody reads.
+    rolled = rolling_within(hourly, ["area", "_p", "_u"], widths, "value", "_h", prefix="acc", spread=["area", "_p"])
+    aggs, circle = [], F.col("circle")
     for w in widths:
-        mean = F.col(f"acc_{w}") / w
+        total = F.when(~circle, F.col(f"acc_{w}"))
+        peak = F.when(circle, F.col(f"s_{w}"))
         aggs += [
-            F.avg(mean).alias(f"rain_average_{w}H:avg"), F.max(mean).alias(f"rain_average_{w}H:max"),
-            F.min(mean).alias(f"rain_average_{w}H:min"),
-            F.max(f"acc_{w}").alias(f"rain_accumulated_{w}H:max"), F.min(f"acc_{w}").alias(f"rain_accumulated_{w}H:min"),
-        ]
-    rows = rolled.groupBy("area", "_p").agg(*aggs).join(peaks, ["area", "_p"], "left")
+            F.avg(total / w).alias(f"rain_average_{w}H:avg"), F.max(total / w).alias(f"rain_average_{w}H:max"),
+            F.min(total / w).alias(f"rain_average_{w}H:min"),
+            F.max(total).alias(f"rain_accumulated_{w}H:max"), F.min(total).alias(f"rain_accumulated_{w}H:min"),
+        ] + ([] if strict else [F.max(peak).alias(f"rain_peak_{w}H:max"), F.avg(peak).alias(f"rain_peak_{w}H:avg")])
+    rows = rolled.groupBy("area", "_p").agg(F.count_if(~circle).alias("_hours"), *aggs).where("_hours > 0").drop("_hours")
+    if strict:
+        points = hourly.where("circle").select("area", "_p", "_h", *names)
+        rows = rows.join(peak_metrics(points, ["area", "_p"], names, [f"rain_peak_{w}H" for w in widths], time="_h", strict=True), ["area", "_p"], "left")
     return _side_windows(_with_period_fields(rows, periods, keys), windows, widths)
 
 
 def _with_period_fields(rows: DataFrame, periods: DataFrame, keys: list[str]) -> DataFrame:
-    fields = [*keys, *[c for c in PERIOD_FIELDS if c not in keys]]
-    return rows.join(numbered(periods, keys, "_p"), "_p", "inner").drop("_p").join(periods.select(*fields), keys, "inner")
+    fields = periods.select(period_number(keys).alias("_p"), *keys, *[c for c in PERIOD_FIELDS if c not in keys])
+    return rows.join(fields, "_p", "inner").drop("_p")
 
 
 def _side_windows(df: DataFrame, windows: dict[str, tuple[int, ...]], widths: list[int]) -> DataFrame:
@@ -134,7 +141,3 @@ def sm_indicators(cells: DataFrame, periods: DataFrame, weights: DataFrame,
 def append_periods(tables: list[DataFrame]) -> DataFrame:
     """U2. Indicator rows of several periods or runs in one table."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
-
-
-def metrics_by_area(series: DataFrame, keys: list[str], metrics=("avg", "max", "min", "first", "last")) -> DataFrame:
-    return series_metrics(series, keys, "value", metrics)

@@ -58,3 +58,9 @@ def test_collapsed_score_has_no_join_and_no_shuffle(spark):
 def test_fixed_map_needs_no_join(spark):
     plan = plan_of(QUERIES["j8_nearest_regrid_map"](spark, SF))
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_rain_indicators_read_the_cells_once(spark):
+    plan = plan_of(QUERIES["a5_rain_indicators"](spark, SF))
+    assert len(re.findall(r"FileScan parquet.*events\.parquet", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 8
