@@ -232,13 +232,15 @@ def f2(t: Tables):
 
 @query("p26_run_label", """
 WITH f AS (SELECT event_id, ts, event_id % 5 AS k FROM events)
-SELECT event_id, CASE WHEN k < 3 THEN strftime(ts, '%H:%M') END AS label, CASE WHEN k <> 4 THEN strftime(ts, '%H:%M') END AS from_json, strftime(ts, '%H:%M') AS from_name FROM f""")
+SELECT event_id, CASE WHEN k < 3 THEN strftime(ts, '%H:%M') END AS label, CASE WHEN k <> 4 OR event_id % 2 = 0 THEN strftime(ts, '%H:%M') END AS from_json, strftime(ts, '%H:%M') AS from_name FROM f""")
 def p26(t: Tables):
     k = F.pmod("event_id", F.lit(5))
     s = F.substring(F.col("ts").cast("string"), 12, 8)
     raw = F.when(k == 0, F.regexp_replace(F.substring(s, 1, 5), ":", "")).when(k == 1, F.substring(s, 1, 5)).when(k == 2, s) \
         .when(k == 3, F.lit("25:71")).otherwise(F.lit("noon"))
-    doc = F.when(k == 4, F.lit('{"a": 1}')).when(k < 2, F.concat(F.lit('{"run_time": "'), s, F.lit('"}'))) \
+    deep = F.concat(F.lit('{"a": 1, "b": [2, {"c": '), F.when(F.pmod("event_id", F.lit(2)) == 0, F.lit('{"run_time": "')).otherwise(F.lit('[{"run_time": "')), s,
+                    F.when(F.pmod("event_id", F.lit(2)) == 0, F.lit('"}}]}')).otherwise(F.lit('"}]}]}')))  # at the third and at the fourth level
+    doc = F.when(k == 4, deep).when(k < 2, F.concat(F.lit('{"run_time": "'), s, F.lit('"}'))) \
         .otherwise(F.concat(F.lit('{"timing": {"run_time": "'), s, F.lit('"}}')))
     name = F.concat(F.lit("/r/info_run_20240101_"), F.regexp_replace(F.substring(s, 1, 5), ":", ""), F.lit(".json"))
     return t.events.select("event_id", X.run_label(raw).alias("label"), X.run_label_from_json(doc).alias("from_json"), X.run_label_from_name(name).alias("from_name"))

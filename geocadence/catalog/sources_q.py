@@ -27,7 +27,7 @@ def s1(t: Tables):
         F.col("id").cast("string").alias("id_frana"), dmy.alias("data"), (F.col("custkey") / 4.0).alias("lon"), F.lit("x").alias("provincia"),
         F.concat(F.lit("Città "), F.col("alert_area_code")).alias("comune"), F.col("alert_area_code").alias("ALLERTA"),
     ).write.csv(path, sep=";", header=True, encoding="ISO-8859-1")
-    schema = "id_frana string, data string, lon double, provincia string, comune string, ALLERTA string"
+    schema = "id_frana string, data string, lon double, lat double, comune string, ALLERTA string"  # the file has one more and lacks one
     return TB.read_delimited(t.spark, path, schema, {
         "id": "id_frana", "time": "data", "longitude": "lon", "latitude": "lat", "amm_level_1": None, "amm_level_2": "comune", "alert_area_code": "ALLERTA"})
 
@@ -36,11 +36,11 @@ def s1(t: Tables):
 WITH {SQL_AREA_DAYS} SELECT CAST(time AS VARCHAR) AS time, area AS domain, value AS rain_peak_3H, n AS "rain_accumulated_12H:max", 'obs' AS rain_mode FROM area_days""")
 def s2(t: Tables):
     path = scratch(t.spark, "s2")
-    area_days(t).select(text("time").alias("time"), F.col("area").alias("domain"), F.col("value").alias("peak"), F.col("n").alias("acc"), F.lit("u").alias("junk")) \
+    area_days(t).select(text("time").alias("time"), F.col("area").alias("domain"), F.col("value").alias("peak_3H"), F.col("n").alias("acc"), F.lit("u").alias("junk")) \
         .write.csv(path, sep=";", header=True)
     out = TB.read_indicator_rows(
-        t.spark, path, "time string, domain string, peak double, acc bigint, junk string",
-        {"time": "time", "domain": "domain", "peak_3H": "peak", "{:}_accumulated_12H:max": "acc", "junk": None},
+        t.spark, path, "time string, domain string, peak_3H double, acc bigint, junk string",
+        {"time": "time", "domain": "domain", ":": "peak_3H", "{:}_accumulated_12H:max": "acc", "junk": None},
         prefix="rain", allowed=("rain", "sm"), extra={"rain_mode": "obs", "rain_peak_3H": 0.0}, required=("time", "domain"))
     return out
 

@@ -151,9 +151,19 @@ def run_label(text: Column) -> Column:
     return F.nullif(F.regexp_extract(label, r"^\d\d:\d\d$", 0), F.lit(""))
 
 
-def run_label_from_json(doc: Column, paths: tuple[str, ...] = ("$.run_time", "$.timing.run_time", "$.run.run_time")) -> Column:
-    """Run label at the first known path that holds a value; a value that is no label gives NULL."""
-    return run_label(F.coalesce(*[F.get_json_object(doc, p) for p in paths]))
+def run_label_from_json(doc: Column, depth: int = 3) -> Column:
+    """Run label of the first ``run_time`` in the document, searched through objects and lists ``depth`` levels down.
+
+    An object that has the key answers for all below it; a value that is no label gives NULL there.
+    """
+    texts = F.from_json(doc, "map<string,string>")
+    is_object, is_list = F.ltrim(doc).startswith("{"), F.ltrim(doc).startswith("[")
+    own = F.when(is_object, texts["run_time"])
+    if not depth:
+        return run_label(own)
+    below = F.when(is_object, F.map_values(texts)).when(is_list, F.from_json(doc, "array<string>")).otherwise(F.array().cast("array<string>"))
+    found = F.filter(F.transform(below, lambda part: run_label_from_json(part, depth - 1)), lambda label: label.isNotNull())
+    return F.when(own.isNotNull(), run_label(own)).otherwise(F.get(found, F.lit(0)))
 
 
 def run_label_from_name(path: Column) -> Column:

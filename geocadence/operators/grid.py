@@ -193,7 +193,7 @@ def scatter_index(cells: DataFrame, region: Grid, lon: str = "lon", lat: str = "
 def scatter(cells: DataFrame, region: Grid, keys: list[str], value: str = "value") -> DataFrame:
     """Basin cells on the regional grid; of several on one target the last in row-major order wins."""
     return scatter_index(cells, region).groupBy(*keys, "dst_row", "dst_col").agg(
-        F.max_by(F.struct(F.col(value)), F.struct("row", "col"))[value].alias(value)
+        F.max_by(value, F.shiftleft(F.col("row").cast("long"), 32) + F.col("col")).alias(value)  # plain numbers: a hash aggregate
     ).withColumnsRenamed({"dst_row": "row", "dst_col": "col"})
 
 

@@ -13,25 +13,30 @@ from geocadence.operators.project import drop_out_of_range, select_fields
 # --- S1 ------------------------------------------------------------------------------------------
 def read_delimited(spark: SparkSession, path, schema: T.StructType | str, fields: dict[str, str | None] | None = None,
                    delimiter: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
-    """CSV with header by an explicit schema, then only the mapped columns under their new names."""
-    df = spark.read.schema(schema).csv(path, sep=delimiter, header=True, encoding=encoding, enforceSchema=False)
+    """CSV with header, then only the mapped columns under their new names.
+
+    Columns are found by the names in the header. Those of ``schema`` take its types (what cannot be read is NULL), others stay text;
+    columns that the file lacks are left out.
+    """
+    kinds = {f.name: f.dataType for f in (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields}
+    raw = spark.read.csv(path, sep=delimiter, header=True, encoding=encoding)
+    df = raw.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in raw.columns])
     return select_fields(df, fields) if fields else df
 
 
 # --- S2 ------------------------------------------------------------------------------------------
 def prefixed_fields(fields: dict[str, str | None], prefix: str | None, free: tuple[str, ...] = ("time", "domain")) -> dict:
-    """Puts the source prefix on every output name that lacks it; ``{:}`` marks its place."""
-    out = {}
-    for name, src in fields.items():
-        if prefix is None:
-            out[name] = src
-        elif "{:}" in name:
-            out[name.replace("{:}", prefix)] = src
-        elif name in free or name.startswith(prefix):
-            out[name] = src
-        else:
-            out[f"{prefix}_{name}"] = src
-    return out
+    """Output names with the source prefix: ``{:}`` marks its place, ``:`` alone stands for the prefix and the input name.
+
+    Any other name must be free or begin with the prefix.
+    """
+    if prefix is None:
+        return dict(fields)
+    named = [(f"{prefix}_{src}" if name == ":" else name.replace("{:}", prefix), src) for name, src in fields.items()]
+    wrong = [name for name, src in named if src is not None and name not in free and not name.startswith(prefix)]
+    if wrong:
+        raise ValueError(f"names without the prefix {prefix!r}: {wrong}")
+    return dict(named)
 
 
 def check_prefixes(columns: list[str], allowed: tuple[str, ...], free: tuple[str, ...] = ("time", "domain"),

@@ -17,18 +17,22 @@ def test_catalogue_in_latin(spark, tmp_path):
     p.write_bytes("id_frana;data;lon;comune\n7;31/12/2023;8,5;Forlì\n".encode("latin-1"))
     out = TB.read_delimited(spark, str(p), "id_frana string, data string, lon string, comune string", {"id": "id_frana", "town": "comune", "lat": "lat", "lon": None})
     assert rows(out) == [("7", "Forlì")]
+    more = TB.read_delimited(spark, str(p), "id_frana long, lon double, absent int", {"id": "id_frana", "x": "lon", "y": "absent", "town": "comune"})
+    assert rows(more) == [(7, None, "Forlì")] and more.columns == ["id", "x", "town"]  # an unreadable number is NULL
 
 
 def test_prefixes(spark, tmp_path):
-    assert TB.prefixed_fields({"time": "t", "peak": "p", "rain_x": "x", "{:}_y": "y"}, "rain") == {
-        "time": "t", "rain_peak": "p", "rain_x": "x", "rain_y": "y"}
+    assert TB.prefixed_fields({"time": "t", ":": "p", "rain_x": "x", "{:}_y": "y", "junk": None}, "rain") == {
+        "time": "t", "rain_p": "p", "rain_x": "x", "rain_y": "y", "junk": None}
+    with pytest.raises(ValueError):
+        TB.prefixed_fields({"time": "t", "peak": "p"}, "rain")
     with pytest.raises(ValueError):
         TB.check_prefixes(["time", "wind"], ("rain",))
     with pytest.raises(ValueError):
         TB.check_prefixes(["rain_a"], ("rain",))
     p = tmp_path / "e.csv"
     p.write_text("time;a\n")
-    assert TB.read_indicator_rows(spark, str(p), "time string, a double", {"time": "time", "a": "a"}, "rain") is None
+    assert TB.read_indicator_rows(spark, str(p), "time string, a double", {"time": "time", ":": "a"}, "rain") is None
 
 
 def test_csv_sink_replaces_only_its_partitions(spark, tmp_path):
