@@ -137,10 +137,10 @@ def a1_polygon(t: Tables):
 
 
 @query("j2_registry_groups", f"""
-WITH {SQL_SLIP_POINTS}, {SQL_REGISTRY}, g AS (SELECT 'alert_area_' || lower(alert_area_code) AS name, COUNT(DISTINCT custkey) AS customers FROM slip_points WHERE alert_area_code <> 'AS' GROUP BY 1)
+WITH {SQL_SLIP_POINTS}, {SQL_REGISTRY}, g AS (SELECT 'alert_area_' || lower(alert_area_code) AS name, COUNT(DISTINCT custkey) AS customers FROM slip_points GROUP BY 1)
 SELECT name, alert_area, customers FROM registry JOIN g USING (name)""")
 def j2(t: Tables):
-    groups = slip_points(t).filter("alert_area_code <> 'AS'").groupBy(
+    groups = slip_points(t).groupBy(
         F.concat(F.lit("alert_area_"), F.lower("alert_area_code")).alias("name")).agg(F.count_distinct("custkey").alias("customers"))
     return A.join_groups(registry(t).select("name", "alert_area"), groups)
 

@@ -20,15 +20,15 @@ def _days(c):
     return F.col(c).cast("date")
 
 
-# Runs: one per day and 6-hour slot that has a view event, labelled by the slot's first such minute.
+# Runs: one per day and 6-hour slot that has an event, labelled by the slot's first minute.
 def _runs(t: Tables):
-    return t.events.filter("event_type = 'view'").groupBy(
+    return t.events.groupBy(
         _days("ts").alias("day"), F.floor(F.hour("ts") / 6).alias("slot")).agg(F.min("ts").alias("first")) \
         .select("day", _hhmm(F.col("first")).alias("run"), minute_floor(F.col("first")).alias("run_time"))
 
 
 SQL_RUNS = """runs AS (SELECT CAST(ts AS DATE) AS day, strftime(MIN(ts), '%H%M') AS run, date_trunc('minute', MIN(ts)) AS run_time
-  FROM events WHERE event_type = 'view' GROUP BY CAST(ts AS DATE), hour(ts) // 6)"""
+  FROM events GROUP BY CAST(ts AS DATE), hour(ts) // 6)"""
 
 
 @query("j16_latest_run", f"""
@@ -40,7 +40,7 @@ def j16(t: Tables):
 
 
 _ASOF = f"""{SQL_RUNS}, q AS (SELECT event_id, ts FROM events),
-d AS (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events WHERE event_type = 'error' AND value > 30),
+d AS (SELECT DISTINCT date_trunc('hour', ts) - to_hours(CAST(hour(ts) % 4 AS INTEGER)) AS h FROM events),
 b AS (SELECT event_id, ts, MAX(h) AS h FROM q LEFT JOIN d ON h <= date_trunc('hour', ts) AND h >= date_trunc('hour', ts) - INTERVAL 2 HOUR GROUP BY ALL),
 c AS (SELECT b.event_id, b.ts, b.h, run_time, abs(date_diff('minute', run_time, date_trunc('minute', ts))) AS delta FROM b LEFT JOIN runs ON day = CAST(ts AS DATE)
   AND abs(date_diff('minute', run_time, date_trunc('minute', ts))) <= 120),
@@ -55,7 +55,7 @@ FROM n LEFT JOIN d ON d.h = date_trunc('hour', run_time)""")
 def j17(t: Tables):
     from geocadence.functions.times import from_hour_index
     targets = t.events.select("event_id", F.col("ts").alias("run_time"))
-    data = t.events.filter("event_type = 'error' AND value > 30").select(F.col("ts").alias("time"))
+    data = t.events.select((hour_floor(F.col("ts")) - hours(F.hour("ts") % 4)).alias("time"))  # one hour in four has data
     out = I.select_data_time(targets, data, _runs(t), tolerance_hours=2)
     return out.select("event_id", text(from_hour_index(F.col("picked_hour"))).alias("picked"), "pick")
 

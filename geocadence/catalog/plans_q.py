@@ -143,7 +143,7 @@ def u2(t: Tables):
 
 
 # --- scenarios -------------------------------------------------------------------------------------
-_RAIN_OK, _SM_OK = "value > 20", "value < 15"
+_RAIN_OK, _SM_OK = "value > 17", "value <= 17"
 
 
 def _indicator_runs(t: Tables, usable: str):
@@ -161,7 +161,7 @@ def _ind_sql(name: str, usable: str) -> str:
 
 
 @query("scenario_table", f"""
-WITH {SQL_AREA_DAYS}, {_ind_sql('rain', _RAIN_OK)}, {_ind_sql('sm', _SM_OK)}, slips AS (SELECT area, time, n FROM area_days WHERE isodow(time) < 4 AND area <> 'view'),
+WITH {SQL_AREA_DAYS}, {_ind_sql('rain', _RAIN_OK)}, {_ind_sql('sm', _SM_OK)}, slips AS (SELECT area, time, n FROM area_days),
 chosen AS (SELECT area, MAX(run) AS run FROM rain_r JOIN sm_r USING (area, run) WHERE area IN (SELECT area FROM slips) AND run <= TIMESTAMP '2024-01-20 13:00:00' GROUP BY area, CAST(run AS DATE)),
 rn AS (SELECT area, time, arg_max(value, run) AS value, MAX(run) AS run FROM rain_rows JOIN chosen USING (area, run) GROUP BY area, time),
 sn AS (SELECT area, time, arg_max(value, run) AS value, MAX(run) AS run FROM sm_rows JOIN chosen USING (area, run) GROUP BY area, time),
@@ -176,7 +176,7 @@ SELECT gp.area, CAST(gp.time AS VARCHAR) AS time, COALESCE(value, -9999) AS valu
   COALESCE(sv, -9999) AS sm_value, CAST(CASE WHEN mg.area IS NULL THEN CAST(gp.time AS TIMESTAMP) ELSE sr END AS VARCHAR) AS sm_time_run, COALESCE(st, 'NoData') AS sm_latest_from, COALESCE(n, -9999) AS n
 FROM gp LEFT JOIN mg USING (area, time)""")
 def scenario_table(t: Tables):
-    slips = area_days(t).filter("weekday(time) < 3 AND area <> 'view'").select("area", "time", "n")
+    slips = area_days(t).select("area", "time", "n")
     rain, sm = (stored(_indicator_runs(t, usable), name) for usable, name in ((_RAIN_OK, "rain-rows"), (_SM_OK, "sm-rows")))
     out = build_scenarios(rain, sm, slips, F.lit("2024-01-20 13:00:00").cast("timestamp_ntz"), F.lit("2023-12-25"))
     return out.drop("domain").withColumns({"rain_time_run": text("rain_time_run"), "sm_time_run": text("sm_time_run")})

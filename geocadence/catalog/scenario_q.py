@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import (
-    SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, query, r6, slip_points, text,
+    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, query, r6, slip_points, text,
 )
 from geocadence.functions.times import hour_floor, hours
 from geocadence.operators import scenario as S
@@ -43,12 +43,13 @@ def j4(t: Tables):
 
 
 @query("j5_common_times", f"""
-WITH {SQL_RUN_ROWS}, a AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) = 0), b AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) = 1)
+WITH {SQL_RUN_ROWS}, a AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) % 2 = 0), b AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) % 2 = 1)
 SELECT 'rain' AS side, a.area, CAST(a.time AS VARCHAR) AS time FROM a JOIN b USING (area, time)
 UNION ALL SELECT 'sm', b.area, CAST(b.time AS VARCHAR) FROM b JOIN a USING (area, time)""")
 def j5(t: Tables):
     r = _run_rows(t)
-    a, b = S.keep_common_times(r.filter(F.hour("run_time") == 0), r.filter(F.hour("run_time") == 1), ["area", "time"])
+    sides = [r.filter(F.hour("run_time") % 2 == side).select("area", "time").distinct() for side in (0, 1)]
+    a, b = S.keep_common_times(*sides, ["area", "time"])
     pick = lambda d, s: d.select(F.lit(s).alias("side"), "area", text("time").alias("time"))
     return pick(a, "rain").unionByName(pick(b, "sm"))
 
@@ -70,47 +71,51 @@ def w6(t: Tables):
 
 
 @query("j6_append_missing", f"""
-WITH {SQL_RUN_ROWS}, a AS (SELECT * FROM run_rows WHERE hour(run_time) = 4), b AS (SELECT * FROM run_rows WHERE hour(run_time) = 2)
+WITH {SQL_RUN_ROWS}, n AS (SELECT *, hour(run_time) % 2 AS side FROM run_rows QUALIFY row_number() OVER (PARTITION BY area, time, hour(run_time) % 2 ORDER BY run_time DESC) = 1),
+a AS (SELECT * FROM n WHERE side = 0), b AS (SELECT * FROM n WHERE side = 1)
 SELECT area, CAST(time AS VARCHAR) AS time, value, 'latest' AS latest_from FROM a
 UNION ALL SELECT area, CAST(time AS VARCHAR), value, 'db' FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.area = b.area AND a.time = b.time)""")
 def j6_append(t: Tables):
     r = _run_rows(t)
-    out = S.append_missing(r.filter(F.hour("run_time") == 4), r.filter(F.hour("run_time") == 2), ["area", "time"])
+    base, step = (S.newest_run_wins(r.filter(F.hour("run_time") % 2 == side), ["area", "time"], tag=None) for side in (0, 1))
+    out = S.append_missing(base, step, ["area", "time"])
     return out.select("area", text("time").alias("time"), "value", "latest_from")
 
 
 @query("j7_time_intersection", f"""
-WITH {SQL_RUN_ROWS} SELECT area, CAST(time AS VARCHAR) AS time FROM run_rows WHERE hour(run_time) IN (0, 1, 2) GROUP BY area, time HAVING COUNT(DISTINCT run_time) = 3""")
+WITH {SQL_RUN_ROWS} SELECT area, CAST(time AS VARCHAR) AS time FROM run_rows GROUP BY area, time HAVING COUNT(DISTINCT hour(run_time)) = 5""")
 def j7(t: Tables):
     r = _run_rows(t)
-    out = S.common_times([r.filter(F.hour("run_time") == k) for k in (0, 1, 2)], ["area", "time"])
+    out = S.common_times([r.filter(F.hour("run_time") == k) for k in range(5)], ["area", "time"])
     return out.withColumn("time", text("time")).orderBy(F.desc("time"))
 
 
 def _inventories(t: Tables):
     """Runs of each source: rain, soil moisture and slips files named by events of the hour."""
     e = t.events.select(F.col("event_type").alias("area"), hour_floor(F.col("ts")).alias("run_time"), "value")
-    return e.filter("value > 20"), e.filter("value < 15"), e.filter("area <> 'view'")
+    high = F.col("value") > 17
+    return e.filter(high), e.filter(~high), e
 
 
 @query("j18_best_run_per_day", """
 WITH e AS (SELECT event_type AS area, date_trunc('hour', ts) AS run_time, value FROM events),
-r AS (SELECT DISTINCT area, run_time FROM e WHERE value > 20), s AS (SELECT DISTINCT area, run_time FROM e WHERE value < 15)
+r AS (SELECT DISTINCT area, run_time FROM e WHERE value > 17), s AS (SELECT DISTINCT area, run_time FROM e WHERE value <= 17)
 SELECT area, CAST(CAST(run_time AS DATE) AS VARCHAR) AS day, CAST(MAX(run_time) AS VARCHAR) AS run_time FROM r JOIN s USING (area, run_time)
-WHERE area <> 'view' AND run_time <= TIMESTAMP '2024-01-20 13:00:00' GROUP BY area, CAST(run_time AS DATE)""")
+WHERE run_time <= TIMESTAMP '2024-01-20 13:00:00' GROUP BY area, CAST(run_time AS DATE)""")
 def j18(t: Tables):
     rain, sm, slips = _inventories(t)
     out = S.best_run_per_day(rain, sm, slips, F.lit("2024-01-20 13:00:00").cast("timestamp_ntz"))
     return out.withColumns({"day": text("day"), "run_time": text("run_time")})
 
 
-_COVER = f"""{SQL_RUN_ROWS}, src AS (SELECT DISTINCT area, CASE hour(run_time) WHEN 0 THEN 'rain' WHEN 1 THEN 'sm' ELSE 'slips' END AS source, time FROM run_rows WHERE hour(run_time) < 3),
+_COVER = f"""{SQL_RUN_ROWS}, src AS (SELECT DISTINCT area, CASE hour(run_time) WHEN 0 THEN 'rain' WHEN 1 THEN 'sm' ELSE 'slips' END AS source, time FROM run_rows),
 sp AS (SELECT area, source, MIN(time) AS lo, MAX(time) AS hi FROM src GROUP BY 1, 2), w AS (SELECT area, MAX(lo) AS ws, MIN(hi) AS we FROM sp GROUP BY 1)"""
 
 
 def _sources(t: Tables):
     r = _run_rows(t)
-    return [(n, r.filter(F.hour("run_time") == k).select("area", "time")) for k, n in enumerate(("rain", "sm", "slips"))]
+    kind = F.least(F.hour("run_time"), F.lit(2))  # the first run, the second, all later ones
+    return [(n, r.filter(kind == k).select("area", "time")) for k, n in enumerate(("rain", "sm", "slips"))]
 
 
 @query("a7_coverage", f"""
@@ -135,9 +140,9 @@ def a7_missing(t: Tables):
 
 
 @query("a8_newest_oldest_tag", f"""
-WITH {SQL_RUN_ROWS} SELECT area, CAST(MAX(time) AS VARCHAR) AS newest, CAST(MIN(time) AS VARCHAR) AS oldest FROM run_rows WHERE hour(run_time) = 2 GROUP BY area""")
+WITH {SQL_RUN_ROWS} SELECT area, CAST(MAX(time) AS VARCHAR) AS newest, CAST(MIN(time) AS VARCHAR) AS oldest FROM run_rows GROUP BY area""")
 def a8(t: Tables):
-    r = _run_rows(t).filter(F.hour("run_time") == 2)
+    r = _run_rows(t)
     new = S.summary_tag(r, ["area"], "time", "newest").withColumnRenamed("time", "newest")
     old = S.summary_tag(r, ["area"], "time", "oldest").withColumnRenamed("time", "oldest")
     return new.join(old, "area").withColumns({"newest": text("newest"), "oldest": text("oldest")})
@@ -159,24 +164,24 @@ def a11(t: Tables):
 
 
 @query("u1_stack_tables", f"""
-WITH {SQL_AREA_DAYS} SELECT area, CAST(time AS VARCHAR) AS time, value, n FROM area_days WHERE area IN ('click', 'view')""")
+WITH {SQL_AREA_DAYS} SELECT area, CAST(time AS VARCHAR) AS time, value, n FROM area_days""")
 def u1(t: Tables):
     d = area_days(t)
     out = None
-    for area in ("click", "view"):
+    for area in AREAS:
         out = S.stack_tables(out, d.filter(F.col("area") == area))
     return S.stack_tables(out, None).withColumn("time", text("time"))
 
 
 @query("u3_time_sets", f"""
-WITH {SQL_RUN_ROWS}, a AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) = 0), b AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) = 1)
+WITH {SQL_RUN_ROWS}, a AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) % 2 = 0), b AS (SELECT DISTINCT area, time FROM run_rows WHERE hour(run_time) % 2 = 1)
 SELECT 'union' AS how, area, CAST(time AS VARCHAR) AS time FROM (SELECT * FROM a UNION SELECT * FROM b)
 UNION ALL SELECT 'intersection', area, CAST(time AS VARCHAR) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)
 UNION ALL SELECT 'difference', area, CAST(time AS VARCHAR) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""")
 def u3(t: Tables):
     from functools import reduce
     r = _run_rows(t)
-    a, b = r.filter(F.hour("run_time") == 0), r.filter(F.hour("run_time") == 1)
+    a, b = r.filter(F.hour("run_time") % 2 == 0), r.filter(F.hour("run_time") % 2 == 1)
     parts = [S.time_set(a, b, ["area", "time"], how).withColumn("how", F.lit(how)) for how in ("union", "intersection", "difference")]
     return reduce(lambda x, y: x.unionByName(y), parts).withColumn("time", text("time"))
 

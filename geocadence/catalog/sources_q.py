@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from geocadence.operators.alerts import locate_points
 from geocadence.operators.grid import rasterize
 from geocadence.catalog.registry import (
-    SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, query, r6,
+    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, query, r6,
     registry, slip_points, text,
 )
 from geocadence.functions.text import dated_folder, fill_template, time_from_path
@@ -91,20 +91,20 @@ def s5(t: Tables):
 
 
 @query("s5b_missing_policy", f"""
-WITH {SQL_AREA_HOURS}, g AS (SELECT area, CAST(time AS DATE) AS day, COUNT(*) AS present FROM area_hours WHERE hour(time) < 3 GROUP BY 1, 2)
-SELECT area, CAST(day AS VARCHAR) AS day, CAST(3 AS BIGINT) AS expected, present, 3 - present AS missing FROM g WHERE present > 1""")
+WITH {SQL_AREA_HOURS}, g AS (SELECT area, CAST(time AS DATE) AS day, COUNT(*) AS present FROM area_hours GROUP BY 1, 2)
+SELECT area, CAST(day AS VARCHAR) AS day, CAST(24 AS BIGINT) AS expected, present, 24 - present AS missing FROM g WHERE present > 1""")
 def s5b(t: Tables):
-    h = area_hours(t).filter(F.hour("time") < 3).withColumn("day", F.col("time").cast("date"))
+    h = area_hours(t).withColumn("day", F.col("time").cast("date"))
     spine = h.select("area", "day").distinct().withColumn("_s", F.col("day").cast("timestamp_ntz")).select(
-        "area", "day", F.explode(F.sequence("_s", F.col("_s") + hours(2), hours(1))).alias("time"))
+        "area", "day", F.explode(F.sequence("_s", F.col("_s") + hours(23), hours(1))).alias("time"))
     return GR.step_policy(spine, h, ["area", "day"], "skip").withColumn("day", text("day"))
 
 
 @query("s6_multi_path_scan", f"""
-WITH {SQL_CELL_HOURS} SELECT area, CAST(time AS VARCHAR) AS time, cell AS col, value FROM cell_hours WHERE area IN ('click', 'view') AND time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 23:00:00'""")
+WITH {SQL_CELL_HOURS} SELECT area, CAST(time AS VARCHAR) AS time, cell AS col, value FROM cell_hours WHERE time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 23:00:00'""")
 def s6(t: Tables):
     paths = []
-    for area in ("click", "view"):
+    for area in AREAS:
         paths.append(scratch(t.spark, f"s6-{area}"))
         part = _cells(t).filter(F.col("area") == area)
         GR.write_cells(part if area == "click" else part.withColumn("extra", F.lit(1)), paths[-1])

@@ -144,10 +144,10 @@ def w11(t: Tables):
 
 
 @query("w11_search_partition", """
-SELECT side, mode AS search_partition FROM (SELECT DISTINCT CASE WHEN p_size > 0 THEN 'left' END AS side, 'unique' AS mode FROM part
+SELECT side, mode AS search_partition FROM (SELECT DISTINCT 'left' AS side, 'unique' AS mode FROM part
 UNION SELECT 'right', 'multiple' FROM part)""")
 def w11_partition(t: Tables):
-    c = t.part.filter("p_size > 0").select(F.array(F.lit("left"), F.lit("right")).alias("types"),
+    c = t.part.select(F.array(F.lit("left"), F.lit("right")).alias("types"),
                         F.array(F.array(F.lit("unique")), F.array(F.lit("multiple"))).alias("periods"))
     return Z.search_partition(c)
 
