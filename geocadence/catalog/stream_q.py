@@ -44,7 +44,7 @@ SELECT event_type AS area, CAST(date_trunc('hour', ts) AS VARCHAR) AS time, arg_
 def r3(t: Tables):
     out, cp = scratch(t.spark, "r3"), scratch(t.spark, "r3-cp")
     rows = _stream(t).select("area", hour_floor(F.col("ts")).alias("time"), F.pmod("event_id", F.lit(5)).alias("run"), "event_id", "value")
-    J.run_newest_rows(rows, ["area", "time"], ["run", "event_id"], out, cp)
+    J.run_newest_rows(rows, ["area", "time"], ["run", "event_id"], out, cp, "time", LATE)
     got = J.read_newest_rows(t.spark, out, ["area", "time"], ["run", "event_id"])
     return got.select("area", text("time").alias("time"), "value", "run")
 
@@ -55,6 +55,7 @@ c AS (SELECT area, time, level, lag(level) OVER (PARTITION BY area ORDER BY time
 SELECT area, CAST(time AS VARCHAR) AS time, CAST(previous AS BIGINT) AS previous, CAST(level AS BIGINT) AS level FROM c WHERE previous IS NULL OR previous <> level""")
 def r4(t: Tables):
     out, cp = scratch(t.spark, "r4"), scratch(t.spark, "r4-cp")
+    t.spark.conf.set(*J.STATE_STORE)
     J.run_level_changes(_stream(t), LATE, out, cp)
     return t.spark.read.parquet(out).select("area", text("time").alias("time"), big("previous").alias("previous"), big("level").alias("level"))
 

@@ -64,19 +64,15 @@ def run_sliding_sums(stream: DataFrame, late: str, hours: int, path: str, checkp
 
 # --- R3 ------------------------------------------------------------------------------------------
 def run_newest_rows(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str,
-                    time: str | None = None, late: str | None = None, zone: str = "UTC") -> None:
+                    time: str, late: str, zone: str = "UTC") -> None:
     """Newest row per key. Each batch stores its changed keys under its own number, so a batch that is
     run again replaces its own folder; ``read_newest_rows`` takes the newest version of each key.
 
-    With ``time`` (one of the keys) and ``late`` the state of keys older than the limit is let go; rows
-    that come later still than that are dropped. Without them every key stays in the state.
+    The state of keys whose ``time`` (one of them) is older than the limit ``late`` is let go; rows that come later still than
+    that are dropped.
     """
     rest = [c for c in stream.columns if c not in keys]
-    by = list(keys)
-    if late is not None:
-        stream = _zoned(stream, time, zone).withWatermark("_ts", late)
-        by.append("_ts")
-    newest = stream.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
+    newest = _zoned(stream, time, zone).withWatermark("_ts", late).groupBy(*keys, "_ts").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
 
     def store(batch: DataFrame, number: int) -> None:
         batch.select(*keys, "r.*").write.mode("overwrite").parquet(f"{path}/batch={number}")
@@ -90,16 +86,17 @@ def read_newest_rows(spark: SparkSession, path: str, keys: list[str], order: lis
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
 
 
+# the option and the class that ``run_level_changes`` needs
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 # --- R4 ------------------------------------------------------------------------------------------
 def run_level_changes(stream: DataFrame, late: str, path: str, checkpoint: str, divisor: int = 1, **kw) -> None:
     """Alert level of the hourly event count per area, written only when it differs from the last one.
 
     The hourly counts are final before they reach the state, and the rows of an area in one batch are
-    bounded by its hours. State: the last level and its hour.
+    bounded by its hours. State: the last level. The session must use a state store that holds it (``STATE_STORE``).
     """
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     hourly = hourly_means(stream, late, **kw)
     counted = hourly.select("area", F.window_time("w").alias("event_time"),
                             F.col("w.start").alias("start"), F.floor(F.col("n") / divisor).cast("int").alias("slips"))
@@ -120,20 +117,12 @@ def _level_processor():
             self.last = handle.getValueState("last", "level int")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            hours = pd.concat(list(rows)).sort_values("start")
-            previous = self.last.get()[0] if self.last.exists() else None
-            out = []
-            for start, level in zip(hours["start"], hours["level"]):
-                if previous is None or level != previous:
-                    out.append((key[0], start, previous, int(level)))
-                previous = int(level)
-            self.last.update((previous,))
-            yield pd.DataFrame({
-                "area": pd.Series([o[0] for o in out], dtype="object"),
-                "start": pd.Series([o[1] for o in out], dtype="datetime64[ns]"),
-                "previous": pd.Series([o[2] for o in out], dtype="Int32"),
-                "level": pd.Series([o[3] for o in out], dtype="Int32"),
-            })
+            hours = pd.concat(list(rows)).sort_values("start", ignore_index=True)
+            hours["level"] = hours["level"].astype("Int32")
+            hours["previous"] = hours["level"].shift(fill_value=self.last.get()[0] if self.last.exists() else pd.NA)
+            self.last.update((int(hours["level"].iloc[-1]),))
+            changed = hours[hours["level"].ne(hours["previous"]).fillna(True)]
+            yield changed.assign(area=key[0])[["area", "start", "previous", "level"]]
 
         def close(self) -> None:
             pass

@@ -40,9 +40,9 @@ def test_newest_rows_over_deliveries(spark, feed):
     keys, order = ["area", "ts"], ["run", "event_id"]
     cols = ["area", "ts", "run", "event_id", "value"]
     deliver([(1, 0, "a", 1, 1.0), (2, 60, "a", 1, 2.0)], 1)
-    J.run_newest_rows(stream().select(*cols), keys, order, out, cp)
+    J.run_newest_rows(stream().select(*cols), keys, order, out, cp, "ts", "2 days")
     deliver([(3, 0, "a", 2, 8.0), (4, 60, "a", 0, 9.0)], 2)
-    J.run_newest_rows(stream().select(*cols), keys, order, out, cp)
+    J.run_newest_rows(stream().select(*cols), keys, order, out, cp, "ts", "2 days")
     assert rows(J.read_newest_rows(spark, out, keys, order), "ts", "value") == [(T0, 8.0), (T0 + timedelta(hours=1), 2.0)]
 
 
@@ -60,6 +60,7 @@ def test_newest_rows_let_old_keys_go(spark, feed):
 
 
 def test_level_state_survives_a_restart(spark, feed):
+    spark.conf.set(*J.STATE_STORE)
     deliver, stream, out, cp = feed
     hour = lambda h, n, i: [(i + k, 60 * h + k, "a", 0, 1.0) for k in range(n)]
     deliver(hour(0, 1, 0) + hour(1, 2, 10) + hour(2, 4, 20) + hour(5, 1, 30), 1)
