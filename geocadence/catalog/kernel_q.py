@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import SQL_AREA_DAYS, Tables, area_days, big, query, r6, text
@@ -106,7 +109,23 @@ def m2_gaussian(t: Tables):
     return K.score_direct(rows, training(t), ["i"], kind="gaussian", param=0.5, block=200, features=4).select("i", r6("raw_score").alias("raw_score"))
 
 
-@query("m4_kernel_fit")
+def _fit_sql(power: int, lam: float, steps: int) -> str:
+    """Coefficients of the ridge solution: the normal equations in the feature space of (1 + x.y)^power, solved by small steps."""
+    exps = [e for e in itertools.product(range(power + 1), repeat=4) if sum(e) <= power]
+    factor = lambda e: math.factorial(power) / math.prod(map(math.factorial, (*e, power - sum(e))))
+    phi = ", ".join(" * ".join([f"sqrt({factor(e)}::DOUBLE)"] + [f"x{k}" for k, n in enumerate(e) for _ in range(n)]) for e in exps)
+    m = len(exps)
+    return f"""WITH RECURSIVE {SQL_VECTORS}, f AS MATERIALIZED (SELECT i, y, [{phi}] AS p FROM vectors),
+gram AS (SELECT a, b, SUM(p[a] * p[b]) AS v FROM f, range(1, {m + 1}) ra(a), range(1, {m + 1}) rb(b) GROUP BY a, b),
+rows_ AS (SELECT a, list(v ORDER BY b) AS row_ FROM gram GROUP BY a), side AS (SELECT a, SUM(p[a] * y) AS v FROM f, range(1, {m + 1}) ra(a) GROUP BY a),
+h AS MATERIALIZED (SELECT (SELECT list(row_ ORDER BY a) FROM rows_) AS g, (SELECT list(v ORDER BY a) FROM side) AS b,
+  (SELECT COUNT(*) * {lam} FROM f) AS ln, (SELECT SUM(v) FROM gram WHERE a = b) AS tr),
+r(k, w) AS (SELECT 0, [0.0::DOUBLE for z in range({m})] UNION ALL
+  SELECT k + 1, [w[j] + (b[j] - ln * w[j] - list_dot_product(g[j], w)) / (tr + ln) for j in range(1, {m + 1})] FROM r, h WHERE k < {steps})
+SELECT i, round((y - list_dot_product(p, w)) / ln + 1e-9, 6) AS c FROM f, h, (SELECT w FROM r WHERE k = {steps})"""
+
+
+@query("m4_kernel_fit", _fit_sql(3, 0.01, 4000))
 def m4(t: Tables):
     d = vectors(t).withColumn("x", F.array(*FEATURES))
     model = K.fit_kernel(d, 4, 0.01)
@@ -121,7 +140,40 @@ def m5(t: Tables):
     return out.select("lam", "power", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
 
 
-@query("m6_principal_components")
+@query("m5_linear_folds", f"""
+WITH RECURSIVE {SQL_VECTORS}, f AS MATERIALIZED (SELECT i, y, i % 5 AS fold, [1.0::DOUBLE, x0, x1, x2, x3] AS p FROM vectors),
+gram AS (SELECT o.fold, a, b, SUM(p[a] * p[b]) AS v FROM f, (SELECT DISTINCT fold FROM f) o, range(1, 6) ra(a), range(1, 6) rb(b) WHERE f.fold <> o.fold GROUP BY ALL),
+g AS (SELECT fold, list(row_ ORDER BY a) AS g FROM (SELECT fold, a, list(v ORDER BY b) AS row_ FROM gram GROUP BY fold, a) GROUP BY fold),
+side AS (SELECT fold, list(v ORDER BY a) AS b FROM (SELECT o.fold, a, SUM(p[a] * y) AS v FROM f, (SELECT DISTINCT fold FROM f) o, range(1, 6) ra(a) WHERE f.fold <> o.fold GROUP BY ALL) GROUP BY fold),
+h AS MATERIALIZED (SELECT lam, g.fold, g, b, lam * n AS ln, tr FROM g JOIN side USING (fold) JOIN (SELECT fold, SUM(v) AS tr FROM gram WHERE a = b GROUP BY fold) USING (fold)
+  JOIN (SELECT o.fold, COUNT(*) AS n FROM f, (SELECT DISTINCT fold FROM f) o WHERE f.fold <> o.fold GROUP BY o.fold) USING (fold), (VALUES (0.01::DOUBLE), (0.1), (1.0)) l(lam)),
+r(k, lam, fold, w) AS (SELECT 0, lam, fold, [0.0::DOUBLE for z in range(5)] FROM h UNION ALL
+  SELECT k + 1, lam, fold, [w[j] + (b[j] - ln * w[j] - list_dot_product(g[j], w)) / (tr + ln) for j in range(1, 6)] FROM r JOIN h USING (lam, fold) WHERE k < 4000),
+e AS (SELECT lam, r.fold, AVG(pow(round_even(list_dot_product(p, w), 0) - y, 2)) FILTER (f.fold <> r.fold) AS tr, AVG(pow(round_even(list_dot_product(p, w), 0) - y, 2)) FILTER (f.fold = r.fold) AS va
+  FROM r, f WHERE k = 4000 GROUP BY lam, r.fold),
+s AS (SELECT lam, median(tr) AS a, stddev_pop(tr) AS b, median(va) AS c, stddev_pop(va) AS d FROM e GROUP BY lam)
+SELECT lam, CAST(1 AS INTEGER) AS power, round(a + 1e-9, 6) AS train_median, round(b + 1e-9, 6) AS train_std, round(c + 1e-9, 6) AS valid_median, round(d + 1e-9, 6) AS valid_std, c = MIN(c) OVER () AS is_best FROM s""")
+def m5_linear(t: Tables):
+    d = vectors(t).withColumns({"x": F.array(*FEATURES), "fold": F.pmod("i", F.lit(5)).cast("int")})  # folds from the stored key
+    out = K.fold_statistics(K.cross_validate(d, 4, 5, [0.01, 0.1, 1.0], [1]), ["lam", "power"])
+    return out.select("lam", "power", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
+
+
+_AXES = """[v[j] / sqrt(list_dot_product(v, v)) for j in range(1, 5)]"""
+
+
+@query("m6_principal_components", f"""
+WITH RECURSIVE {SQL_VECTORS}, mu AS (SELECT AVG(x0) AS a, AVG(x1) AS b, AVG(x2) AS c, AVG(x3) AS d, COUNT(*) AS n FROM vectors),
+f AS MATERIALIZED (SELECT i, [x0 - a, x1 - b, x2 - c, x3 - d] AS z, n FROM vectors, mu),
+cov AS (SELECT r, c, SUM(z[r] * z[c]) / (MAX(n) - 1) AS v FROM f, range(1, 5) p(r), range(1, 5) q(c) GROUP BY r, c),
+h AS MATERIALIZED (SELECT list(row_ ORDER BY r) AS m FROM (SELECT r, list(v ORDER BY c) AS row_ FROM cov GROUP BY r)),
+one(k, v) AS (SELECT 0, [1.0::DOUBLE, 0.9, 0.8, 0.7] UNION ALL SELECT k + 1, [list_dot_product(m[j], u) for j in range(1, 5)] FROM (SELECT k, {_AXES} AS u FROM one), h WHERE k < 4000),
+first_ AS MATERIALIZED (SELECT {_AXES} AS e, sqrt(list_dot_product(v, v)) AS size FROM one WHERE k = 4000),
+left_ AS MATERIALIZED (SELECT [[m[r][c] - size * e[r] * e[c] for c in range(1, 5)] for r in range(1, 5)] AS m FROM h, first_),
+two(k, v) AS (SELECT 0, [0.3::DOUBLE, -0.8, 0.9, 1.0] UNION ALL SELECT k + 1, [list_dot_product(m[j], u) for j in range(1, 5)] FROM (SELECT k, {_AXES} AS u FROM two), left_ WHERE k < 4000),
+axes AS (SELECT e, 1 AS pc FROM first_ UNION ALL SELECT {_AXES}, 2 FROM two WHERE k = 4000),
+signed AS (SELECT pc, [e[j] * CASE WHEN list_max(e) >= -list_min(e) THEN 1 ELSE -1 END for j in range(1, 5)] AS e FROM axes)
+SELECT i, round(list_dot_product(z, (SELECT e FROM signed WHERE pc = 1)) + 1e-9, 6) AS pc1, round(list_dot_product(z, (SELECT e FROM signed WHERE pc = 2)) + 1e-9, 6) AS pc2 FROM f""")
 def m6(t: Tables):
     d = vectors(t).withColumn("x", F.array(*FEATURES))
     pc = K.principal_components(d, 4, 2)

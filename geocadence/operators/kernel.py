@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geocadence.model import KERNEL_FEATURES
@@ -49,7 +49,7 @@ def fold_statistics(errors: DataFrame, keys: list[str], train: str = "train_err"
     out = errors.groupBy(*keys).agg(
         F.median(train).alias("train_median"), F.stddev_pop(train).alias("train_std"),
         F.median(valid).alias("valid_median"), F.stddev_pop(valid).alias("valid_std"))
-    best = out.agg(F.min("valid_median")).scalar()
+    best = F.min("valid_median").over(Window.partitionBy())  # one row per candidate: the errors are computed once
     return out.withColumn("is_best", F.col("valid_median") == best)
 
 

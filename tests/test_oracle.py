@@ -8,7 +8,7 @@ from geocadence.catalog.compare import compare, connect
 from geocadence.catalog.registry import ORACLES, QUERIES
 
 load_all()
-NO_SQL = {"m4_kernel_fit", "m5_cross_validation", "m6_principal_components"}  # checked by brute force in test_kernel
+NO_SQL = {"m5_cross_validation"}  # checked by brute force in test_kernel
 
 
 @pytest.fixture(scope="module")
