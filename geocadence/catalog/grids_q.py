@@ -86,10 +86,10 @@ _FR, _FC = "(44.35::DOUBLE - lat) / 0.1::DOUBLE", "(lon - 7.65::DOUBLE) / 0.1::D
 
 @query("j10_resample_nearest", f"""
 WITH {SQL_POINTS}, {SQL_VALUES}, f AS (SELECT vec_id, {_FR} AS fr, {_FC} AS fc FROM points),
-m AS (SELECT vec_id, CAST(ceil(fr - 0.5) AS INTEGER) AS row, CAST(ceil(fc - 0.5) AS INTEGER) AS col FROM f WHERE fr BETWEEN 0 AND 7 AND fc BETWEEN 0 AND 7)
-SELECT half, vec_id, value FROM m JOIN vals USING (row, col)""")
+m AS (SELECT vec_id, least(greatest(CAST(ceil(fr - 0.5) AS INTEGER), 0), 7) AS row, least(greatest(CAST(ceil(fc - 0.5) AS INTEGER), 0), 7) AS col, fr BETWEEN 0 AND 7 AND fc BETWEEN 0 AND 7 AS inside FROM f)
+SELECT half, vec_id, CASE WHEN inside THEN value END AS value FROM m JOIN vals USING (row, col)""")
 def j10_nearest(t: Tables):
-    m = G.resample_map(_points(t), SOURCE, "nearest")
+    m = G.resample_map(_points(t), SOURCE, "nearest")  # points outside keep a row without a value
     return G.apply_weighted(_values(t), m, ["half"], ["vec_id"])
 
 

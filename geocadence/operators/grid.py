@@ -157,14 +157,18 @@ def cell_weights(mapping: DataFrame, mask: DataFrame, target: list[str]) -> Data
 
 # --- J10 -----------------------------------------------------------------------------------------
 def resample_map(targets: DataFrame, source: Grid, method: str = "nearest", lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Source cells and weights of each target on a regular grid; targets outside the centres have none."""
+    """Source cells and weights of each target on a regular grid.
+
+    A target outside the centres gets the nearest cell with a missing weight, so ``apply_weighted`` gives it a row without a value.
+    """
     fr, fc = source.row_pos(F.col(lat)), source.col_pos(F.col(lon))
     eps = 1e-9
-    t = targets.withColumns({"_fr": fr, "_fc": fc}).filter(
-        F.col("_fr").between(-eps, source.nrows - 1 + eps) & F.col("_fc").between(-eps, source.ncols - 1 + eps))
+    inside = F.col("_fr").between(-eps, source.nrows - 1 + eps) & F.col("_fc").between(-eps, source.ncols - 1 + eps)
+    t = targets.withColumns({"_fr": fr, "_fc": fc}).withColumn("_in", inside)
+    near = lambda c, n: F.least(F.greatest(F.ceil(F.col(c) - 0.5).cast("int"), F.lit(0)), F.lit(n - 1))  # noqa: E731  a half goes down
+    row, col = near("_fr", source.nrows), near("_fc", source.ncols)
     if method == "nearest":
-        near = lambda c: F.ceil(F.col(c) - 0.5).cast("int")  # noqa: E731  a half goes down
-        return t.select(*targets.columns, near("_fr").alias("src_row"), near("_fc").alias("src_col"), F.lit(1.0).alias("weight"))
+        return t.select(*targets.columns, row.alias("src_row"), col.alias("src_col"), F.when(F.col("_in"), F.lit(1.0)).alias("weight"))
     if method != "linear":
         raise ValueError('method must be "nearest" or "linear"')
 
@@ -177,7 +181,8 @@ def resample_map(targets: DataFrame, source: Grid, method: str = "nearest", lon:
 
     corners = F.flatten(F.transform(sides("_fr", source.nrows), lambda r: F.transform(
         sides("_fc", source.ncols), lambda c: F.struct(r["i"].alias("r"), c["i"].alias("c"), (r["w"] * c["w"]).alias("w")))))
-    return t.withColumn("_k", F.explode(corners)).select(
+    none = F.array(F.struct(row.alias("r"), col.alias("c"), F.lit(None).cast("double").alias("w")))
+    return t.withColumn("_k", F.explode(F.when(F.col("_in"), corners).otherwise(none))).select(
         *targets.columns, F.col("_k.r").alias("src_row"), F.col("_k.c").alias("src_col"), F.col("_k.w").alias("weight"))
 
 
