@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import (
-    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, query, r6, slip_points, text,
+    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_SLIP_POINTS, Tables, area_days, area_hours, query, slip_points, text,
 )
 from geocadence.functions.times import hour_floor, hours
 from geocadence.operators import scenario as S

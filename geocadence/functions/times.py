@@ -84,11 +84,6 @@ def seconds_between(a: Column, b: Column) -> Column:
     return micros_between(a, b) / F.lit(1000000.0)
 
 
-def rain_day(c: Column) -> Column:
-    """Day a step belongs to when a day runs 01:00 .. 24:00."""
-    return (c - hours(1)).cast("date")
-
-
 # --- P19 -----------------------------------------------------------------------------------------
 def calendar_parts(c: Column) -> dict[str, Column]:
     return {

@@ -134,18 +134,6 @@ def _timing(df: DataFrame, run_time: str, history: bool) -> DataFrame:
     })
 
 
-def run_timing(summary: DataFrame, keys: list[str], run_time: str = "run_time", history: bool = True,
-               group: str = "group") -> DataFrame:
-    """Overall times over the groups starting with ``data`` and hours from the newest to the run.
-
-    History mode trusts the time in the name first, now mode the file time.
-    """
-    t = summary.filter(F.lower(group).startswith("data")).groupBy(*keys, run_time).agg(
-        F.min("oldest_fs_time").alias("overall_oldest_fs_time"), F.max("newest_fs_time").alias("overall_newest_fs_time"),
-        F.min("oldest_name_time").alias("overall_oldest_name_time"), F.max("newest_name_time").alias("overall_newest_name_time"))
-    return _timing(t, run_time, history)
-
-
 def run_catalogue(files: DataFrame, targets: DataFrame, history: bool = True) -> DataFrame:
     """O1. Selected run per day with its timing summary and side files, in one aggregate over its files.
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geocadence.functions.cells import missing_to_null
-from geocadence.operators.scenario import missing_steps
 
 
 # --- S5 / S6 -------------------------------------------------------------------------------------
@@ -62,10 +61,6 @@ def step_policy(spine: DataFrame, df: DataFrame, keys: list[str], policy: str) -
     raise ValueError('policy must be "fail" or "skip"')
 
 
-def absent_steps(spine: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
-    return missing_steps(spine, df, [*keys, "time"])
-
-
 # --- S7 ------------------------------------------------------------------------------------------
 def read_ascii_files(spark: SparkSession, path) -> DataFrame:
     """Whole ASCII grid files as (path, text)."""
