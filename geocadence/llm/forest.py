@@ -8,7 +8,7 @@
   is in. How many leaves a query opens is measured, not guessed: for ``TRIAL`` vectors the exact neighbours among all
   rows are computed, and the count is the least that finds the wanted share of them.
 * Leaves are compared in blocks of neighbouring leaves of a tree: inner products of the queries that opened a leaf with its
-  vectors, in double precision; the best of each block meet in a window per query. All scores are exact.
+  vectors, in double precision; the lists of the best of each block are merged per query. All scores are exact.
 """
 
 from __future__ import annotations
@@ -118,6 +118,32 @@ def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple
 
 _HIT = pa.schema([("query", pa.int64()), ("vec", pa.int64()), ("score", pa.float64())])
 _HIT_DDL = "query long, vec long, score double"
+_LIST = pa.schema([("query", pa.int64()), ("vecs", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
+_LIST_DDL = "query long, vecs array<long>, scores array<double>"
+
+
+def as_lists(query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.Table:
+    """A row per query from sorted hits."""
+    first = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]))[:len(query)]
+    ends = pa.array(np.append(first, len(query)).astype(np.int32))
+    return pa.table([pa.array(query[first]), pa.ListArray.from_arrays(ends, pa.array(vec)), pa.ListArray.from_arrays(ends, pa.array(score))], schema=_LIST)
+
+
+def merged_lists(k: int):
+    """The k best of each query from its lists; the rows of a query come one after another."""
+    def run(batches: Batches) -> Batches:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        for b in batches:
+            n = b.column("vecs").value_lengths().to_numpy()
+            new = np.repeat(b.column("query").to_numpy(), n), *(b.column(c).flatten().to_numpy() for c in ("vecs", "scores"))
+            rows = [np.concatenate(x) for x in zip(held, new)]
+            if not len(rows[0]):
+                continue
+            done = rows[0] != rows[0][-1]  # more of the last query may follow
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best(*(x[done] for x in rows), k)], schema=_HIT)
+            held = best(*(x[~done] for x in rows), k)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in best(*held, k)], schema=_HIT)
+    return run
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -186,7 +212,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
 
     def compare(held: pa.Table, asking: pa.Table) -> pa.Table:
         if not held.num_rows or not asking.num_rows:
-            return _HIT.empty_table()
+            return _LIST.empty_table()
         x, q = matrix(held.column("v")), matrix(asking.column("v"))
         vec, query = held.column("vec").to_numpy(), asking.column("query").to_numpy()
         lists = asking.column("leaves").combine_chunks()
@@ -206,16 +232,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
                 size += len(found[-1][0])
                 if size > 2_000_000:
                     out, found, size = [best(*map(np.concatenate, zip(*out, *found)), k + 1)], [], 0
-        return pa.table(dict(zip(_HIT.names, best(*map(np.concatenate, zip(*out, *found)), k + 1))), schema=_HIT)
+        return as_lists(*best(*map(np.concatenate, zip(*out, *found)), k + 1))
 
     probes = vectors.join(asked.select(F.col("query").alias("vec")).distinct(), "vec").select("vec", "v")
     held = vectors.select("vec", "v").mapInArrow(place_rows, "block int, leaf int, vec long, v array<double>")
     opened = probes.mapInArrow(open_leaves, "block int, query long, leaves array<int>, v array<double>")
-    hits = held.groupBy("block").cogroup(opened.groupBy("block")).applyInArrow(compare, _HIT_DDL)
-    # a vector is found in several trees, with the same score: keep one, then the k + 1 best vectors of a query
-    hits = hits.groupBy("query", "vec").agg(F.max("score").alias("score"))
-    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
-    hits = hits.withColumn("r", F.row_number().over(by_score)).where(F.col("r") <= k + 1)
+    lists = held.groupBy("block").cogroup(opened.groupBy("block")).applyInArrow(compare, _LIST_DDL)
+    # a vector is found in several trees, with the same score: it counts once
+    hits = lists.repartition("query").sortWithinPartitions("query").mapInArrow(merged_lists(k + 1), _HIT_DDL)
     rows = hits.join(members, "vec").select("query", "vec_id", "score")
     by_id = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     rows = stored(rows.withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= k + 1).drop("r"), "forest-hits")
