@@ -8,7 +8,7 @@
    partner at most, however often a passage occurs. A message replies to the owner of what it quotes at its lowest quote
    level, the longest match first, then the first in the text; the owner must come before the message.
 4. Roots and depths follow from the reply links by doubling: every round joins each message with its farthest known
-   ancestor, so the rounds are the logarithm of the longest chain.
+   ancestor, so the rounds are the logarithm of the longest chain; messages that have reached their root rest.
 """
 
 from __future__ import annotations
@@ -97,15 +97,16 @@ def conversations(messages: DataFrame, rounds: int = 40) -> DataFrame:
     # lowest level, then longest, then first in the text
     links = stored(found.groupBy("message_id").agg(F.min_by("owner", F.struct("level", -F.col("size"), "at", "owner")).alias("reply_to")), "quotes-links")
     ids = rows.select("message_id").distinct()
-    chain = ids.join(links, "message_id", "left").select("message_id", F.coalesce("reply_to", "message_id").alias("far"), F.col("reply_to").isNotNull().cast("long").alias("depth"))
+    chain = ids.join(links, "message_id", "left").select(
+        "message_id", F.coalesce("reply_to", "message_id").alias("far"), F.col("reply_to").isNotNull().cast("long").alias("depth"), F.col("reply_to").isNotNull().alias("open"))
     chain = stored(chain, "quotes-chain")
     for _ in range(rounds):
-        on = chain.select(F.col("message_id").alias("far"), F.col("far").alias("next"), F.col("depth").alias("more"))
-        chain = stored(chain.join(on.where("more > 0"), "far", "left").select(
-            "message_id", F.coalesce("next", "far").alias("far"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")), "quotes-chain")
-        if chain.where("moved").isEmpty():
+        step = chain.where("depth > 0").select(F.col("message_id").alias("far"), F.col("far").alias("next"), F.col("depth").alias("more"))
+        moved = chain.where("open").join(step, "far", "left").select(
+            "message_id", F.coalesce("next", "far").alias("far"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("open"))
+        chain = stored(moved.unionByName(chain.where("NOT open")), "quotes-chain")  # what has reached its root rests
+        if chain.where("open").isEmpty():
             break
-        chain = chain.drop("moved")
     else:
         raise RuntimeError(f"reply chains are longer than 2 ** {rounds}")
     out = rows.select("message_id", F.col("own").alias("text")).join(chain.select("message_id", "far", "depth"), "message_id").join(links, "message_id", "left")
