@@ -46,8 +46,8 @@ def united(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return summed(np.concatenate([once, keys]), np.concatenate([np.ones(len(once), np.int64), counts]))
 
 
-def counted(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], shard_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Blocks of the counts of ``keys_of`` the rows (one column, text or binary), summed per task and in parts of bounded size.
+def counted(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], shard_of: Callable[[np.ndarray], np.ndarray], flush: int = _FLUSH) -> DataFrame:
+    """Blocks of the counts of ``keys_of`` the rows (one column, text or binary), summed per task in parts of about ``flush`` keys.
 
     ``groupBy("shard").applyInArrow`` with ``united`` then adds the blocks of a shard.
     """
@@ -62,7 +62,7 @@ def counted(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], sh
             keys = keys_of(b)
             held.append(summed(keys, np.ones(len(keys), np.int64)))
             size += len(held[-1][0])
-            if size > _FLUSH:
+            if size > flush:
                 yield block()
                 held, size = [], 0
         if held:

@@ -33,6 +33,7 @@ from geocadence.llm.words import as_bytes, mix, portions, shingle_sets
 from geocadence.session import stored
 
 PERCENT, WIDTH, COMMON, SCAN_COST, PARTS, BITS = 90, 3, 30, 0.2, 128, 26
+FLUSH = 1_000_000  # keys a task adds up at a time
 SMALL = 100  # sets up to this size are described by all their shingles
 _META = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("low", pa.binary()), ("sketch", pa.binary())])
 _META_DDL = "doc_id long, n long, sig_a long, sig_b long, low binary, sketch binary"
@@ -161,20 +162,20 @@ def counted_keys(rows: DataFrame, more_than: int, label: str) -> tuple[np.ndarra
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_keys_of(b).view(np.int64))], ["key"])
 
-    blocks = counted(rows, _keys_of, lambda keys: (mix(keys) >> np.uint64(64 - bits)).astype(np.int32))
+    blocks = counted(rows, _keys_of, lambda keys: (mix(keys) >> np.uint64(64 - bits)).astype(np.int32), FLUSH)
     found = stored(blocks.groupBy("shard").applyInArrow(merge, "keys binary, n long, nn long"), label)
     sums = found.agg(F.sum("n").alias("n"), F.sum("nn").alias("nn")).first()
     return bitmap(found.select("keys").mapInArrow(spread, "key long"), BITS), sums.n or 0, sums.nn or 0
 
 
 def _sets(width: int, wanted: np.ndarray):
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches: Batches) -> Batches:
         for b in portions(batches):
             b = b.filter(pa.array(in_bitmap(wanted, b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))))
             if b.num_rows:
-                sets = [s.tobytes() for s in shingle_sets(as_bytes(b.column("text"), lower=True), width)]
+                sets = [s.view(np.int64) for s in shingle_sets(as_bytes(b.column("text"), lower=True), width)]
                 yield batch(schema, doc_id=b.column("doc_id"), shingles=sets)
     return run
 
@@ -194,20 +195,6 @@ def _promising(percent: int):
     return run
 
 
-def _verify(percent: int):
-
-    def run(batches: Batches) -> Batches:
-        for t in portions(batches, "set_a"):
-            a, b = [], []
-            for x, y, s, u in zip(*(t.column(c).to_pylist() for c in ("a", "b", "set_a", "set_b"))):
-                s, u = np.frombuffer(s, np.uint64), np.frombuffer(u, np.uint64)
-                both = len(np.intersect1d(s, u, assume_unique=True))
-                if 100 * both >= percent * (len(s) + len(u) - both):
-                    a.append(x), b.append(y)
-            yield batch(_PAIR, a=a, b=b)
-    return run
-
-
 def boundary_by_cost(sizes: DataFrame, lists: float, percent: int = PERCENT, scan_cost: float = SCAN_COST) -> int:
     """Largest size that enumerates subsets. ``sizes``: (n, classes) histogram; ``lists``: mean length of the lists that a prefix shingle is in.
 
@@ -242,9 +229,10 @@ def verified(pairs: DataFrame, meta: DataFrame, texts: DataFrame, percent: int,
     near = pairs.join(own.toDF("a", "n_a", "sketch_a"), "a").join(own.toDF("b", "n_b", "sketch_b"), "b")
     near = stored(near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_promising(percent), "a long, b long").distinct(), "jaccard-near")
     wanted = bitmap(near.select(F.explode(F.array("a", "b")).alias("id")))
-    sets = stored(texts.mapInArrow(_sets(width, wanted), "doc_id long, shingles binary"), "jaccard-sets")
-    left, right = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
-    return near.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long").distinct()
+    sets = stored(texts.mapInArrow(_sets(width, wanted), "doc_id long, shingles array<long>"), "jaccard-sets")
+    both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    both = both.withColumn("_shared", F.size(F.array_intersect("set_a", "set_b")))
+    return both.where(100 * F.col("_shared") >= percent * (F.size("set_a") + F.size("set_b") - F.col("_shared"))).select("a", "b").distinct()
 
 
 def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON, boundary: int | None = None) -> DataFrame:

@@ -50,20 +50,23 @@ def bitmap(keys: DataFrame, bits: int = 24) -> np.ndarray:
         for b in batches:
             at = bitmap_places(b.column(0).to_numpy(zero_copy_only=False), bits)
             for block in np.unique(at >> _BLOCK_BITS).tolist():
-                own = seen.setdefault(block, np.zeros(1 << _BLOCK_BITS, bool))
+                own = np.zeros(1 << _BLOCK_BITS, bool)
                 own[at[at >> _BLOCK_BITS == block] & ((1 << _BLOCK_BITS) - 1)] = True
+                packed = np.packbits(own)
+                seen[block] = seen[block] | packed if block in seen else packed
         if seen:
-            yield batch(schema, block=list(seen), bits=[np.packbits(x).tobytes() for x in seen.values()])
+            yield batch(schema, block=list(seen), bits=[x.tobytes() for x in seen.values()])
 
     def unite(group: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint8) for x in group.column("bits").to_pylist()]
         return pa.table({"block": group.column("block")[:1], "bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())}, schema=schema)
 
     rows = keys.mapInArrow(build, "block int, bits binary").groupBy("block").applyInArrow(unite, "block int, bits binary").collect()
-    out = np.zeros(1 << bits, bool)
+    size = 1 << _BLOCK_BITS >> 3
+    out = np.zeros(1 << bits >> 3, np.uint8)
     for block, packed in rows:
-        out[block << _BLOCK_BITS:block + 1 << _BLOCK_BITS] = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
-    return np.packbits(out)
+        out[block * size:(block + 1) * size] = np.frombuffer(packed, np.uint8)
+    return out
 
 
 def bitmap_places(keys: np.ndarray, bits: int) -> np.ndarray:

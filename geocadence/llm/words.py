@@ -141,6 +141,7 @@ def as_bytes(column, lower: bool = False) -> list[bytes]:
 
 def portions(batches, column: str | int = "text", limit: int = 4 << 20):
     """The rows of Arrow batches in order, in parts whose ``column`` holds about ``limit`` bytes or is one row: bounds a worker's memory."""
+    import pyarrow as pa
     import pyarrow.compute as pc
     for b in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -150,3 +151,4 @@ def portions(batches, column: str | int = "text", limit: int = 4 << 20):
             end = max(at + 1, int(np.searchsorted(size, past + limit, "right")))
             yield b.slice(at, end - at)
             at = end
+        pa.default_memory_pool().release_unused()
