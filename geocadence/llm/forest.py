@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from geocadence.llm.tables import Batches
 from geocadence.session import stored
 
-TREES, LEAF, SAMPLE, TRIAL, RECALL, BLOCK = 8, 64, 40_000, 128, 0.95, 256
+TREES, LEAF, SAMPLE, TRIAL, RECALL, BLOCK = 8, 128, 40_000, 64, 0.95, 128
 
 
 @dataclass
@@ -48,19 +48,27 @@ class Forest:
             at[moving] = np.where(side, self.near[nodes], self.far[nodes])
         return -at - 1
 
-    def leaves(self, q: np.ndarray, count: int, rows: int = 0) -> list[int]:
-        """The ``count`` leaves of smallest margin over all trees, in the order they are opened; more until those of one tree hold ``rows`` vectors."""
+    def opened(self, q: np.ndarray):
+        """(leaf, tree) by smallest margin over all trees, one after another."""
         queue = [(0.0, i, int(root), i) for i, root in enumerate(self.roots)]
-        made, out, held = len(queue), [], [0] * len(queue)
-        while queue and (len(out) < count or max(held) < rows):
+        made = len(queue)
+        while queue:
             margin, _, node, tree = heapq.heappop(queue)
             while node >= 0:
                 side = float(self.normals[node] @ q) - float(self.cuts[node])
                 here, there = (self.near, self.far) if side <= 0 else (self.far, self.near)
                 heapq.heappush(queue, (max(margin, abs(side)), made, int(there[node]), tree))
                 made, node = made + 1, int(here[node])
-            out.append(-node - 1)
-            held[tree] += int(self.sizes[-node - 1]) if rows else 0
+            yield -node - 1, tree
+
+    def leaves(self, q: np.ndarray, count: int, rows: int) -> list[int]:
+        """The first ``count`` leaves, and more until those of one tree hold ``rows`` vectors."""
+        out, held = [], [0] * len(self.roots)
+        for leaf, tree in self.opened(q):
+            out.append(leaf)
+            held[tree] += int(self.sizes[leaf])
+            if len(out) >= count and max(held) >= rows:
+                break
         return out
 
 
@@ -273,9 +281,15 @@ def leaves_for(vectors: DataFrame, forest: Forest, k: int, recall: float, total:
     at = np.stack([forest.route(v, t) for t in range(len(forest.roots))], axis=1)
     needed = np.zeros(len(query))
     for i in range(len(ids)):
-        opened = forest.leaves(x[i].astype(np.float32), int(forest.first_leaf[-1]))
-        rank = np.empty(int(forest.first_leaf[-1]))
-        rank[opened] = np.arange(1, len(opened) + 1)
-        mine = np.flatnonzero(query == i)
-        needed[mine] = rank[at[mine]].min(axis=1)
+        mine, owners = np.flatnonzero(query == i), {}
+        for row in mine.tolist():
+            for leaf in at[row].tolist():
+                owners.setdefault(leaf, []).append(row)
+        missing = set(mine.tolist())
+        for rank, (leaf, _) in enumerate(forest.opened(x[i].astype(np.float32)), 1):
+            for row in missing.intersection(owners.get(leaf, ())):
+                needed[row] = rank
+                missing.discard(row)
+            if not missing:
+                break
     return int(np.sort(needed)[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)])
