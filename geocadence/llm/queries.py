@@ -74,7 +74,7 @@ t(id, conversation, depth) AS (
   SELECT r.id, t.conversation, t.depth + 1 FROM r JOIN t ON r.reply_to = t.id)
 SELECT conversation, CAST(depth AS BIGINT) AS depth, id AS message_id, reply_to, text FROM t JOIN r USING (id)""")
 def op2(spark, sf_dir, turns):
-    return conversations(mailbox(turns))
+    return conversations(mailbox(turns), latest=True)
 
 
 @query("op3_source_mixing")

@@ -6,6 +6,7 @@ import random
 import numpy as np
 
 from geocadence.llm.forest import nearest
+from geocadence.llm.queries import mailbox
 from geocadence.llm.quotes import conversations, level_of, parsed
 
 DDL = "vec_id long, embedding array<float>, label int, v int, rank string"
@@ -99,5 +100,26 @@ def test_long_chains_and_a_common_passage(spark):
     assert all(got[i].reply_to == 0 for i in range(100, 400, 2))
 
 
+def test_turns_that_conversations_share(spark):
+    rnd = random.Random(9)
+    turns = [(c, t, "a first turn\nof two lines" if t == 0 and c % 2 else rnd.choice(["yes", "no", "thanks"]) + f"\nand {rnd.randrange(2)}" if c % 3 and t < 4 else f"own {c} {t}") for c in range(60) for t in range(6)]
+    turns = [(c, t, x if t < 4 or c % 3 == 0 else f"own {c} {t}") for c, t, x in turns]
+    mails = mailbox(spark.createDataFrame(turns, "conv_id long, turn long, text string").repartition(4))
+    got = {r.message_id: r for r in conversations(mails, latest=True).collect()}
+    assert len(got) == len(turns)
+    for c, t, _ in turns:
+        r = got[(c << 20) + t]
+        assert (r.reply_to, r.conversation, r.depth) == ((c << 20) + t - 1 if t else None, c << 20, t)
+
+
+def test_a_deeper_quotation_tells_originals_apart(spark):
+    rows = [(1, "question one"), (2, "question two"), (3, "yes\n> question one"), (4, "yes\n> question two"), (5, "yes"),
+            (6, "a\n> yes\n> > question two"), (7, "b\n> yes\n> > question one"), (8, "c\n> yes"), (9, "d\n> yes\n> > something else")]
+    mails = spark.createDataFrame(rows, "message_id long, text string").repartition(3)
+    first, last = ({r.message_id: r.reply_to for r in conversations(mails, latest=x).collect()} for x in (False, True))
+    assert first == {1: None, 2: None, 3: 1, 4: 2, 5: None, 6: 4, 7: 3, 8: 5, 9: 3}
+    assert last == first | {9: 5}
+
+
 def test_no_messages(spark):
     assert conversations(spark.createDataFrame([], "message_id long, text string")).count() == 0
