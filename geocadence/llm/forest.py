@@ -8,7 +8,9 @@
   is in. How many leaves a query opens is measured, not guessed: for ``TRIAL`` vectors the exact neighbours among all
   rows are computed, and the count is the least that finds the wanted share of them.
 * Leaves are compared in blocks of neighbouring leaves of a tree: inner products of the queries that opened a leaf with its
-  vectors, in double precision; the lists of the best of each block are merged per query. All scores are exact.
+  vectors, in double precision; the lists of the best of each block are merged per query. All scores are exact. A block's
+  vectors are dealt to parts and the queries to chunks, by hash, and each part meets each chunk in a group of its own: neither
+  side of a group grows with the table, and a leaf of any size is split.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from geocadence.llm.tables import Batches
 from geocadence.session import stored
 
 TREES, LEAF, SAMPLE, TRIAL, RECALL, BLOCK = 8, 128, 40_000, 64, 0.95, 128
+HELD, ASKING = 1 << 21, 1 << 19  # numbers in the vectors on either side of a group: 16 MB and 4 MB
 
 
 @dataclass
@@ -154,6 +157,17 @@ def merged_lists(k: int):
     return run
 
 
+def in_groups(held: DataFrame, opened: DataFrame, chunks: int) -> tuple[DataFrame, DataFrame]:
+    """Both with ``part`` and ``chunk``: every vec of a block and every query of it meet in one (block, part, chunk).
+
+    ``held``: (block, parts, vec, ...), ``opened``: (block, parts, query, ...), parts the number of parts of the block.
+    """
+    part, chunk = F.pmod(F.xxhash64("vec", F.lit("part")), F.col("parts")), F.pmod(F.xxhash64("query", F.lit("chunk")), F.lit(chunks))
+    held = held.select("*", part.cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    opened = opened.select("*", chunk.cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return held.drop("parts"), opened.drop("parts")
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): vectors that take part. Null ids, null or zero vectors, null or non-finite components do not, nor do lengths other than the most frequent."""
     v = F.transform("embedding", lambda x: x.cast("double"))
@@ -164,11 +178,13 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (widths.n if widths else 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, recall: float = RECALL,
+            most_held: int = HELD, most_asking: int = ASKING) -> DataFrame:
     """(query_id, rank, vec_id, score): for every id of ``queries`` (one column) the k nearest other rows of ``vectors`` (vec_id LONG, embedding ARRAY).
 
     Score is the inner product in double precision, ties go to the smaller vec_id. Fewer candidates than k: all of them. Rows
     that repeat a vec_id count once per vector. Ids that ``vectors`` lacks give no rows. Other columns are not read.
+    ``most_held`` and ``most_asking``: numbers in the vectors that meet in a group, about.
     """
     rows = usable(vectors).withColumn("k1", F.xxhash64("v")).withColumn("k2", F.xxhash64("v", F.lit(2)))
     rows = stored(rows, "forest-rows")
@@ -200,13 +216,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
     forest.sizes = np.zeros(wide, np.int64)
     for r in vectors.select("v").mapInArrow(count_rows, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).collect():  # a row per leaf
         forest.sizes[r.leaf] = r.n
+    width = own.shape[1] if len(own) else 1
+    parts = np.maximum(1, -(-np.bincount(blocks, weights=forest.sizes).astype(np.int64) * width // most_held))
+    probes = stored(vectors.join(asked.select(F.col("query").alias("vec")).distinct(), "vec").select("vec", "v"), "forest-probes")
+    chunks = max(1, -(-probes.count() * width // most_asking))
 
     def place_rows(batches: Batches) -> Batches:
         for b in batches:
             x = matrix(b.column("v"))
             for tree in range(len(forest.roots)):
                 at = forest.route(x.astype(np.float32), tree)
-                yield pa.RecordBatch.from_arrays([pa.array(blocks[at], pa.int32()), pa.array(at, pa.int32()), b.column("vec"), b.column("v")], ["block", "leaf", "vec", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(blocks[at], pa.int32()), pa.array(parts[blocks[at]], pa.int32()), pa.array(at, pa.int32()), b.column("vec"), b.column("v")], ["block", "parts", "leaf", "vec", "v"])
 
     def open_leaves(batches: Batches) -> Batches:
         for b in batches:
@@ -215,8 +235,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
                 opened = np.sort(forest.leaves(q, count, k + 1))
                 which, start = np.unique(blocks[opened], return_index=True)
                 lists = [part.tolist() for part in np.split(opened, start[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array([query] * len(which), pa.int64()), pa.array(lists, pa.list_(pa.int32())), b.column("v").slice(i, 1).take(pa.array([0] * len(which)))],
-                                                 ["block", "query", "leaves", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(parts[which], pa.int32()), pa.array([query] * len(which), pa.int64()), pa.array(lists, pa.list_(pa.int32())), b.column("v").slice(i, 1).take(pa.array([0] * len(which)))],
+                                                 ["block", "parts", "query", "leaves", "v"])
 
     def compare(held: pa.Table, asking: pa.Table) -> pa.Table:
         if not held.num_rows or not asking.num_rows:
@@ -242,10 +262,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, trees: int = TR
                     out, found, size = [best(*map(np.concatenate, zip(*out, *found)), k + 1)], [], 0
         return as_lists(*best(*map(np.concatenate, zip(*out, *found)), k + 1))
 
-    probes = vectors.join(asked.select(F.col("query").alias("vec")).distinct(), "vec").select("vec", "v")
-    held = vectors.select("vec", "v").mapInArrow(place_rows, "block int, leaf int, vec long, v array<double>")
-    opened = probes.mapInArrow(open_leaves, "block int, query long, leaves array<int>, v array<double>")
-    lists = held.groupBy("block").cogroup(opened.groupBy("block")).applyInArrow(compare, _LIST_DDL)
+    held = vectors.select("vec", "v").mapInArrow(place_rows, "block int, parts int, leaf int, vec long, v array<double>")
+    opened = probes.mapInArrow(open_leaves, "block int, parts int, query long, leaves array<int>, v array<double>")
+    held, opened = in_groups(held, opened, chunks)
+    group = ["block", "part", "chunk"]
+    lists = held.groupBy(*group).cogroup(opened.groupBy(*group)).applyInArrow(compare, _LIST_DDL)
     # a vector is found in several trees, with the same score: it counts once
     hits = lists.repartition("query").sortWithinPartitions("query").mapInArrow(merged_lists(k + 1), _HIT_DDL)
     rows = hits.join(members, "vec").select("query", "vec_id", "score")

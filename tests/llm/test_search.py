@@ -4,8 +4,9 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from geocadence.llm.forest import nearest
+from geocadence.llm.forest import in_groups, nearest
 from geocadence.llm.queries import mailbox
 from geocadence.llm.quotes import conversations, level_of, parsed
 
@@ -54,6 +55,20 @@ def test_recall_and_exact_scores(spark):
     assert np.mean(hits) > 0.98
 
 
+def test_groups_are_bounded_and_whole(spark):
+    held = spark.range(2000).selectExpr("0 AS block", "20 AS parts", "id AS vec").unionByName(spark.range(50).selectExpr("1 AS block", "1 AS parts", "id AS vec"))
+    opened = spark.range(600).selectExpr("0 AS block", "20 AS parts", "id AS query").unionByName(spark.range(600).selectExpr("1 AS block", "1 AS parts", "id AS query"))
+    x, y = in_groups(held, opened, 6)
+    group = ["block", "part", "chunk"]
+    assert x.groupBy(*group).count().agg(F.max("count")).first()[0] < 150 and y.groupBy(*group).count().agg(F.max("count")).first()[0] < 150
+    met = x.join(y, group)
+    assert met.count() == met.select("block", "vec", "query").distinct().count() == 2000 * 600 + 50 * 600
+    df = spark.createDataFrame(vectors(), DDL).repartition(4)
+    asked = df.where("vec_id % 20 = 0").select("vec_id")
+    whole, cut = (sorted(map(tuple, nearest(df, asked, 20, trees=3, leaf=16, **most).collect())) for most in ({}, {"most_held": 8 * 100, "most_asking": 8 * 10}))
+    assert [r[:3] for r in whole] == [r[:3] for r in cut] and np.allclose([r[3] for r in whole], [r[3] for r in cut], rtol=0, atol=1e-12)
+
+
 def test_few_or_no_candidates(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (21, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = nearest(few, few.where("vec_id % 20 = 0").select("vec_id"))
