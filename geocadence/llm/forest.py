@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from geocadence.llm.tables import Batches
 from geocadence.session import stored
 
-TREES, LEAF, SAMPLE, TRIAL, RECALL, BLOCK = 8, 128, 40_000, 64, 0.95, 128
+TREES, LEAF, SAMPLE, TRIAL, RECALL, BLOCK = 8, 128, 40_000, 128, 0.95, 128
 HELD, ASKING = 1 << 21, 1 << 19  # numbers in the vectors on either side of a group: 16 MB and 4 MB
 
 

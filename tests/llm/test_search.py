@@ -1,12 +1,13 @@
 """Nearest vectors and reply links against brute force."""
 
+import inspect
 import math
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from geocadence.llm.forest import in_groups, nearest
+from geocadence.llm.forest import in_groups, leaves_for, nearest
 from geocadence.llm.queries import mailbox
 from geocadence.llm.quotes import conversations, level_of, parsed
 
@@ -69,6 +70,10 @@ def test_groups_are_bounded_and_whole(spark):
     assert [r[:3] for r in whole] == [r[:3] for r in cut] and np.allclose([r[3] for r in whole], [r[3] for r in cut], rtol=0, atol=1e-12)
 
 
+def test_enough_trial_vectors():
+    assert inspect.signature(leaves_for).parameters["trial"].default >= 128
+
+
 def test_few_or_no_candidates(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (21, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = nearest(few, few.where("vec_id % 20 = 0").select("vec_id"))
