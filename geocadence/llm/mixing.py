@@ -137,14 +137,20 @@ def mixed_documents(docs: DataFrame, most: int = MOST, **settings) -> DataFrame:
     """The mix as rows of ``docs``: a document is there once for every time it is taken, with the words taken that time.
 
     A time that takes all words keeps the text as it is; otherwise the words taken stand in their order, a space between
-    them, and n_chars, where there is one, is their length. Equal rows count as one document.
+    them, and n_chars, where there is one, is their length. Equal rows are documents of their own; each copy is there as often as it is taken.
     """
     _, pieces = mixed_pieces(docs, most=most, **settings)
     piece = F.struct("start", "length", "times", "part")
-    takes = pieces.where("copy = 1").groupBy("row_id").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))  # bounded by one text
-    rows = with_row_ids(docs)
-    rows = rows.withColumn("_copy", F.row_number().over(Window.partitionBy("row_id").orderBy("row_id"))).where("_copy = 1").drop("_copy")
-    rows = rows.join(takes, "row_id").withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(most))))
+    takes = pieces.groupBy("row_id", F.col("copy").alias("_copy")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"))  # bounded by one text
+    # copies of a row_id may differ in other columns: each variant has a range of the copies, dealt by the thousand
+    plain = [F.to_json(c) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
+    rows = with_row_ids(docs).withColumn("_variant", F.xxhash64(*plain, *[F.col(c).isNull() for c in docs.columns]))
+    copies = numbered(rows.groupBy("row_id", "_variant").agg(F.count(F.lit(1)).alias("_n")), ["row_id"], ["_variant"], "_n", "_from")
+    copies = copies.select("row_id", "_variant", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i"), "_from")
+    copies = copies.select("row_id", "_variant", F.expr("(_i - 1) div 1000").alias("_salt"), (F.col("_from") + F.col("_i")).alias("_copy")).join(takes, ["row_id", "_copy"])
+    rows = rows.groupBy("row_id", "_variant").agg(F.first(F.struct(*docs.columns)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    rows = rows.select("row_id", "_variant", "_row", F.explode(F.expr("sequence(0L, (_n - 1) div 1000)")).alias("_salt"))
+    rows = rows.join(copies, ["row_id", "_variant", "_salt"]).select("_row.*", "pieces").withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(most))))
     reads = F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), F.when(p["times"] >= F.col("time"), p["length"]).when(p["times"] + 1 == F.col("time"), p["part"]).otherwise(0).alias("n")))
     rows = rows.withColumn("reads", F.filter(reads, lambda p: p["n"] > 0)).where(F.size("reads") > 0)
     words = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))

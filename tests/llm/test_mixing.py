@@ -93,6 +93,18 @@ def test_documents_of_the_mix(spark):
     assert +got == +want and list(df.columns) == list(out[0].__fields__)
 
 
+def test_equal_rows_are_all_written(spark):
+    rows = documents()
+    rows += [rows[30]] * 2500 + [(*rows[30][:2], "xx", *rows[30][3:])] * 3
+    df = frame(spark, rows)
+    want, got = Counter(), Counter()
+    for r in mix_counts(df, block=16).collect():
+        want[r.doc_id] += r.taken
+    for r in mixed_documents(df, block=16).collect():
+        got[r.doc_id] += len(words(r.text))
+    assert +got == +want
+
+
 def test_empty_table(spark):
     assert mix_counts(frame(spark, [])).count() == 0 == mixed_documents(frame(spark, [])).count()
     assert [tuple(r)[1:5] for r in mix_counts(frame(spark, [documents()[-5]][:0] + [(1, None, "", "s", 0, "", 1, "", 1, "")])).collect()] == [(0, 0, 0.0, 0)]
