@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geocadence.llm import quality, toxicity
+from geocadence.llm.binary_pieces import bucketed
 from geocadence.llm.cuckoo import duplicates
 from geocadence.llm.forest import nearest
 from geocadence.llm.jaccard import similar_classes
@@ -121,3 +122,8 @@ def op9(spark, sf_dir, docs):
 @query("op10_toxicity")
 def op10(spark, sf_dir, docs):
     return classified(spark, sf_dir, docs, toxicity, 3, 1)
+
+
+@query("op12_binary_pieces")
+def op12(spark, sf_dir, docs):
+    return bucketed(docs)
