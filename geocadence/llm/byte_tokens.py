@@ -16,13 +16,11 @@ import numpy as np
 
 from geocadence.llm.words import SLICE
 
-HELD = 300_000
+HELD = 600_000
 TAIL = b".,;:!?*#$%&"  # behind letters these are a unit of their own
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_BLANK = re.compile(f"[{_SPACE}]")
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_RARE = [b"  ", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80", *(x for c in b"\t\n\x0b\x0c\r" for x in (bytes([32, c]), bytes([c, 32])))]
-_ODD = re.compile(rb"[\t-\r ] | [\t-\r]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_ODD = re.compile(rb"\A[\t-\r]|[\t-\r]\Z|\A\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")  # words that may belong to a longer run of white space
 _SAFE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 _known: dict[str, "ByteTokenizer"] = {}
 
@@ -70,30 +68,31 @@ class ByteTokenizer:
 
     def many(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; words that are new are encoded together."""
-        split = [[_split(part) for part in parts(text)] for text in texts]
-        held = self.spaced
-        missing = set()
+        split = [[part.split(b" ") for part in parts(text)] for text in texts]
+        words = set()
         for chunks in split:
-            for _, words in chunks:
-                missing.update(words)
-        missing.discard(None)
-        missing = [w for w in missing if w not in held]
+            for _, *rest in chunks:
+                words.update(rest)
+        missing = words.difference(self.spaced)
         if missing:
-            if len(held) > HELD:
-                self.older, self.spaced = held, {}
-                missing = {w for chunks in split for _, words in chunks for w in words if w is not None}
-            self._learn(missing)
-        return [b"".join(self._found(others, words) for others, words in chunks) for chunks in split]
-
-    def _found(self, others: list[bytes], words: list[bytes | None]) -> bytes:
-        """Ids of the chunks of a part: ``words`` behind one space, and where a word is None the next of ``others``."""
-        known = self.spaced.__getitem__
-        if not others:
-            return b"".join(map(known, words))
-        if len(others) == 1 and words[0] is None:
-            return self._one(others[0]) + b"".join(map(known, words[1:]))
-        rest = iter(others)
-        return b"".join(self._one(next(rest)) if w is None else known(w) for w in words)
+            if len(self.spaced) > HELD:
+                self.older, self.spaced, missing = self.spaced, {}, words
+            self._learn([w for w in missing if w in self.older or _ODD.search(w) is None])
+        return [b"".join(map(self._found, chunks)) for chunks in split]
+
+    def _found(self, words: list[bytes]) -> bytes:
+        """Ids of a part that is split at spaces."""
+        first, *rest = words
+        if first and _ODD.search(first):
+            return self._runs(words)
+        try:
+            return (self._one(first) if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        except KeyError:  # a run of white space that is not one space
+            return self._runs(words)
+
+    def _runs(self, words: list[bytes]) -> bytes:
+        chunks = [c.encode() for c in _CHUNK.findall(b" ".join(words).decode())]
+        return b"".join(self.spaced[c[1:]] if c[:1] == b" " and c[1:] in self.spaced else self._one(c) for c in chunks)
 
     def _one(self, chunk: bytes) -> bytes:
         if chunk not in self.other:
@@ -129,23 +128,3 @@ class ByteTokenizer:
                     held[w] = np.array(found.ids, "<u4").tobytes()
         for w, stem, tail in tails:
             held[w] = held[stem] + self._one(tail)
-
-
-def _split(part: bytes) -> tuple[list[bytes], list[bytes | None]]:
-    """(chunks that are not a space and a word, the words behind one space with None where a chunk of the others stands)."""
-    if not any(x in part for x in _RARE) or _ODD.search(part) is None and part[-1:] != b" ":
-        words: list[bytes | None] = part.split(b" ")
-        first, words[0] = words[0], None
-        if not words[-1:][0] and len(words) > 1:  # a space at the end
-            words[-1] = None
-            return ([first] if first else []) + [b" "], words if first else words[1:]
-        return ([first], words) if first else ([], words[1:])
-    others, words = [], []
-    for chunk in _CHUNK.findall(part.decode()):
-        word = chunk[1:].encode()
-        if chunk[0] == " " and word and _CHUNK.match(chunk[1:]).group() == chunk[1:] and _BLANK.match(chunk[1]) is None:
-            words.append(word)
-        else:
-            others.append(chunk.encode())
-            words.append(None)
-    return others, words
