@@ -14,6 +14,7 @@ from geocadence.llm.forest import nearest
 from geocadence.llm.jaccard import similar_classes
 from geocadence.llm.kneser_ney import scored, trained
 from geocadence.llm.mixing import mix_counts
+from geocadence.llm.multi_index import hard_negatives
 from geocadence.llm.packing import packed
 from geocadence.llm.quotes import conversations
 from geocadence.llm.tables import text_hash_key
@@ -124,6 +125,25 @@ def op10(spark, sf_dir, docs):
     return classified(spark, sf_dir, docs, toxicity, 3, 1)
 
 
+@query("op11_multi_index", "embeddings", sql=r"""
+WITH a AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, r.vec_id, q.label = r.label AS same, list_sum(list_transform(list_zip(q.v, r.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM a q JOIN a r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) QUALIFY rank <= 3""")
+def op11(spark, sf_dir, vectors):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), vectors.where("vec_id % 50 = 0").select("vec_id"))
+
+
 @query("op12_binary_pieces")
 def op12(spark, sf_dir, docs):
     return bucketed(docs)
