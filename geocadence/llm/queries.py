@@ -16,6 +16,7 @@ from geocadence.llm.kneser_ney import scored, trained
 from geocadence.llm.mixing import mix_counts
 from geocadence.llm.multi_index import hard_negatives
 from geocadence.llm.packing import packed
+from geocadence.llm.permuterm import spelling_groups
 from geocadence.llm.quotes import conversations
 from geocadence.llm.tables import text_hash_key
 from geocadence.llm.token_files import written
@@ -147,3 +148,8 @@ def op11(spark, sf_dir, vectors):
 @query("op12_binary_pieces")
 def op12(spark, sf_dir, docs):
     return bucketed(docs)
+
+
+@query("op13_permuterm")
+def op13(spark, sf_dir, docs):
+    return spelling_groups(docs)
