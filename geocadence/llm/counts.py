@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from geocadence.llm.tables import Batches, batch
-from geocadence.llm.words import portions
+from geocadence.llm.words import portions, released
 
 _FLUSH = 4_000_000
 _BLOCK = pa.schema([("shard", pa.int32()), ("once", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -43,7 +43,10 @@ def united(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     def joined(name, kind):
         return np.concatenate([np.frombuffer(x, kind) for x in group.column(name).to_pylist()])
     once, keys, counts = joined("once", np.uint64), joined("keys", np.uint64), joined("counts", np.int64)
-    return summed(np.concatenate([once, keys]), np.concatenate([np.ones(len(once), np.int64), counts]))
+    out = summed(np.concatenate([once, keys]), np.concatenate([np.ones(len(once), np.int64), counts]))
+    del once, keys, counts
+    released()
+    return out
 
 
 def counted(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], np.ndarray], shard_of: Callable[[np.ndarray], np.ndarray], flush: int = _FLUSH) -> DataFrame:

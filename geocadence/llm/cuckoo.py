@@ -223,11 +223,12 @@ def duplicates(docs: DataFrame, index: DataFrame | None = None) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each text, with all their columns."""
+    """The rows of ``docs`` that stay, one for each text, with all their columns; of rows alike in doc_id and text one, by a hash of the rest."""
     keep = duplicates(docs).where("kept").select(_key(F.col("digest")).alias("_key")).distinct()
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
     rows = docs.withColumn("_key", _key(F.unhex(F.sha2(text.cast("binary"), 256)))).join(stored(keep, "cuckoo-keep"), "_key")
-    repeats = Window.partitionBy("_key").orderBy("_key")
+    plain = [F.to_json(c) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
+    repeats = Window.partitionBy("_key").orderBy(F.xxhash64(*plain), F.xxhash64(F.lit(1), *plain))
     return rows.withColumn("_at", F.row_number().over(repeats)).where("_at = 1").select(*docs.columns)
 
 

@@ -235,15 +235,48 @@ def verified(pairs: DataFrame, meta: DataFrame, texts: DataFrame, percent: int,
     return both.where(100 * F.col("_shared") >= percent * (F.size("set_a") + F.size("set_b") - F.col("_shared"))).select("a", "b").distinct()
 
 
+def with_rows(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` with _row: the doc_id, or a hash of it and the text where rows of that doc_id differ in their texts (``repeated``: _id)."""
+    rows = docs.join(repeated.withColumn("_several", F.lit(True)), F.col("doc_id") == F.col("_id"), "left")
+    return rows.withColumn("_row", F.when(F.col("_several"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long"))).drop("_id", "_several")
+
+
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """_id: doc_ids of rows that differ in their texts."""
+    h = F.xxhash64("text")
+    ids = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min(h).alias("a"), F.max(h).alias("b"))
+    return stored(ids.where("a <> b").select("_id"), "jaccard-repeated")
+
+
 def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, common: int = COMMON, boundary: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id LONG, text STRING).
 
     component_id is the smallest doc_id reachable by links. Texts without a word have an empty set: size 0, linked with
     nothing, their own component. A row with a null doc_id takes part in nothing and has a null component_id. Rows that
-    repeat a doc_id are documents of their own. Other columns of ``docs`` are not read. ``boundary``: instead of the
+    repeat a doc_id with another text are documents of their own. Other columns of ``docs`` are not read. ``boundary``: instead of the
     one chosen by cost.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), repeated_ids(docs))
+    rows = _components(own.select(F.col("_row").alias("doc_id"), "text"), percent, width, common, boundary)
+    return _named(own, rows).select("doc_id", "n_shingles", "component_id")
+
+
+def _named(own: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` of _components with the real doc_id, component_id (the smallest of the component) and keep (whether the row stands for it).
+
+    Where no doc_id is repeated the ids are the rows; only components that hold a hashed row are looked at again.
+    """
+    hashed = own.where("_row <> doc_id").select(F.col("_row").alias("id"), F.col("doc_id").alias("real")).distinct()
+    rows = rows.join(hashed, F.col("doc_id") == F.col("id"), "left")
+    rows = stored(rows.select(F.coalesce("real", "doc_id").alias("doc_id"), F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("component")), "jaccard-rows")
+    mixed = rows.join(rows.where("row <> doc_id").select("component").distinct().toDF("component"), "component", "left_semi")
+    names = mixed.groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    rows = rows.join(stored(names, "jaccard-names"), "component", "left")
+    return rows.select("doc_id", "row", "n_shingles", F.coalesce("first.doc_id", "component").alias("component_id"), (F.col("row") == F.coalesce("first.row", "component")).alias("keep"))
+
+
+def _components(texts: DataFrame, percent: int, width: int, common: int, boundary: int | None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``texts`` (doc_id LONG, text), where equal doc_ids have equal texts."""
     meta = stored(texts.mapInArrow(_describe(percent, width), _META_DDL), "jaccard-meta")
     own = meta.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(own.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class")), "jaccard-classes")
@@ -288,12 +321,17 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
 def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, **settings) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group of similar documents, with all their columns.
 
-    It is the row with the group's smallest doc_id. Rows without words or without a doc_id stay all.
+    It is the row with the group's smallest doc_id (of several texts under that id one by hash; of equal rows one). Rows without
+    words or without a doc_id stay all. Texts that are not similar never stand for each other, even under one doc_id.
     """
-    groups = similar_classes(docs, percent, width, **settings)
-    keep = groups.where("n_shingles > 0 AND doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.withColumn("_words", F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull())
-    alone = rows.where("NOT _words").drop("_words")
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("_id"))
-    kept = rows.where("_words").join(stored(keep, "jaccard-keep"), F.col("doc_id") == F.col("_id")).withColumn("_at", first).where("_at = 1")
+    repeated = repeated_ids(docs)
+    own = with_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), repeated)
+    settings = {"common": COMMON, "boundary": None} | settings
+    groups = _named(own, _components(own.select(F.col("_row").alias("doc_id"), "text"), percent, width, **settings))
+    keep = groups.where("n_shingles > 0 AND keep").select(F.col("row").alias("_id")).distinct()
+    rows = with_rows(docs, repeated).withColumn("_words", F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col("doc_id").isNotNull())
+    alone = rows.where("NOT _words").select(*docs.columns)
+    plain = [F.to_json(c) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
+    first = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(*plain), F.xxhash64(F.lit(1), *plain)))
+    kept = rows.where("_words").join(stored(keep, "jaccard-keep"), F.col("_row") == F.col("_id")).withColumn("_at", first).where("_at = 1")
     return kept.select(*docs.columns).unionByName(alone)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geocadence.llm.tables import numbered
+from geocadence.llm.tables import numbered, shards_of
 from geocadence.session import stored
 
 BLOCK, SHARD_SLOTS, MOST, ROUNDS, SEED = 512, 1024, 3, 24, 20
@@ -57,15 +57,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 
 def with_row_ids(docs: DataFrame) -> DataFrame:
-    """``docs`` with row_id, which equal rows share."""
-    return docs.withColumn("row_id", F.xxhash64(F.col("doc_id"), F.col("text"), F.col("source")))
+    """``docs`` with row_id, 128 bits of hash that equal rows share."""
+    own = [F.col("doc_id"), F.col("text"), F.col("source")]
+    return docs.withColumn("row_id", F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *own)), 16, "0") for k in (1, 2)]))
 
 
 def mixed_pieces(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces) of the mix of ``docs`` (doc_id LONG, text STRING, source STRING; other columns are not read).
 
     documents: (row_id, copy, doc_id, size, source_size, target), a row per row of ``docs``; copy tells equal rows apart.
-    pieces: (row_id, copy, start, length, times, part, first_shard): words [start, start + length) of a document are taken
+    pieces: (row_id, copy, size, start, length, times, part, first_shard): words [start, start + length) of a document are taken
     ``times`` times in whole and the first ``part`` of them once more. What is never taken is absent. Null and wordless texts
     have size 0 and no pieces; a null doc_id or source is a value like any other.
     """
@@ -83,13 +84,13 @@ def mixed_pieces(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] =
     pieces = placed.select("row_id", "copy", "source_id", "begin", "size", F.explode(F.sequence(F.floor(first), F.floor(last))).alias("block"))
     start = F.greatest(F.col("begin"), F.col("block") * block)
     length = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block) - start
-    pieces = pieces.select("row_id", "copy", "source_id", "block", (start - F.col("begin")).alias("start"), length.alias("length"), (start - F.col("block") * block).alias("at"))
+    pieces = pieces.select("row_id", "copy", "size", "source_id", "block", (start - F.col("begin")).alias("start"), length.alias("length"), (start - F.col("block") * block).alias("at"))
 
     whole = F.col("words") == F.col("length")
     taken = mixed_slots(sources, block, seed).groupBy("source_id", "block").agg(
         F.count_if(whole).alias("times"), F.sum(F.when(whole, 0).otherwise(F.col("words"))).alias("extra"), F.min("shard").alias("first_shard"))
     part = F.greatest(F.lit(0), F.least(F.col("length"), F.col("extra") - F.col("at")))
-    pieces = pieces.join(taken, ["source_id", "block"]).select("row_id", "copy", "start", "length", "times", part.alias("part"), "first_shard")
+    pieces = pieces.join(taken, ["source_id", "block"]).select("row_id", "copy", "size", "start", "length", "times", part.alias("part"), "first_shard")
     documents = rows.join(sources.select("source_id", "source_size", "target"), "source_id")
     return documents.select("row_id", "copy", "doc_id", "size", "source_size", "target"), pieces.where("times > 0 OR part > 0")
 
@@ -115,7 +116,7 @@ def mixed_slots(sources: DataFrame, block: int = BLOCK, seed: int = SEED, shard_
     plan = plan.withColumn("from", F.coalesce(earlier, F.lit(0))).withColumn("all", F.sum("slots").over(Window.partitionBy()))
 
     parts = plan.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(slots - 1) div 1000"))).alias("part"))
-    slots = parts.repartition(c("source_id"), c("pass"), c("part"))
+    slots = parts.repartition(shards_of(sources.sparkSession), c("source_id"), c("pass"), c("part"))  # a stated number is not folded into fewer tasks
     slots = slots.select("*", F.explode(F.sequence(c("part") * 1000, F.least(c("slots"), (c("part") + 1) * 1000) - 1)).alias("i"))
     slots = slots.withColumn("block", permuted(c("i"), c("blocks"), *key))
     slots = slots.withColumn("length", F.when(c("block") == c("blocks") - 1, c("tail")).otherwise(F.lit(block)))
@@ -141,7 +142,7 @@ def mixed_documents(docs: DataFrame, most: int = MOST, **settings) -> DataFrame:
     """
     _, pieces = mixed_pieces(docs, most=most, **settings)
     piece = F.struct("start", "length", "times", "part")
-    takes = pieces.groupBy("row_id", F.col("copy").alias("_copy")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"))  # bounded by one text
+    takes = pieces.groupBy("row_id", F.col("copy").alias("_copy")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"), F.max("size").alias("_size"))  # bounded by one text
     # copies of a row_id may differ in other columns: each variant has a range of the copies, dealt by the thousand
     plain = [F.to_json(c) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in docs.dtypes]
     rows = with_row_ids(docs).withColumn("_variant", F.xxhash64(*plain, *[F.col(c).isNull() for c in docs.columns]))
@@ -150,12 +151,12 @@ def mixed_documents(docs: DataFrame, most: int = MOST, **settings) -> DataFrame:
     copies = copies.select("row_id", "_variant", F.expr("(_i - 1) div 1000").alias("_salt"), (F.col("_from") + F.col("_i")).alias("_copy")).join(takes, ["row_id", "_copy"])
     rows = rows.groupBy("row_id", "_variant").agg(F.first(F.struct(*docs.columns)).alias("_row"), F.count(F.lit(1)).alias("_n"))
     rows = rows.select("row_id", "_variant", "_row", F.explode(F.expr("sequence(0L, (_n - 1) div 1000)")).alias("_salt"))
-    rows = rows.join(copies, ["row_id", "_variant", "_salt"]).select("_row.*", "pieces").withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(most))))
+    rows = rows.join(copies, ["row_id", "_variant", "_salt"]).select("_row.*", "pieces", "_size").withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(most))))
     reads = F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), F.when(p["times"] >= F.col("time"), p["length"]).when(p["times"] + 1 == F.col("time"), p["part"]).otherwise(0).alias("n")))
     rows = rows.withColumn("reads", F.filter(reads, lambda p: p["n"] > 0)).where(F.size("reads") > 0)
-    words = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))
     n = F.aggregate("reads", F.lit(0).cast("long"), lambda s, p: s + p["n"])
     some = F.array_join(F.flatten(F.transform("reads", lambda p: F.slice("_words", (p["start"] + 1).cast("int"), p["n"].cast("int")))), " ")
-    rows = rows.withColumn("_words", words).withColumn("_text", F.when(n == F.size("_words"), F.col("text")).otherwise(some))
+    rows = rows.withColumn("_words", F.when(n < F.col("_size"), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))))  # of cut texts only
+    rows = rows.withColumn("_text", F.when(F.col("_words").isNull(), F.col("text")).otherwise(some))
     swap = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(dict(docs.dtypes)["n_chars"])} if "n_chars" in docs.columns else {})
     return rows.select(*[swap.get(x, F.col(x)).alias(x) for x in docs.columns])

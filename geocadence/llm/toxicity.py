@@ -17,6 +17,7 @@ scored is every word of every text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -241,7 +242,8 @@ def scored(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD
 
 def without_toxic(docs: DataFrame, classifier: Classifier, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
-    def run(batches: Batches) -> Batches:
-        for b in portions(batches):
-            yield b.filter(pa.array(classifier.score(as_bytes(b.column("text"), lower=True)) < threshold))
-    return docs.mapInArrow(run, docs.schema)
+    def low(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for t in texts:
+            rows = portions([pa.RecordBatch.from_arrays([t], ["text"])])
+            yield pa.array(np.concatenate([np.zeros(0, bool), *(classifier.score(as_bytes(b.column("text"), lower=True)) < threshold for b in rows)]))
+    return docs.where(F.arrow_udf(low, "boolean")("text"))

@@ -1,6 +1,6 @@
 """Words, 64-bit word hashes and word shingles of whole texts, computed per Arrow batch with numpy.
 
-A word is a maximal run of bytes other than space and 0x09-0x0D. All work is done on slices of about one megabyte, cut
+A word is a maximal run of bytes other than space and 0x09-0x0D. All work is done on slices of about half a megabyte, cut
 at white space, so memory does not depend on the length of a text (only on that of its longest word).
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 SPACES = b" \t\n\x0b\x0c\r"
-SLICE = 1 << 20
+SLICE = 1 << 19
 _GAP = re.compile(rb"[\x20\x09-\x0d]")
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
@@ -79,7 +79,7 @@ def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def word_buffers(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, word starts, word ends, text of each word) for about a megabyte of texts at a time; a long text spans several."""
+    """(bytes, word starts, word ends, text of each word) for about SLICE bytes of texts at a time; a long text spans several."""
     held, owner, size = [], [], 0
 
     def joined():
@@ -139,9 +139,20 @@ def as_bytes(column, lower: bool = False) -> list[bytes]:
     return [t.lower() for t in out] if lower else out
 
 
-def portions(batches, column: str | int = "text", limit: int = 4 << 20):
-    """The rows of Arrow batches in order, in parts whose ``column`` holds about ``limit`` bytes or is one row: bounds a worker's memory."""
+def released() -> None:
+    """Gives memory that Arrow and numpy have freed back to the system: idle workers of earlier stages would keep it."""
+    import ctypes
+
     import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def portions(batches, column: str | int = "text", limit: int = 2 << 20):
+    """The rows of Arrow batches in order, in parts whose ``column`` holds about ``limit`` bytes or is one row: bounds a worker's memory."""
     import pyarrow.compute as pc
     for b in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -151,4 +162,4 @@ def portions(batches, column: str | int = "text", limit: int = 4 << 20):
             end = max(at + 1, int(np.searchsorted(size, past + limit, "right")))
             yield b.slice(at, end - at)
             at = end
-        pa.default_memory_pool().release_unused()
+        released()

@@ -73,11 +73,28 @@ def test_one_of_each(spark):
     groups = brute(rows, 80, 5)
     out = one_of_each(frame(spark))
     assert out.columns == frame(spark).columns
-    want = {c for i, n, c in groups if n and i is not None}
-    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None and shingles(r.text, 5)) == sorted(want)
+    got = [r for r in out.collect() if r.doc_id is not None and shingles(r.text, 5)]
+    assert {r.doc_id for r in got} == {c for i, n, c in groups if n and i is not None}
+    texts = [r for r in rows if r[0] is not None and shingles(r[1], 5)]
+    link = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    left = [shingles(r.text, 5) for r in got]
+    assert not any(link(a, b) for i, a in enumerate(left) for b in left[:i])
+    alike = brute([(i, r[1]) for i, r in enumerate(texts)], 80, 5)
+    assert len(got) == len({c for _, _, c in alike})
     assert sum(r.doc_id is None or not shingles(r.text, 5) for r in out.collect()) == sum(r[0] is None or not shingles(r[1], 5) for r in rows)
 
 
+def test_unrelated_texts_of_one_id_all_stay(spark):
+    rnd = random.Random(7)
+    a, b = ([f"{x}{rnd.randrange(500)}" for _ in range(80)] for x in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[1:])), (3, " ".join(b[1:])), (4, "c " * 30), (1, " ".join(a)), (5, " ".join(b[2:])), (5, " ".join(a[2:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in one_of_each(df).collect()) == sorted([(1, " ".join(a)), (1, " ".join(b)), (4, "c " * 30)])
+    assert sorted(r.component_id for r in similar_classes(df, 80, 5).collect()) == [1] * 7 + [4]
+    chained = [(9, " ".join(a)), (9, " ".join(a[1:])), (7, " ".join(a[2:]))]
+    assert [tuple(r) for r in one_of_each(spark.createDataFrame(chained, "doc_id long, text string")).collect()] == [chained[2]]
+
+
 def test_empty_table(spark):
     assert similar_classes(frame(spark, [])).count() == 0 == one_of_each(frame(spark, [])).count()
 

@@ -103,5 +103,5 @@ def test_queries_return_their_columns(spark, name):
 
 
 def test_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries()) and set(LLM_ORACLES) <= set(entry.oracle_sql())
