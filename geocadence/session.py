@@ -58,4 +58,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` returned, once all that reads them is itself stored: the shared folder holds only what is needed."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
