@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from geocadence.llm.counts import counted, united
 from geocadence.llm.tables import Batches, batch, bitmap, components, in_bitmap, shard_bits
 from geocadence.llm.words import as_bytes, mix, portions, shingle_sets
-from geocadence.session import stored
+from geocadence.session import discard, stored
 
 PERCENT, WIDTH, COMMON, SCAN_COST, PARTS, BITS = 90, 3, 30, 0.2, 128, 26
 FLUSH = 1_000_000  # keys a task adds up at a time
@@ -88,21 +88,19 @@ def _window(n: int, percent: int) -> int:
 
 def _crowded(percent: int, width: int, common: np.ndarray):
     """Whole sets, once in a task, whose window has too few shingles that are not common to fill the prefix."""
-    schema = pa.schema([("keys", pa.binary())])
+    seen: set[tuple[int, int]] = set()  # every task has its own
 
-    def run(batches: Batches) -> Batches:
-        seen: set[tuple[int, int]] = set()
-        for b in portions(batches):
-            rows = []
-            for s in shingle_sets(as_bytes(b.column("text"), lower=True), width):
-                n = len(s)
-                if n > SMALL and (~in_bitmap(common, s[:_window(n, percent)].view(np.int64))).sum() < prefix_length(n, 1, percent):
-                    sig = signature(s)
-                    if sig not in seen:
-                        seen.add(sig)
-                        rows.append(s.tobytes())
-            yield batch(schema, keys=rows)
-    return run
+    def keys_of(b: pa.RecordBatch) -> np.ndarray:
+        rows = [np.zeros(0, np.uint64)]
+        for s in shingle_sets(as_bytes(b.column(0), lower=True), width):
+            n = len(s)
+            if n > SMALL and (~in_bitmap(common, s[:_window(n, percent)].view(np.int64))).sum() < prefix_length(n, 1, percent):
+                sig = signature(s)
+                if sig not in seen:
+                    seen.add(sig)
+                    rows.append(s)
+        return np.concatenate(rows)
+    return keys_of
 
 
 def _keys_of(b: pa.RecordBatch) -> np.ndarray:
@@ -148,8 +146,8 @@ def _listed(percent: int, several: np.ndarray):
     return run
 
 
-def counted_keys(rows: DataFrame, more_than: int, label: str) -> tuple[np.ndarray, int, int]:
-    """(bitmap of the keys that occur more than so often, and over the other keys that occur more than once the sum of counts and of their squares)."""
+def counted_keys(rows: DataFrame, more_than: int, label: str, keys_of=_keys_of) -> tuple[np.ndarray, int, int]:
+    """Of the keys that ``keys_of`` takes from the rows: (bitmap of those that occur more than so often, and over the other keys that occur more than once the sum of counts and of their squares)."""
     bits = shard_bits(rows.sparkSession)
     schema = pa.schema([("keys", pa.binary()), ("n", pa.int64()), ("nn", pa.int64())])
 
@@ -158,14 +156,12 @@ def counted_keys(rows: DataFrame, more_than: int, label: str) -> tuple[np.ndarra
         some = counts[(counts > 1) & (counts <= more_than)]
         return pa.table({"keys": pa.array([keys[counts > more_than].tobytes()], pa.binary()), "n": [int(some.sum())], "nn": [int((some**2).sum())]}, schema=schema)
 
-    def spread(batches: Batches) -> Batches:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_keys_of(b).view(np.int64))], ["key"])
-
-    blocks = counted(rows, _keys_of, lambda keys: (mix(keys) >> np.uint64(64 - bits)).astype(np.int32), FLUSH)
+    blocks = counted(rows, keys_of, lambda keys: (mix(keys) >> np.uint64(64 - bits)).astype(np.int32), FLUSH)
     found = stored(blocks.groupBy("shard").applyInArrow(merge, "keys binary, n long, nn long"), label)
     sums = found.agg(F.sum("n").alias("n"), F.sum("nn").alias("nn")).first()
-    return bitmap(found.select("keys").mapInArrow(spread, "key long"), BITS), sums.n or 0, sums.nn or 0
+    bits = bitmap(found.select("keys"), BITS, lambda b: _keys_of(b).view(np.int64))
+    discard(found)
+    return bits, sums.n or 0, sums.nn or 0
 
 
 def _sets(width: int, wanted: np.ndarray):
@@ -224,7 +220,7 @@ def could_link(n: Column, i: Column, m: Column, j: Column, percent: int = PERCEN
 
 
 def verified(pairs: DataFrame, meta: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) that link: by their sketches, then by their whole sets."""
+    """The pairs (a, b) that link, stored: by their sketches, then by their whole sets."""
     own = meta.where("doc_id IS NOT NULL").select("doc_id", "n", "sketch")
     near = pairs.join(own.toDF("a", "n_a", "sketch_a"), "a").join(own.toDF("b", "n_b", "sketch_b"), "b")
     near = stored(near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_promising(percent), "a long, b long").distinct(), "jaccard-near")
@@ -232,7 +228,10 @@ def verified(pairs: DataFrame, meta: DataFrame, texts: DataFrame, percent: int,
     sets = stored(texts.mapInArrow(_sets(width, wanted), "doc_id long, shingles array<long>"), "jaccard-sets")
     both = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     both = both.withColumn("_shared", F.size(F.array_intersect("set_a", "set_b")))
-    return both.where(100 * F.col("_shared") >= percent * (F.size("set_a") + F.size("set_b") - F.col("_shared"))).select("a", "b").distinct()
+    links = both.where(100 * F.col("_shared") >= percent * (F.size("set_a") + F.size("set_b") - F.col("_shared"))).select("a", "b").distinct()
+    links = stored(links, "jaccard-links")
+    discard(near, sets)
+    return links
 
 
 def with_rows(docs: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -282,7 +281,7 @@ def _components(texts: DataFrame, percent: int, width: int, common: int, boundar
     classes = stored(own.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class")), "jaccard-classes")
 
     late, n, nn = counted_keys(meta.select("low"), common, "jaccard-windows")
-    crowded, _, _ = counted_keys(texts.mapInArrow(_crowded(percent, width, late), "keys binary"), common, "jaccard-crowded")
+    crowded, _, _ = counted_keys(texts.select("text"), common, "jaccard-crowded", _crowded(percent, width, late))
     late = late | crowded
     if boundary is None:
         boundary = boundary_by_cost(classes.groupBy("n").agg(F.count(F.lit(1)).alias("classes")), nn / n if n else 1.0, percent)
@@ -291,24 +290,28 @@ def _components(texts: DataFrame, percent: int, width: int, common: int, boundar
     several, _, _ = counted_keys(entries.select("keys"), 1, "jaccard-keys")
     lists = entries.mapInArrow(_listed(percent, several), _LIST_DDL)
     lists = stored(lists.join(classes.select("class").distinct(), "class"), "jaccard-lists")
+    discard(entries)
 
     heads = lists.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("head"), F.min_by("n", "class").alias("head_n"), F.min_by("at", "class").alias("head_at"))
     heads = stored(heads.where("c > 1").drop("c"), "jaccard-heads")
     shared = stored(lists.join(heads, "key"), "jaccard-shared")
+    discard(lists, heads)
     star = shared.where("class <> head").where(could_link(F.col("n"), F.col("at"), F.col("head_n"), F.col("head_at"), percent))
     star = stored(star.select(F.col("head").alias("a"), F.col("class").alias("b")).distinct(), "jaccard-star")
-    links = stored(verified(star, meta, texts, percent, width), "jaccard-links")
+    links = verified(star, meta, texts, percent, width)
 
     part = stored(components(links, "jaccard-parts"), "jaccard-part")
     placed = shared.select("key", "class", "n", "at").join(part.withColumnRenamed("id", "class"), "class", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "class")), "jaccard-placed")
     mixed = stored(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "jaccard-mixed")
     rest = stored(placed.join(mixed, "key"), "jaccard-rest")
+    discard(shared, placed, mixed)
     x, y = rest.toDF(*[f"{c}_x" for c in rest.columns]), rest.toDF(*[f"{c}_y" for c in rest.columns])
     cross = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("class_x") < F.col("class_y")) & (F.col("component_x") != F.col("component_y"))
                    & could_link(F.col("n_x"), F.col("at_x"), F.col("n_y"), F.col("at_y"), percent))
     cross = cross.select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
     cross = stored(cross.join(star, ["a", "b"], "left_anti"), "jaccard-cross")
+    discard(rest)
     if not cross.isEmpty():
         links = stored(links.unionByName(verified(cross, meta, texts, percent, width)), "jaccard-links")
         part = stored(components(links, "jaccard-parts"), "jaccard-part")

@@ -37,8 +37,8 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 _BLOCK_BITS = 16
 
 
-def bitmap(keys: DataFrame, bits: int = 24) -> np.ndarray:
-    """2**bits bits, set where a LONG key of the one-column table falls; its size (2 MB) does not depend on the data.
+def bitmap(keys: DataFrame, bits: int = 24, keys_of=lambda b: b.column(0).to_numpy(zero_copy_only=False)) -> np.ndarray:
+    """2**bits bits, set where a LONG key of the one-column table (or what ``keys_of`` takes from its batches) falls; its size (2 MB) does not depend on the data.
 
     A set of keys with false positives and no false negatives, small enough to travel with every task. Tasks build the
     blocks they touch, blocks are united by key, and only the bitmap reaches the driver.
@@ -48,7 +48,7 @@ def bitmap(keys: DataFrame, bits: int = 24) -> np.ndarray:
     def build(batches: Batches) -> Batches:
         seen: dict[int, np.ndarray] = {}
         for b in batches:
-            at = bitmap_places(b.column(0).to_numpy(zero_copy_only=False), bits)
+            at = bitmap_places(keys_of(b), bits)
             for block in np.unique(at >> _BLOCK_BITS).tolist():
                 own = np.zeros(1 << _BLOCK_BITS, bool)
                 own[at[at >> _BLOCK_BITS == block] & ((1 << _BLOCK_BITS) - 1)] = True
