@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import SQL_AREA_DAYS, Tables, area_days, big, query, r6, text
 from geocadence.operators import kernel as K
+from geocadence.operators import kernel_blocks as KB
 
 FEATURES = ["x0", "x1", "x2", "x3"]
 
@@ -159,6 +160,41 @@ def m5_linear(t: Tables):
     return out.select("lam", "power", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
 
 
+_GAUSS = "exp(-pow(" + " + ".join(f"pow(a.x{k} - b.x{k}, 2)" for k in range(4)) + ", 2) / 0.5)"
+# the matrix of the training points, and the steps of a slow but plain iteration towards the solution of (K + ln I) w = y
+_GAUSS_ROWS = f"""{SQL_VECTORS}, f AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY i) AS j, i % 3 AS fold FROM vectors),
+k AS (SELECT a.j, list({_GAUSS} ORDER BY b.j) AS row_ FROM f a, f b GROUP BY a.j),
+g AS MATERIALIZED (SELECT (SELECT list(row_ ORDER BY j) FROM k) AS g, list(y ORDER BY j) AS y, list(fold ORDER BY j) AS fold, COUNT(*) AS n FROM f)"""
+
+
+@query("m4_gaussian_fit", f"""
+WITH RECURSIVE {_GAUSS_ROWS},
+r(s, w) AS (SELECT 0, [0.0::DOUBLE for z in y] FROM g UNION ALL
+  SELECT s + 1, [w[j] + (y[j] - 0.1 * n * w[j] - list_dot_product(g[j], w)) / (1.1 * n) for j in range(1, n + 1)] FROM r, g WHERE s < 500)
+SELECT i, round(w[j] + 1e-9, 6) AS c, abs(y - 0.1 * n * w[j] - list_dot_product(g[j], w)) < 1e-6 AS solved FROM f, (SELECT w FROM r WHERE s = 500), (SELECT n, g FROM g)""")
+def m4_gaussian(t: Tables):
+    d = vectors(t).withColumn("x", F.array(*FEATURES))
+    fit = KB.fit_dual(d, [(0.1, None)], "i", kind="gaussian", param=0.5)
+    back = KB.kernel_product(fit.select("i", "x"), fit.select("x", F.col("c0").alias("kc")), ["i"], ["kc"], "gaussian", 0.5)
+    gap = F.abs(F.col("y") - 0.1 * fit.count() * F.col("c0") - F.col("kc"))
+    return fit.join(back, "i").select("i", r6("c0").alias("c"), (gap < 1e-6).alias("solved"))
+
+
+@query("m5_gaussian_folds", f"""
+WITH RECURSIVE {_GAUSS_ROWS},
+h AS MATERIALIZED (SELECT lam, o.f AS held, lam * len(list_filter(fold, lambda x: x <> o.f)) AS ln, [CASE WHEN x = o.f THEN 0 ELSE 1 END for x in fold] AS inside FROM g, (VALUES (0.1::DOUBLE), (1.0)) l(lam), range(3) o(f)),
+r(s, lam, held, w) AS (SELECT 0, lam, held, [0.0::DOUBLE for z in y] FROM h, g UNION ALL
+  SELECT s + 1, lam, held, [w[j] + inside[j] * (y[j] - ln * w[j] - list_dot_product(g[j], w)) / (n + ln) for j in range(1, n + 1)] FROM r JOIN h USING (lam, held), g WHERE s < 300),
+e AS (SELECT lam, held, AVG(pow(round_even(list_dot_product(g[j], w), 0) - f.y, 2)) FILTER (f.fold <> held) AS tr, AVG(pow(round_even(list_dot_product(g[j], w), 0) - f.y, 2)) FILTER (f.fold = held) AS va
+  FROM r, g, f WHERE s = 300 GROUP BY lam, held),
+q AS (SELECT lam, median(tr) AS a, stddev_pop(tr) AS b, median(va) AS c, stddev_pop(va) AS d FROM e GROUP BY lam)
+SELECT lam, round(a + 1e-9, 6) AS train_median, round(b + 1e-9, 6) AS train_std, round(c + 1e-9, 6) AS valid_median, round(d + 1e-9, 6) AS valid_std, c = MIN(c) OVER () AS is_best FROM q""")
+def m5_gaussian(t: Tables):
+    d = vectors(t).withColumns({"x": F.array(*FEATURES), "fold": F.pmod("i", F.lit(3)).cast("int")})
+    out = K.fold_statistics(KB.cross_validate_dual(d, 3, [0.1, 1.0], "i", kind="gaussian", param=0.5), ["lam"])
+    return out.select("lam", *[r6(c).alias(c) for c in ("train_median", "train_std", "valid_median", "valid_std")], "is_best")
+
+
 _AXES = """[v[j] / sqrt(list_dot_product(v, v)) for j in range(1, 5)]"""
 
 
