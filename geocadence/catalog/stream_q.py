@@ -34,11 +34,26 @@ WITH {_HOURS.replace("AVG(value)", "AVG(CASE WHEN hour(ts) % 5 <> 0 THEN value E
 SELECT area, CAST(time AS VARCHAR) AS time, round(value + 1e-9, 6) AS value FROM w, wm WHERE value IS NOT NULL AND time + INTERVAL 1 HOUR <= m""")
 def r2(t: Tables):
     out, cp = scratch(t.spark, "r2"), scratch(t.spark, "r2-cp")
+    t.spark.conf.set(*J.STATE_STORE)
     readings = _stream(t).withColumn("value", F.when(F.hour("ts") % 5 != 0, F.col("value")))  # some hours have none
     J.run_sliding_sums(readings, LATE, 3, out, cp)
     return t.spark.read.parquet(out).select("area", text("time").alias("time"), r6("value").alias("value"))
 
 
+_WIDTHS = [3, 6, 12, 24]
+
+
+@query("r2_sliding_sums_widths", f"""
+WITH {_HOURS}, w AS (SELECT area, time, """ + ", ".join(f"CASE WHEN COUNT(value) OVER w{n} = {n} THEN SUM(value) OVER w{n} END AS v{n}" for n in _WIDTHS) + """ FROM h
+  WINDOW """ + ", ".join(f"w{n} AS (PARTITION BY area ORDER BY time RANGE BETWEEN INTERVAL {n - 1} HOUR PRECEDING AND CURRENT ROW)" for n in _WIDTHS) + """)
+SELECT area, CAST(time AS VARCHAR) AS time, """ + ", ".join(f'round(v{n} + 1e-9, 6) AS "value_{n}H"' for n in _WIDTHS) + """ FROM w, wm WHERE v3 IS NOT NULL AND time + INTERVAL 1 HOUR <= m""")
+def r2_widths(t: Tables):
+    out, cp = scratch(t.spark, "r2"), scratch(t.spark, "r2-cp")
+    t.spark.conf.set(*J.STATE_STORE)
+    J.run_sliding_sums(_stream(t), LATE, _WIDTHS, out, cp)
+    return t.spark.read.parquet(out).select("area", text("time").alias("time"), *[r6(f"value_{n}H").alias(f"value_{n}H") for n in _WIDTHS])
+
+
 @query("r3_newest_rows", """
 SELECT event_type AS area, CAST(date_trunc('hour', ts) AS VARCHAR) AS time, arg_max(value, {'a': event_id % 5, 'b': event_id}) AS value, MAX(event_id % 5) AS run FROM events GROUP BY 1, 2""")
 def r3(t: Tables):

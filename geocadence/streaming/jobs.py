@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,20 +47,77 @@ def run_hourly_means(stream: DataFrame, late: str, path: str, checkpoint: str, *
 
 
 # --- R2 ------------------------------------------------------------------------------------------
-def sliding_sums(stream: DataFrame, late: str, hours: int, **kw) -> DataFrame:
-    """Sums of the hourly means over the last N hours, only where all N hours have one."""
+def run_sliding_sums(stream: DataFrame, late: str, hours: int | list[int], path: str, checkpoint: str, **kw) -> None:
+    """Sums of the hourly means over the last N hours of each width N, where all N hours have one.
+
+    ``hours``: one width (column ``value``) or several (columns ``value_3H``, ...; NULL where a width is not complete, rows without any
+    are left out). State: per area a map of the last hours of the widest window, from which all widths are summed, so an hour
+    is stored once and its rows are not multiplied. An event timer lets the map of an area go that has been silent for as
+    long. The hourly means are final and in order before they reach the state. The session must use ``STATE_STORE``.
+    """
+    widths = [hours] if isinstance(hours, int) else sorted(set(hours))
     hourly = hourly_means(stream, late, **kw)
-    return (
-        hourly.groupBy(F.window(F.window_time("w"), f"{hours} hours", "1 hour").alias("s"), "area")
-        .agg(F.sum("value").alias("value"), F.count("value").alias("steps"))
-        .filter(F.col("steps") == hours)
-    )
+    rows = hourly.select("area", F.window_time("w").alias("event_time"), F.col("w.start").alias("start"), "value")
+    names = ["value"] if isinstance(hours, int) else [f"value_{w}H" for w in widths]
+    sums = rows.groupBy("area").transformWithStateInPandas(
+        statefulProcessor=_ring_processor(widths, names), outputStructType="area string, start timestamp, " + ", ".join(f"{n} double" for n in names),
+        outputMode="Append", timeMode="EventTime")
+    out = sums.select(F.col("start").cast("timestamp_ntz").alias("time"), "area", *names)
+    _finish(out.writeStream.format("parquet").outputMode("append"), checkpoint, path)
 
 
-def run_sliding_sums(stream: DataFrame, late: str, hours: int, path: str, checkpoint: str, **kw) -> None:
-    last_hour = (F.col("s.end") - F.expr("interval 1 hour")).cast("timestamp_ntz")
-    out = sliding_sums(stream, late, hours, **kw).select(last_hour.alias("time"), "area", "value")
-    _finish(out.writeStream.format("parquet").outputMode("append"), checkpoint, path)
+_HOUR_MS = 3_600_000
+
+
+def ring_sums(hours: np.ndarray, values: np.ndarray, widths: list[int]) -> list[np.ndarray]:
+    """Per width the sum over the last so many hours, NaN unless they follow each other and all have a value; hours ascend."""
+    out = [np.full(len(hours), np.nan) for _ in widths]
+    has = np.flatnonzero(~np.isnan(values))
+    for run in np.split(has, np.flatnonzero(np.diff(hours[has]) != 1) + 1):
+        for o, w in zip(out, widths):
+            if len(run) >= w:
+                o[run[w - 1:]] = np.lib.stride_tricks.sliding_window_view(values[run], w).sum(1)
+    return out
+
+
+def _ring_processor(widths: list[int], names: list[str]):
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    class SlidingSums(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.ring = handle.getMapState("hours", "hour long", "value double")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            new = pd.concat(list(rows)).sort_values("start", ignore_index=True)
+            held = sorted((k[0], v[0]) for k, v in self.ring.iterator())
+            own = (new["start"] - pd.Timestamp(0, tz=new["start"].dt.tz)).dt.total_seconds().round().astype("int64").to_numpy() // 3600
+            hours = np.concatenate([np.array([h for h, _ in held], np.int64), own])
+            values = np.concatenate([np.array([v for _, v in held], float), new["value"].astype("float64").to_numpy()])
+            sums = ring_sums(hours, values, widths)
+            oldest = int(hours[-1]) - max(widths) + 2  # what the next hour can still reach
+            for h, _ in held:
+                if h < oldest:
+                    self.ring.removeKey((h,))
+            for h, v in zip(own.tolist(), values[len(held):].tolist()):
+                if h >= oldest and v == v:
+                    self.ring.updateValue((h,), (v,))
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((int(hours[-1]) + 1 + max(widths)) * _HOUR_MS)
+            out = pd.DataFrame({"area": key[0], "start": new["start"], **{n: s[len(held):] for n, s in zip(names, sums)}})
+            out = out[out[names].notna().any(axis=1)]
+            yield out.astype({n: object for n in names}).where(out.notna(), None) if len(out) else out
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.ring.clear()
+            return iter([])
+
+        def close(self) -> None:
+            pass
+
+    return SlidingSums()
 
 
 # --- R3 ------------------------------------------------------------------------------------------
@@ -86,7 +144,7 @@ def read_newest_rows(spark: SparkSession, path: str, keys: list[str], order: lis
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
 
 
-# the option and the class that ``run_level_changes`` needs
+# the option and the class that ``run_sliding_sums`` and ``run_level_changes`` need
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 
 from conftest import rows
@@ -35,6 +36,49 @@ def test_late_rows_count_until_the_limit(spark, feed):
     assert rows(spark.read.parquet(out), "time", "value") == [(T0, 1.0), (T0 + timedelta(hours=1), 5.0), (T0 + timedelta(hours=2), 5.0)]
 
 
+def test_sums_of_all_widths_over_restarts(spark, feed):
+    spark.conf.set(*J.STATE_STORE)
+    deliver, stream, out, cp = feed
+    hour = lambda h, v, area="a": (h, 60 * h + 5, area, 0, v)
+    run = lambda: J.run_sliding_sums(stream(), "1 hour", [4, 2], out, cp)
+    deliver([hour(0, 1.0), hour(1, 2.0), hour(2, 4.0), hour(4, 8.0)], 1)
+    run()
+    deliver([hour(5, 16.0), hour(3, 32.0), hour(1, 500.0), hour(6, None), hour(0, 64.0, "b"), hour(7, 128.0), hour(8, 256.0), hour(10, 1.0)], 2)  # hour 3 is in time, 1 too late
+    run()
+    deliver([hour(40, 1.0), hour(41, 2.0, "b")], 3)
+    run()
+    got = {(r.area, r.time): (r.value_2H, r.value_4H) for r in spark.read.parquet(out).collect()}
+    want = {1: (3.0, None), 2: (6.0, None), 3: (36.0, 39.0), 4: (40.0, 46.0), 5: (24.0, 60.0), 8: (384.0, None)}
+    assert got == {("a", T0 + timedelta(hours=h)): v for h, v in want.items()}
+
+
+def test_the_ring_holds_the_widest_window_and_silent_areas_go(spark, feed):
+    spark.conf.set(*J.STATE_STORE)
+    deliver, stream, out, cp = feed
+    run = lambda: J.run_sliding_sums(stream(), "1 hour", 5, out, cp)
+    deliver([(h, 60 * h, a, 0, 1.0) for h in range(30) for a in "ab"], 1)
+    run()
+    state = lambda: {(r.key.area, r.user_map_key.hour) for r in spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "hours").load(cp).collect()}
+    held = state()
+    assert held and max(sum(k == a for k, _ in held) for a in "ab") <= 4
+    deliver([(h, 60 * h, "a", 0, 1.0) for h in range(30, 60)], 2)
+    run()
+    deliver([(99, 60 * 61, "a", 0, 1.0)], 3)
+    run()
+    assert {k for k, _ in state()} == {"a"}
+    assert {r.value for r in spark.read.parquet(out).collect()} == {5.0}
+
+
+def test_ring_sums_equal_plain_sums():
+    rng = np.random.default_rng(4)
+    hours = np.sort(rng.choice(400, 320, replace=False))
+    values = np.where(rng.random(320) < 0.05, np.nan, rng.random(320))
+    known = dict(zip(hours.tolist(), values.tolist()))
+    for got, w in zip(J.ring_sums(hours, values, [1, 3, 24]), [1, 3, 24]):
+        want = [sum(known.get(h - k, np.nan) for k in range(w)) for h in hours.tolist()]
+        assert np.allclose(got, want, equal_nan=True)
+
+
 def test_newest_rows_over_deliveries(spark, feed):
     deliver, stream, out, cp = feed
     keys, order = ["area", "ts"], ["run", "event_id"]
