@@ -60,7 +60,7 @@ def r3(t: Tables):
     out, cp = scratch(t.spark, "r3"), scratch(t.spark, "r3-cp")
     rows = _stream(t).select("area", hour_floor(F.col("ts")).alias("time"), F.pmod("event_id", F.lit(5)).alias("run"), "event_id", "value")
     J.run_newest_rows(rows, ["area", "time"], ["run", "event_id"], out, cp, "time", LATE)
-    got = J.read_newest_rows(t.spark, out, ["area", "time"], ["run", "event_id"])
+    got = J.read_newest_rows(t.spark, out)
     return got.select("area", text("time").alias("time"), "value", "run")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geocadence.operators.alerts import classify_default
+from geocadence.sources.versions import Versions, merge
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str, schema: T.StructType) -> DataFrame:
@@ -123,25 +124,28 @@ def _ring_processor(widths: list[int], names: list[str]):
 # --- R3 ------------------------------------------------------------------------------------------
 def run_newest_rows(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str,
                     time: str, late: str, zone: str = "UTC") -> None:
-    """Newest row per key. Each batch stores its changed keys under its own number, so a batch that is
-    run again replaces its own folder; ``read_newest_rows`` takes the newest version of each key.
+    """Newest row per key, as a table with a part per date of ``time`` (one of the keys).
 
-    The state of keys whose ``time`` (one of them) is older than the limit ``late`` is let go; rows that come later still than
-    that are dropped.
+    Each batch merges its changed keys into the dates they belong to; other dates are neither read nor written. A batch that is run again
+    changes nothing. The state of keys whose ``time`` is older than the limit ``late`` is let go; rows that come later still than that
+    are dropped.
     """
     rest = [c for c in stream.columns if c not in keys]
     newest = _zoned(stream, time, zone).withWatermark("_ts", late).groupBy(*keys, "_ts").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.select(*keys, "r.*").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        changes = batch.select(*keys, "r.*")
+        merge(Versions(batch.sparkSession, path), changes, F.date_format(time, "yyyy-MM-dd"), keys, order, checkpoint, number)
 
     _finish(newest.writeStream.outputMode("update").foreachBatch(store), checkpoint)
 
 
-def read_newest_rows(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
-    df = spark.read.option("basePath", path).parquet(path).drop("batch")
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
+def read_newest_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The table that ``run_newest_rows`` keeps: one row per key, nothing is aggregated again. ``schema``: of the empty table before the first batch."""
+    rows = Versions(spark, path).read()
+    if rows is None and schema is None:
+        raise FileNotFoundError(f"no version of {path}")
+    return rows if rows is not None else spark.createDataFrame([], schema)
 
 
 # the option and the class that ``run_sliding_sums`` and ``run_level_changes`` need
