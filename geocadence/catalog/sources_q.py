@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from geocadence.operators.alerts import locate_points
 from geocadence.operators.grid import rasterize
 from geocadence.catalog.registry import (
-    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, query, r6,
+    AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, cents, query, r6,
     registry, slip_points, text,
 )
 from geocadence.functions.text import dated_folder, fill_template, time_from_path
-from geocadence.functions.times import hours, ntz_lit
+from geocadence.functions.times import hour_floor, hours, ntz_lit
 from geocadence.session import scratch
 from geocadence.sources import grids as GR
 from geocadence.sources import runs as RU
@@ -100,6 +100,38 @@ def s5b(t: Tables):
     return GR.step_policy(spine, h, ["area", "day"], "skip").withColumn("day", text("day"))
 
 
+def _user_cells(t: Tables):
+    """Hourly sums on a grid of 64 x 64 cells: the cell of an event is that of its user."""
+    c = F.pmod("user_id", F.lit(4096)).cast("int")
+    e = t.events.select(hour_floor(F.col("ts")).alias("time"), F.floor(c / 64).cast("int").alias("row"), F.pmod(c, F.lit(64)).alias("col"), cents().alias("c"))
+    return e.groupBy("time", "row", "col").agg((F.sum("c") / 100.0).alias("value"))
+
+
+SQL_USER_CELLS = """u AS (
+  SELECT date_trunc('hour', ts) AS time, CAST(user_id % 4096 AS BIGINT) // 64 AS row, CAST(user_id % 64 AS BIGINT) AS col,
+         SUM(CAST(round(value * 100) AS BIGINT)) / 100.0 AS value FROM events GROUP BY 1, 2, 3)"""
+
+
+@query("s5_tile_scan", f"""
+WITH {SQL_USER_CELLS} SELECT CAST(time AS VARCHAR) AS time, row, col, value FROM u
+WHERE row < 20 AND col < 20 AND time BETWEEN TIMESTAMP '2024-01-04 05:00:00' AND TIMESTAMP '2024-01-09 17:00:00'""")
+def s5_tiles(t: Tables):
+    path = scratch(t.spark, "s5t")
+    GR.write_cells(_user_cells(t), path, rows_per_file=2000)
+    mask = t.spark.range(4096).select(F.floor(F.col("id") / 64).cast("int").alias("row"), F.pmod("id", F.lit(64)).cast("int").alias("col"))
+    mask = mask.withColumn("mask", ((F.col("row") < 20) & (F.col("col") < 20)).cast("int"))
+    out = GR.scan_cells(t.spark, path, ntz_lit("2024-01-04 05:00:00"), ntz_lit("2024-01-09 17:00:00"), mask)
+    return out.select(text("time").alias("time"), big("row").alias("row"), big("col").alias("col"), "value")
+
+
+@query("s5b_step_log", """
+SELECT DISTINCT CAST(date_trunc('hour', ts) AS VARCHAR) AS time FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-03 07:00:00' AND TIMESTAMP '2024-01-28 18:59:59.999999'""")
+def s5b_log(t: Tables):
+    path = scratch(t.spark, "s5l")
+    GR.write_cells(_user_cells(t), path)
+    return GR.written_steps(t.spark, path, ntz_lit("2024-01-03 07:00:00"), ntz_lit("2024-01-28 18:00:00")).select(text("time").alias("time"))
+
+
 @query("s6_multi_path_scan", f"""
 WITH {SQL_CELL_HOURS} SELECT area, CAST(time AS VARCHAR) AS time, cell AS col, value FROM cell_hours WHERE time BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 23:00:00'""")
 def s6(t: Tables):

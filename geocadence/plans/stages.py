@@ -21,7 +21,7 @@ from geocadence.plans.indicators import area_geometry, rain_indicators, sm_indic
 from geocadence.plans.predictors import predict, predictor_table
 from geocadence.plans.scenarios import build_scenarios
 from geocadence.session import stored
-from geocadence.sources.grids import scan_cells, step_policy
+from geocadence.sources.grids import scan_cells, step_policy, written_steps
 from geocadence.sources.tables import quantised
 
 
@@ -77,11 +77,11 @@ def _periods(runs: DataFrame, obs_steps: int, frc_steps: int, obs_block: int, ob
     return stored(period_blocks(window, obs_block, 24, obs_partition=obs_partition), "periods")
 
 
-def _complete_periods(periods: DataFrame, cells: DataFrame, policy: str) -> DataFrame:
-    """Applies the completeness policy; only the time column of the cells is read for it."""
+def _complete_periods(periods: DataFrame, steps: DataFrame, policy: str) -> DataFrame:
+    """Applies the completeness policy; ``steps`` are the times the cells have, known from their log."""
     keys = ["time_run", "period_tag"]
     spine = period_hours(periods, keys)
-    present = spine.join(cells.select("time").distinct(), "time", "left_semi")
+    present = spine.join(steps, "time", "left_semi")
     checked = step_policy(spine, present, keys, policy)
     if policy == "fail":
         checked.agg(F.sum("missing")).first()  # raises on the first incomplete period
@@ -96,7 +96,8 @@ def _indicator_job(spark, store, runs, table, cells_table, compute, obs_steps, f
         return
     lit = lambda t: F.lit(t).cast("timestamp_ntz")
     cells = scan_cells(spark, store.path(cells_table), lit(first), lit(last))
-    rows = compute(cells, _complete_periods(periods, cells, policy))
+    steps = written_steps(spark, store.path(cells_table), lit(first), lit(last))
+    rows = compute(cells, _complete_periods(periods, steps, policy))
     store.write(rows.withColumn("run_date", F.col("time_run").cast("date")), table, "run_date")
 
 

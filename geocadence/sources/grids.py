@@ -2,24 +2,148 @@
 
 from __future__ import annotations
 
+import datetime
+from functools import reduce
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from geocadence.functions.cells import missing_to_null
 
 
+# --- S11: layout and log of tiles -----------------------------------------------------------------
+TILE = 16  # rows and columns of a tile
+LOG = "_tiles"  # readers of the cells do not see folders whose names begin with _
+
+
+def _spread(c: Column) -> Column:
+    """The lower 16 bits of a number, a zero between any two of them."""
+    for shift, keep in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        c = F.shiftleft(c, shift).bitwiseOR(c).bitwiseAND(F.lit(keep).cast("bigint"))
+    return c
+
+
+def tile_code(row: Column, col: Column) -> Column:
+    """Z-order code of a cell's tile: the bits of tile row and tile column by turns, so near tiles mostly have near codes."""
+    part = lambda c: _spread(F.floor(c / TILE).cast("bigint").bitwiseAND(F.lit(0xFFFF).cast("bigint")))
+    return F.shiftleft(part(row), 1).bitwiseOR(part(col))
+
+
+def write_cells(df: DataFrame, path: str, mask: DataFrame | None = None, time: str = "time", rows_per_file: int = 4_000_000) -> None:
+    """S11. Cells by date; with a mask the region layer is stored beside the value.
+
+    Rows are ranged by date and tile along a Z-order curve: a file holds neighbouring tiles, a hot date is written by many tasks, and
+    adaptive execution joins small ranges, so the number of files follows the data. No file has more than ``rows_per_file``
+    rows. Afterwards the log of tiles is written for the dates touched: per file and tile its rows and its steps.
+    """
+    if mask is not None:
+        df = df.join(mask.select("row", "col", F.col("mask").alias("region_mask")), ["row", "col"], "left")
+    order = ["date", "_tile", "row", "col", time]
+    dated = df.withColumns({"date": F.col(time).cast("date"), "_tile": tile_code(F.col("row"), F.col("col"))})
+    touched = Observation()
+    laid = dated.repartitionByRange(*order).observe(touched, F.min("date").alias("first"), F.max("date").alias("last"))
+    (laid.sortWithinPartitions(*order).drop("_tile").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", rows_per_file).partitionBy("date").parquet(path))
+    dates = touched.get
+    if dates.get("first") is not None:
+        _log_tiles(df.sparkSession, path, dates["first"], dates["last"], time)
+
+
+def _log_tiles(spark: SparkSession, path: str, first, last, time: str) -> None:
+    """Writes the log of the dates in [first, last] whose files are not those of the log; only their times and positions are read."""
+    _, stale = _logged_files(spark, path, first, last)
+    if not stale:
+        return
+    cells = spark.read.parquet(path).filter(F.col("date").isin(sorted(stale)))
+    log = cells.groupBy("date", F.col("_metadata.file_name").alias("file"), tile_code(F.col("row"), F.col("col")).alias("tile")).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set(time).alias("steps"))  # a day has as many steps as its calendar
+    log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{path.rstrip('/')}/{LOG}")
+
+
+def _listed(spark: SparkSession, path: str, first, last) -> dict:
+    """{date: names of its files} of the table's folders in [first, last]."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for folder in fs.listStatus(at):
+        name = folder.getPath().getName()
+        if name.startswith("date=") and name[5:9].isdigit() and first <= (day := datetime.date.fromisoformat(name[5:])) <= last:
+            found[day] = {f for s in fs.listStatus(folder.getPath()) if (f := s.getPath().getName())[0] not in "._"}
+    return found
+
+
+def _read_log(spark: SparkSession, path: str, first, last) -> DataFrame | None:
+    at = f"{path.rstrip('/')}/{LOG}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(at)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    return spark.read.parquet(at).filter(F.col("date").between(F.lit(first), F.lit(last)))
+
+
+def _logged_files(spark: SparkSession, path: str, first, last) -> tuple[dict, set]:
+    """The listed files by date, and the dates whose log names other files than the folder has (a write that did not end, or none)."""
+    listed, log = _listed(spark, path, first, last), _read_log(spark, path, first, last)
+    named: dict = {}
+    for day, file in () if log is None else log.select("date", "file").distinct().collect():  # the names a scan would list
+        named.setdefault(day, set()).add(file)
+    return listed, {day for day, files in listed.items() if files != named.get(day, set())}
+
+
+def _bounds(spark: SparkSession, start: Column, end: Column):
+    return spark.sql("SELECT 1").select(start.alias("a"), end.alias("b")).first()
+
+
+def written_steps(spark: SparkSession, path: str, start: Column, end: Column, time: str = "time") -> DataFrame:
+    """S5b. Distinct times of [start, end] that the table holds, from its log of tiles.
+
+    Cells are read of those dates only whose log is missing or not that of their files.
+    """
+    a, b = _bounds(spark, start, end)
+    _, stale = _logged_files(spark, path, a.date(), b.date())
+    log = _read_log(spark, path, a.date(), b.date())
+    parts = []
+    if log is not None:
+        good = log.filter(~F.col("date").isin(sorted(stale))) if stale else log
+        parts.append(good.select(F.explode("steps").alias(time)))
+    if stale or not parts:
+        parts.append(spark.read.parquet(path).filter(F.col("date").isin(sorted(stale))).select(time))
+    return reduce(DataFrame.unionByName, parts).filter(F.col(time).between(start, end)).distinct()
+
+
 # --- S5 / S6 -------------------------------------------------------------------------------------
+def masked_files(spark: SparkSession, path: str, start: Column, end: Column, mask: DataFrame) -> list[str] | None:
+    """Files of the table that may hold cells of the mask within [start, end]; None where no log says so.
+
+    Dates whose log is not that of their files give all their files.
+    """
+    a, b = _bounds(spark, start, end)
+    log = _read_log(spark, path, a.date(), b.date())
+    if log is None:
+        return None
+    listed, stale = _logged_files(spark, path, a.date(), b.date())
+    tiles = mask.filter("mask = 1").select(tile_code(F.col("row"), F.col("col")).alias("tile")).distinct()
+    inside = (F.array_max("steps") >= start) & (F.array_min("steps") <= end)
+    hit = log.filter(inside).join(tiles, "tile", "left_semi").select("date", "file").distinct().collect()  # names of files to scan
+    named = [(day, file) for day, file in hit if day in listed and day not in stale]
+    named += [(day, file) for day in stale for file in listed[day]]
+    return [f"{path.rstrip('/')}/date={day}/{file}" for day, file in sorted(named)]
+
+
 def scan_cells(spark: SparkSession, paths, start: Column, end: Column, mask: DataFrame | None = None,
                columns: tuple[str, ...] = ("time", "row", "col", "value")) -> DataFrame:
     """Cells of [start, end] from one or several tables partitioned by ``date``.
 
-    The date bounds prune folders, the time bounds reach the scan, and the region mask is a semi join.
+    The date bounds prune folders, the time bounds reach the scan. A region mask is a semi join; where the table has a log of tiles
+    only files with tiles of the mask are opened.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.parquet(paths[0])
-    for path in paths[1:]:  # each table has its own partition root
-        df = df.unionByName(spark.read.parquet(path), allowMissingColumns=True)
+    parts = []
+    for path in [paths] if isinstance(paths, str) else list(paths):  # each table has its own partition root
+        files = None if mask is None else masked_files(spark, path, start, end, mask)
+        whole = spark.read.parquet(path) if not files else spark.read.option("basePath", path).parquet(*files)
+        parts.append(whole.filter(F.lit(False)) if files == [] else whole)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     df = df.filter(F.col("date").between(start.cast("date"), end.cast("date"))).filter(F.col("time").between(start, end))
     df = df.select(*columns)
     if mask is not None:
@@ -27,19 +151,6 @@ def scan_cells(spark: SparkSession, paths, start: Column, end: Column, mask: Dat
     return df.withColumn("value", missing_to_null(F.col("value")))
 
 
-def write_cells(df: DataFrame, path: str, mask: DataFrame | None = None, time: str = "time", files_per_date: int = 16) -> None:
-    """S11. Cells by date; with a mask the region layer is stored beside the value.
-
-    A date is spread over at most ``files_per_date`` files by row, each sorted by cell, so that hot dates are
-    written by several tasks without leaving a file per task and date.
-    """
-    if mask is not None:
-        df = df.join(mask.select("row", "col", F.col("mask").alias("region_mask")), ["row", "col"], "left")
-    spread = df.withColumns({"date": F.col(time).cast("date"), "_f": F.pmod("row", F.lit(files_per_date))}).repartition("date", "_f")
-    (spread.drop("_f").sortWithinPartitions("date", "row", "col", time).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
-
-
 # --- S5b -----------------------------------------------------------------------------------------
 def step_policy(spine: DataFrame, df: DataFrame, keys: list[str], policy: str) -> DataFrame:
     """Completeness of each group against its expected steps.
