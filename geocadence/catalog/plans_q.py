@@ -12,15 +12,16 @@ from geocadence.catalog.registry import (
     AREAS, SQL_AREA_DAYS, SQL_CELL_HOURS, Tables, area_days, big, cell_hours, query, r6, text,
 )
 from geocadence.functions.geo import Grid
-from geocadence.functions.times import hour_floor, hours
+from geocadence.functions.times import hour_floor, hours, ntz_lit
 from geocadence.operators import grid as G
 from geocadence.operators.kernel import collapse_model
 from geocadence.operators.timespine import period_blocks, run_window
 from geocadence.plans import indicators as PI
 from geocadence.plans import predictors as PP
-from geocadence.plans.scenarios import build_scenarios
+from geocadence.plans.scenarios import build_scenarios, finish_scenarios, update_days
 from geocadence.plans.soil_moisture import regional_soil_moisture
-from geocadence.session import stored
+from geocadence.session import scratch, stored
+from geocadence.sources.versions import Versions
 
 # Rain grid of the demonstration: two rows of two cells per area; fine mask grid of half the cell size.
 RAIN = Grid(nrows=10, ncols=2, xll=8.0, yll=44.0, cellsize=0.05)
@@ -160,7 +161,7 @@ def _ind_sql(name: str, usable: str) -> str:
 {name}_rows AS (SELECT area, run, CAST(run AS DATE) AS time, v AS value FROM {name}_r UNION ALL SELECT area, run, CAST(CAST(run AS DATE) - INTERVAL 1 DAY AS DATE), v * 2 FROM {name}_r)"""
 
 
-@query("scenario_table", f"""
+_SCENARIO_SQL = f"""
 WITH {SQL_AREA_DAYS}, {_ind_sql('rain', _RAIN_OK)}, {_ind_sql('sm', _SM_OK)}, slips AS (SELECT area, time, n FROM area_days),
 chosen AS (SELECT area, MAX(run) AS run FROM rain_r JOIN sm_r USING (area, run) WHERE area IN (SELECT area FROM slips) AND run <= TIMESTAMP '2024-01-20 13:00:00' GROUP BY area, CAST(run AS DATE)),
 rn AS (SELECT area, time, arg_max(value, run) AS value, MAX(run) AS run FROM rain_rows JOIN chosen USING (area, run) GROUP BY area, time),
@@ -174,7 +175,10 @@ mg AS (SELECT sp.area, sp.time, COALESCE(rx.value, -9999) AS value, rx.run AS rr
 gp AS (SELECT area, CAST(unnest(generate_series(TIMESTAMP '2023-12-25', CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS time FROM bd)
 SELECT gp.area, CAST(gp.time AS VARCHAR) AS time, COALESCE(value, -9999) AS value, CAST(CASE WHEN mg.area IS NULL THEN CAST(gp.time AS TIMESTAMP) ELSE rr END AS VARCHAR) AS rain_time_run, COALESCE(rt, 'NoData') AS rain_latest_from,
   COALESCE(sv, -9999) AS sm_value, CAST(CASE WHEN mg.area IS NULL THEN CAST(gp.time AS TIMESTAMP) ELSE sr END AS VARCHAR) AS sm_time_run, COALESCE(st, 'NoData') AS sm_latest_from, COALESCE(n, -9999) AS n
-FROM gp LEFT JOIN mg USING (area, time)""")
+FROM gp LEFT JOIN mg USING (area, time)"""
+
+
+@query("scenario_table", _SCENARIO_SQL)
 def scenario_table(t: Tables):
     slips = area_days(t).select("area", "time", "n")
     rain, sm = (stored(_indicator_runs(t, usable), name) for usable, name in ((_RAIN_OK, "rain-rows"), (_SM_OK, "sm-rows")))
@@ -182,6 +186,18 @@ def scenario_table(t: Tables):
     return out.drop("domain").withColumns({"rain_time_run": text("rain_time_run"), "sm_time_run": text("sm_time_run")})
 
 
+@query("j6_incremental_scenarios", _SCENARIO_SQL)
+def incremental_scenarios(t: Tables):
+    """The same table from four updates: two of whole weeks, one within a day, one of the rest by run dates."""
+    slips = area_days(t).select("area", "time", "n")
+    rain, sm = (stored(_indicator_runs(t, usable).withColumn("run_date", F.to_date("run_time")), name) for usable, name in ((_RAIN_OK, "rain-rows"), (_SM_OK, "sm-rows")))
+    days, runs = Versions(t.spark, scratch(t.spark, "scenario-days")), Versions(t.spark, scratch(t.spark, "scenario-runs"))
+    for at, since in (("2024-01-09 06:00:00", None), ("2024-01-16 04:00:00", None), ("2024-01-16 19:00:00", "2024-01-16"), ("2024-01-20 13:00:00", "2024-01-16")):
+        update_days(days, runs, rain, sm, slips, ntz_lit(at), since)
+    out = finish_scenarios(days.read(), slips, F.lit("2023-12-25"))
+    return out.drop("domain").withColumns({"rain_time_run": text("rain_time_run"), "sm_time_run": text("sm_time_run")})
+
+
 # --- predictors ------------------------------------------------------------------------------------
 _MAXIMA, _MEANS = [100.0, 5000.0, 10000.0, 366.0], [0.5, 0.4, 0.2, 0.05]
 

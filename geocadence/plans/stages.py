@@ -19,10 +19,11 @@ from geocadence.operators.project import rename_fields
 from geocadence.operators.timespine import period_blocks, period_hours, run_window
 from geocadence.plans.indicators import area_geometry, rain_indicators, sm_indicators, source_circles
 from geocadence.plans.predictors import predict, predictor_table
-from geocadence.plans.scenarios import build_scenarios
+from geocadence.plans.scenarios import build_scenarios, finish_scenarios, update_days
 from geocadence.session import stored
 from geocadence.sources.grids import scan_cells, step_policy, written_steps
 from geocadence.sources.tables import quantised
+from geocadence.sources.versions import Versions
 
 
 @dataclass(frozen=True)
@@ -129,10 +130,10 @@ def slips_stage(store: Store, points: DataFrame, registry: DataFrame, levels: Da
 
 
 # --- scenarios -------------------------------------------------------------------------------------
-def _indicator_rows(df: DataFrame, prefix: str, values: list[str]) -> DataFrame:
+def _indicator_rows(df: DataFrame, prefix: str, values: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Indicator rows keyed by day and run, period fields under the prefix, at the precision of a stored CSV."""
     rows = df.select(
-        "area", F.to_date("time_key").alias("time"), F.col("time_run").alias("run_time"), *[F.col(f"`{v}`") for v in values],
+        *keep, "area", F.to_date("time_key").alias("time"), F.col("time_run").alias("run_time"), *[F.col(f"`{v}`") for v in values],
         *[F.col(c).alias(f"{prefix}_{c}") for c in ("time_start", "time_end", "time_pivot", "period_type")])
     return quantised(rows, 2)
 
@@ -147,6 +148,25 @@ def scenario_stage(spark: SparkSession, store: Store, reference: Column, look_ba
     store.write(out, "scenarios", "area")
 
 
+def scenario_update_stage(spark: SparkSession, store: Store, reference: Column, look_back_start: Column | None = None,
+                          rain_values: tuple[str, ...] = ("rain_peak_3H:max", "rain_accumulated_12H:max"),
+                          sm_values: tuple[str, ...] = ("sm_value_first", "sm_value_last"), since=None, redone: DataFrame | None = None) -> list:
+    """``scenarios`` like ``scenario_stage``, from a table of days of which only those are computed that runs touch (``update_days``).
+
+    Of the indicators only partitions of runs that reach those days are read; the rest starts from one row per area and day.
+    """
+    rain = _indicator_rows(store.read(spark, "indicators_rain"), "rain", list(rain_values), ("run_date",))
+    sm = _indicator_rows(store.read(spark, "indicators_sm"), "sm", list(sm_values), ("run_date",))
+    days, runs = Versions(spark, store.path("scenario_days")), Versions(spark, store.path("scenario_runs"))
+    slips = store.read(spark, "slips")
+    dates = update_days(days, runs, rain, sm, slips, reference, since, redone)
+    both = days.read()
+    if both is None:
+        raise ValueError("there are no scenario days up to the reference time")
+    store.write(finish_scenarios(both, slips, look_back_start), "scenarios", "area")
+    return dates
+
+
 # --- predictors ------------------------------------------------------------------------------------
 # fixed values: names of scenario columns as the predictors know them
 SCENARIO_NAMES = {

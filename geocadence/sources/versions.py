@@ -61,15 +61,19 @@ class Versions:
     def done(self, writer: str, step: int) -> bool:
         return self.manifest()["steps"].get(writer, -1) >= step
 
-    def replace(self, df: DataFrame, part: str, writer: str, step: int) -> None:
-        """Makes the rows of ``df`` the parts that its column ``part`` (STRING, not null) names; other parts stay."""
+    def replace(self, df: DataFrame, part: str, writer: str, step: int, gone: tuple[str, ...] = ()) -> None:
+        """Makes the rows of ``df`` the parts that its column ``part`` (STRING, not null) names; other parts stay.
+
+        Parts in ``gone`` end with this version unless ``df`` has rows of them.
+        """
         old, numbers = self.manifest(), self.numbers()
         folder = f"v-{uuid.uuid4().hex[:12]}"
         columns = [c for c in df.columns if c != part]
         # rows of a part stand together; a large part is split between tasks
         df.withColumnRenamed(part, _PART).hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/{folder}")
         new = {self.spark._jvm.java.net.URLDecoder.decode(n.split("=", 1)[1], "UTF-8"): f"{folder}/{n}" for n in self._names(folder) if n.startswith(f"{_PART}=")}
-        found = {"parts": old["parts"] | new, "steps": old["steps"] | {writer: step}, "schema": json.loads(df.select(*columns).schema.json())}
+        kept = {p: f for p, f in old["parts"].items() if p not in gone}
+        found = {"parts": kept | new, "steps": old["steps"] | {writer: step}, "schema": json.loads(df.select(*columns).schema.json())}
         self._commit((numbers[-1] if numbers else 0) + 1, found)
         self._clean()
 

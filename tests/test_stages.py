@@ -89,3 +89,12 @@ def test_a_missing_hour_stops_the_rain_stage(spark, chain):
     late = spark.createDataFrame([(datetime(2024, 1, 31, 14),)], "run timestamp_ntz")
     with pytest.raises(Exception, match="incomplete steps"):
         P.rain_stage(spark, store, late)
+
+
+def test_updated_scenarios_are_those_made_anew(spark, chain):
+    store, _ = chain
+    at = lambda s: F.lit(s).cast("timestamp_ntz")
+    before = rows(store.read(spark, "scenarios"))
+    P.scenario_update_stage(spark, store, at("2024-01-09 10:00:00"), F.lit("2024-01-01"))
+    P.scenario_update_stage(spark, store, at("2024-01-10 10:00:00"), F.lit("2024-01-01"), since="2024-01-09")
+    assert rows(store.read(spark, "scenarios")) == before
