@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geocadence.catalog.registry import Tables, big, query, r6, text
@@ -157,6 +160,32 @@ def o2(t: Tables):
     return sel.select("group", text("day").alias("day"), "path", "keep")
 
 
+# fixed values: the ways of choosing a window, by name
+_WINDOWS = {
+    "plain": {}, "observed": {"limit_to_obs": True}, "back": {"days_back": 3}, "back_at": {"days_back": 2, "start_hour": "06:30"},
+    "early": {"flatten_hour": "09:15", "days_back": 1}, "late": {"flatten_hour": "07:00"},
+}
+
+
+@query("o2_selection_window", f"""
+WITH {SQL_FILES}, s AS (SELECT "group", TIMESTAMP '2024-01-12 00:00:00' + to_hours(length("group")) AS ini, TIMESTAMP '2024-01-13 08:00:00' AS obs, TIMESTAMP '2024-01-14 12:00:00' + to_minutes(length("group")) AS fin FROM (SELECT DISTINCT "group" FROM files)),
+w AS (SELECT 'plain' AS way, "group", ini AS a, fin AS b FROM s UNION ALL SELECT 'observed', "group", ini, obs FROM s UNION ALL SELECT 'back', "group", ini - INTERVAL 3 DAY, fin FROM s
+  UNION ALL SELECT 'back_at', "group", TIMESTAMP '2024-01-10 06:30:00', fin FROM s UNION ALL SELECT 'early', "group", ini - INTERVAL 2 DAY, fin FROM s UNION ALL SELECT 'late', "group", ini, fin FROM s)
+SELECT way, w."group", CAST(a AS VARCHAR) AS window_start, CAST(b AS VARCHAR) AS window_end, COUNT(path) AS files FROM w LEFT JOIN files ON files."group" = w."group" AND name_time BETWEEN a AND b GROUP BY ALL""")
+def o2_window(t: Tables):
+    files = _files(t)
+    size, stamp = F.length("group"), lambda c: F.date_format(c, "yyyyMMddHHmm")
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    runs = files.select("group").distinct().select(
+        "group", stamp(at("2024-01-12 00:00:00") + hours(size)).alias("DateIni"), F.lit("202401130800").alias("DateObs"),
+        stamp(at("2024-01-14 12:00:00") + minutes(size)).alias("DateEnd"))
+    ways = [I.selection_window(runs, now=at("2024-01-14 08:30:00"), **how).withColumn("way", F.lit(way)) for way, how in _WINDOWS.items()]
+    windows = reduce(DataFrame.unionByName, ways)
+    inside = F.col("name_time").between(F.col("window_start"), F.col("window_end"))
+    return windows.join(files.select("group", "name_time"), "group", "left").groupBy(
+        "way", "group", text("window_start").alias("window_start"), text("window_end").alias("window_end")).agg(F.count_if(inside).alias("files"))
+
+
 @query("a15_sync_report", f"""
 WITH RECURSIVE {_SEL}, c AS (SELECT "group", COUNT(*) AS candidates, COUNT(*) FILTER (name_time BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 12:00:00') AS within_window FROM files GROUP BY 1),
 g AS (SELECT "group", COUNT(*) AS selected, COUNT(*) FILTER (keep) AS selected_after_gate FROM gate GROUP BY 1)

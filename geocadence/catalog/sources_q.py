@@ -10,6 +10,7 @@ from geocadence.catalog.registry import (
     AREAS, SQL_AREA_DAYS, SQL_AREA_HOURS, SQL_CELL_HOURS, SQL_REGISTRY, SQL_SLIP_POINTS, Tables, area_days, area_hours, big, cell_hours, cents, query, r6,
     registry, slip_points, text,
 )
+from geocadence.functions.projection import projection
 from geocadence.functions.text import dated_folder, fill_template, time_from_path
 from geocadence.functions.times import hour_floor, hours, ntz_lit
 from geocadence.session import scratch
@@ -210,6 +211,32 @@ def s10(t: Tables):
     return rows.select("alert_area_code", big(kind).alias("ring"), big("vertex").alias("vertex"), "v.x", "v.y")
 
 
+# fixed values: the systems the polygons of a customer may come in
+_SYSTEMS = {"degrees": 4326, "web": 3857, "utm32": 32632, "utm33": 25833}
+
+
+@query("s10_reprojected", """
+SELECT 'C' || c_custkey AS alert_area_code, s AS system, v AS vertex,
+  round(CASE WHEN s = 'utm33' THEN 12 ELSE 6 END + (c_custkey % 500) / 100.0::DOUBLE + CASE WHEN v IN (1, 2) THEN 0.37 ELSE 0 END + 1e-9, 6) AS lon,
+  round(36 + c_nationkey / 2.0::DOUBLE + CASE WHEN v > 1 THEN 0.23 ELSE 0 END + 1e-9, 6) AS lat
+FROM customer, (VALUES ('degrees'), ('web'), ('utm32'), ('utm33')) x(s), range(0, 4) g(v)""")
+def s10_reprojected(t: Tables):
+    """A rectangle per customer written as text in each system, and read as degrees."""
+    out = None
+    for name, epsg in _SYSTEMS.items():
+        system = projection(epsg)
+        x0 = F.lit(12.0 if name == "utm33" else 6.0) + F.pmod("c_custkey", F.lit(500)) / 100.0
+        y0 = F.lit(36.0) + F.col("c_nationkey") / 2.0
+        corners = [(x0 + dx, y0 + dy) for dx, dy in ((0.0, 0.0), (0.37, 0.0), (0.37, 0.23), (0.0, 0.23))]
+        points = [F.concat_ws(" ", *[c.cast("string") for c in (system.forward(*p) if system else p)]) for p in corners]
+        raw = t.customer.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("code"),
+                                F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *points, points[0]), F.lit("))")).alias("wkt"))
+        rows = TB.parse_polygons(raw, "code", epsg=epsg).select("alert_area_code", F.lit(name).alias("system"), F.posexplode(F.col("rings")[0]).alias("vertex", "p"))
+        rows = rows.select("alert_area_code", "system", big("vertex").alias("vertex"), r6("p.x").alias("lon"), r6("p.y").alias("lat"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # position of a point in the areas of ``_area_texts``: dx, dy from the customer's corner
 SQL_IN_AREA = """((dx > 0 AND dx < 0.5 AND dy > 0 AND dy < 0.75 AND NOT (k % 2 = 0 AND dx > 0.125 AND dy > 0.125 AND dx + dy < 0.375))
   OR (k % 3 = 0 AND dx < -1 AND dy > 0 AND dy < 0.875 * (dx + 2)))"""

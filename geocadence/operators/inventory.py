@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geocadence.functions.text import base_name, has_all_tags, is_mc_file, is_me_file, label_minutes
+from geocadence.functions.text import base_name, has_all_tags, is_mc_file, is_me_file, label_minutes, stamp12
 from geocadence.functions.times import compact_minute, hour_index, seconds_between
 from geocadence.operators.alerts import freshness_gate
 from geocadence.operators.series import thin_by_minutes
@@ -155,6 +155,36 @@ def run_catalogue(files: DataFrame, targets: DataFrame, history: bool = True) ->
 
 
 # --- A15 / O2 ------------------------------------------------------------------------------------
+def selection_window(runs: DataFrame, limit_to_obs: bool = False, days_back: int = 0, start_hour: str | None = None,
+                     flatten_hour: str | None = None, now: Column | None = None, missing: str = "fail") -> DataFrame:
+    """O2. ``window_start`` and ``window_end`` from the stamps DateIni, DateObs and DateEnd (yyyyMMddHHmm) of a run.
+
+    The window ends at DateEnd, or at DateObs with ``limit_to_obs``. Before ``flatten_hour`` (HH:MM) of ``now`` it begins a day
+    earlier; without ``now`` the hour has no meaning and changes nothing. ``days_back`` moves the start by whole days, to ``start_hour`` (HH:MM) if given. A run
+    whose stamps are absent or no times stops the query, or has no row with ``missing="skip"``.
+    """
+    if missing not in ("fail", "skip"):
+        raise ValueError('missing must be "fail" or "skip"')
+    since_midnight = lambda hhmm: F.make_dt_interval(F.lit(0), F.lit(int(hhmm[:2])), F.lit(int(hhmm[3:5])))
+    start, end = stamp12(F.col("DateIni")), stamp12(F.col("DateObs" if limit_to_obs else "DateEnd"))
+    known = start.isNotNull() & end.isNotNull()
+    if missing == "skip":
+        runs = runs.filter(known)
+    else:
+        text = F.concat(F.lit("a run lacks the stamps of its window: "), F.to_json(F.struct("DateIni", "DateObs", "DateEnd")))
+        start = F.when(known, start).otherwise(F.raise_error(text).cast("timestamp_ntz"))
+    if flatten_hour is not None and now is not None:
+        early = F.date_format(now, "HH:mm") < F.lit(f"{int(flatten_hour[:2]):02d}:{int(flatten_hour[3:5]):02d}")
+        start = start - F.when(early, F.make_dt_interval(F.lit(1))).otherwise(F.make_dt_interval(F.lit(0)))
+    out = runs.withColumns({"window_start": start, "window_end": end})
+    if days_back > 0:
+        moved = F.col("window_start") - F.make_dt_interval(F.lit(days_back))
+        if start_hour is not None:
+            moved = moved.cast("date").cast("timestamp_ntz") + since_midnight(start_hour)
+        out = out.withColumn("window_start", moved)
+    return out
+
+
 def selection_set(files: DataFrame, keys: list[str], start: Column, end: Column, freq_minutes: int | None = None,
                   max_hours: float | None = None, time: str = "data_time", path: str = "path") -> DataFrame:
     """O2. Files inside the window, thinned, with the freshness decision."""

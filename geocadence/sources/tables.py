@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geocadence.functions.projection import projection
 from geocadence.functions.text import stamp12
 from geocadence.operators.project import drop_out_of_range, select_fields
 
@@ -119,11 +120,17 @@ def parse_stations(raw: DataFrame, scale: float = 10.0, at: Column | None = None
 
 
 # --- S10 -----------------------------------------------------------------------------------------
-def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str = "alert_area_code") -> DataFrame:
-    """(code, rings) from POLYGON or MULTIPOLYGON text (EPSG:4326).
+def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str = "alert_area_code", epsg: int = 4326) -> DataFrame:
+    """(code, rings) from POLYGON or MULTIPOLYGON text in the coordinate system ``epsg`` (see ``projection``).
 
-    ``rings`` holds every outline and hole of every part as array<struct<x,y>>, without the closing vertex.
+    ``rings`` holds every outline and hole of every part as array<struct<x,y>> in degrees, without the closing vertex.
     """
+    system = projection(epsg)
+
+    def in_degrees(v):
+        lon, lat = system.inverse(v["x"], v["y"])
+        return F.struct(lon.alias("x"), lat.alias("y"))
+
     def vertex(s):
         xy = F.split(F.trim(s), r"\s+")
         return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
@@ -134,6 +141,8 @@ def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str =
 
     texts = F.regexp_extract_all(F.col(wkt), F.lit(r"\(([^()]+)\)"), F.lit(1))
     rings = F.transform(texts, lambda t: opened(F.transform(F.split(t, r"\s*,\s*"), vertex)))
+    if system is not None:
+        rings = F.transform(rings, lambda ring: F.transform(ring, in_degrees))
     return raw.select(F.col(code).alias(out_code), rings.alias("rings"))
 
 
