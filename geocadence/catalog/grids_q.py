@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from geocadence.catalog.registry import SQL_CELL_HOURS, Tables, big, cell_hours, query, r6, text
 from geocadence.functions.geo import Grid
 from geocadence.operators import grid as G
+from geocadence.operators.swath import swath_map
 
 # A coarse source grid of 8 x 8 cells over the plane of the embedding entries, moved to 44 N 8 E.
 SOURCE = Grid(nrows=8, ncols=8, xll=7.6, yll=43.6, cellsize=0.1)
@@ -81,6 +82,36 @@ def j9_many(t: Tables):
     return G.apply_weighted(_values(t), m, ["half"], ["vec_id"]).withColumn("value", r6("value"))
 
 
+def _swath(t: Tables):
+    """A cell per customer on bent lines of uneven distance: rows of 40 cells."""
+    row, col = F.floor(F.col("c_custkey") / 40).cast("int"), F.pmod("c_custkey", F.lit(40)).cast("int")
+    return t.customer.select(
+        row.alias("row"), col.alias("col"), (F.lit(7.6) + col * 0.02 + F.pmod(row, F.lit(3)) * 0.013).alias("lon"),
+        (F.lit(44.4) - row * row * 0.0005 - F.pmod(col, F.lit(4)) * 0.011).alias("lat"), F.col("c_acctbal").alias("value"))
+
+
+SQL_SWATH = f"""sw AS (SELECT c_custkey // 40 AS row, c_custkey % 40 AS col, c_acctbal AS value,
+  7.6::DOUBLE + (c_custkey % 40) * 0.02::DOUBLE + (c_custkey // 40 % 3) * 0.013::DOUBLE AS lon, 44.4::DOUBLE - (c_custkey // 40) * (c_custkey // 40) * 0.0005::DOUBLE - (c_custkey % 40 % 4) * 0.011::DOUBLE AS lat FROM customer),
+d AS (SELECT vec_id, row, col, value, {hav('p.lon', 'p.lat', 's.lon', 's.lat')} AS dist FROM points p, sw s)"""
+
+
+@query("j8_uneven_grid", f"""
+WITH {SQL_POINTS}, {SQL_SWATH} SELECT vec_id, row AS src_row, col AS src_col, round(dist + 1e-9, 3) AS dist_m, value FROM d
+WHERE dist <= 25000 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, row, col) = 1""")
+def j8_uneven(t: Tables):
+    m = swath_map(_points(t), _swath(t), ["vec_id"])
+    moved = G.apply_nearest(_swath(t), m, [], ["vec_id"])
+    return m.join(moved, "vec_id").select("vec_id", big("src_row").alias("src_row"), big("src_col").alias("src_col"), F.round(F.col("dist_m") + 1e-9, 3).alias("dist_m"), "value")
+
+
+@query("j9_uneven_grid", f"""
+WITH {SQL_POINTS}, {SQL_SWATH}, m AS (SELECT *, 1 / (1 + dist) AS w FROM d WHERE dist <= 30000 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, row, col) <= 6)
+SELECT vec_id, round(SUM(w * value) / SUM(w) + 1e-9, 6) AS value FROM m GROUP BY vec_id""")
+def j9_uneven(t: Tables):
+    m = swath_map(_points(t), _swath(t), ["vec_id"], k=6, radius_m=30000.0).withColumn("weight", 1 / (1 + F.col("dist_m")))
+    return G.apply_weighted(_swath(t), m, [], ["vec_id"]).withColumn("value", r6("value"))
+
+
 _FR, _FC = "(44.35::DOUBLE - lat) / 0.1::DOUBLE", "(lon - 7.65::DOUBLE) / 0.1::DOUBLE"
 
 
