@@ -12,7 +12,7 @@ from geocadence.functions.text import run_label_of
 from geocadence.functions.times import hour_floor, hours, minute_floor, minutes
 from geocadence.operators import inventory as I
 from geocadence.operators.scenario import missing_steps
-from geocadence.sources.runs import match_names
+from geocadence.sources.runs import find_each, match_names
 
 
 def _hhmm(c):
@@ -247,6 +247,15 @@ def a16(t: Tables):
     return spine.join(hit, ["area", "time"], "left").groupBy("area").agg(F.count(F.lit(1)).alias("expected"), F.count("hit").alias("present"))
 
 
+@query("s14b_one_match", f"""
+WITH {SQL_FILES}, m AS (SELECT "group", day, MIN(path) AS path, COUNT(DISTINCT path) AS n FROM files WHERE regexp_matches(name, '^f_[0-9]{{8}}0[0-9]{{3}}_.*[.]csv$') GROUP BY 1, 2)
+SELECT g."group", CAST(g.day AS VARCHAR) AS day, CASE WHEN n = 1 THEN path END AS path, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'one' ELSE 'several' END AS found
+FROM (SELECT DISTINCT "group", day FROM files) g LEFT JOIN m ON m."group" = g."group" AND m.day = g.day""")
+def s14b_one(t: Tables):
+    files = _files(t)
+    return find_each(files.select("group", "day").distinct(), files, "f_????????0???_*.csv", ["group", "day"]).select("group", text("day").alias("day"), "path", "found")
+
+
 @query("s14b_wildcard_matches", f"""
 WITH {SQL_FILES} SELECT path FROM files WHERE regexp_matches(name, '^f_20240115[0-9]{{4}}_.*[.]csv$')""")
 def s14b(t: Tables):

@@ -318,13 +318,19 @@ def s13(t: Tables):
     return out.select("event_id", F.try_variant_get("doc", "$.k", "bigint").alias("value"), "parsed_strict", "parse_error")
 
 
-@query("s14_file_inventory", "SELECT DISTINCT event_type AS \"group\", true AS has_files, true AS has_bytes FROM events")
+@query("s14_file_inventory", """
+SELECT event_type || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS folder, CAST(1 AS BIGINT) AS files, CAST(SUM(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS bytes,
+  bool_and(event_type <> 'view') AS listed_flat FROM events GROUP BY event_type, CAST(ts AS DATE)""")
 def s14(t: Tables):
+    """A text file per event type and day, an id on each line: names and lengths are known."""
     path = scratch(t.spark, "s14")
-    t.events.select("event_type", "event_id").write.partitionBy("event_type").parquet(path)
-    files = RU.list_files(t.spark, path, "*.parquet")
-    return files.groupBy(F.regexp_extract("path", "event_type=([^/]+)", 1).alias("group")).agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("length") > 0).alias("has_bytes"))
+    e = t.events.select("event_type", F.col("ts").cast("date").alias("day"), F.col("event_id").cast("string").alias("value"))
+    e.repartition(8, "event_type", "day").write.partitionBy("event_type", "day").text(path)
+    folder = F.concat(F.regexp_extract("path", "event_type=([^/]+)", 1), F.lit("/"), F.regexp_extract("path", "day=([^/]+)", 1))
+    every = RU.list_files(t.spark, path, "*.txt").groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    # without recursion only the named folders are listed
+    flat = RU.list_files(t.spark, [f"{path}/event_type={a}/day=*" for a in AREAS if a != "view"], "part-*.txt", recursive=False).select(folder.alias("folder"), F.lit(True).alias("_f"))
+    return every.join(flat.distinct(), "folder", "left").select("folder", "files", "bytes", F.coalesce("_f", F.lit(False)).alias("listed_flat"))
 
 
 @query("s15_training_matrix", """

@@ -15,10 +15,10 @@ def read_json_documents(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def parse_documents(df: DataFrame, text: str = "text", excerpt: int = 2000) -> DataFrame:
+def parse_documents(df: DataFrame, text: str = "text") -> DataFrame:
     """JSON texts to VARIANT. A bad text is tried again from its first ``{`` to its last ``}``.
 
-    Adds ``doc``, ``parsed_strict``, ``parse_error`` and, for the unparsable, the start of the raw text.
+    Adds ``doc``, ``parsed_strict``, ``parse_error`` and, for the unparsable, the whole text that failed as ``raw_text``.
     """
     t = F.col(text)
     sliced = F.regexp_extract(t, r"(?s)(\{.*\})", 1)
@@ -32,7 +32,7 @@ def parse_documents(df: DataFrame, text: str = "text", excerpt: int = 2000) -> D
             "parsed_strict": F.col("_strict").isNotNull(),
             "parse_error": F.when(failed & (sliced == ""), F.lit("no_json_braces_found"))
             .when(failed, F.lit("strict and sliced parse failed")),
-            "raw_excerpt": F.when(failed, F.substring(F.when(sliced != "", sliced).otherwise(t), 1, excerpt)),
+            "raw_text": F.when(failed, F.when(sliced != "", sliced).otherwise(t)),
         }).drop("_strict", "_loose")
     )
 
@@ -58,6 +58,17 @@ def find_one(files: DataFrame, pattern: str, path: str = "path") -> str | None:
     return hits[0][0]
 
 
+def find_each(groups: DataFrame, files: DataFrame, pattern: str, keys: list[str], path: str = "path") -> DataFrame:
+    """S14b for many groups at once: the path of each group whose name matches, with ``found`` none, one or several.
+
+    Only one match is a path; a path listed twice is one.
+    """
+    hits = match_names(files, pattern, path).groupBy(*keys).agg(F.min(path).alias(path), F.max(path).alias("_last"))
+    several = F.col(path) != F.col("_last")
+    return groups.join(hits, keys, "left").withColumn("found", F.when(F.col(path).isNull(), "none").when(several, "several").otherwise("one")).withColumn(
+        path, F.when(F.col("found") == "one", F.col(path))).drop("_last")
+
+
 def match_names(files: DataFrame, pattern: str, path: str = "path") -> DataFrame:
     """Paths whose name matches a ``*``/``?`` wildcard."""
     import re

@@ -64,3 +64,9 @@ def test_rain_indicators_read_the_cells_once(spark):
     plan = plan_of(QUERIES["a5_rain_indicators"](spark, SF))
     assert len(re.findall(r"FileScan parquet.*events\.parquet", plan)) == 1
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 8
+
+
+@pytest.mark.parametrize("name", ["j6_newest_run_wins", "w6_newest_row_number"])
+def test_newest_rows_are_hash_aggregates(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -94,3 +94,16 @@ def test_step_policy(spark):
 def test_training_matrix_pairs_by_stored_number(spark, tmp_path):
     (tmp_path / "x.csv").write_text("1,0.1,0.2,5\n0,0.3,0.4,6\n")
     assert rows(TB.read_training(spark, str(tmp_path / "x.csv"), 2)) == [(0, [0.3, 0.4], 6.0), (1, [0.1, 0.2], 5.0)]
+
+
+def test_one_match_per_group(spark):
+    files = spark.createDataFrame([("a", "/d/x_1.csv"), ("a", "/d/x_1.csv"), ("a", "/d/y.csv"), ("b", "/d/x_1.csv"), ("b", "/e/x_2.csv"), ("c", "/d/x.txt")], "g string, path string")
+    groups = files.select("g").distinct().union(spark.createDataFrame([("d",)], "g string"))
+    out = RU.find_each(groups, files, "x_?.csv", ["g"])
+    assert rows(out, "g", "path", "found") == [("a", "/d/x_1.csv", "one"), ("b", None, "several"), ("c", None, "none"), ("d", None, "none")]
+
+
+def test_a_failed_text_is_kept_whole(spark):
+    long = "{" + "x" * 5000 + "}"
+    out = RU.parse_documents(spark.createDataFrame([(1, "log " + long), (2, "y" * 3000), (3, "{}"), (4, None)], "id int, text string"))
+    assert [(r["id"], r["raw_text"]) for r in out.orderBy("id").collect()] == [(1, long), (2, "y" * 3000), (3, None), (4, None)]

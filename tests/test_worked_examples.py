@@ -140,6 +140,16 @@ def test_point_on_edge_is_outside_and_overlap_gives_two_rows(spark):
 
 
 # --- J6 / J17 / W8 / C5 ----------------------------------------------------------------------------
+def test_newest_run_of_rows_without_a_run(spark):
+    schema = "area string, time int, run_time timestamp_ntz, v double"
+    data = [("a", 1, None, 1.0), ("b", 1, None, 2.0), ("b", 1, datetime(2024, 1, 2), None), ("b", 1, datetime(2024, 1, 1), 4.0)]
+    d = spark.createDataFrame(data, schema)
+    want = [("a", 1, None, 1.0, "db"), ("b", 1, datetime(2024, 1, 2), None, "latest")]  # a missing value of the newest run stays missing
+    for extra in ([], [F.lit("t").alias("t")]):  # of a fixed width, and with a text beside
+        out = S.newest_run_wins(d.select("*", *extra), ["area", "time"])
+        assert rows(out, "area", "time", "run_time", "v", "latest_from") == want
+
+
 def test_newest_run_wins_and_is_idempotent(spark):
     d = spark.createDataFrame([("a", 1, 10, 1.0), ("a", 1, 20, 2.0), ("a", 2, 10, 3.0)], "area string, time int, run_time int, v double")
     out = S.newest_run_wins(d, ["area", "time"])
