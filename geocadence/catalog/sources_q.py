@@ -17,6 +17,7 @@ from geocadence.session import scratch
 from geocadence.sources import grids as GR
 from geocadence.sources import runs as RU
 from geocadence.sources import tables as TB
+from geocadence.sources.splits import packed_cells, write_packed
 
 
 @query("s1_csv_field_map", f"""
@@ -166,7 +167,7 @@ def s7(t: Tables):
     grids = _daily_grids(t).select("area", "day", F.concat(F.lit(header), F.concat_ws("\n", *[row(r) for r in range(6)]), F.lit("\n")).alias("text"))
     # one line per file: the grid text is stored as a single record and read back whole
     grids.repartition("area", "day").write.partitionBy("area", "day").option("maxRecordsPerFile", 1).text(path)
-    out = GR.ascii_cells(GR.read_ascii_files(t.spark, f"{path}/*/*/*.txt"))
+    out = GR.split_ascii_cells(t.spark, path, "*.txt")
     name = F.col("path")
     return out.select(
         F.regexp_extract(name, "area=([^/]+)", 1).alias("area"), F.regexp_extract(name, "day=([^/]+)", 1).alias("day"),
@@ -179,9 +180,10 @@ def s8(t: Tables):
     # little-endian int32 in column order, written by hex digits
     le = lambda x: F.concat(*[F.substring(F.lpad(F.hex(x), 8, "0"), 7 - 2 * b, 2) for b in range(4)])
     packed = F.unhex(F.concat(*[le(F.coalesce(F.col("m")[c], F.lit(0))) for c in range(30)]))
-    files = _daily_grids(t).select(F.concat("area", F.lit("/"), text("day")).alias("path"), packed.alias("content"))
-    out = GR.binary_cells(files, 6, 5)
-    return out.select("path", *[big(c).alias(c) for c in ("step", "row", "col")], "value")
+    path = scratch(t.spark, "s8")
+    write_packed(_daily_grids(t).select(F.concat("area", F.lit("/"), text("day")).alias("path"), packed.alias("content")), path)
+    out = packed_cells(t.spark, path, 6, 5)
+    return out.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("path"), *[big(c).alias(c) for c in ("step", "row", "col")], "value")
 
 
 @query("s9_station_points", """

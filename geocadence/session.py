@@ -19,6 +19,7 @@ def build_session(master: str = "local[*]", name: str = "geocadence", shuffle_pa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.python.filterPushdown.enabled", "true")
         .config("spark.driver.memory", os.environ.get("GEOCADENCE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")

@@ -6,10 +6,11 @@ import datetime
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geocadence.functions.cells import missing_to_null
+from geocadence.sources.splits import RANGE, grid_lines
 
 
 # --- S11: layout and log of tiles -----------------------------------------------------------------
@@ -178,25 +179,48 @@ def read_ascii_files(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def _header(name: str) -> Column:
+    """A number of the header by its name, in any case."""
+    return F.regexp_extract(F.col("text"), rf"(?im)^\s*{name}\s+([-+.\deE]+)", 1).cast("double")
+
+
+def _headers(keep: tuple[str, ...]) -> list:
+    return [*keep, _header("ncols").cast("int").alias("ncols"), _header("nrows").cast("int").alias("nrows"), _header("xllcorner").alias("xll"),
+            _header("yllcorner").alias("yll"), _header("cellsize").alias("cellsize"), _header("nodata_value").alias("nodata")]
+
+
+def _line_cells(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Cells of lines (row, _line) that carry their grid's header."""
+    res, v = F.col("cellsize"), F.col("_v").cast("double")
+    return lines.select("*", F.posexplode(F.split("_line", r"\s+")).alias("col", "_v")).select(
+        *keep, "row", "col",
+        (F.col("xll") + res / 2 + F.col("col") * res).alias("lon"),
+        (F.col("yll") + res / 2 + (F.col("nrows") - 1 - F.col("row")) * res).alias("lat"),
+        F.when(F.col("nodata").isNull() | (v != F.col("nodata")), v).alias("value"))
+
+
 def ascii_cells(files: DataFrame, keep: tuple[str, ...] = ("path",)) -> DataFrame:
     """Cells of ASCII grids: six header lines, then rows from north to south; the marker becomes NULL."""
-    head = lambda name: F.regexp_extract(
-        F.col("text"), rf"(?im)^\s*{name}\s+([-+.\deE]+)", 1).cast("double")
     lines = F.filter(F.transform(F.split("text", r"\r?\n"), lambda s: F.trim(s)), lambda s: s.rlike(r"^[-+.\d]"))
-    res = F.col("cellsize")
-    return (
-        files.select(
-            *keep, head("ncols").cast("int").alias("ncols"), head("nrows").cast("int").alias("nrows"),
-            head("xllcorner").alias("xll"), head("yllcorner").alias("yll"), head("cellsize").alias("cellsize"),
-            head("nodata_value").alias("nodata"), lines.alias("_lines"))
-        .select("*", F.posexplode("_lines").alias("row", "_line"))
-        .select("*", F.posexplode(F.split("_line", r"\s+")).alias("col", "_v"))
-        .select(
-            *keep, "row", "col",
-            (F.col("xll") + res / 2 + F.col("col") * res).alias("lon"),
-            (F.col("yll") + res / 2 + (F.col("nrows") - 1 - F.col("row")) * res).alias("lat"),
-            F.when(F.col("nodata").isNull() | (F.col("_v").cast("double") != F.col("nodata")), F.col("_v").cast("double")).alias("value"))
-    )
+    rows = files.select(*_headers(keep), lines.alias("_lines")).select("*", F.posexplode("_lines").alias("row", "_line"))
+    return _line_cells(rows, keep)
+
+
+def split_ascii_cells(spark: SparkSession, path: str, glob: str = "*", range_bytes: int = RANGE) -> DataFrame:
+    """The cells of ``ascii_cells`` from files of any size: a task per range of bytes.
+
+    A first pass counts the rows that begin in each range; their running sum per file numbers the lines of the second.
+    """
+    lines, ranges = grid_lines(spark, path, glob, range_bytes)
+    file = Window.partitionBy("path")
+    before = F.coalesce(F.sum("n").over(file.orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    heads = F.array_sort(F.collect_list(F.when(F.col("header").isNotNull(), F.struct("begin", "header"))).over(file))
+    text = F.array_join(F.transform(heads, lambda h: h["header"]), "\n")
+    numbered = ranges.select("path", "begin", before.alias("_before"), text.alias("text")).select(
+        *_headers(("path", "begin", "_before")))
+    rows = lines.withColumnRenamed("text", "_line").join(numbered, ["path", "begin"]).withColumn(
+        "row", (F.col("_before") + F.col("line")).cast("int"))
+    return _line_cells(rows, ("path",))
 
 
 # --- S8 ------------------------------------------------------------------------------------------
