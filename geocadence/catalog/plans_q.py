@@ -227,7 +227,7 @@ def _own_levels(t: Tables):
     none = F.lit(None).cast("int")
     entries = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(level).alias("level"), lo.alias("lo"), hi.alias("hi")) for i, (level, lo, hi) in enumerate([
         ("white", F.lit(0), F.lit(0)), ("green", F.lit(1), 1 + k), ("yellow", 2 + k, 4 + 2 * k), ("orange", 5 + 2 * k, 9 + 3 * k), ("red", 10 + 3 * k, none)])])
-    return t.events.select(F.col("event_type").alias("name")).distinct().where("name <> 'view'").select("name", F.inline(entries))
+    return area_days(t).select(F.col("area").alias("name")).distinct().where("name <> 'view'").select("name", F.inline(entries))
 
 
 def _predicted(t: Tables):

@@ -169,7 +169,7 @@ def u1(t: Tables):
     d = area_days(t)
     out = None
     for area in AREAS:
-        out = S.stack_tables(out, d.filter(F.col("area") == area))
+        out = S.stack_tables(out, d.filter(F.substring_index("area", "_", 1) == area))
     return S.stack_tables(out, None).withColumn("time", text("time"))
 
 
