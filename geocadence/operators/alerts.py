@@ -16,7 +16,8 @@ def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
     """Each polygon once per bin its bounding box meets, with the edges that matter there.
 
     A ray towards larger x from a point of the bin can only meet edges that reach the bin's latitudes and
-    do not end west of it; the others are left out, so detailed outlines are not copied whole.
+    do not end west of it; the others are left out, so detailed outlines are not copied whole. A bin that no
+    edge touches lies inside or outside as a whole: outside it is left out, inside (``_whole``) it needs no edges.
     """
     rings = polygon_rings(polygons.columns)
     vertices = F.flatten(rings)
@@ -29,31 +30,36 @@ def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
     south, north, west = F.col("_by") * bin_deg - slack, (F.col("_by") + 1) * bin_deg + slack, F.col("_bx") * bin_deg - slack
     near = F.filter("_all", lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
                     & (F.greatest(e["x1"], e["x2"]) >= west))
-    return (
+    cx, cy, half = (F.col("_bx") + 0.5) * bin_deg, (F.col("_by") + 0.5) * bin_deg, bin_deg / 2 + slack
+    # an edge misses a square that is east or west of it, or wholly on one side of its line
+    touched = F.exists("_edges", lambda e: (F.least(e["x1"], e["x2"]) <= cx + half) & (
+        F.abs((e["x2"] - e["x1"]) * (cy - e["y1"]) - (e["y2"] - e["y1"]) * (cx - e["x1"]))
+        <= half * (F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"]))))
+    centre = inside(F.col("_edges"), cx, cy)
+    binned = (
         p.withColumn("_bx", F.explode(F.sequence(b("_x0"), b("_x1"))))
         .withColumn("_by", F.explode(F.sequence(b("_y0"), b("_y1"))))
         .withColumn("_edges", near).drop("_all")
+        .withColumn("_whole", ~touched)
     )
+    return binned.where(~F.col("_whole") | centre).withColumn("_edges", F.when(~F.col("_whole"), F.col("_edges")))
 
 
 def locate_points(points: DataFrame, polygons: DataFrame, lon: str = "lon", lat: str = "lat",
-                  bin_deg: float = 0.25, code: str = "alert_area_code", salt: int = 8) -> DataFrame:
+                  bin_deg: float = 0.25, code: str = "alert_area_code") -> DataFrame:
     """Point in polygon, left, boundary excluded; a point in k polygons yields k rows.
 
-    An equi-join on bins of ``bin_deg`` degrees, then exact ray casting in the join condition. Points
-    are salted because one bin may hold a large share of them; the polygon side is repeated per salt.
+    An equi-join on bins of ``bin_deg`` degrees, then exact ray casting in the join condition, but for bins wholly inside.
+    A bin may hold most of the points: polygons that Spark finds small are broadcast, and in the shuffled join adaptive
+    execution splits a bin by the bytes it measured (points are the side it may split).
     """
-    right = polygon_bins(polygons, bin_deg).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))).withColumnRenamed(code, "_code")
-    left = points.withColumns({
-        "_px": F.floor(F.col(lon) / bin_deg), "_py": F.floor(F.col(lat) / bin_deg),
-        "_psalt": F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt)).cast("int"),
-    })
+    right = polygon_bins(polygons, bin_deg).withColumnRenamed(code, "_code")
+    left = points.withColumns({"_px": F.floor(F.col(lon) / bin_deg), "_py": F.floor(F.col(lat) / bin_deg)})
     x, y = F.col(lon), F.col(lat)
     match = (
-        (F.col("_px") == F.col("_bx")) & (F.col("_py") == F.col("_by")) & (F.col("_psalt") == F.col("_salt"))
+        (F.col("_px") == F.col("_bx")) & (F.col("_py") == F.col("_by"))
         & x.between(F.col("_x0"), F.col("_x1")) & y.between(F.col("_y0"), F.col("_y1"))
-        & inside(F.col("_edges"), x, y)
+        & (F.col("_whole") | inside(F.col("_edges"), x, y))
     )
     return left.join(right, match, "left").select(
         *[F.col(f"`{c}`") for c in points.columns], F.col("_code").alias(f"{code}_polygon"))
