@@ -72,3 +72,46 @@ def test_folds(data):
 def test_no_training_points(data):
     with pytest.raises(ValueError):
         KB.fit_dual(data[2].where("false"), [(1.0, None)])
+
+
+@pytest.mark.parametrize("kind, param", [("linear", 1), ("polynomial", 3), ("gaussian", 5.0), ("rbf", 2.0)])
+def test_expanded_products_need_no_pairs(data, kind, param):
+    x, y, df = data
+    points = df.select("x", "y", (F.col("y") * F.col("y")).alias("y2"))
+    plan = KB.product_plan(df, points, 2, kind, param, expand=True)
+    assert plan.expanded and plan.expanded.terms < KB.MOST_TERMS
+    product = KB.kernel_product(df, points, ["i"], ["y", "y2"], kind, param, plan=plan)
+    assert "FlatMapCoGroups" not in product._jdf.queryExecution().executedPlan().toString()
+    want = gram(kind, x, x, param) @ np.column_stack([y, y**2])
+    assert np.allclose([r[1:] for r in product.orderBy("i").collect()], want, rtol=1e-11, atol=1e-9)
+
+
+def test_expansions_are_exact_to_the_radius_or_refused():
+    rng = np.random.default_rng(1)
+    for spread in (0.05, 0.3, 1.0):
+        x = rng.uniform(-spread, spread, size=(300, 4))
+        low, high = x.min(0), x.max(0)
+        radius = np.linalg.norm(x - (low + high) / 2, axis=1).max()
+        found = KB.expansion("gaussian", 0.5, low, high, radius)
+        assert (found is None) == (spread == 1.0)
+        if found:
+            sums = found.sums(x, found.prepared(found.moments(x, np.eye(300)), 300))
+            assert np.abs(sums - KB.kernel_block(x, x, "gaussian", 0.5)).max() < KB.EXACT
+    assert KB.expansion("rbf", 0.01, low, high, 2.0) is None and KB.expansion("polynomial", 2.5, low, high, 2.0) is None
+    assert KB.expansion("gaussian", 0.5, low, high * np.inf, 2.0) is None
+
+
+def test_large_products_are_expanded_and_small_ones_are_not(spark):
+    many = spark.range(20000).select(F.col("id").alias("i"), F.array(*[F.sin(F.col("id") * k) * 0.3 for k in (1, 2, 3, 5)]).alias("x"), F.lit(1.0).alias("c"))
+    assert KB.product_plan(many, many, 1, "gaussian", 0.5).expanded and not KB.product_plan(many, many.limit(20), 1, "gaussian", 0.5).expanded
+
+
+def test_expanded_fit_and_odd_rows(spark, data):
+    x, y, df = data
+    fit = [r.c0 for r in KB.fit_dual(df, [(0.2, None)], kind="gaussian", param=5.0, expand=True).orderBy("i").collect()]
+    assert np.allclose(fit, np.linalg.solve(gram("gaussian", x, x, 5.0) + 14 * np.eye(70), y), atol=1e-7)
+    odd = spark.createDataFrame([(1, [0.0, 0.0, 0.0]), (1, [0.0, 0.0, 0.0]), (2, [None, 1.0, 1.0]), (3, None), (4, [1.0])], "k int, x array<double>")
+    got = {r.k: r.c for r in KB.kernel_product(odd, df.select("x", F.col("y").alias("c")), ["k"], ["c"], "rbf", 2, expand=True).collect()}
+    assert np.isclose(got.pop(1), gram("rbf", np.zeros((1, 3)), x, 2)[0] @ y) and got == {}
+    missing = df.select("x", F.when(F.col("i") > 0, F.col("y")).alias("c"))
+    assert {r.c for r in KB.kernel_product(df, missing, ["i"], ["c"], "rbf", 2, expand=True).collect()} == {None}
