@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 from geocadence.model import EARTH_RADIUS_M, MERCATOR_RADIUS_M
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a lambda's argument is one, an expression that is named twice is computed twice."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 @dataclass(frozen=True)
 class Grid:
     """Regular lon/lat grid, north-up: row 0 is the northernmost row."""

@@ -13,6 +13,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geocadence.functions.geo import once
 from geocadence.model import MERCATOR_RADIUS_M
 
 # fixed values: semi-major axis (m) and inverse flattening
@@ -64,8 +65,7 @@ class TransverseMercator:
         xi, eta = (y - F.lit(self.north0)) / F.lit(self._radius), (x - F.lit(self.east0)) / F.lit(self._radius)
         xi1 = reduce(add, [F.lit(-b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(beta, 1)], xi)
         eta1 = reduce(add, [F.lit(-b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(beta, 1)], eta)
-        chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-        lat = reduce(add, [F.lit(d) * F.sin(2 * j * chi) for j, d in enumerate(delta, 1)], chi)
+        lat = once(F.asin(F.sin(xi1) / F.cosh(eta1)), lambda chi: reduce(add, [F.lit(d) * F.sin(2 * j * chi) for j, d in enumerate(delta, 1)], chi))
         return F.lit(self.lon0) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(lat)
 
 

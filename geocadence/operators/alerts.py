@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geocadence.functions.geo import inside, polygon_edges, polygon_rings
+from geocadence.functions.geo import inside, once, polygon_edges, polygon_rings
 from geocadence.functions.text import parse_range, rgba_text
 from geocadence.functions.times import calendar_parts, seconds_between
 from geocadence.model import ALERT_DEFAULTS, UNKNOWN_RGBA
@@ -32,17 +32,21 @@ def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
                     & (F.greatest(e["x1"], e["x2"]) >= west))
     cx, cy, half = (F.col("_bx") + 0.5) * bin_deg, (F.col("_by") + 0.5) * bin_deg, bin_deg / 2 + slack
     # an edge misses a square that is east or west of it, or wholly on one side of its line
-    touched = F.exists("_edges", lambda e: (F.least(e["x1"], e["x2"]) <= cx + half) & (
+    touched = lambda edges: F.exists(edges, lambda e: (F.least(e["x1"], e["x2"]) <= cx + half) & (
         F.abs((e["x2"] - e["x1"]) * (cy - e["y1"]) - (e["y2"] - e["y1"]) * (cx - e["x1"]))
-        <= half * (F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"]))))
-    centre = inside(F.col("_edges"), cx, cy)
-    binned = (
+        <= half * (F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"]))))
+
+    def kept(edges: Column) -> Column:
+        """At most one (edges, whole) of a bin, none if the bin is wholly outside."""
+        part = lambda e, whole: F.array(F.struct(e.alias("_edges"), F.lit(whole).alias("_whole")))
+        none = F.slice(part(edges, False), 1, 0)
+        return F.when(touched(edges), part(edges, False)).when(inside(edges, cx, cy), part(F.slice(edges, 1, 0), True)).otherwise(none)
+
+    return (
         p.withColumn("_bx", F.explode(F.sequence(b("_x0"), b("_x1"))))
         .withColumn("_by", F.explode(F.sequence(b("_y0"), b("_y1"))))
-        .withColumn("_edges", near).drop("_all")
-        .withColumn("_whole", ~touched)
+        .select("*", F.inline(once(near, kept))).drop("_all")  # a generator: edges are found once for the test and the result
     )
-    return binned.where(~F.col("_whole") | centre).withColumn("_edges", F.when(~F.col("_whole"), F.col("_edges")))
 
 
 def locate_points(points: DataFrame, polygons: DataFrame, lon: str = "lon", lat: str = "lat",

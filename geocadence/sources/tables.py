@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geocadence.functions.geo import once
 from geocadence.functions.projection import projection
 from geocadence.functions.text import stamp12
 from geocadence.operators.project import drop_out_of_range, select_fields
@@ -124,6 +125,7 @@ def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str =
     """(code, rings) from POLYGON or MULTIPOLYGON text in the coordinate system ``epsg`` (see ``projection``).
 
     ``rings`` holds every outline and hole of every part as array<struct<x,y>> in degrees, without the closing vertex.
+    A text costs far more to read than to move, and a file of many polygons is small: texts are dealt to all shuffle partitions.
     """
     system = projection(epsg)
 
@@ -132,18 +134,19 @@ def parse_polygons(raw: DataFrame, code: str, wkt: str = "wkt", out_code: str =
         return F.struct(lon.alias("x"), lat.alias("y"))
 
     def vertex(s):
-        xy = F.split(F.trim(s), r"\s+")
-        return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
+        return once(F.split(F.trim(s), " "), lambda xy: F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y")))
 
     def opened(ring):
         closed = (F.size(ring) > 1) & (F.element_at(ring, 1) == F.element_at(ring, -1))
         return F.when(closed, F.slice(ring, F.lit(1), F.size(ring) - 1)).otherwise(ring)
 
-    texts = F.regexp_extract_all(F.col(wkt), F.lit(r"\(([^()]+)\)"), F.lit(1))
-    rings = F.transform(texts, lambda t: opened(F.transform(F.split(t, r"\s*,\s*"), vertex)))
+    # one blank for all white space: splits by a single character need no pattern, which would be compiled for every text
+    texts = F.regexp_extract_all(F.regexp_replace(F.col(wkt), r"\s+", " "), F.lit(r"\(([^()]+)\)"), F.lit(1))
+    rings = F.transform(texts, lambda t: once(F.transform(F.split(t, ","), vertex), opened))
     if system is not None:
         rings = F.transform(rings, lambda ring: F.transform(ring, in_degrees))
-    return raw.select(F.col(code).alias(out_code), rings.alias("rings"))
+    many = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return raw.select(code, wkt).repartition(many, code, wkt).select(F.col(code).alias(out_code), rings.alias("rings"))
 
 
 # --- S15 -----------------------------------------------------------------------------------------
