@@ -40,7 +40,7 @@ def polygon_bins(polygons: DataFrame, bin_deg: float) -> DataFrame:
         """At most one (edges, whole) of a bin, none if the bin is wholly outside."""
         part = lambda e, whole: F.array(F.struct(e.alias("_edges"), F.lit(whole).alias("_whole")))
         none = F.slice(part(edges, False), 1, 0)
-        return F.when(touched(edges), part(edges, False)).when(inside(edges, cx, cy), part(F.slice(edges, 1, 0), True)).otherwise(none)
+        return F.when(touched(edges), part(edges, False)).when(inside(edges, cx, cy), part(F.when(F.lit(False), edges), True)).otherwise(none)
 
     return (
         p.withColumn("_bx", F.explode(F.sequence(b("_x0"), b("_x1"))))
