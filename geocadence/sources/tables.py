@@ -95,8 +95,11 @@ def quantised(df: DataFrame, decimals: int = 2) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, partition: list[str], time: str = "time", decimals: int = 2) -> None:
-    """Partitioned ``;`` CSV; a rerun replaces only the partitions it holds."""
-    csv_layout(df, time, decimals).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    """Partitioned ``;`` CSV; a rerun replaces only the partitions it holds.
+
+    Rows are dealt by partition first, so a partition is one file (more only where adaptive execution splits a large one), not one of each task.
+    """
+    csv_layout(df, time, decimals).hint("rebalance", *partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*partition).csv(path, sep=";", header=True)
 
 
