@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geocadence.functions.geo import once
+
 _DASH = "[-–]"
 
 
@@ -168,10 +170,11 @@ def run_label_from_json(doc: Column, depth: int = 3) -> Column:
 
 def run_label_from_name(path: Column) -> Column:
     """``…YYYYMMDD_HHMM…`` first, then any free-standing four digits."""
-    s = stem(path)
-    dated = F.nullif(F.regexp_extract(s, r"\d{8}[_-](\d{4})", 1), F.lit(""))
-    loose = F.nullif(F.regexp_extract(s, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit(""))
-    return run_label(F.coalesce(dated, loose))
+    def digits(s: Column) -> Column:
+        dated = F.nullif(F.regexp_extract(s, r"\d{8}[_-](\d{4})", 1), F.lit(""))
+        return F.coalesce(dated, F.nullif(F.regexp_extract(s, r"(?<!\d)(\d{4})(?!\d)", 1), F.lit("")))
+
+    return once(once(stem(path), digits), run_label)
 
 
 def run_label_of(path: Column, doc: Column | None = None) -> Column:
@@ -186,7 +189,7 @@ def time_reference(day: Column, label: Column) -> Column:
 
 
 def label_minutes(label: Column) -> Column:
-    return F.substring(label, 1, 2).cast("int") * 60 + F.substring(label, 4, 2).cast("int")
+    return once(label, lambda text: F.substring(text, 1, 2).cast("int") * 60 + F.substring(text, 4, 2).cast("int"))
 
 
 # --- P27 / P27b ----------------------------------------------------------------------------------

@@ -78,8 +78,17 @@ def select_data_time(targets: DataFrame, data: DataFrame, runs: DataFrame, toler
 
 # --- J19 / U5 ------------------------------------------------------------------------------------
 def newest_file(files: DataFrame, keys: list[str], path: str = "path", mtime: str = "mtime") -> DataFrame:
-    """U5. Newest path per key; the name breaks ties."""
-    return files.groupBy(*keys).agg(F.max_by(path, F.struct(F.col(mtime), base_name(F.col(path)), F.col(path))).alias(path))
+    """U5. Newest path per key; the name breaks ties.
+
+    The newest time per key is a number, so a hash aggregate finds it in one pass; names are compared only among the files of that time.
+    """
+    files = files.select(*keys, F.col(path).alias("_path"), F.col(mtime).alias("_mtime"))
+    last = files.groupBy(*keys).agg(F.max("_mtime").alias("_last")).select(*[F.col(f"`{k}`").alias(f"_key{n}") for n, k in enumerate(keys)], "_last")
+    same = F.col("_mtime").eqNullSafe(F.col("_last"))
+    for n, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_key{n}"))
+    newest = files.join(last, same, "left_semi")
+    return newest.groupBy(*keys).agg(F.max_by("_path", F.struct(base_name(F.col("_path")), F.col("_path"))).alias(path))
 
 
 def newest_under_ceiling(files: DataFrame, keys: list[str], label: str, ceiling: str | None,
