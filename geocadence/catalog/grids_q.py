@@ -87,7 +87,7 @@ def _swath(t: Tables):
     row, col = F.floor(F.col("c_custkey") / 40).cast("int"), F.pmod("c_custkey", F.lit(40)).cast("int")
     return t.customer.select(
         row.alias("row"), col.alias("col"), (F.lit(7.6) + col * 0.02 + F.pmod(row, F.lit(3)) * 0.013).alias("lon"),
-        (F.lit(44.4) - row * row * 0.0005 - F.pmod(col, F.lit(4)) * 0.011).alias("lat"), F.col("c_acctbal").alias("value"))
+        (F.lit(44.4) - big(row) * big(row) * 0.0005 - F.pmod(col, F.lit(4)) * 0.011).alias("lat"), F.col("c_acctbal").alias("value"))
 
 
 SQL_SWATH = f"""sw AS (SELECT c_custkey // 40 AS row, c_custkey % 40 AS col, c_acctbal AS value,
