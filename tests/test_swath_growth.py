@@ -50,6 +50,10 @@ def test_places_that_are_no_numbers_take_no_part(spark):
         assert [(r["id"], r["src_row"], r["src_col"]) for r in rows] == [(i, *w[1:]) for i in sorted(want) for w in want[i]]
 
 
+def test_nearest_cells_are_not_sent_to_the_driver(spark):
+    _nothing_broadcast(spark, "j8_uneven_grid")
+
+
 def test_rows_of_large_tables_do_not_overflow(spark, tmp_path):
     """The square of a row number above 46340 is no int: 1.9 million customers and more."""
     spark.range(4_000_000, 4_000_003).select(F.col("id").alias("c_custkey"), F.lit(1.5).alias("c_acctbal")).write.parquet(str(tmp_path / "customer.parquet"))
