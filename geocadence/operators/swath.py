@@ -64,7 +64,8 @@ def swath_map(targets: DataFrame, cells: DataFrame, target: list[str], k: int =
     column. Places without coordinates take no part, and a target without a cell in reach has no rows.
 
     Both sides of every join grow with the inputs, and files say little about the rows in them: all joins are shuffled, also
-    those with the result.
+    those with the result. Cubes that are counted or made distinct are stored: adaptive execution splits a hot cube only where
+    both sides of a join are shuffled for it.
     """
     top = max(0, min(LEVELS, math.floor(math.log2(max(radius_m, 1.0)))))
     side, named = max(radius_m, 1.0) / 2**top, [*target, "_tlon", "_tlat"]
@@ -73,12 +74,12 @@ def swath_map(targets: DataFrame, cells: DataFrame, target: list[str], k: int =
         .filter(_known(F.col("_lon"), F.col("_lat")))
     sources = sources.select("*", *[F.floor(u).alias(a) for a, u in zip(_AXES, _place(F.col("_lon"), F.col("_lat"), side))])
     # cells out of every target's reach are left out
-    reach = _within(todo.select("_tlon", "_tlat"), F.lit(top), F.lit(radius_m), side).select(*_CUBE).distinct()
+    reach = stored(_within(todo.select("_tlon", "_tlat"), F.lit(top), F.lit(radius_m), side).select(*_CUBE).distinct(), "swath-reach")
     near = stored(_at_level(sources, F.lit(top)).join(reach.hint("merge"), list(_CUBE), "left_semi").drop(*_CUBE), "swath-cells")
     # the smallest cube around a target with k cells; none: null
     all_levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
-    full = _at_level(near.groupBy(*_AXES).agg(F.count(F.lit(1)).alias("_n")).withColumn("_level", all_levels), F.col("_level")) \
-        .groupBy("_level", *_CUBE).agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= k)
+    full = near.groupBy(*_AXES).agg(F.count(F.lit(1)).alias("_n")).withColumn("_level", all_levels)
+    full = stored(_at_level(full, F.col("_level")).groupBy("_level", *_CUBE).agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= k), "swath-full")
     around = _at_level(todo.select("*", *[F.floor(u).alias(a) for a, u in zip(_AXES, _place(F.col("_tlon"), F.col("_tlat"), side))]).withColumn("_level", all_levels), F.col("_level"))
     start = stored(around.join(full.hint("merge"), ["_level", *_CUBE], "left").groupBy(*named, *_AXES).agg(F.min(F.when(F.col("_n").isNotNull(), F.col("_level"))).alias("_level")), "swath-start")
     used = [r[0] for r in start.select(F.coalesce("_level", F.lit(top))).distinct().collect()]  # 13 at most
@@ -91,5 +92,5 @@ def swath_map(targets: DataFrame, cells: DataFrame, target: list[str], k: int =
     found = _distances(_within(bounds, F.col("_level"), F.col("_reach"), side), hashed.drop(*_AXES)).filter((F.col("dist_m") <= radius_m) & (F.col("dist_m") <= F.col("_reach") + SLACK_M))
     found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*target).orderBy("dist_m", "src_row", "src_col")) - 1).filter(F.col("rank") < k)
     out = stored(found.select(*target, "rank", "src_row", "src_col", "dist_m"), "swath-map")
-    discard(near, start)
+    discard(reach, near, full, start)
     return targets.join(out.hint("merge"), target, "inner").select(*targets.columns, "rank", "src_row", "src_col", "dist_m").hint("merge")
